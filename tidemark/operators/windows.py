@@ -83,12 +83,26 @@ def min_records_gate(agg: DataFrame, key: str, count_col: str, min_records: int,
     """
     if min_records <= 1:
         return agg
-    totals = agg.groupBy(w).agg(F.sum(count_col).alias("__total"), F.min(key).alias(key))
+    # Every column of ``agg`` is referenced (``__same``) so column pruning leaves
+    # both branches with the same aggregate and the shuffle below is reused.
+    others = [c for c in agg.columns if c not in (w, key, count_col)]
+    totals = agg.groupBy(w).agg(F.sum(count_col).alias("__total"), F.min(key).alias("__key"),
+                                F.max(F.hash(*[F.col(c) for c in others] or [F.lit(0)])).alias("__same"))
+    # A failing window's rows all have count < min_records. Stating that in the
+    # join condition keeps the anti-join above the aggregate, so raw rows are
+    # never shuffled for it and map-side combining stays in place.
+    small = F.col(count_col) < min_records
     if min_records == 2:
-        failing = totals.filter(F.col("__total") < 2).select(w, key)
-        return agg.join(failing, [w, key], "left_anti")
-    failing = totals.filter(F.col("__total") < min_records).select(w)
-    return agg.join(failing, [w], "left_anti")
+        failing = totals.filter(F.col("__total") < 2).select(
+            F.col(w).alias("__w"), F.col("__key"), "__same")
+        cond = (agg[w] == failing["__w"]) & (agg[key] == failing["__key"]) & small
+    else:
+        failing = totals.filter(F.col("__total") < min_records).select(
+            F.col(w).alias("__w"), "__same")
+        cond = (agg[w] == failing["__w"]) & small
+    # always true (a hash is an int), but keeps ``__same`` alive through pruning
+    cond = cond & (failing["__same"] >= F.lit(-(2 ** 31)))
+    return agg.join(failing, cond, "left_anti")
 
 
 def live_set_at(df: DataFrame, trigger, length: int, ts: str = "ts",

@@ -13,9 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import REFERENCE_SPEC, WindowSpec
+from tidemark.config import USER_KEY_TEMPLATE
+from tidemark.functions.json import json_path
+from tidemark.functions.scalars import epoch_seconds
+from tidemark.operators import frames as fr
+from tidemark.operators.keyed import accumulate_merge, first_write_merge
 from tidemark.operators.metrics import click_show_metrics, completion_metrics, to_click_show
+from tidemark.operators.parse import good, parse_actions, parse_vv, reason_counts
 from tidemark.operators.profiles import feed_profile, read_profile, user_profile
-from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records, vv_records
+from tidemark.operators.route import tag_union
+from tidemark.operators.sequences import bounded_intake, sequence_summary
+from tidemark.operators.windows import (
+    WINDOW_COL,
+    live_set_at,
+    rolling_sums,
+    trigger_second,
+    window_snapshot,
+    with_windows,
+)
+from tidemark.sources.adapters import (
+    EVENTS_ACTION_CONFIG,
+    action_records,
+    raw_action_messages,
+    raw_vv_messages,
+    vv_records,
+)
 from tidemark.sources.tables import read_table
 
 # Exact decimal accumulation of watch time and duration (inputs have 2 decimals).
@@ -28,6 +50,15 @@ SPECS = {
     "reference": REFERENCE_SPEC,
 }
 FEEDS = {"5m": 300, "2h": 7200, "4h": 14400}
+LIVE_SET_SECONDS = 14400          # live set: last 4 h before the newest second
+ROLLING_SECONDS = 7200            # per-event rolling live set: 2 h
+SNAPSHOT_SPEC = WindowSpec(300, 60, mode="inclusive")
+ROUTE_SPEC = WindowSpec(300)
+INTAKE_CAPACITY = 8
+NULL_EVERY = 3                    # sequence fixture: value is NULL where event_id % 3 = 0
+# Frame fixture damage by doc_id: % 10 = 0 alters the last byte, % 10 = 5
+# cuts the frame to 9 bytes (5 after the size prefix: too short).
+FRAME_DAMAGE_MOD = 10
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +108,109 @@ def q_feed_profile(spark: SparkSession, sf: str) -> DataFrame:
                         key="contid", exact_scale=EXACT_SCALE)
 
 
+def q_parse_actions(spark: SparkSession, sf: str) -> DataFrame:
+    raw = raw_action_messages(events(spark, sf))
+    return good(parse_actions(raw, EVENTS_ACTION_CONFIG)).drop("ts")
+
+
+def q_parse_vv(spark: SparkSession, sf: str) -> DataFrame:
+    raw = raw_vv_messages(events(spark, sf))
+    return good(parse_vv(raw, EVENTS_ACTION_CONFIG)).drop("ts")
+
+
+def q_reject_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    ev = events(spark, sf)
+    a = reason_counts(parse_actions(raw_action_messages(ev), EVENTS_ACTION_CONFIG), "action")
+    v = reason_counts(parse_vv(raw_vv_messages(ev), EVENTS_ACTION_CONFIG), "vv")
+    return a.unionByName(v)
+
+
+def q_route_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    tagged = tag_union(click_show_records(spark, sf), vv(spark, sf), "u")
+    return (with_windows(tagged, ROUTE_SPEC).groupBy(WINDOW_COL, "kind")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(trigger_second(ROUTE_SPEC).alias("t"), "kind", "n"))
+
+
+def q_props_extract(spark: SparkSession, sf: str) -> DataFrame:
+    ev = events(spark, sf)
+    k = json_path("props", "$.k")
+    return ev.select("event_id", k.alias("contid"), k.cast("bigint").alias("k"))
+
+
+def q_live_set_at(spark: SparkSession, sf: str) -> DataFrame:
+    ev = events(spark, sf)
+    now = ev.select(F.max(epoch_seconds(ev, "ts"))).scalar()
+    cs = click_show_records(spark, sf)
+    return (live_set_at(cs, now, LIVE_SET_SECONDS, mode="inclusive")
+            .select("event_id", "u", epoch_seconds(cs, "ts").alias("sec"), "clicks", "shows"))
+
+
+def q_window_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    cs = click_show_records(spark, sf).select("event_id", "ts", "u", "clicks", "shows")
+    return window_snapshot(cs, SNAPSHOT_SPEC).drop("ts")
+
+
+def q_user_rolling(spark: SparkSession, sf: str) -> DataFrame:
+    cs = click_show_records(spark, sf).select("event_id", "ts", "u", "clicks", "shows")
+    return rolling_sums(cs, "u", ["clicks", "shows"], ROLLING_SECONDS).drop("ts", "clicks", "shows")
+
+
+def q_keyed_first_write(spark: SparkSession, sf: str) -> DataFrame:
+    res = QUERIES["user_click_show_tumbling"](spark, sf)
+    return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
+
+
+def q_keyed_accumulate(spark: SparkSession, sf: str) -> DataFrame:
+    res = QUERIES["user_click_show_tumbling"](spark, sf)
+    return accumulate_merge(res, key="u", order="t", spec=SPECS["tumbling"],
+                            key_template=USER_KEY_TEMPLATE)
+
+
+def _nullable_values(spark: SparkSession, sf: str) -> DataFrame:
+    ev = events(spark, sf)
+    return ev.select("user_id", "event_id", "ts",
+                     F.when(F.col("event_id") % NULL_EVERY != 0, F.col("value")).alias("value"))
+
+
+def q_sequence_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return sequence_summary(_nullable_values(spark, sf), "user_id", "value",
+                            ["ts", "event_id"], ts="ts")
+
+
+def q_bounded_intake(spark: SparkSession, sf: str) -> DataFrame:
+    ev = events(spark, sf).select("user_id", "event_id", "ts")
+    return bounded_intake(ev, "user_id", ["ts", "event_id"], INTAKE_CAPACITY).drop("ts")
+
+
+def _frames(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    payload = F.encode(F.col("text"), "UTF-8")
+    framed = docs.select("doc_id", payload.alias("payload"),
+                         fr.encode_frame("doc_id", payload).alias("frame"))
+    last = F.substring("frame", -1, 1)
+    altered = F.concat(F.expr("substring(frame, 1, octet_length(frame) - 1)"),
+                       F.when(last == F.unhex(F.lit("00")), F.unhex(F.lit("01")))
+                       .otherwise(F.unhex(F.lit("00"))))
+    damage = F.col("doc_id") % FRAME_DAMAGE_MOD
+    sent = (F.when(damage == 0, altered)
+            .when(damage == 5, F.substring("frame", 1, 9))
+            .otherwise(F.col("frame")))
+    return framed.select("doc_id", "payload", fr.decode_frame(fr.strip_size_prefix(sent)).alias("d"))
+
+
+def q_frame_integrity(spark: SparkSession, sf: str) -> DataFrame:
+    ok = F.col("d.status") == fr.STATUS_OK
+    return _frames(spark, sf).select(
+        "doc_id", F.col("d.status").alias("status"), F.col("d.msg_id").alias("msg_id"),
+        F.col("d.size").alias("size"), F.octet_length("d.data").alias("payload_len"),
+        F.when(ok, F.col("d.data") == F.col("payload")).alias("payload_ok"))
+
+
+def q_frame_status_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return fr.status_counts(_frames(spark, sf).select(F.col("d.status").alias("status")))
+
+
 QUERIES: dict[str, QueryFn] = {
     "user_click_show_tumbling": _user_click_show(SPECS["tumbling"]),
     "user_click_show_sliding": _user_click_show(SPECS["sliding"]),
@@ -91,4 +225,18 @@ QUERIES: dict[str, QueryFn] = {
     "user_profile": q_user_profile,
     "user_profile_read": q_user_profile_read,
     "feed_profile": q_feed_profile,
+    "parse_actions": q_parse_actions,
+    "parse_vv": q_parse_vv,
+    "reject_reasons": q_reject_reasons,
+    "route_kinds": q_route_kinds,
+    "props_extract": q_props_extract,
+    "live_set_at": q_live_set_at,
+    "window_snapshot": q_window_snapshot,
+    "user_rolling": q_user_rolling,
+    "keyed_first_write": q_keyed_first_write,
+    "keyed_accumulate": q_keyed_accumulate,
+    "sequence_summary": q_sequence_summary,
+    "bounded_intake": q_bounded_intake,
+    "frame_integrity": q_frame_integrity,
+    "frame_status_counts": q_frame_status_counts,
 }

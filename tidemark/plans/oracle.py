@@ -114,3 +114,155 @@ ORACLE_SQL: dict[str, str] = {
     "user_profile_read": USER_PROFILE_READ_SQL,
     "feed_profile": _feed_profile_sql(),
 }
+
+
+# --- parse (P1-P7): JSON built and parsed in DuckDB --------------------------
+_NUM = r"(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity)|(?i:nan))"
+
+
+def _num_ok(c: str) -> str:
+    return (f"(regexp_full_match({c}, '{_NUM}') AND (regexp_matches({c}, '(?i)inf') "
+            f"OR NOT coalesce(abs(try_cast({c} AS DOUBLE)) = 'inf'::DOUBLE, false)))")
+
+
+def _raw_sql(vv: bool) -> str:
+    extra = (", 'tm', CASE WHEN event_id % 23 = 0 THEN 'abc' ELSE CAST(value AS VARCHAR) END, "
+             "'duration', CAST((event_id * 7) % 240 AS VARCHAR)") if vv else ""
+    return f"""src AS (
+  SELECT event_id, CAST(json_object(
+    't', event_type,
+    'u', CASE WHEN event_id % 29 = 0 THEN '  ' || CAST(user_id AS VARCHAR) || '  '
+              ELSE CAST(user_id AS VARCHAR) END,
+    'contid', CASE WHEN event_id % 17 = 0 THEN '' ELSE json_extract_string(props, '$.k') END
+    {extra}) AS VARCHAR) AS j
+  FROM events),
+raw AS (SELECT event_id AS key, CASE WHEN event_id % 19 = 0 THEN left(j, length(j) // 2) ELSE j END AS value
+        FROM src),
+p AS (SELECT key, value, CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END AS is_obj
+      FROM raw),
+f AS (SELECT key, is_obj,
+        CASE WHEN is_obj THEN json_extract_string(value, '$.t') END AS t,
+        CASE WHEN is_obj THEN json_extract_string(value, '$.u') END AS u,
+        CASE WHEN is_obj THEN json_extract_string(value, '$.contid') END AS contid,
+        CASE WHEN is_obj THEN json_extract_string(value, '$.tm') END AS tm,
+        CASE WHEN is_obj THEN json_extract_string(value, '$.duration') END AS duration
+      FROM p)"""
+
+
+_ACT_REASON = """CASE WHEN NOT is_obj THEN 'parse'
+     WHEN coalesce(t, '') = '' OR coalesce(u, '') = '' OR coalesce(contid, '') = '' THEN 'required'
+     WHEN t NOT IN ('click', 'view') THEN 'type' END"""
+_VV_REASON = f"""CASE WHEN NOT is_obj THEN 'parse'
+     WHEN coalesce(t, '') = '' OR coalesce(u, '') = '' OR coalesce(contid, '') = ''
+          OR coalesce(tm, '') = '' OR coalesce(duration, '') = '' THEN 'required'
+     WHEN NOT ({_num_ok('tm')} AND {_num_ok('duration')}) THEN 'number' END"""
+
+PARSE_ACTIONS_SQL = f"""WITH {_raw_sql(False)},
+r AS (SELECT *, {_ACT_REASON} AS reason FROM f)
+SELECT key, trim(u, ' ') AS u, t, contid, CAST(t = 'click' AS BIGINT) AS clicks,
+       CAST(t = 'view' AS BIGINT) AS shows
+FROM r WHERE reason IS NULL"""
+
+PARSE_VV_SQL = f"""WITH {_raw_sql(True)},
+r AS (SELECT *, {_VV_REASON} AS reason FROM f)
+SELECT key, u, t, contid, CAST(tm AS DOUBLE) AS tm, CAST(duration AS DOUBLE) AS duration,
+       CAST(tm AS DOUBLE) / CAST(duration AS DOUBLE) AS rpt
+FROM r WHERE reason IS NULL"""
+
+REJECT_REASONS_SQL = f"""WITH a AS (WITH {_raw_sql(False)} SELECT coalesce({_ACT_REASON}, 'ok') AS reason FROM f),
+v AS (WITH {_raw_sql(True)} SELECT coalesce({_VV_REASON}, 'ok') AS reason FROM f)
+SELECT 'action' AS path, reason, count(*) AS n FROM a GROUP BY reason
+UNION ALL
+SELECT 'vv' AS path, reason, count(*) AS n FROM v GROUP BY reason"""
+
+ROUTE_KINDS_SQL = f"""WITH {_ACT}, {_VV},
+tagged AS (SELECT sec, 'act' AS kind FROM act UNION ALL SELECT sec, 'vv' AS kind FROM vv)
+SELECT (sec // 300 + 1) * 300 AS t, kind, count(*) AS n FROM tagged GROUP BY 1, 2"""
+
+PROPS_EXTRACT_SQL = """SELECT event_id, json_extract_string(props, '$.k') AS contid,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
+
+LIVE_SET_AT_SQL = f"""WITH {_ACT}
+SELECT event_id, u, sec, clicks, shows FROM act
+WHERE sec >= (SELECT max(CAST(floor(epoch(ts)) AS BIGINT)) FROM events) - 14400
+  AND sec <= (SELECT max(CAST(floor(epoch(ts)) AS BIGINT)) FROM events)"""
+
+WINDOW_SNAPSHOT_SQL = f"""WITH {_ACT}
+SELECT event_id, u, clicks, shows, unnest({_triggers(300, 60, 'inclusive')}) AS t FROM act"""
+
+USER_ROLLING_SQL = f"""WITH {_ACT}
+SELECT event_id, u, sec,
+       sum(clicks) OVER w AS rolling_clicks, sum(shows) OVER w AS rolling_shows,
+       count(*) OVER w AS rolling_n
+FROM act
+WINDOW w AS (PARTITION BY u ORDER BY sec RANGE BETWEEN 7200 PRECEDING AND CURRENT ROW)"""
+
+_TUMBLING_RESULTS = f"""res AS ({click_show_sql(300, 300, 'half_open', 'u', 2)})"""
+
+KEYED_FIRST_WRITE_SQL = f"""WITH {_TUMBLING_RESULTS},
+f AS (SELECT *, first_value(clicks) OVER w AS fc, first_value(shows) OVER w AS fs,
+             row_number() OVER w AS rn
+      FROM res WINDOW w AS (PARTITION BY u ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT t, u, 'USER_CLICK_SHOW_5MIN_' || u AS store_key,
+       CASE WHEN rn = 1 THEN clicks ELSE fc + clicks END AS rt_u_click,
+       CASE WHEN rn = 1 THEN shows ELSE fs + shows END AS rt_u_reveal,
+       fc AS stored_click, fs AS stored_reveal
+FROM f"""
+
+KEYED_ACCUMULATE_SQL = f"""WITH {_TUMBLING_RESULTS}
+SELECT t, u, 'USER_CLICK_SHOW_5MIN_' || u AS store_key,
+       CAST(sum(clicks) OVER w AS BIGINT) AS rt_u_click, CAST(sum(shows) OVER w AS BIGINT) AS rt_u_reveal
+FROM res WINDOW w AS (PARTITION BY u ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+SEQUENCE_SUMMARY_SQL = """WITH s AS (
+  SELECT user_id, CASE WHEN event_id % 3 <> 0 THEN value END AS value,
+         CAST(floor(epoch(ts)) AS BIGINT) AS sec,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx,
+         count(*) OVER (PARTITION BY user_id) AS n
+  FROM events)
+SELECT user_id, count(*) AS length,
+       max(value) FILTER (WHERE idx = 0) AS head, CAST(0 AS BIGINT) AS head_idx,
+       max(value) FILTER (WHERE idx = n - 1) AS tail, count(*) - 1 AS tail_idx,
+       arg_min(value, idx) FILTER (WHERE value IS NOT NULL) AS valid_head,
+       coalesce(min(idx) FILTER (WHERE value IS NOT NULL), -1) AS valid_head_idx,
+       arg_max(value, idx) FILTER (WHERE value IS NOT NULL) AS valid_tail,
+       coalesce(max(idx) FILTER (WHERE value IS NOT NULL), -1) AS valid_tail_idx,
+       coalesce(max(idx) FILTER (WHERE value IS NOT NULL) - min(idx) FILTER (WHERE value IS NOT NULL) + 1, 0)
+         AS valid_length,
+       min(sec) AS oldest_sec
+FROM s GROUP BY user_id"""
+
+BOUNDED_INTAKE_SQL = """WITH s AS (
+  SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY user_id) AS n
+  FROM events)
+SELECT user_id, event_id, pos, least(n, 8) AS size, greatest(n - 8, 0) AS rejected, n >= 8 AS full
+FROM s WHERE pos < 8"""
+
+FRAME_INTEGRITY_SQL = """SELECT doc_id,
+  CASE doc_id % 10 WHEN 0 THEN 'checksum' WHEN 5 THEN 'short' ELSE 'ok' END AS status,
+  CASE WHEN doc_id % 10 NOT IN (0, 5) THEN CAST(doc_id AS INTEGER) END AS msg_id,
+  CASE WHEN doc_id % 10 NOT IN (0, 5) THEN CAST(strlen(text) + 8 AS INTEGER) END AS size,
+  CASE WHEN doc_id % 10 NOT IN (0, 5) THEN strlen(text) END AS payload_len,
+  CASE WHEN doc_id % 10 NOT IN (0, 5) THEN true END AS payload_ok
+FROM documents"""
+
+FRAME_STATUS_COUNTS_SQL = """SELECT CASE doc_id % 10 WHEN 0 THEN 'checksum' WHEN 5 THEN 'short' ELSE 'ok' END AS status,
+       count(*) AS n FROM documents GROUP BY 1"""
+
+ORACLE_SQL.update({
+    "parse_actions": PARSE_ACTIONS_SQL,
+    "parse_vv": PARSE_VV_SQL,
+    "reject_reasons": REJECT_REASONS_SQL,
+    "route_kinds": ROUTE_KINDS_SQL,
+    "props_extract": PROPS_EXTRACT_SQL,
+    "live_set_at": LIVE_SET_AT_SQL,
+    "window_snapshot": WINDOW_SNAPSHOT_SQL,
+    "user_rolling": USER_ROLLING_SQL,
+    "keyed_first_write": KEYED_FIRST_WRITE_SQL,
+    "keyed_accumulate": KEYED_ACCUMULATE_SQL,
+    "sequence_summary": SEQUENCE_SUMMARY_SQL,
+    "bounded_intake": BOUNDED_INTAKE_SQL,
+    "frame_integrity": FRAME_INTEGRITY_SQL,
+    "frame_status_counts": FRAME_STATUS_COUNTS_SQL,
+})
