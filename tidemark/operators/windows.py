@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tidemark.config import WindowSpec
 from tidemark.functions.scalars import epoch_seconds
@@ -28,8 +29,9 @@ WINDOW_COL = "w"
 
 
 def _offset(spec: WindowSpec) -> int:
-    # Window [T - length, T] starts at T - length with T a multiple of step.
-    return (-spec.length) % spec.slide if spec.mode == "inclusive" else 0
+    # Windows end at triggers T (multiples of step) and start at T - length,
+    # so starts are aligned to -length modulo step in both modes.
+    return (-spec.length) % spec.slide
 
 
 def window_column(ts: str, spec: WindowSpec) -> Column:
@@ -58,9 +60,17 @@ def with_windows(df: DataFrame, spec: WindowSpec, ts: str = "ts") -> DataFrame:
     else:
         trig = (F.floor(sec / F.lit(s)).cast("bigint") + 1) * s
         keep = trig - spec.length <= sec
-    w = F.struct(F.timestamp_seconds(trig - spec.span).alias("start"),
-                 F.timestamp_seconds(trig).alias("end"))
-    return df.withColumn("__trig", trig).filter(keep).withColumn(WINDOW_COL, w).drop("__trig")
+    end = trig + (1 if spec.mode == "inclusive" else 0)
+    w = F.struct(_as_timestamp(df, ts, end - spec.span).alias("start"),
+                 _as_timestamp(df, ts, end).alias("end"))
+    return df.filter(keep).withColumn(WINDOW_COL, w)
+
+
+def _as_timestamp(df: DataFrame, ts: str, seconds: Column) -> Column:
+    """Epoch seconds as a timestamp of the same type as column ``ts``."""
+    if isinstance(df.schema[ts].dataType, TimestampNTZType):
+        return F.timestamp_add("SECOND", seconds, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return F.timestamp_seconds(seconds)
 
 
 def trigger_second(spec: WindowSpec, w: str = WINDOW_COL) -> Column:
