@@ -1,6 +1,7 @@
 """Column-level helpers: all built-in Spark expressions, no Python UDFs."""
 
 from tidemark.functions.scalars import (
+    as_instant,
     epoch_seconds,
     ieee_divide,
     is_strict_double,
@@ -12,6 +13,6 @@ from tidemark.functions.scalars import (
 from tidemark.functions.json import json_field, json_path, json_scalar_fields
 
 __all__ = [
-    "epoch_seconds", "ieee_divide", "is_strict_double", "one_hot", "profile_key",
+    "as_instant", "epoch_seconds", "ieee_divide", "is_strict_double", "one_hot", "profile_key",
     "strict_double", "trim_spaces", "json_field", "json_path", "json_scalar_fields",
 ]

@@ -91,3 +91,17 @@ def epoch_seconds(df, column: str) -> Column:
 def profile_key(user, template: str = USER_KEY_TEMPLATE) -> Column:
     """Keyed-store key of a user profile."""
     return F.format_string(template, _col(user))
+
+
+def as_instant(df, column: str) -> Column:
+    """A ``timestamp`` (instant) column for event-time use (watermarks need it).
+
+    ``timestamp_ntz`` is read as UTC wall-clock time without consulting the
+    session time zone: epoch micros = whole seconds + the second's fraction.
+    """
+    dtype = df.schema[column].dataType
+    c = F.col(column)
+    if isinstance(dtype, TimestampNTZType):
+        frac = (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint") % 1_000_000
+        return F.timestamp_micros(F.unix_timestamp(c) * 1_000_000 + frac)
+    return c

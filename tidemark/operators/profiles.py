@@ -56,17 +56,17 @@ def kind_gate_flags(g: DataFrame, key: str, counts: dict[str, str], min_records:
     return out.drop(*[f"__fail_{n}" for n in counts])
 
 
-def user_profile(click_show: DataFrame, vv: DataFrame, spec: WindowSpec, key: str = "u",
-                 ts: str = "ts", exact_scale: int | None = None) -> DataFrame:
-    """``(t, key, rt_u_click, rt_u_reveal, rt_u_rpt)``: a user present in either
-    kind's (gated) result; the absent kind's fields are NULL."""
-    tagged = tag_union(click_show, vv, key, ts)
+def user_profile_aggs(exact_scale: int | None = None) -> list:
+    """Aggregates of a tagged (action + video-view) union per (window, user)."""
     is_act, is_vv = F.col(KIND_COL) == ACT, F.col(KIND_COL) == VV
-    g = (with_windows(tagged, spec, ts).groupBy(WINDOW_COL, key)
-         .agg(F.sum("clicks").alias("__c"), F.sum("shows").alias("__s"),
-              exact_sum("tm", exact_scale).alias("__tm"),
-              exact_sum("duration", exact_scale).alias("__d"),
-              F.count(F.when(is_act, 1)).alias("__na"), F.count(F.when(is_vv, 1)).alias("__nv")))
+    return [F.sum("clicks").alias("__c"), F.sum("shows").alias("__s"),
+            exact_sum("tm", exact_scale).alias("__tm"),
+            exact_sum("duration", exact_scale).alias("__d"),
+            F.count(F.when(is_act, 1)).alias("__na"), F.count(F.when(is_vv, 1)).alias("__nv")]
+
+
+def finish_user_profile(g: DataFrame, spec: WindowSpec, key: str = "u") -> DataFrame:
+    """Gate each kind and project ``(t, key, rt_u_click, rt_u_reveal, rt_u_rpt)``."""
     g = kind_gate_flags(g, key, {"act": "__na", "vv": "__nv"}, spec.min_records)
     act_ok = F.col("__pass_act") & (F.col("__na") > 0)
     vv_ok = F.col("__pass_vv") & (F.col("__nv") > 0)
@@ -78,6 +78,15 @@ def user_profile(click_show: DataFrame, vv: DataFrame, spec: WindowSpec, key: st
                     F.when(vv_ok, ieee_divide(tm, dur)).alias("rt_u_rpt")))
 
 
+def user_profile(click_show: DataFrame, vv: DataFrame, spec: WindowSpec, key: str = "u",
+                 ts: str = "ts", exact_scale: int | None = None) -> DataFrame:
+    """``(t, key, rt_u_click, rt_u_reveal, rt_u_rpt)``: a user present in either
+    kind's (gated) result; the absent kind's fields are NULL."""
+    tagged = tag_union(click_show, vv, key, ts)
+    g = with_windows(tagged, spec, ts).groupBy(WINDOW_COL, key).agg(*user_profile_aggs(exact_scale))
+    return finish_user_profile(g, spec, key)
+
+
 def feed_prefix(length: int, shortest: int) -> str:
     """Column prefix of a trailing length: the shortest is ``rt_f_``, the
     others ``rt_f_<n>h_`` (or ``<n>m`` / ``<n>s`` when not whole hours)."""
