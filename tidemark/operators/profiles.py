@@ -29,31 +29,39 @@ USER_PROFILE_COLUMNS = ("rt_u_click", "rt_u_reveal", "rt_u_rpt")
 def kind_gate_flags(g: DataFrame, key: str, counts: dict[str, str], min_records: int,
                     w: str = WINDOW_COL) -> DataFrame:
     """Add ``__pass_<name>`` per count column: does the window's total of that
-    count reach ``min_records``? (see ``windows.min_records_gate``)."""
+    count reach ``min_records``? (see ``windows.min_records_gate``).
+
+    One per-window totals aggregate serves every kind; it references all
+    columns of ``g`` so the shuffle below ``g`` is reused rather than
+    recomputed. With the two-record gate a failing kind has a single record
+    in its window, hence one (window, key) pair, and each kind is one left
+    join on (window, key): the partitioning ``g`` already has.
+    """
     if min_records <= 1:
         for name in counts:
             g = g.withColumn(f"__pass_{name}", F.lit(True))
         return g
-    aggs = []
+    others = [c for c in g.columns if c not in (w, key)]
+    aggs = [F.max(F.hash(*[F.col(c) for c in others])).alias("__same")]
     for name, c in counts.items():
         aggs.append(F.sum(c).alias(f"__tot_{name}"))
         aggs.append(F.min(F.when(F.col(c) > 0, F.col(key))).alias(f"__key_{name}"))
     totals = g.groupBy(w).agg(*aggs)
-    if min_records == 2:
-        # A failing kind has exactly one record in the window, hence one key.
-        fails = None
-        for name in counts:
-            f = (totals.filter(F.col(f"__tot_{name}") == 1)
-                 .select(w, F.col(f"__key_{name}").alias(key), F.lit(True).alias(f"__fail_{name}")))
-            fails = f if fails is None else fails.join(f, [w, key], "full_outer")
-        out = g.join(fails, [w, key], "left")
-    else:
-        fails = totals.select(w, *[(F.col(f"__tot_{n}") < min_records).alias(f"__fail_{n}")
-                                   for n in counts])
-        out = g.join(fails, [w], "left")
+    out = g
     for name in counts:
-        out = out.withColumn(f"__pass_{name}", ~F.coalesce(F.col(f"__fail_{name}"), F.lit(False)))
-    return out.drop(*[f"__fail_{n}" for n in counts])
+        tot, wn = F.col(f"__tot_{name}"), f"__w_{name}"
+        # ``__same`` is always >= the smallest int; the test keeps it alive
+        alive = F.col("__same") >= F.lit(-(2 ** 31))
+        if min_records == 2:
+            f = totals.filter((tot == 1) & alive).select(F.col(w).alias(wn), f"__key_{name}")
+            cond = (out[w] == f[wn]) & (out[key] == f[f"__key_{name}"])
+        else:
+            f = totals.filter((tot < min_records) & alive).select(F.col(w).alias(wn))
+            cond = out[w] == f[wn]
+        out = (out.join(f, cond, "left")
+               .withColumn(f"__pass_{name}", F.col(wn).isNull())
+               .drop(*[c for c in f.columns]))
+    return out
 
 
 def user_profile_aggs(exact_scale: int | None = None) -> list:
