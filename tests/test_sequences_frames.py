@@ -34,6 +34,10 @@ def test_bounded_intake(spark):
     assert (two[0]["size"], two[0]["rejected"], two[0]["full"]) == (2, 1, True)
     unl = bounded_intake(df, "key", ["item"], -1).collect()
     assert len(unl) == 3 and not unl[0]["full"] and unl[0]["rejected"] == 0
+    # unlimited capacity across several blocks: positions still run 0..n-1
+    many = spark.createDataFrame([("k", i) for i in range(10)], "key string, item long")
+    pos = {r["item"]: r["pos"] for r in bounded_intake(many, "key", ["item"], -1, block_size=3).collect()}
+    assert pos == {i: i for i in range(10)}
 
 
 def test_frame_round_trip(spark):

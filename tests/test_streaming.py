@@ -79,6 +79,27 @@ def test_keyed_stream_across_batches(spark, split_dir, op, cols, twin):
     assert _rows(got, cols) == _rows(QUERIES[twin](spark, SF_SMALL), cols)
 
 
+def test_keyed_sink_compaction(spark, split_dir):
+    """Snapshots every two batches give the same keyed results."""
+    from tidemark.config import USER_KEY_TEMPLATE
+    from tidemark.operators.metrics import to_click_show
+    from tidemark.plans.streaming import SPEC, _run
+    from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records
+    from tidemark.streaming.pipelines import gate_click_show, windowed_click_show
+    from tidemark.streaming.sinks import KeyedTableSink
+
+    stream, scratch = _stream(spark, split_dir)
+    agg = windowed_click_show(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG), SPEC, "u")
+    sink = KeyedTableSink(f"{scratch}/out", f"{scratch}/state", Accumulate(), key="u", order="t",
+                          key_template=USER_KEY_TEMPLATE, transform=gate_click_show(SPEC, "u"),
+                          compact_every=2)
+    _run(agg, sink, scratch)
+    got = spark.read.parquet(f"{scratch}/out")
+    assert sink._latest_snapshot(spark, 100) is not None
+    assert _rows(got, ACCUMULATE_COLS) == _rows(QUERIES["keyed_accumulate"](spark, SF_SMALL),
+                                                ACCUMULATE_COLS)
+
+
 def test_restart_from_checkpoint(spark, split_dir):
     """Stop after two files, restart on the same checkpoint: same result."""
     from tidemark.plans.streaming import SPEC

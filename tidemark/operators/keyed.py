@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from tidemark.config import WindowSpec
-from tidemark.functions.scalars import profile_key
+from tidemark.functions.scalars import epoch_seconds, profile_key
 
 DEFAULT_BLOCK_SECONDS = 86400
 
@@ -44,6 +45,40 @@ def first_write_merge(results: DataFrame, key: str = "u", order: str = "t",
     return j.select(*cols)
 
 
+def time_block(df: DataFrame, column: str, size: int) -> Column:
+    """Block number of an order column: epoch seconds (timestamps) or the
+    value itself (numbers), integer-divided by ``size``."""
+    if isinstance(df.schema[column].dataType, (TimestampType, TimestampNTZType)):
+        base = epoch_seconds(df, column)
+    else:
+        base = F.col(column)
+    return F.floor(base / F.lit(size)).cast("bigint")
+
+
+def running_totals(df: DataFrame, key: str, order: Sequence[str], block: Column,
+                   values: dict[str, Column]) -> DataFrame:
+    """Add one column per ``values`` entry: its running sum per ``key`` in
+    ``order`` (current row included).
+
+    ``block`` must not decrease along ``order`` within a key. Per (key, block)
+    totals are summed over the earlier blocks of the key (a window over the
+    few block rows of one key), and the running sum inside a block runs in a
+    (key, block) partition, so a hot key is spread over its blocks.
+    """
+    rows = df.withColumn("__blk", block)
+    for n, c in values.items():
+        rows = rows.withColumn(f"__v_{n}", c)
+    tot = rows.groupBy(key, "__blk").agg(*[F.sum(f"__v_{n}").alias(f"__bt_{n}") for n in values])
+    before = Window.partitionBy(key).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tot.select(key, "__blk", *[
+        F.coalesce(F.sum(f"__bt_{n}").over(before), F.lit(0)).alias(f"__off_{n}") for n in values])
+    inside = Window.partitionBy(key, "__blk").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    j = rows.join(offsets, [key, "__blk"])
+    return j.select(*[F.col(c) for c in df.columns],
+                    *[(F.col(f"__off_{n}") + F.sum(f"__v_{n}").over(inside)).alias(n) for n in values])
+
+
 def accumulate_merge(results: DataFrame, key: str = "u", order: str = "t",
                      values: Sequence[str] = ("clicks", "shows"),
                      returned: Sequence[str] = ("rt_u_click", "rt_u_reveal"),
@@ -58,18 +93,10 @@ def accumulate_merge(results: DataFrame, key: str = "u", order: str = "t",
     if spec is not None and not spec.is_tumbling:
         raise ValueError("accumulating merge needs half-open tumbling windows; "
                          "overlapping windows would count records more than once")
-    blk = F.floor(F.col(order) / F.lit(block_seconds)).cast("bigint")
-    rows = results.withColumn("__blk", blk)
-    block_tot = rows.groupBy(key, "__blk").agg(*[F.sum(v).alias(f"__bt_{v}") for v in values])
-    before = Window.partitionBy(key).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = block_tot.select(key, "__blk", *[
-        F.coalesce(F.sum(f"__bt_{v}").over(before), F.lit(0)).alias(f"__off_{v}") for v in values])
-    inside = Window.partitionBy(key, "__blk").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    j = rows.join(offsets, [key, "__blk"])
+    base = results.select(order, key, *values)
+    run = running_totals(base, key, [order], time_block(base, order, block_seconds),
+                         {r: F.col(v) for v, r in zip(values, returned)})
     cols = [F.col(order), F.col(key)]
     if key_template is not None:
         cols.append(profile_key(F.col(key), key_template).alias("store_key"))
-    cols += [(F.col(f"__off_{v}") + F.sum(v).over(inside)).alias(r)
-             for v, r in zip(values, returned)]
-    return j.select(*cols)
+    return run.select(*cols, *returned)

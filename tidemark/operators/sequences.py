@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import epoch_seconds
+from tidemark.operators.keyed import DEFAULT_BLOCK_SECONDS, running_totals, time_block
 
 
 def sequence_summary(df: DataFrame, key: str, value: str, order: Sequence[str],
@@ -59,13 +60,17 @@ def sequence_summary(df: DataFrame, key: str, value: str, order: Sequence[str],
     return out.select(*cols)
 
 
-def bounded_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int) -> DataFrame:
+def bounded_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int,
+                   block_size: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """Accepted rows of every key with ``pos`` (0-based) and per-key flags
-    ``size``, ``rejected`` and ``full``. ``capacity < 0`` means unlimited."""
+    ``size``, ``rejected`` and ``full``. ``capacity < 0`` means unlimited:
+    every row is accepted and ``pos`` is a blocked running count (blocks of
+    ``block_size`` over the first order column), so no task holds a whole key.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     if capacity < 0:
-        w = Window.partitionBy(key).orderBy(*order)
-        kept = df.withColumn("pos", F.row_number().over(w) - 1)
+        kept = running_totals(df, key, order, time_block(df, order[0], block_size),
+                              {"pos": F.lit(1)}).withColumn("pos", F.col("pos") - 1)
     else:
         w = Window.partitionBy(key).orderBy(*order)
         kept = df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= capacity) \

@@ -8,6 +8,9 @@ overwrites instead of adding twice.
 * ``KeyedTableSink``: a keyed store with a pluggable merge (K3). The stored
   values live as per-batch deltas; the state seen by batch N is the merge of
   the deltas of batches before N, so a replay of N never sees its own writes.
+  Every ``compact_every`` batches the merged state is written as a snapshot,
+  so a batch reads one snapshot plus the deltas after it, and only for the
+  keys present in the batch (a semi-join AQE can broadcast).
   ``FirstWrite`` (K1) stores a key's first result and returns stored + current
   afterwards; ``Accumulate`` (K2) stores the running total.
 """
@@ -19,7 +22,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.scalars import profile_key
 
@@ -130,15 +133,58 @@ class KeyedTableSink:
     order: str = "t"
     key_template: str | None = None
     transform: Callable[[DataFrame], DataFrame] = lambda df: df
+    compact_every: int = 10
+
+    @property
+    def snapshot_path(self) -> str:
+        return f"{self.state_path.rstrip('/')}_snapshots"
+
+    def _latest_snapshot(self, spark: SparkSession, batch_id: int) -> int | None:
+        """Largest snapshot id <= batch_id (a snapshot N holds batches < N)."""
+        if not _exists(spark, self.snapshot_path):
+            return None
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.snapshot_path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        ids = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("upto="):
+                ok = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+                if ok and int(name[5:]) <= batch_id:
+                    ids.append(int(name[5:]))
+        return max(ids) if ids else None
+
+    def state_before(self, spark: SparkSession, batch_id: int, schema) -> DataFrame | None:
+        """Merged stored values as of the start of ``batch_id``."""
+        snap_id = self._latest_snapshot(spark, batch_id)
+        deltas = read_batches(spark, self.state_path, before=batch_id,
+                              schema=StructType(schema.fields + [StructField(BATCH_COL, LongType())]))
+        parts = []
+        if snap_id is not None:
+            parts.append(spark.read.schema(schema).parquet(f"{self.snapshot_path}/upto={snap_id}"))
+            if deltas is not None:
+                deltas = deltas.filter(F.col(BATCH_COL) >= snap_id)
+        if deltas is not None:
+            parts.append(deltas.drop(BATCH_COL))
+        if not parts:
+            return None
+        merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return self.operation.state(merged, self.key, self.order)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = self.transform(batch)
         # the delta schema as the merge produces it, without running anything
         _, shape = self.operation.merge(rows, None, self.key, self.order)
-        schema = shape.schema.add(BATCH_COL, LongType())
-        deltas = read_batches(spark, self.state_path, before=batch_id, schema=schema)
-        state = None if deltas is None else self.operation.state(deltas, self.key, self.order)
+        state = self.state_before(spark, batch_id, shape.schema)
+        if state is not None and self.compact_every and batch_id > 0 \
+                and batch_id % self.compact_every == 0:
+            (state.write.mode("overwrite")
+             .parquet(f"{self.snapshot_path}/upto={batch_id}"))
+            state = spark.read.schema(shape.schema).parquet(f"{self.snapshot_path}/upto={batch_id}")
+        if state is not None:
+            state = state.join(rows.select(self.key).distinct(), self.key, "left_semi")
         out, delta = self.operation.merge(rows, state, self.key, self.order)
         if self.key_template is not None:
             out = out.withColumn("store_key", profile_key(F.col(self.key), self.key_template))
