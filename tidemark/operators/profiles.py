@@ -41,6 +41,7 @@ def kind_gate_flags(g: DataFrame, key: str, counts: dict[str, str], min_records:
         for name in counts:
             g = g.withColumn(f"__pass_{name}", F.lit(True))
         return g
+    g = g.filter(F.col(w).isNotNull())  # see windows.min_records_gate
     others = [c for c in g.columns if c not in (w, key)]
     aggs = [F.max(F.hash(*[F.col(c) for c in others])).alias("__same")]
     for name, c in counts.items():
@@ -54,7 +55,7 @@ def kind_gate_flags(g: DataFrame, key: str, counts: dict[str, str], min_records:
         alive = F.col("__same") >= F.lit(-(2 ** 31))
         if min_records == 2:
             f = totals.filter((tot == 1) & alive).select(F.col(w).alias(wn), f"__key_{name}")
-            cond = (out[w] == f[wn]) & (out[key] == f[f"__key_{name}"])
+            cond = (out[w] == f[wn]) & out[key].eqNullSafe(f[f"__key_{name}"])
         else:
             f = totals.filter((tot < min_records) & alive).select(F.col(w).alias(wn))
             cond = out[w] == f[wn]

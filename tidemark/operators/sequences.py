@@ -41,23 +41,27 @@ def sequence_summary(df: DataFrame, key: str, value: str, order: Sequence[str],
     if ts is not None:
         aggs.append(F.min(epoch_seconds(df, ts)).alias("oldest_sec"))
     first = df.groupBy(key).agg(*aggs)
-    # Second pass: positions of the first and last non-null element are the
-    # number of rows ordered before them.
+    # Second pass: the positions of the first and last non-null element are
+    # the numbers of rows ordered before them. The first pass's answers ride
+    # along (constant per key), so nothing is joined back afterwards.
+    carried = [c for c in first.columns if c != key]
     pos = (df.select(key, ordc.alias("__o"))
-           .join(first.select(key, "__fv", "__lv").filter(F.col("__fv").isNotNull()), key)
+           .join(first, key)
            .groupBy(key)
-           .agg(F.count(F.when(F.col("__o") < F.col("__fv"), 1)).alias("valid_head_idx"),
-                F.count(F.when(F.col("__o") < F.col("__lv"), 1)).alias("valid_tail_idx")))
-    out = first.join(pos, key, "left")
+           .agg(*[F.first(c).alias(c) for c in carried],
+                F.count(F.when(F.col("__o") < F.col("__fv"), 1)).alias("__vh"),
+                F.count(F.when(F.col("__o") < F.col("__lv"), 1)).alias("__vt")))
+    has_valid = F.col("__fv").isNotNull()
+    vh = F.when(has_valid, F.col("__vh")).otherwise(F.lit(-1).cast("bigint"))
+    vt = F.when(has_valid, F.col("__vt")).otherwise(F.lit(-1).cast("bigint"))
     cols = [key, "length", "head", F.lit(0).cast("bigint").alias("head_idx"),
             "tail", (F.col("length") - 1).alias("tail_idx"),
-            "valid_head", F.coalesce("valid_head_idx", F.lit(-1).cast("bigint")).alias("valid_head_idx"),
-            "valid_tail", F.coalesce("valid_tail_idx", F.lit(-1).cast("bigint")).alias("valid_tail_idx"),
-            F.coalesce(F.col("valid_tail_idx") - F.col("valid_head_idx") + 1,
-                       F.lit(0).cast("bigint")).alias("valid_length")]
+            "valid_head", vh.alias("valid_head_idx"), "valid_tail", vt.alias("valid_tail_idx"),
+            F.when(has_valid, F.col("__vt") - F.col("__vh") + 1)
+            .otherwise(F.lit(0).cast("bigint")).alias("valid_length")]
     if ts is not None:
         cols.append("oldest_sec")
-    return out.select(*cols)
+    return pos.select(*cols)
 
 
 def bounded_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int,

@@ -48,22 +48,29 @@ def window_column(ts: str, spec: WindowSpec) -> Column:
 def with_windows(df: DataFrame, spec: WindowSpec, ts: str = "ts") -> DataFrame:
     """Add column ``w`` (struct start/end); rows falling in no window drop out.
 
-    A row appears once per window it belongs to.
+    A row appears once per window it belongs to. Tumbling windows are a plain
+    projection (``window``). Overlapping windows are an ``explode`` of the
+    row's own trigger range, which yields exactly the windows containing the
+    row (no post-filter), so every branch that re-reads the same windowed
+    aggregate plans identically and Spark reuses its shuffle. Streams use
+    ``window_column`` (watermarks need ``window``).
     """
-    if spec.slide <= spec.span:
+    spec.check_fanout()
+    if spec.slide == spec.span and _offset(spec) == 0:
         return df.withColumn(WINDOW_COL, window_column(ts, spec))
     sec = epoch_seconds(df, ts)
     s = spec.slide
-    if spec.mode == "inclusive":
-        trig = F.ceil(sec / F.lit(s)).cast("bigint") * s
-        keep = trig <= sec + spec.length
-    else:
-        trig = (F.floor(sec / F.lit(s)).cast("bigint") + 1) * s
-        keep = trig - spec.length <= sec
-    end = trig + (1 if spec.mode == "inclusive" else 0)
+    # half-open: T in [sec + 1, sec + length]; inclusive: T in [sec, sec + length]
+    first = sec + 1 if spec.mode == "half_open" else sec
+    lo = F.ceil(first / F.lit(s)).cast("bigint") * s
+    hi = F.floor((sec + spec.length) / F.lit(s)).cast("bigint") * s
+    # an empty range still yields [lo], removed by the filter below
+    trig = F.explode(F.sequence(lo, F.greatest(hi, lo), F.lit(s).cast("bigint")))
+    end = F.col("__trig") + (1 if spec.mode == "inclusive" else 0)
     w = F.struct(_as_timestamp(df, ts, end - spec.span).alias("start"),
                  _as_timestamp(df, ts, end).alias("end"))
-    return df.filter(keep).withColumn(WINDOW_COL, w)
+    return (df.select("*", trig.alias("__trig")).filter(F.col("__trig") <= hi)
+            .withColumn(WINDOW_COL, w).drop("__trig"))
 
 
 def _as_timestamp(df: DataFrame, ts: str, seconds: Column) -> Column:
@@ -93,6 +100,9 @@ def min_records_gate(agg: DataFrame, key: str, count_col: str, min_records: int,
     """
     if min_records <= 1:
         return agg
+    # Windows are never NULL; saying so on both branches keeps their plans
+    # identical after constraint inference (so the shuffle is reused).
+    agg = agg.filter(F.col(w).isNotNull())
     # Every column of ``agg`` is referenced (``__same``) so column pruning leaves
     # both branches with the same aggregate and the shuffle below is reused.
     others = [c for c in agg.columns if c not in (w, key, count_col)]
@@ -105,7 +115,7 @@ def min_records_gate(agg: DataFrame, key: str, count_col: str, min_records: int,
     if min_records == 2:
         failing = totals.filter(F.col("__total") < 2).select(
             F.col(w).alias("__w"), F.col("__key"), "__same")
-        cond = (agg[w] == failing["__w"]) & (agg[key] == failing["__key"]) & small
+        cond = (agg[w] == failing["__w"]) & agg[key].eqNullSafe(failing["__key"]) & small
     else:
         failing = totals.filter(F.col("__total") < min_records).select(
             F.col(w).alias("__w"), "__same")
@@ -150,11 +160,13 @@ def rolling_sums(df: DataFrame, key: str, values: list[str], length: int,
     """
     b = max(int(bucket or 0), length, 1)
     sec = epoch_seconds(df, ts)
-    base = df.withColumn("__sec", sec).withColumn("__b", F.floor(F.col("__sec") / b).cast("bigint"))
-    own = base.withColumn("__own", F.lit(True))
-    halo = base.withColumn("__b", F.col("__b") + 1).withColumn("__own", F.lit(False))
+    own_b = F.floor(sec / b).cast("bigint")
+    # one pass over the input: each row as itself and as context of the next bucket
+    copies = F.explode(F.array(F.struct(own_b.alias("b"), F.lit(True).alias("own")),
+                               F.struct((own_b + 1).alias("b"), F.lit(False).alias("own"))))
+    both = (df.select("*", sec.alias("__sec"), copies.alias("__c"))
+            .withColumn("__b", F.col("__c.b")).withColumn("__own", F.col("__c.own")).drop("__c"))
     win = Window.partitionBy(key, "__b").orderBy("__sec").rangeBetween(-length, 0)
-    both = own.unionByName(halo)
     summed = both.select("*", *[F.sum(v).over(win).alias(f"__roll_{v}") for v in values],
                          F.count(F.lit(1)).over(win).alias("__roll_n"))
     out = summed.filter("__own")
