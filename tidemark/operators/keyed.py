@@ -21,6 +21,7 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from tidemark.config import WindowSpec
 from tidemark.functions.scalars import epoch_seconds, profile_key
+from tidemark.operators.joins import join_back
 
 DEFAULT_BLOCK_SECONDS = 86400
 
@@ -34,7 +35,7 @@ def first_write_merge(results: DataFrame, key: str = "u", order: str = "t",
     first = results.groupBy(key).agg(
         F.min_by(F.struct(F.col(order).alias("__t"), *[F.col(v) for v in values]),
                  F.col(order)).alias("__first"))
-    j = results.join(first, key)
+    j = join_back(results, first, key)
     is_first = F.col(order) == F.col("__first.__t")
     cols = [F.col(order), F.col(key)]
     if key_template is not None:
@@ -74,7 +75,7 @@ def running_totals(df: DataFrame, key: str, order: Sequence[str], block: Column,
         F.coalesce(F.sum(f"__bt_{n}").over(before), F.lit(0)).alias(f"__off_{n}") for n in values])
     inside = Window.partitionBy(key, "__blk").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    j = rows.join(offsets, [key, "__blk"])
+    j = join_back(rows, offsets, [key, "__blk"])
     return j.select(*[F.col(c) for c in df.columns],
                     *[(F.col(f"__off_{n}") + F.sum(f"__v_{n}").over(inside)).alias(n) for n in values])
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import epoch_seconds
+from tidemark.operators.joins import join_back
 from tidemark.operators.keyed import DEFAULT_BLOCK_SECONDS, running_totals, time_block
 
 
@@ -46,7 +47,7 @@ def sequence_summary(df: DataFrame, key: str, value: str, order: Sequence[str],
     # along (constant per key), so nothing is joined back afterwards.
     carried = [c for c in first.columns if c != key]
     pos = (df.select(key, ordc.alias("__o"))
-           .join(first, key)
+           .transform(lambda d: join_back(d, first, key))
            .groupBy(key)
            .agg(*[F.first(c).alias(c) for c in carried],
                 F.count(F.when(F.col("__o") < F.col("__fv"), 1)).alias("__vh"),
@@ -83,6 +84,6 @@ def bounded_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int,
     rejected = F.lit(0).cast("bigint") if capacity < 0 else F.greatest(
         F.col("__n") - capacity, F.lit(0).cast("bigint"))
     full = F.lit(False) if capacity < 0 else F.col("__n") >= capacity
-    return (kept.join(counts, key)
+    return (join_back(kept, counts, key)
             .withColumn("size", size).withColumn("rejected", rejected).withColumn("full", full)
             .drop("__n"))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.scalars import profile_key
+from tidemark.operators.joins import join_back
 
 BATCH_COL = "batch_id"
 
@@ -84,11 +85,11 @@ class FirstWrite:
             F.col(order).alias("__s_t"), *[F.col(v).alias(f"__s_{v}") for v in self.values]),
             F.col(order)).alias("__f")).select(key, "__f.*")
         if state is not None:
-            first = first.join(state.select(key), key, "left_anti")
+            first = join_back(first, state.select(key), key, "left_anti")
             stored = state.unionByName(first)
         else:
             stored = first
-        j = batch.join(stored, key)
+        j = join_back(batch, stored, key)
         is_first = F.col(order) == F.col("__s_t")
         out = j.select(order, key, *[
             F.when(is_first, F.col(v)).otherwise(F.col(f"__s_{v}") + F.col(v)).alias(r)
@@ -109,7 +110,7 @@ class Accumulate:
 
     def merge(self, batch: DataFrame, state: DataFrame | None, key: str, order: str):
         w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        j = batch if state is None else batch.join(state, key, "left")
+        j = batch if state is None else join_back(batch, state, key, "left")
         base = (lambda v: F.lit(0)) if state is None else (lambda v: F.coalesce(F.col(f"__s_{v}"), F.lit(0)))
         out = j.select(order, key, *[(base(v) + F.sum(v).over(w)).alias(r)
                                      for v, r in zip(self.values, self.returned)])
@@ -184,7 +185,7 @@ class KeyedTableSink:
              .parquet(f"{self.snapshot_path}/upto={batch_id}"))
             state = spark.read.schema(shape.schema).parquet(f"{self.snapshot_path}/upto={batch_id}")
         if state is not None:
-            state = state.join(rows.select(self.key).distinct(), self.key, "left_semi")
+            state = join_back(state, rows.select(self.key).distinct(), self.key, "left_semi")
         out, delta = self.operation.merge(rows, state, self.key, self.order)
         if self.key_template is not None:
             out = out.withColumn("store_key", profile_key(F.col(self.key), self.key_template))
