@@ -80,3 +80,12 @@ def test_accumulate(spark):
 def test_accumulate_refuses_overlapping_windows(spark):
     with pytest.raises(ValueError):
         accumulate_merge(_results(spark), spec=WindowSpec(300, 60))
+
+
+def test_serialize_profile(spark):
+    from tidemark.streaming.sinks import serialize_profile
+    df = spark.createDataFrame([("a", 2, None)], "u string, rt_u_click long, rt_u_reveal long")
+    js = serialize_profile(df, "u", ["rt_u_click", "rt_u_reveal"], fmt="json").collect()[0]
+    assert js["value"] == '{"rt_u_click":2}'
+    st = serialize_profile(df, "u", ["rt_u_click", "rt_u_reveal"]).collect()[0]
+    assert st["value"]["rt_u_click"] == 2 and st["value"]["rt_u_reveal"] is None

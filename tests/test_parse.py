@@ -71,6 +71,17 @@ def test_vv_path(spark):
     assert rows[11]["reason"] is None and rows[11]["tm"] == 5.0
 
 
+def test_strict_strings(spark):
+    base = '{{"t":"x","u":"a","contid":"1","tm":{tm},"duration":"10"}}'
+    raw = _raw(spark, [base.format(tm="5"), base.format(tm='"5"')])
+    loose = {r["key"]: r["reason"] for r in parse_vv(raw, CFG, keep=("key",)).collect()}
+    strict = {r["key"]: r["reason"] for r in parse_vv(raw, CFG, keep=("key",), strict_strings=True).collect()}
+    assert loose == {0: None, 1: None}
+    assert strict == {0: "required", 1: None}
+    act = _raw(spark, ['{"t":"click","u":7,"contid":"1"}'])
+    assert parse_actions(act, CFG, keep=("key",), strict_strings=True).collect()[0]["reason"] == "required"
+
+
 def test_reason_counts(spark):
     texts = ['{"t":"click","u":"a","contid":"1"}', "nope", '{"t":"zz","u":"a","contid":"1"}']
     got = {(r["reason"], r["n"]) for r in reason_counts(parse_actions(_raw(spark, texts), CFG,

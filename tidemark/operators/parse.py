@@ -14,6 +14,10 @@ so an all-space id survives as the empty key. Video-view path: nothing is
 trimmed; ``rpt = tm / duration`` with IEEE semantics (P7).
 Split good rows and rejects with ``good()`` / ``rejects()``; both are cheap
 filters over the same lazy plan.
+
+Non-string JSON values (``"tm": 5``) are read as their text by default;
+``strict_strings=True`` rejects them as ``required`` (a string getter fails
+on them), checked through ``try_parse_json`` and the value's variant type.
 """
 
 from __future__ import annotations
@@ -37,18 +41,33 @@ def _parsed(raw: DataFrame, keys: list[str], value: str, keep: tuple[str, ...])
     return raw.select(*keep, j.alias("__j"))
 
 
+def _not_all_strings(value: str, keys: list[str]) -> Column:
+    """True when some present key of the JSON object holds a non-string."""
+    v = F.expr(f"try_parse_json(`{value}`)")
+    bad = None
+    for k in keys:
+        path = "$['" + k.replace("'", "\\'") + "']"
+        typ = F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+        c = typ.isNotNull() & (typ != F.lit("STRING"))
+        bad = c if bad is None else bad | c
+    return F.coalesce(bad, F.lit(False))
+
+
 def _failed_parse() -> Column:
     return F.col("__j").isNull() | F.col(f"__j.{CORRUPT_FIELD}").isNotNull()
 
 
 def parse_actions(raw: DataFrame, cfg: ActionConfig = ActionConfig(), value: str = "value",
-                  keep: tuple[str, ...] = ("key", "ts")) -> DataFrame:
+                  keep: tuple[str, ...] = ("key", "ts"), strict_strings: bool = False) -> DataFrame:
     """``(*keep, u, t, contid, clicks, shows, reason)``."""
     keys = [cfg.type_key, cfg.user_key, cfg.content_key]
-    p = _parsed(raw, keys, value, keep)
+    p = _parsed(raw, keys, value, keep + ((value,) if strict_strings else ()))
     t, u, c = (F.col(f"__j.{k}") for k in keys)
+    required = _present(t) & _present(u) & _present(c)
+    if strict_strings:
+        required = required & ~_not_all_strings(value, keys)
     reason = (F.when(_failed_parse(), F.lit("parse"))
-              .when(~(_present(t) & _present(u) & _present(c)), F.lit("required"))
+              .when(~required, F.lit("required"))
               .when(~t.isin(cfg.click_value, cfg.show_value), F.lit("type")))
     return p.select(*keep, trim_spaces(u).alias("u"), t.alias("t"), c.alias("contid"),
                     one_hot(t, cfg.click_value).alias("clicks"),
@@ -56,15 +75,17 @@ def parse_actions(raw: DataFrame, cfg: ActionConfig = ActionConfig(), value: str
 
 
 def parse_vv(raw: DataFrame, cfg: ActionConfig = ActionConfig(), value: str = "value",
-             keep: tuple[str, ...] = ("key", "ts")) -> DataFrame:
+             keep: tuple[str, ...] = ("key", "ts"), strict_strings: bool = False) -> DataFrame:
     """``(*keep, u, t, contid, tm, duration, rpt, reason)``."""
     keys = [cfg.type_key, cfg.user_key, cfg.content_key, cfg.watch_key, cfg.duration_key]
-    p = _parsed(raw, keys, value, keep)
+    p = _parsed(raw, keys, value, keep + ((value,) if strict_strings else ()))
     t, u, c, tm_s, dur_s = (F.col(f"__j.{k}") for k in keys)
     tm, dur = strict_double(tm_s), strict_double(dur_s)
+    required = _present(t) & _present(u) & _present(c) & _present(tm_s) & _present(dur_s)
+    if strict_strings:
+        required = required & ~_not_all_strings(value, keys)
     reason = (F.when(_failed_parse(), F.lit("parse"))
-              .when(~(_present(t) & _present(u) & _present(c) & _present(tm_s) & _present(dur_s)),
-                    F.lit("required"))
+              .when(~required, F.lit("required"))
               .when(tm.isNull() | dur.isNull(), F.lit("number")))
     return p.select(*keep, u.alias("u"), t.alias("t"), c.alias("contid"), tm.alias("tm"),
                     dur.alias("duration"), ieee_divide(tm, dur).alias("rpt"), reason.alias(REASON))

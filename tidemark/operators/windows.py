@@ -125,6 +125,11 @@ def min_records_gate(agg: DataFrame, key: str, count_col: str, min_records: int,
     return agg.join(failing, cond, "left_anti")
 
 
+def arrival_stamp(df: DataFrame, ts: str = "ts", out: str = "sec") -> DataFrame:
+    """Add the arrival stamp in whole seconds since the epoch."""
+    return df.withColumn(out, epoch_seconds(df, ts))
+
+
 def live_set_at(df: DataFrame, trigger, length: int, ts: str = "ts",
                 mode: str = "inclusive") -> DataFrame:
     """Records live at trigger second ``trigger`` (T2): a plain range filter.

@@ -28,6 +28,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # streaming state (open windows) off the JVM heap, spills to disk
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
     )
     builder = builder.config(_CHECKPOINT_CONF, tempfile.mkdtemp(prefix="tidemark-ckpt-"))

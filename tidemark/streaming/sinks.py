@@ -30,6 +30,25 @@ from tidemark.operators.joins import join_back
 BATCH_COL = "batch_id"
 
 
+def serialize_profile(df: DataFrame, key: str, fields, fmt: str = "struct",
+                      out: str = "value") -> DataFrame:
+    """``(key, value)`` with the profile fields packed into one stored value.
+
+    ``struct`` keeps a typed struct column; ``json`` writes JSON text with
+    absent fields omitted (so readers fall back to 0, P10); ``protobuf`` uses
+    ``to_protobuf`` and needs the optional spark-protobuf package.
+    """
+    packed = F.struct(*[F.col(c) for c in fields])
+    if fmt == "json":
+        packed = F.to_json(packed)
+    elif fmt == "protobuf":
+        from pyspark.sql.protobuf.functions import to_protobuf  # needs the optional jar
+        packed = to_protobuf(packed, "UserActInfo")
+    elif fmt != "struct":
+        raise ValueError(f"unknown format {fmt!r}")
+    return df.select(F.col(key), packed.alias(out))
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     (df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
