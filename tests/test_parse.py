@@ -87,3 +87,25 @@ def test_reason_counts(spark):
     got = {(r["reason"], r["n"]) for r in reason_counts(parse_actions(_raw(spark, texts), CFG,
                                                                      keep=("key",)), "action").collect()}
     assert got == {("ok", 1), ("parse", 1), ("type", 1)}
+
+
+def test_nested_json_access(spark):
+    """Object in object, arrays, array of objects, bool, null, number."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.json import json_field, json_path
+
+    text = ('{"user":{"name":"n","age":30,"phone":"1","emails":["a@x","b@x"],'
+            '"address":[{"number":"7","now_live":true},{"number":"9","now_live":null}],'
+            '"account":{"balance":12.5}}}')
+    df = spark.createDataFrame([(text,)], "value string")
+    schema = ("user struct<name string, age int, phone string, emails array<string>, "
+              "address array<struct<number string, now_live boolean>>, account struct<balance double>>")
+    r = df.select(json_field("value", schema).alias("j"),
+                  json_path("value", "$.user.address[1].number").alias("n2"),
+                  json_path("value", "$.user.emails[0]").alias("e0")).collect()[0]
+    u = r["j"]["user"]
+    assert (u["name"], u["age"], u["emails"], u["account"]["balance"]) == ("n", 30, ["a@x", "b@x"], 12.5)
+    assert [a["now_live"] for a in u["address"]] == [True, None]
+    assert (r["n2"], r["e0"]) == ("9", "a@x")
+    assert df.select(F.size(json_field("value", schema)["user"]["address"])).collect()[0][0] == 2
