@@ -48,6 +48,8 @@ SPECS = {
     "sliding": WindowSpec(900, 300, mode="half_open", min_records=2),
     "inclusive": WindowSpec(300, 60, mode="inclusive", min_records=2),
     "reference": REFERENCE_SPEC,
+    # step longer than the window: one closed 5-minute window every 15 minutes
+    "gapped": WindowSpec(300, 900, mode="inclusive", min_records=2),
 }
 FEEDS = {"5m": 300, "2h": 7200, "4h": 14400}
 LIVE_SET_SECONDS = 14400          # live set: last 4 h before the newest second
@@ -161,6 +163,17 @@ def q_keyed_first_write(spark: SparkSession, sf: str) -> DataFrame:
     return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
 
 
+def q_keyed_first_write_reference(spark: SparkSession, sf: str) -> DataFrame:
+    """The original click/show pipeline end to end: 5 s windows every 1 s,
+    both ends closed, two-record gate, first-write merge into the keyed store."""
+    res = QUERIES["user_click_show_reference"](spark, sf)
+    return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
+
+
+def q_feed_profile_read(spark: SparkSession, sf: str) -> DataFrame:
+    return read_profile(q_feed_profile(spark, sf))
+
+
 def q_keyed_accumulate(spark: SparkSession, sf: str) -> DataFrame:
     res = QUERIES["user_click_show_tumbling"](spark, sf)
     return accumulate_merge(res, key="u", order="t", spec=SPECS["tumbling"],
@@ -216,15 +229,18 @@ QUERIES: dict[str, QueryFn] = {
     "user_click_show_sliding": _user_click_show(SPECS["sliding"]),
     "user_click_show_inclusive": _user_click_show(SPECS["inclusive"]),
     "user_click_show_reference": _user_click_show(SPECS["reference"]),
+    "user_click_show_gapped": _user_click_show(SPECS["gapped"]),
     "user_completion_tumbling": _user_completion(SPECS["tumbling"]),
     "user_completion_sliding": _user_completion(SPECS["sliding"]),
     "user_completion_inclusive": _user_completion(SPECS["inclusive"]),
     "user_completion_reference": _user_completion(SPECS["reference"]),
+    "user_completion_gapped": _user_completion(SPECS["gapped"]),
     **{f"feed_click_show_{n}": _feed_click_show(L) for n, L in FEEDS.items()},
     **{f"feed_completion_{n}": _feed_completion(L) for n, L in FEEDS.items()},
     "user_profile": q_user_profile,
     "user_profile_read": q_user_profile_read,
     "feed_profile": q_feed_profile,
+    "feed_profile_read": q_feed_profile_read,
     "parse_actions": q_parse_actions,
     "parse_vv": q_parse_vv,
     "reject_reasons": q_reject_reasons,
@@ -235,6 +251,7 @@ QUERIES: dict[str, QueryFn] = {
     "user_rolling": q_user_rolling,
     "keyed_first_write": q_keyed_first_write,
     "keyed_accumulate": q_keyed_accumulate,
+    "keyed_first_write_reference": q_keyed_first_write_reference,
     "sequence_summary": q_sequence_summary,
     "bounded_intake": q_bounded_intake,
     "frame_integrity": q_frame_integrity,

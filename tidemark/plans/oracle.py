@@ -103,9 +103,9 @@ FROM e GROUP BY t, contid"""
 
 ORACLE_SQL: dict[str, str] = {
     **{f"user_click_show_{m}": click_show_sql(*_spec_args(m)[:3], "u", _spec_args(m)[3])
-       for m in ("tumbling", "sliding", "inclusive", "reference")},
+       for m in ("tumbling", "sliding", "inclusive", "reference", "gapped")},
     **{f"user_completion_{m}": completion_sql(*_spec_args(m)[:3], "u", _spec_args(m)[3])
-       for m in ("tumbling", "sliding", "inclusive", "reference")},
+       for m in ("tumbling", "sliding", "inclusive", "reference", "gapped")},
     **{f"feed_click_show_{n}": click_show_sql(L, L, "half_open", "contid", 1)
        for n, L in FEEDS.items()},
     **{f"feed_completion_{n}": completion_sql(L, L, "half_open", "contid", 1)
@@ -198,6 +198,19 @@ FROM act
 WINDOW w AS (PARTITION BY u ORDER BY sec RANGE BETWEEN 7200 PRECEDING AND CURRENT ROW)"""
 
 _TUMBLING_RESULTS = f"""res AS ({click_show_sql(300, 300, 'half_open', 'u', 2)})"""
+_REFERENCE_RESULTS = f"""res AS ({click_show_sql(*_spec_args('reference')[:3], 'u', 2)})"""
+
+_FIRST_WRITE_BODY = """
+f AS (SELECT *, first_value(clicks) OVER w AS fc, first_value(shows) OVER w AS fs,
+             row_number() OVER w AS rn
+      FROM res WINDOW w AS (PARTITION BY u ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT t, u, 'USER_CLICK_SHOW_5MIN_' || u AS store_key,
+       CASE WHEN rn = 1 THEN clicks ELSE fc + clicks END AS rt_u_click,
+       CASE WHEN rn = 1 THEN shows ELSE fs + shows END AS rt_u_reveal,
+       fc AS stored_click, fs AS stored_reveal
+FROM f"""
+
+KEYED_FIRST_WRITE_REFERENCE_SQL = f"""WITH {_REFERENCE_RESULTS},{_FIRST_WRITE_BODY}"""
 
 KEYED_FIRST_WRITE_SQL = f"""WITH {_TUMBLING_RESULTS},
 f AS (SELECT *, first_value(clicks) OVER w AS fc, first_value(shows) OVER w AS fs,
@@ -261,6 +274,11 @@ ORACLE_SQL.update({
     "user_rolling": USER_ROLLING_SQL,
     "keyed_first_write": KEYED_FIRST_WRITE_SQL,
     "keyed_accumulate": KEYED_ACCUMULATE_SQL,
+    "keyed_first_write_reference": KEYED_FIRST_WRITE_REFERENCE_SQL,
+    "feed_profile_read": f"""SELECT t, contid, {", ".join(
+        f"coalesce({p}{m}, {'0.0' if m == 'rpt' else '0'}) AS {p}{m}"
+        for p in ("rt_f_", "rt_f_2h_", "rt_f_4h_") for m in ("click", "reveal", "rpt"))}
+FROM ({_feed_profile_sql()})""",
     "sequence_summary": SEQUENCE_SUMMARY_SQL,
     "bounded_intake": BOUNDED_INTAKE_SQL,
     "frame_integrity": FRAME_INTEGRITY_SQL,
