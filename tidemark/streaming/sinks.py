@@ -2,7 +2,10 @@
 
 Every write is keyed by the micro-batch id and replaces that batch's
 partition (dynamic partition overwrite), so a batch replayed after a failure
-overwrites instead of adding twice.
+overwrites instead of adding twice. A micro-batch DataFrame is a leaf RDD:
+each action would run the micro-batch again (input read and stateful
+operator included), so a sink persists its transformed batch while it works
+and releases it at the end; a lost block is simply recomputed.
 
 * ``ResultTableSink``: appends a batch's result rows (S4 as a table).
 * ``KeyedTableSink``: a keyed store with a pluggable merge (K3). The stored
@@ -18,8 +21,11 @@ overwrites instead of adding twice.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -49,6 +55,15 @@ def serialize_profile(df: DataFrame, key: str, fields, fmt: str = "struct",
     return df.select(F.col(key), packed.alias(out))
 
 
+@contextmanager
+def _persisted(df: DataFrame):
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     (df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -83,7 +98,8 @@ class ResultTableSink:
     transform: Callable[[DataFrame], DataFrame] = lambda df: df
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        _write_batch(self.transform(batch), self.path, batch_id)
+        with _persisted(batch) as b:
+            _write_batch(self.transform(b), self.path, batch_id)
 
 
 @dataclass
@@ -193,8 +209,10 @@ class KeyedTableSink:
         return self.operation.state(merged, self.key, self.order)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = self.transform(batch)
+        with _persisted(batch) as b, _persisted(self.transform(b)) as rows:
+            self._merge(b.sparkSession, rows, batch_id)
+
+    def _merge(self, spark: SparkSession, rows: DataFrame, batch_id: int) -> None:
         # the delta schema as the merge produces it, without running anything
         _, shape = self.operation.merge(rows, None, self.key, self.order)
         state = self.state_before(spark, batch_id, shape.schema)
