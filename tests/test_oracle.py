@@ -11,6 +11,10 @@ from tidemark.sources.tables import TABLES
 from conftest import SF_SMALL
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -52,6 +56,9 @@ def test_query_matches_oracle(spark, con, name):
     got = _sorted([tuple(_norm(r[c]) for c in cols) for r in df.collect()])
     rel = con.sql(oracle_sql()[name])
     assert sorted(rel.columns) == cols
+    duck = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == duck[f.name], (f.name, f.dataType)
     idx = [rel.columns.index(c) for c in cols]
     want = _sorted([tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()])
     assert got == want

@@ -79,7 +79,7 @@ def bounded_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int,
     else:
         w = Window.partitionBy(key).orderBy(*order)
         kept = df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= capacity) \
-            .withColumn("pos", F.col("__rn") - 1).drop("__rn")
+            .withColumn("pos", (F.col("__rn") - 1).cast("bigint")).drop("__rn")
     size = F.col("__n") if capacity < 0 else F.least(F.col("__n"), F.lit(capacity).cast("bigint"))
     rejected = F.lit(0).cast("bigint") if capacity < 0 else F.greatest(
         F.col("__n") - capacity, F.lit(0).cast("bigint"))

@@ -216,7 +216,7 @@ def q_frame_integrity(spark: SparkSession, sf: str) -> DataFrame:
     ok = F.col("d.status") == fr.STATUS_OK
     return _frames(spark, sf).select(
         "doc_id", F.col("d.status").alias("status"), F.col("d.msg_id").alias("msg_id"),
-        F.col("d.size").alias("size"), F.octet_length("d.data").alias("payload_len"),
+        F.col("d.size").alias("size"), F.octet_length("d.data").cast("bigint").alias("payload_len"),
         F.when(ok, F.col("d.data") == F.col("payload")).alias("payload_ok"))
 
 

@@ -192,7 +192,8 @@ SELECT event_id, u, clicks, shows, unnest({_triggers(300, 60, 'inclusive')}) AS
 
 USER_ROLLING_SQL = f"""WITH {_ACT}
 SELECT event_id, u, sec,
-       sum(clicks) OVER w AS rolling_clicks, sum(shows) OVER w AS rolling_shows,
+       CAST(sum(clicks) OVER w AS BIGINT) AS rolling_clicks,
+       CAST(sum(shows) OVER w AS BIGINT) AS rolling_shows,
        count(*) OVER w AS rolling_n
 FROM act
 WINDOW w AS (PARTITION BY u ORDER BY sec RANGE BETWEEN 7200 PRECEDING AND CURRENT ROW)"""
