@@ -32,11 +32,13 @@ def first_write_merge(results: DataFrame, key: str = "u", order: str = "t",
                       stored: Sequence[str] = ("stored_click", "stored_reveal"),
                       key_template: str | None = None) -> DataFrame:
     """``(order, key, [store_key], *returned, *stored)`` per input row."""
+    # one result per (order, key): per-column min_by is exact, and its
+    # fixed-width buffers keep the aggregate hash-based
     first = results.groupBy(key).agg(
-        F.min_by(F.struct(F.col(order).alias("__t"), *[F.col(v) for v in values]),
-                 F.col(order)).alias("__first"))
+        F.min(F.col(order)).alias("__t"),
+        F.struct(*[F.min_by(F.col(v), F.col(order)).alias(v) for v in values]).alias("__first"))
     j = join_back(results, first, key)
-    is_first = F.col(order) == F.col("__first.__t")
+    is_first = F.col(order) == F.col("__t")
     cols = [F.col(order), F.col(key)]
     if key_template is not None:
         cols.append(profile_key(F.col(key), key_template).alias("store_key"))

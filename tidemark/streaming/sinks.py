@@ -116,9 +116,9 @@ class FirstWrite:
             F.min("__s_t").alias("__s_t"))
 
     def merge(self, batch: DataFrame, state: DataFrame | None, key: str, order: str):
-        first = batch.groupBy(key).agg(F.min_by(F.struct(
-            F.col(order).alias("__s_t"), *[F.col(v).alias(f"__s_{v}") for v in self.values]),
-            F.col(order)).alias("__f")).select(key, "__f.*")
+        first = batch.groupBy(key).agg(
+            F.min(F.col(order)).alias("__s_t"),
+            *[F.min_by(F.col(v), F.col(order)).alias(f"__s_{v}") for v in self.values])
         if state is not None:
             first = join_back(first, state.select(key), key, "left_anti")
             stored = state.unionByName(first)
