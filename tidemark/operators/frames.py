@@ -13,9 +13,11 @@ partitioned and the status counts are ordinary aggregates.
 from __future__ import annotations
 
 import struct
+import sys
 import zlib
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -40,15 +42,16 @@ DECODED = StructType([
     StructField("size", IntegerType(), True),
 ])
 
-_I32 = struct.Struct("<i")
-_U32 = struct.Struct("<I")
+# The UDF bodies travel to the Python workers by value, so executors need no
+# copy of this package (cloudpickle would otherwise pickle them by module).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _encode_one(msg_id, data) -> bytes | None:
     if msg_id is None or data is None:
         return None
-    body = _I32.pack(int(msg_id)) + bytes(data)
-    return _I32.pack(len(data) + 8) + body + _U32.pack(zlib.adler32(body))
+    body = struct.pack("<i", int(msg_id)) + bytes(data)
+    return struct.pack("<i", len(data) + 8) + body + struct.pack("<I", zlib.adler32(body))
 
 
 def _decode_one(frame) -> tuple:
@@ -57,8 +60,8 @@ def _decode_one(frame) -> tuple:
     b = bytes(frame)
     if len(b) < 8:
         return (STATUS_SHORT, None, None, None, None)
-    msg_id = _I32.unpack_from(b, 0)[0]
-    data, checksum = b[4:-4], _U32.unpack_from(b, len(b) - 4)[0]
+    msg_id = struct.unpack_from("<i", b, 0)[0]
+    data, checksum = b[4:-4], struct.unpack_from("<I", b, len(b) - 4)[0]
     if zlib.adler32(b[:-4]) != checksum:
         return (STATUS_CHECKSUM, None, None, None, None)
     return (STATUS_OK, msg_id, data, checksum, len(b))

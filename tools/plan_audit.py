@@ -8,10 +8,11 @@ exchanges without partitioning keys).
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 
-sys.path.insert(0, ".")
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tidemark.plans.catalog import QUERIES  # noqa: E402
 from tidemark.session import local_session  # noqa: E402
 
