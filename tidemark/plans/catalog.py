@@ -170,6 +170,21 @@ def q_keyed_first_write_reference(spark: SparkSession, sf: str) -> DataFrame:
     return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
 
 
+def q_pipeline_click_show(spark: SparkSession, sf: str) -> DataFrame:
+    """Entry 1 from raw action messages: parse, 5 s / 1 s closed windows,
+    gate, per-user counts, first-write keyed store."""
+    cs = good(parse_actions(raw_action_messages(events(spark, sf)), EVENTS_ACTION_CONFIG))
+    res = click_show_metrics(cs, SPECS["reference"], key="u")
+    return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
+
+
+def q_pipeline_completion(spark: SparkSession, sf: str) -> DataFrame:
+    """Entry 2 from raw video-view messages: parse, 5 s / 1 s closed windows,
+    gate, per-user watch time / duration / ratio (user ids not trimmed)."""
+    v = good(parse_vv(raw_vv_messages(events(spark, sf)), EVENTS_ACTION_CONFIG))
+    return completion_metrics(v, SPECS["reference"], key="u", exact_scale=EXACT_SCALE)
+
+
 def q_feed_profile_read(spark: SparkSession, sf: str) -> DataFrame:
     return read_profile(q_feed_profile(spark, sf))
 
@@ -252,6 +267,8 @@ QUERIES: dict[str, QueryFn] = {
     "keyed_first_write": q_keyed_first_write,
     "keyed_accumulate": q_keyed_accumulate,
     "keyed_first_write_reference": q_keyed_first_write_reference,
+    "pipeline_click_show": q_pipeline_click_show,
+    "pipeline_completion": q_pipeline_completion,
     "sequence_summary": q_sequence_summary,
     "bounded_intake": q_bounded_intake,
     "frame_integrity": q_frame_integrity,

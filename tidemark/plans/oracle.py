@@ -129,18 +129,19 @@ def _raw_sql(vv: bool) -> str:
     extra = (", 'tm', CASE WHEN event_id % 23 = 0 THEN 'abc' ELSE CAST(value AS VARCHAR) END, "
              "'duration', CAST((event_id * 7) % 240 AS VARCHAR)") if vv else ""
     return f"""src AS (
-  SELECT event_id, CAST(json_object(
+  SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS sec, CAST(json_object(
     't', event_type,
     'u', CASE WHEN event_id % 29 = 0 THEN '  ' || CAST(user_id AS VARCHAR) || '  '
               ELSE CAST(user_id AS VARCHAR) END,
     'contid', CASE WHEN event_id % 17 = 0 THEN '' ELSE json_extract_string(props, '$.k') END
     {extra}) AS VARCHAR) AS j
   FROM events),
-raw AS (SELECT event_id AS key, CASE WHEN event_id % 19 = 0 THEN left(j, length(j) // 2) ELSE j END AS value
+raw AS (SELECT event_id AS key, sec,
+               CASE WHEN event_id % 19 = 0 THEN left(j, length(j) // 2) ELSE j END AS value
         FROM src),
-p AS (SELECT key, value, CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END AS is_obj
+p AS (SELECT key, sec, value, CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END AS is_obj
       FROM raw),
-f AS (SELECT key, is_obj,
+f AS (SELECT key, sec, is_obj,
         CASE WHEN is_obj THEN json_extract_string(value, '$.t') END AS t,
         CASE WHEN is_obj THEN json_extract_string(value, '$.u') END AS u,
         CASE WHEN is_obj THEN json_extract_string(value, '$.contid') END AS contid,
@@ -264,7 +265,43 @@ FROM documents"""
 FRAME_STATUS_COUNTS_SQL = """SELECT CASE doc_id % 10 WHEN 0 THEN 'checksum' WHEN 5 THEN 'short' ELSE 'ok' END AS status,
        count(*) AS n FROM documents GROUP BY 1"""
 
+def _pipeline_sql(vv: bool) -> str:
+    length, step, mode, gate = _spec_args("reference")
+    if vv:
+        parsed = f"""r AS (SELECT *, {_VV_REASON} AS reason FROM f),
+rec AS (SELECT sec, u, CAST(tm AS DOUBLE) AS tm, CAST(duration AS DOUBLE) AS duration
+        FROM r WHERE reason IS NULL),"""
+        agg = """CAST(sum(CAST(tm AS DECIMAL(18,2))) AS DOUBLE) AS tm,
+             CAST(sum(CAST(duration AS DECIMAL(18,2))) AS DOUBLE) AS duration"""
+        tail = "SELECT t, u, tm, duration, tm / duration AS rpt FROM res"
+    else:
+        parsed = f"""r AS (SELECT *, {_ACT_REASON} AS reason FROM f),
+rec AS (SELECT sec, trim(u, ' ') AS u, CAST(t = 'click' AS BIGINT) AS clicks,
+               CAST(t = 'view' AS BIGINT) AS shows
+        FROM r WHERE reason IS NULL),"""
+        agg = "CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(shows) AS BIGINT) AS shows"
+        tail = """fw AS (SELECT *, first_value(clicks) OVER w AS fc, first_value(shows) OVER w AS fs,
+             row_number() OVER w AS rn
+      FROM res WINDOW w AS (PARTITION BY u ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT t, u, 'USER_CLICK_SHOW_5MIN_' || u AS store_key,
+       CASE WHEN rn = 1 THEN clicks ELSE fc + clicks END AS rt_u_click,
+       CASE WHEN rn = 1 THEN shows ELSE fs + shows END AS rt_u_reveal,
+       fc AS stored_click, fs AS stored_reveal
+FROM fw"""
+        tail = "," + tail
+    gated = (f"res AS (SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY t) AS tot FROM g) "
+             f"WHERE tot >= {gate})")
+    head = f"""WITH {_raw_sql(vv)},
+{parsed}
+e AS (SELECT *, unnest({_triggers(length, step, mode)}) AS t FROM rec),
+g AS (SELECT t, u, {agg}, count(*) AS n FROM e GROUP BY t, u),
+{gated}"""
+    return head + (tail if not vv else "\n" + tail)
+
+
 ORACLE_SQL.update({
+    "pipeline_click_show": _pipeline_sql(False),
+    "pipeline_completion": _pipeline_sql(True),
     "parse_actions": PARSE_ACTIONS_SQL,
     "parse_vv": PARSE_VV_SQL,
     "reject_reasons": REJECT_REASONS_SQL,

@@ -17,9 +17,17 @@ from tidemark.operators.metrics import to_click_show
 from tidemark.operators.profiles import finish_user_profile, user_profile_aggs
 from tidemark.operators.route import tag_union
 from tidemark.operators.windows import WINDOW_COL, window_column
+from tidemark.app import start_click_show, start_completion
+from tidemark.functions.scalars import as_instant
 from tidemark.plans.catalog import EXACT_SCALE, SPECS, events
 from tidemark.session import scratch_path
-from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records, vv_records
+from tidemark.sources.adapters import (
+    EVENTS_ACTION_CONFIG,
+    action_records,
+    raw_action_messages,
+    raw_vv_messages,
+    vv_records,
+)
 from tidemark.streaming.pipelines import (
     gate_click_show,
     gate_completion,
@@ -29,7 +37,12 @@ from tidemark.streaming.pipelines import (
     with_event_time,
 )
 from tidemark.streaming.sinks import Accumulate, FirstWrite, KeyedTableSink, ResultTableSink
-from tidemark.streaming.sources import read_files_stream, write_flush_marker
+from tidemark.streaming.sources import (
+    FLUSH_USER,
+    read_files_stream,
+    read_message_files,
+    write_flush_marker,
+)
 
 SPEC = SPECS["tumbling"]
 
@@ -87,6 +100,42 @@ def keyed_twin(stream: DataFrame, scratch: str, operation, cols) -> DataFrame:
     return stream.sparkSession.read.parquet(f"{scratch}/out").select(*cols)
 
 
+def message_stream(spark: SparkSession, sf_dir: str, scratch: str, vv: bool) -> DataFrame:
+    """Raw messages derived from ``events`` written as ``(key, value, ts)``
+    files, plus one flush message a day after the newest, as one stream."""
+    cfg = EVENTS_ACTION_CONFIG
+    raw = (raw_vv_messages if vv else raw_action_messages)(events(spark, sf_dir))
+    msgs = raw.select("key", "value", as_instant(raw, "ts").alias("ts"))
+    msgs.write.mode("overwrite").parquet(f"{scratch}/messages")
+    fields = {cfg.type_key: "click", cfg.user_key: str(FLUSH_USER), cfg.content_key: "-1"}
+    if vv:
+        fields.update({cfg.watch_key: "0", cfg.duration_key: "1"})
+    flush_text = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in fields.items()]))
+    (msgs.agg(F.max("ts").alias("__max"))
+     .select(F.lit(-1).cast("bigint").alias("key"), flush_text.alias("value"),
+             (F.col("__max") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+     .coalesce(1).write.mode("overwrite").parquet(f"{scratch}/flush"))
+    return read_message_files(spark, [f"{scratch}/messages", f"{scratch}/flush"])
+
+
+def q_stream_pipeline_click_show(spark: SparkSession, sf: str) -> DataFrame:
+    scratch = scratch_path(spark, "stream_pipeline_click_show")
+    msgs = message_stream(spark, sf, scratch, vv=False)
+    q = start_click_show(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
+                         f"{scratch}/state", f"{scratch}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{scratch}/out").select(*FIRST_WRITE_COLS)
+
+
+def q_stream_pipeline_completion(spark: SparkSession, sf: str) -> DataFrame:
+    scratch = scratch_path(spark, "stream_pipeline_completion")
+    msgs = message_stream(spark, sf, scratch, vv=True)
+    q = start_completion(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
+                         f"{scratch}/checkpoint", exact_scale=EXACT_SCALE)
+    q.awaitTermination()
+    return spark.read.parquet(f"{scratch}/out").select("t", "u", "tm", "duration", "rpt")
+
+
 def _twin(name: str, build):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         scratch = scratch_path(spark, name)
@@ -105,4 +154,6 @@ STREAM_QUERIES = {
         s, d, FirstWrite(), FIRST_WRITE_COLS)), "keyed_first_write"),
     "stream_keyed_accumulate": (_twin("stream_keyed_accumulate", lambda s, d: keyed_twin(
         s, d, Accumulate(), ACCUMULATE_COLS)), "keyed_accumulate"),
+    "stream_pipeline_click_show": (q_stream_pipeline_click_show, "pipeline_click_show"),
+    "stream_pipeline_completion": (q_stream_pipeline_completion, "pipeline_completion"),
 }

@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 FLUSH_USER = -1
 
+# A message as a broker delivers it: key, JSON text, arrival timestamp.
+MESSAGE_SCHEMA = "key bigint, value string, ts timestamp"
+
 
 def kafka_options(servers: str, topic: str, starting_offsets: str = "latest",
                   **extra: str) -> dict[str, str]:
@@ -82,6 +85,17 @@ def read_files_stream(spark: SparkSession, folders: list[str], file_glob: str, s
     return r.parquet(path)
 
 
+def read_message_files(spark: SparkSession, folders: list[str] | str,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stand-in for a topic: parquet files of ``(key, value, ts)`` messages.
+
+    Same columns as ``read_kafka``; several folders are one source, read in
+    file modification order.
+    """
+    folders = [folders] if isinstance(folders, str) else folders
+    return read_files_stream(spark, folders, "*.parquet", MESSAGE_SCHEMA, max_files_per_trigger)
+
+
 def write_flush_marker(events: DataFrame, path: str) -> None:
     """Write the sentinel row (schema of ``events``) derived from its newest ts."""
     cols = {f.name: F.lit(None).cast(f.dataType) for f in events.schema.fields}
