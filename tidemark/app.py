@@ -49,20 +49,21 @@ def completion_stream(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig,
 
 
 def start_click_show(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str,
-                     state: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+                     state: str, checkpoint: str, trigger: dict | None = None
+                     ) -> tuple[StreamingQuery, KeyedTableSink]:
     """Click/show pipeline into the keyed first-write store."""
     sink = KeyedTableSink(out, state, FirstWrite(), key="u", order="t",
                           key_template=USER_KEY_TEMPLATE, transform=gate_click_show(spec, "u"))
-    return start(click_show_stream(messages, spec, cfg), sink, checkpoint, trigger)
+    return start(click_show_stream(messages, spec, cfg), sink, checkpoint, trigger), sink
 
 
 def start_completion(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str,
                      checkpoint: str, trigger: dict | None = None,
-                     exact_scale: int | None = None) -> StreamingQuery:
+                     exact_scale: int | None = None) -> tuple[StreamingQuery, ResultTableSink]:
     """Completion pipeline into a result table."""
     sink = ResultTableSink(out, gate_completion(spec, "u"))
     return start(completion_stream(messages, spec, cfg, exact_scale=exact_scale), sink,
-                 checkpoint, trigger)
+                 checkpoint, trigger), sink
 
 
 def _args(argv=None):
@@ -94,9 +95,9 @@ def main(argv=None) -> None:
         acts, views = read_message_files(spark, a.actions), read_message_files(spark, a.views)
     trigger = {"availableNow": True} if a.once else every_step(spec)
     out = a.out.rstrip("/")
-    q1 = start_click_show(acts, spec, cfg, f"{out}/user_click_show", f"{out}/user_click_show_state",
+    q1, _ = start_click_show(acts, spec, cfg, f"{out}/user_click_show", f"{out}/user_click_show_state",
                           f"{out}/_checkpoints/click_show", trigger)
-    q2 = start_completion(views, spec, cfg, f"{out}/user_completion",
+    q2, _ = start_completion(views, spec, cfg, f"{out}/user_completion",
                           f"{out}/_checkpoints/completion", trigger)
     q1.awaitTermination()
     q2.awaitTermination()

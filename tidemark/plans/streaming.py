@@ -67,15 +67,16 @@ def _run(agg: DataFrame, sink, scratch: str) -> None:
 
 def click_show_twin(stream: DataFrame, scratch: str) -> DataFrame:
     agg = windowed_click_show(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG), SPEC, "u")
-    _run(agg, ResultTableSink(f"{scratch}/out", gate_click_show(SPEC, "u")), scratch)
-    return stream.sparkSession.read.parquet(f"{scratch}/out").select("t", "u", "clicks", "shows")
+    sink = ResultTableSink(f"{scratch}/out", gate_click_show(SPEC, "u"))
+    _run(agg, sink, scratch)
+    return sink.read(stream.sparkSession).select("t", "u", "clicks", "shows")
 
 
 def completion_twin(stream: DataFrame, scratch: str) -> DataFrame:
     agg = windowed_completion(vv_records(stream), SPEC, "u", exact_scale=EXACT_SCALE)
-    _run(agg, ResultTableSink(f"{scratch}/out", gate_completion(SPEC, "u")), scratch)
-    return stream.sparkSession.read.parquet(f"{scratch}/out").select(
-        "t", "u", "tm", "duration", "rpt")
+    sink = ResultTableSink(f"{scratch}/out", gate_completion(SPEC, "u"))
+    _run(agg, sink, scratch)
+    return sink.read(stream.sparkSession).select("t", "u", "tm", "duration", "rpt")
 
 
 def profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
@@ -83,9 +84,9 @@ def profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
                        vv_records(stream), "u")
     agg = tagged.groupBy(window_column("ts", SPEC).alias(WINDOW_COL), "u").agg(
         *user_profile_aggs(EXACT_SCALE))
-    _run(agg, ResultTableSink(f"{scratch}/out", lambda b: finish_user_profile(b, SPEC, "u")), scratch)
-    return stream.sparkSession.read.parquet(f"{scratch}/out").select(
-        "t", "u", "rt_u_click", "rt_u_reveal", "rt_u_rpt")
+    sink = ResultTableSink(f"{scratch}/out", lambda b: finish_user_profile(b, SPEC, "u"))
+    _run(agg, sink, scratch)
+    return sink.read(stream.sparkSession).select("t", "u", "rt_u_click", "rt_u_reveal", "rt_u_rpt")
 
 
 FIRST_WRITE_COLS = ["t", "u", "store_key", "rt_u_click", "rt_u_reveal", "stored_click", "stored_reveal"]
@@ -97,7 +98,7 @@ def keyed_twin(stream: DataFrame, scratch: str, operation, cols) -> DataFrame:
     sink = KeyedTableSink(f"{scratch}/out", f"{scratch}/state", operation, key="u", order="t",
                           key_template=USER_KEY_TEMPLATE, transform=gate_click_show(SPEC, "u"))
     _run(agg, sink, scratch)
-    return stream.sparkSession.read.parquet(f"{scratch}/out").select(*cols)
+    return sink.read(stream.sparkSession).select(*cols)
 
 
 def message_stream(spark: SparkSession, sf_dir: str, scratch: str, vv: bool) -> DataFrame:
@@ -121,19 +122,19 @@ def message_stream(spark: SparkSession, sf_dir: str, scratch: str, vv: bool) ->
 def q_stream_pipeline_click_show(spark: SparkSession, sf: str) -> DataFrame:
     scratch = scratch_path(spark, "stream_pipeline_click_show")
     msgs = message_stream(spark, sf, scratch, vv=False)
-    q = start_click_show(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
-                         f"{scratch}/state", f"{scratch}/checkpoint")
+    q, sink = start_click_show(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
+                               f"{scratch}/state", f"{scratch}/checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{scratch}/out").select(*FIRST_WRITE_COLS)
+    return sink.read(spark).select(*FIRST_WRITE_COLS)
 
 
 def q_stream_pipeline_completion(spark: SparkSession, sf: str) -> DataFrame:
     scratch = scratch_path(spark, "stream_pipeline_completion")
     msgs = message_stream(spark, sf, scratch, vv=True)
-    q = start_completion(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
-                         f"{scratch}/checkpoint", exact_scale=EXACT_SCALE)
+    q, sink = start_completion(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
+                               f"{scratch}/checkpoint", exact_scale=EXACT_SCALE)
     q.awaitTermination()
-    return spark.read.parquet(f"{scratch}/out").select("t", "u", "tm", "duration", "rpt")
+    return sink.read(spark).select("t", "u", "tm", "duration", "rpt")
 
 
 def _twin(name: str, build):

@@ -64,10 +64,29 @@ def _persisted(df: DataFrame):
         df.unpersist()
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> StructType:
+    """Write one batch's rows; returns the schema written (batch column last)."""
+    out = df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH_COL).parquet(path))
+    return out.schema
+
+
+def _read_output(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
+    """A sink's table; empty (with the written schema) when no batch had rows."""
+    if schema is None:
+        return spark.read.parquet(path)
+    has_rows = _exists(spark, path) and any(
+        st.getPath().getName().startswith(BATCH_COL + "=") for st in _list(spark, path))
+    if not has_rows:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _list(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -96,10 +115,15 @@ class ResultTableSink:
 
     path: str
     transform: Callable[[DataFrame], DataFrame] = lambda df: df
+    schema: StructType | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with _persisted(batch) as b:
-            _write_batch(self.transform(b), self.path, batch_id)
+            self.schema = _write_batch(self.transform(b), self.path, batch_id)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Everything written so far."""
+        return _read_output(spark, self.path, self.schema)
 
 
 @dataclass
@@ -170,6 +194,11 @@ class KeyedTableSink:
     key_template: str | None = None
     transform: Callable[[DataFrame], DataFrame] = lambda df: df
     compact_every: int = 10
+    schema: StructType | None = None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """Every returned row written so far."""
+        return _read_output(spark, self.out_path, self.schema)
 
     @property
     def snapshot_path(self) -> str:
@@ -226,5 +255,5 @@ class KeyedTableSink:
         out, delta = self.operation.merge(rows, state, self.key, self.order)
         if self.key_template is not None:
             out = out.withColumn("store_key", profile_key(F.col(self.key), self.key_template))
-        _write_batch(out, self.out_path, batch_id)
+        self.schema = _write_batch(out, self.out_path, batch_id)
         _write_batch(delta, self.state_path, batch_id)
