@@ -49,21 +49,26 @@ def completion_stream(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig,
 
 
 def start_click_show(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str,
-                     state: str, checkpoint: str, trigger: dict | None = None
+                     state: str, checkpoint: str, trigger: dict | None = None,
+                     state_partitions: int | None = None
                      ) -> tuple[StreamingQuery, KeyedTableSink]:
     """Click/show pipeline into the keyed first-write store."""
     sink = KeyedTableSink(out, state, FirstWrite(), key="u", order="t",
                           key_template=USER_KEY_TEMPLATE, transform=gate_click_show(spec, "u"))
-    return start(click_show_stream(messages, spec, cfg), sink, checkpoint, trigger), sink
+    q = start(click_show_stream(messages, spec, cfg), sink, checkpoint, trigger,
+              state_partitions=state_partitions)
+    return q, sink
 
 
 def start_completion(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str,
                      checkpoint: str, trigger: dict | None = None,
-                     exact_scale: int | None = None) -> tuple[StreamingQuery, ResultTableSink]:
+                     exact_scale: int | None = None, state_partitions: int | None = None
+                     ) -> tuple[StreamingQuery, ResultTableSink]:
     """Completion pipeline into a result table."""
     sink = ResultTableSink(out, gate_completion(spec, "u"))
-    return start(completion_stream(messages, spec, cfg, exact_scale=exact_scale), sink,
-                 checkpoint, trigger), sink
+    q = start(completion_stream(messages, spec, cfg, exact_scale=exact_scale), sink,
+              checkpoint, trigger, state_partitions=state_partitions)
+    return q, sink
 
 
 def _args(argv=None):
@@ -77,6 +82,8 @@ def _args(argv=None):
     p.add_argument("--mode", default=REFERENCE_SPEC.mode, choices=["inclusive", "half_open"])
     p.add_argument("--min-records", type=int, default=REFERENCE_SPEC.min_records)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
+    p.add_argument("--state-partitions", type=int, default=None,
+                   help="state-store partitions of a new query (default: session setting)")
     for f in ("type_key", "user_key", "content_key", "watch_key", "duration_key",
               "click_value", "show_value"):
         p.add_argument("--" + f.replace("_", "-"), default=getattr(ActionConfig(), f))
@@ -96,9 +103,10 @@ def main(argv=None) -> None:
     trigger = {"availableNow": True} if a.once else every_step(spec)
     out = a.out.rstrip("/")
     q1, _ = start_click_show(acts, spec, cfg, f"{out}/user_click_show", f"{out}/user_click_show_state",
-                          f"{out}/_checkpoints/click_show", trigger)
+                          f"{out}/_checkpoints/click_show", trigger, a.state_partitions)
     q2, _ = start_completion(views, spec, cfg, f"{out}/user_completion",
-                          f"{out}/_checkpoints/completion", trigger)
+                          f"{out}/_checkpoints/completion", trigger,
+                             state_partitions=a.state_partitions)
     q1.awaitTermination()
     q2.awaitTermination()
 

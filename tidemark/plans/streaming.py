@@ -60,8 +60,13 @@ def event_stream(spark: SparkSession, sf_dir: str, scratch: str, source_dir: str
     return with_event_time(stream)
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State partitions of a replay: one per core of the cluster."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _run(agg: DataFrame, sink, scratch: str) -> None:
-    q = start(agg, sink, f"{scratch}/checkpoint")
+    q = start(agg, sink, f"{scratch}/checkpoint", state_partitions=state_partitions(agg.sparkSession))
     q.awaitTermination()
 
 
@@ -123,7 +128,8 @@ def q_stream_pipeline_click_show(spark: SparkSession, sf: str) -> DataFrame:
     scratch = scratch_path(spark, "stream_pipeline_click_show")
     msgs = message_stream(spark, sf, scratch, vv=False)
     q, sink = start_click_show(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
-                               f"{scratch}/state", f"{scratch}/checkpoint")
+                               f"{scratch}/state", f"{scratch}/checkpoint",
+                               state_partitions=state_partitions(spark))
     q.awaitTermination()
     return sink.read(spark).select(*FIRST_WRITE_COLS)
 
@@ -132,7 +138,8 @@ def q_stream_pipeline_completion(spark: SparkSession, sf: str) -> DataFrame:
     scratch = scratch_path(spark, "stream_pipeline_completion")
     msgs = message_stream(spark, sf, scratch, vv=True)
     q, sink = start_completion(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
-                               f"{scratch}/checkpoint", exact_scale=EXACT_SCALE)
+                               f"{scratch}/checkpoint", exact_scale=EXACT_SCALE,
+                               state_partitions=state_partitions(spark))
     q.awaitTermination()
     return sink.read(spark).select("t", "u", "tm", "duration", "rpt")
 

@@ -68,17 +68,30 @@ def every_step(spec: WindowSpec) -> dict:
 
 
 def start(agg: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
-          name: str | None = None) -> StreamingQuery:
+          name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Start ``agg`` in append mode into a ``foreachBatch`` sink.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``; the default is a
-    bounded replay (``availableNow``).
+    bounded replay (``availableNow``). ``state_partitions`` sets the number
+    of state-store partitions of a new query (it is then fixed by the
+    checkpoint); the query's session is cloned at start, so the caller's
+    session setting is restored right after.
     """
     w = (agg.writeStream.outputMode("append").foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    w = w.trigger(**(trigger or {"availableNow": True}))
+    if not state_partitions:
+        return w.start()
+    spark = agg.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, before)
 
 
 def console(agg: DataFrame, trigger: dict | None = None) -> StreamingQuery:
