@@ -89,3 +89,20 @@ def test_serialize_profile(spark):
     assert js["value"] == '{"rt_u_click":2}'
     st = serialize_profile(df, "u", ["rt_u_click", "rt_u_reveal"]).collect()[0]
     assert st["value"]["rt_u_click"] == 2 and st["value"]["rt_u_reveal"] is None
+
+
+@pytest.mark.parametrize("spec", [WindowSpec(900, 300, min_records=2), WindowSpec(300, 60, "inclusive", 2),
+                                  WindowSpec(600, 400, min_records=2), WindowSpec(300, 900, "inclusive", 2)])
+def test_bucket_pre_aggregation_is_exact(spark, spec):
+    from tidemark.plans.catalog import click_show_records, vv
+
+    sf = "/root/testdata/sf0.001"
+    cs = click_show_records(spark, sf)
+    for key in ("u", "contid"):
+        a = {tuple(r) for r in click_show_metrics(cs, spec, key=key).collect()}
+        b = {tuple(r) for r in click_show_metrics(cs, spec, key=key, pre_aggregate_buckets=True).collect()}
+        assert a == b and a
+    v = vv(spark, sf)
+    a = {tuple(r) for r in completion_metrics(v, spec, exact_scale=2).collect()}
+    b = {tuple(r) for r in completion_metrics(v, spec, exact_scale=2, pre_aggregate_buckets=True).collect()}
+    assert {x for x in a if x[4] == x[4]} == {x for x in b if x[4] == x[4]}

@@ -21,6 +21,7 @@ from tidemark.functions.scalars import ieee_divide, one_hot
 from tidemark.operators.windows import (
     WINDOW_COL,
     min_records_gate,
+    pre_aggregate,
     trigger_second,
     with_windows,
 )
@@ -42,24 +43,42 @@ def exact_sum(c, exact_scale: int | None) -> Column:
 
 
 def click_show_metrics(click_show: DataFrame, spec: WindowSpec, key: str = "u",
-                       ts: str = "ts") -> DataFrame:
-    """``(t, key, clicks, shows)`` per window trigger ``t`` and key."""
-    g = (with_windows(click_show.select(ts, key, "clicks", "shows"), spec, ts)
+                       ts: str = "ts", pre_aggregate_buckets: bool = False) -> DataFrame:
+    """``(t, key, clicks, shows)`` per window trigger ``t`` and key.
+
+    ``pre_aggregate_buckets`` first collapses rows per (key, base bucket)
+    (``windows.pre_aggregate``): worth it for long overlapping windows over
+    keys with many rows per bucket (content items), one extra shuffle else.
+    """
+    rows = click_show.select(ts, key, "clicks", "shows")
+    if pre_aggregate_buckets:
+        rows = pre_aggregate(rows, spec, key, {"clicks": F.sum("clicks"), "shows": F.sum("shows")}, ts)
+        count = F.sum("__n")
+    else:
+        count = F.count(F.lit(1))
+    g = (with_windows(rows, spec, ts)
          .groupBy(WINDOW_COL, key)
          .agg(F.sum("clicks").alias("clicks"), F.sum("shows").alias("shows"),
-              F.count(F.lit(1)).alias("__n")))
+              count.alias("__n")))
     g = min_records_gate(g, key, "__n", spec.min_records)
     return g.select(trigger_second(spec).alias("t"), key, "clicks", "shows")
 
 
 def completion_metrics(vv: DataFrame, spec: WindowSpec, key: str = "u", ts: str = "ts",
-                       exact_scale: int | None = None) -> DataFrame:
+                       exact_scale: int | None = None,
+                       pre_aggregate_buckets: bool = False) -> DataFrame:
     """``(t, key, tm, duration, rpt)`` with ``rpt = sum(tm) / sum(duration)``."""
-    g = (with_windows(vv.select(ts, key, "tm", "duration"), spec, ts)
+    rows = vv.select(ts, key, "tm", "duration")
+    if pre_aggregate_buckets:
+        rows = pre_aggregate(rows, spec, key, {"tm": exact_sum("tm", exact_scale),
+                                               "duration": exact_sum("duration", exact_scale)}, ts)
+        count, tm_sum, dur_sum = F.sum("__n"), F.sum("tm"), F.sum("duration")
+    else:
+        count = F.count(F.lit(1))
+        tm_sum, dur_sum = exact_sum("tm", exact_scale), exact_sum("duration", exact_scale)
+    g = (with_windows(rows, spec, ts)
          .groupBy(WINDOW_COL, key)
-         .agg(exact_sum("tm", exact_scale).alias("tm"),
-              exact_sum("duration", exact_scale).alias("duration"),
-              F.count(F.lit(1)).alias("__n")))
+         .agg(tm_sum.alias("tm"), dur_sum.alias("duration"), count.alias("__n")))
     g = min_records_gate(g, key, "__n", spec.min_records)
     tm, dur = F.col("tm").cast("double"), F.col("duration").cast("double")
     return g.select(trigger_second(spec).alias("t"), key, tm.alias("tm"), dur.alias("duration"),

@@ -17,6 +17,8 @@ second. When the step is longer than the span (gaps between windows, which
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -80,6 +82,32 @@ def _as_timestamp(df: DataFrame, ts: str, seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
+def base_bucket(spec: WindowSpec) -> int:
+    """Largest bucket (seconds) such that every window is a union of buckets:
+    gcd(length, step) for half-open windows, 1 s for inclusive ones (their
+    length + 1 seconds end on a trigger)."""
+    if spec.mode == "inclusive":
+        return 1
+    return math.gcd(spec.length, spec.slide)
+
+
+def pre_aggregate(df: DataFrame, spec: WindowSpec, key: str, sums: dict[str, Column],
+                  ts: str = "ts") -> DataFrame:
+    """Collapse rows to one per (key, base bucket) before windowing.
+
+    Returns ``(ts, key, *sums, __n)`` with ``ts`` the bucket start (same type
+    as the input); window assignment then copies bucket rows, not raw rows.
+    Exact because all seconds of a bucket fall in the same windows.
+    """
+    g = base_bucket(spec)
+    sec = epoch_seconds(df, ts)
+    b = F.floor(sec / F.lit(g)).cast("bigint") * g
+    agg = df.groupBy(key, b.alias("__bs")).agg(*[c.alias(n) for n, c in sums.items()],
+                                               F.count(F.lit(1)).alias("__n"))
+    return agg.select(_as_timestamp(df, ts, F.col("__bs")).alias(ts), key,
+                      *sums.keys(), "__n")
+
+
 def trigger_second(spec: WindowSpec, w: str = WINDOW_COL) -> Column:
     """Trigger ``T`` of a window struct as epoch seconds (bigint)."""
     end = F.unix_timestamp(F.col(f"{w}.end"))

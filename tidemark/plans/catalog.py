@@ -96,6 +96,20 @@ def _feed_completion(length: int) -> QueryFn:
                                                 key="contid", exact_scale=EXACT_SCALE)
 
 
+# The declared 2 h feed window, sliding every 5 min, over bucket pre-aggregates.
+FEED_SLIDING_SPEC = WindowSpec(7200, 300)
+
+
+def q_feed_click_show_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    return click_show_metrics(click_show_records(spark, sf), FEED_SLIDING_SPEC, key="contid",
+                              pre_aggregate_buckets=True)
+
+
+def q_feed_completion_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    return completion_metrics(vv(spark, sf), FEED_SLIDING_SPEC, key="contid",
+                              exact_scale=EXACT_SCALE, pre_aggregate_buckets=True)
+
+
 def q_user_profile(spark: SparkSession, sf: str) -> DataFrame:
     return user_profile(click_show_records(spark, sf), vv(spark, sf), SPECS["tumbling"],
                         key="u", exact_scale=EXACT_SCALE)
@@ -252,6 +266,8 @@ QUERIES: dict[str, QueryFn] = {
     "user_completion_gapped": _user_completion(SPECS["gapped"]),
     **{f"feed_click_show_{n}": _feed_click_show(L) for n, L in FEEDS.items()},
     **{f"feed_completion_{n}": _feed_completion(L) for n, L in FEEDS.items()},
+    "feed_click_show_sliding": q_feed_click_show_sliding,
+    "feed_completion_sliding": q_feed_completion_sliding,
     "user_profile": q_user_profile,
     "user_profile_read": q_user_profile_read,
     "feed_profile": q_feed_profile,

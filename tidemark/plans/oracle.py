@@ -110,6 +110,8 @@ ORACLE_SQL: dict[str, str] = {
        for n, L in FEEDS.items()},
     **{f"feed_completion_{n}": completion_sql(L, L, "half_open", "contid", 1)
        for n, L in FEEDS.items()},
+    "feed_click_show_sliding": click_show_sql(7200, 300, "half_open", "contid", 1),
+    "feed_completion_sliding": completion_sql(7200, 300, "half_open", "contid", 1),
     "user_profile": USER_PROFILE_SQL,
     "user_profile_read": USER_PROFILE_READ_SQL,
     "feed_profile": _feed_profile_sql(),
