@@ -51,6 +51,12 @@ def test_gate_two_records(spark):
     assert [r["t"] for r in half.collect()] == [5]
 
 
+def test_live_set_half_open(spark):
+    df = _items(spark, [0, 4, 5, 10])
+    assert sorted(r["id"] for r in live_set_at(df, 5, 5, mode="half_open").collect()) == [0, 1]
+    assert sorted(r["id"] for r in live_set_at(df, 10, 5, mode="half_open").collect()) == [2]
+
+
 def test_library_demo(spark):
     df = _items(spark, [0, 0])
     assert live_set_at(df, 5, 10).count() == 2

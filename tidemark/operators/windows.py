@@ -6,13 +6,14 @@ A record stamped at whole second ``sec`` is live at trigger ``T`` when
 * ``inclusive``: ``T - length <= sec <= T`` (a timeout queue with whole-second
   stamps that evicts strictly older records; length + 1 distinct seconds).
 
-Triggers are the multiples of ``step`` since the epoch. Both modes lower to
-``window(ts, span, step, offset)`` so Catalyst plans them as one Expand (or a
-plain projection when tumbling) followed by partial aggregation: the copies
-never cross a shuffle, only per-task partial aggregates do. Inclusive
-windows need no truncation of ``ts`` because every boundary is a whole
-second. When the step is longer than the span (gaps between windows, which
-``window`` rejects) each row has at most one trigger, computed arithmetically.
+Triggers are the multiples of ``step`` since the epoch and a window ends at
+its trigger. Streams use ``window(ts, span, step, offset)`` (watermarks need
+it). Batch tumbling windows are a projection; batch overlapping windows are an
+``explode`` of each row's own trigger range (which also covers steps longer
+than the window, where ``window`` refuses). Either way the copies are made
+inside the map stage and only per-task partial aggregates cross a shuffle.
+Inclusive windows need no truncation of ``ts``: every boundary is a whole
+second.
 """
 
 from __future__ import annotations
@@ -166,11 +167,9 @@ def live_set_at(df: DataFrame, trigger, length: int, ts: str = "ts",
     """
     sec = epoch_seconds(df, ts)
     t = trigger if isinstance(trigger, Column) else F.lit(int(trigger))
-    if mode == "inclusive":
-        cond = (sec >= t - length) & (sec <= t)
-    else:
-        cond = (df[ts] >= F.timestamp_seconds(t - length)) & (df[ts] < F.timestamp_seconds(t))
-    return df.filter(cond)
+    # whole-second bounds: ts >= b iff sec >= b, and ts < b iff sec < b
+    upper = (sec <= t) if mode == "inclusive" else (sec < t)
+    return df.filter((sec >= t - length) & upper)
 
 
 def window_snapshot(df: DataFrame, spec: WindowSpec, ts: str = "ts") -> DataFrame:
