@@ -135,3 +135,11 @@ def test_kafka_options():
     o = kafka_options("b1:9092,b2:9092", "act", maxOffsetsPerTrigger=1000)
     assert o["subscribe"] == "act" and o["startingOffsets"] == "latest"
     assert o["kafka.bootstrap.servers"] == "b1:9092,b2:9092" and o["maxOffsetsPerTrigger"] == "1000"
+
+
+def test_union_glob():
+    from tidemark.streaming.sources import union_glob
+    assert union_glob("/root/a/x", "/tmp/y") == "/{root/a/x,tmp/y}"
+    assert union_glob("s3a://b/data/t1", "s3a://b/ckpt/f") == "s3a://b/{data/t1,ckpt/f}"
+    with pytest.raises(ValueError):
+        union_glob("s3a://b1/x", "s3a://b2/y")

@@ -55,19 +55,31 @@ def read_table_stream(spark: SparkSession, folder: str, name: str, schema,
 def union_glob(*folders: str) -> str:
     """One Hadoop glob matching several folders: ``/{a/x,b/y}``.
 
-    Folders must share scheme and authority (one file system); the common
+    Folders must share scheme and authority (one file system); their common
     leading path stays outside the braces.
     """
-    parts = [f.rstrip("/").split("/") for f in folders]
+    roots, paths = set(), []
+    for f in folders:
+        if "://" in f:
+            scheme, rest = f.split("://", 1)
+            authority, _, path = rest.partition("/")
+            roots.add(f"{scheme}://{authority}")
+        elif f.startswith("file:"):
+            roots.add("file:")
+            path = f[len("file:"):].lstrip("/")
+        else:
+            roots.add("")
+            path = f.lstrip("/")
+        paths.append([c for c in path.rstrip("/").split("/") if c])
+    if len(roots) != 1:
+        raise ValueError("folders must share a file system to be read as one source")
     common = []
-    for comps in zip(*parts):
+    for comps in zip(*paths):
         if len(set(comps)) != 1:
             break
         common.append(comps[0])
-    if len(common) < 1 or (len(common) == 1 and common[0] == "" and not folders[0].startswith("/")):
-        raise ValueError("folders must share a file system to be read as one source")
-    head = "/".join(common)
-    tails = ["/".join(p[len(common):]) for p in parts]
+    tails = ["/".join(p[len(common):]) for p in paths]
+    head = "/".join([roots.pop()] + common)
     return f"{head}/{{{','.join(tails)}}}"
 
 
