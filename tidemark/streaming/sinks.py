@@ -25,7 +25,6 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
