@@ -185,19 +185,21 @@ def rolling_sums(df: DataFrame, key: str, values: list[str], length: int,
     the same key's rows with ``sec - length <= sec' <= sec`` (ties included).
 
     Skew-safe layout: rows are cut into time buckets of ``bucket`` seconds
-    (>= length) and each row is also copied once into the next bucket as
-    context. The RANGE frame then runs per (key, bucket) so one hot key is
-    spread over all its buckets instead of landing in a single task; only a
-    row's own copy is emitted.
+    (default: ``length``) and each row is also copied, as context, into the
+    next ``ceil(length / bucket)`` buckets, which is every bucket whose frames
+    can reach it. The RANGE frame then runs per (key, bucket), so one hot key
+    is spread over all its buckets instead of landing in a single task; only a
+    row's own copy is emitted. Smaller buckets split a key whose rows crowd
+    into a short time, at the price of more copies.
     """
-    b = max(int(bucket or 0), length, 1)
+    b = max(int(bucket or length), 1)
+    reach = -(-length // b)  # buckets a frame can look back over
     sec = epoch_seconds(df, ts)
     own_b = F.floor(sec / b).cast("bigint")
-    # one pass over the input: each row as itself and as context of the next bucket
-    copies = F.explode(F.array(F.struct(own_b.alias("b"), F.lit(True).alias("own")),
-                               F.struct((own_b + 1).alias("b"), F.lit(False).alias("own"))))
-    both = (df.select("*", sec.alias("__sec"), copies.alias("__c"))
-            .withColumn("__b", F.col("__c.b")).withColumn("__own", F.col("__c.own")).drop("__c"))
+    # one pass over the input: the row in its bucket and in the next `reach` ones
+    copies = F.posexplode(F.sequence(own_b, own_b + reach))
+    both = (df.select("*", sec.alias("__sec"), copies.alias("__i", "__b"))
+            .withColumn("__own", F.col("__i") == 0).drop("__i"))
     win = Window.partitionBy(key, "__b").orderBy("__sec").rangeBetween(-length, 0)
     summed = both.select("*", *[F.sum(v).over(win).alias(f"__roll_{v}") for v in values],
                          F.count(F.lit(1)).over(win).alias("__roll_n"))
