@@ -43,14 +43,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared file system folder and is read
-    from the session. When it is unset (a bare local session, as in tests)
-    a folder is created and registered once.
+    from the session; a cluster session without it is an error (a machine-
+    local folder would not survive the loss of that machine). Only a local
+    session (``local[...]`` master, as in tests) gets a folder created.
     """
     sc = spark.sparkContext
     root = spark.conf.get(_CHECKPOINT_CONF, None) or sc.getConf().get(_CHECKPOINT_CONF, None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
