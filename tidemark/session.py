@@ -15,8 +15,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tidemark") -> SparkSession:
     """A local session configured like the tests and the bench expect.
 
-    Only here, where no cluster names a shared folder, is a checkpoint
-    folder created on the local disk.
+    ``spark.checkpoint.dir`` is left as configured; when it is unset,
+    ``checkpoint_root`` creates a local folder (local masters only).
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -33,7 +33,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
     )
-    builder = builder.config(_CHECKPOINT_CONF, tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
