@@ -65,7 +65,7 @@ def start_completion(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, o
                      exact_scale: int | None = None, state_partitions: int | None = None
                      ) -> tuple[StreamingQuery, ResultTableSink]:
     """Completion pipeline into a result table."""
-    sink = ResultTableSink(out, gate_completion(spec, "u"))
+    sink = ResultTableSink(out, gate_completion(spec, "u", exact_scale))
     q = start(completion_stream(messages, spec, cfg, exact_scale=exact_scale), sink,
               checkpoint, trigger, state_partitions=state_partitions)
     return q, sink

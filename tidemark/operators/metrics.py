@@ -6,9 +6,12 @@
 
 Sums are algebraic, so Spark's partial (map-side) aggregation already bounds
 what crosses the shuffle: a hot key sends at most one partial row per task
-and window. ``exact_scale`` accumulates watch time and duration as decimals
-of that scale, which makes the sums independent of row order and partitioning
-(plain double sums are not); results are converted back to double.
+and window. ``exact_scale`` accumulates watch time and duration exactly at
+that decimal scale, which makes the sums independent of row order and
+partitioning (plain double sums are not): each value is rounded like a cast to
+``decimal(18, scale)`` and summed as a ``bigint`` count of units (a decimal
+sum would widen past 18 digits into slow arbitrary-precision arithmetic); the
+total is converted to double once at the end.
 """
 
 from __future__ import annotations
@@ -35,11 +38,22 @@ def to_click_show(actions: DataFrame, cfg: ActionConfig) -> DataFrame:
 
 
 def exact_sum(c, exact_scale: int | None) -> Column:
-    """``sum`` of a double column, exact in decimal when ``exact_scale`` is set."""
+    """``sum`` of a double column; with ``exact_scale`` an exact ``bigint``
+    sum of units of ``10**-exact_scale`` (read it with ``exact_value``).
+    Sums of such sums stay exact."""
     col = F.col(c) if isinstance(c, str) else c
     if exact_scale is None:
         return F.sum(col)
-    return F.sum(col.cast(f"decimal(18,{exact_scale})"))
+    units = (col.cast(f"decimal(18,{exact_scale})") * (10 ** exact_scale)).cast("bigint")
+    return F.sum(units)
+
+
+def exact_value(c, exact_scale: int | None) -> Column:
+    """The double value of an ``exact_sum`` result (correctly rounded)."""
+    col = F.col(c) if isinstance(c, str) else c
+    if exact_scale is None:
+        return col.cast("double")
+    return col.cast("double") / float(10 ** exact_scale)
 
 
 def click_show_metrics(click_show: DataFrame, spec: WindowSpec, key: str = "u",
@@ -80,6 +94,6 @@ def completion_metrics(vv: DataFrame, spec: WindowSpec, key: str = "u", ts: str
          .groupBy(WINDOW_COL, key)
          .agg(tm_sum.alias("tm"), dur_sum.alias("duration"), count.alias("__n")))
     g = min_records_gate(g, key, "__n", spec.min_records)
-    tm, dur = F.col("tm").cast("double"), F.col("duration").cast("double")
+    tm, dur = exact_value("tm", exact_scale), exact_value("duration", exact_scale)
     return g.select(trigger_second(spec).alias("t"), key, tm.alias("tm"), dur.alias("duration"),
                     ieee_divide(tm, dur).alias("rpt"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import FEED_LENGTHS_SECONDS, WindowSpec
 from tidemark.functions.scalars import ieee_divide
-from tidemark.operators.metrics import exact_sum
+from tidemark.operators.metrics import exact_sum, exact_value
 from tidemark.operators.route import ACT, KIND_COL, VV, tag_union
 from tidemark.operators.windows import WINDOW_COL, trigger_second, with_windows
 
@@ -74,12 +74,13 @@ def user_profile_aggs(exact_scale: int | None = None) -> list:
             F.count(F.when(is_act, 1)).alias("__na"), F.count(F.when(is_vv, 1)).alias("__nv")]
 
 
-def finish_user_profile(g: DataFrame, spec: WindowSpec, key: str = "u") -> DataFrame:
+def finish_user_profile(g: DataFrame, spec: WindowSpec, key: str = "u",
+                        exact_scale: int | None = None) -> DataFrame:
     """Gate each kind and project ``(t, key, rt_u_click, rt_u_reveal, rt_u_rpt)``."""
     g = kind_gate_flags(g, key, {"act": "__na", "vv": "__nv"}, spec.min_records)
     act_ok = F.col("__pass_act") & (F.col("__na") > 0)
     vv_ok = F.col("__pass_vv") & (F.col("__nv") > 0)
-    tm, dur = F.col("__tm").cast("double"), F.col("__d").cast("double")
+    tm, dur = exact_value("__tm", exact_scale), exact_value("__d", exact_scale)
     return (g.filter(act_ok | vv_ok)
             .select(trigger_second(spec).alias("t"), key,
                     F.when(act_ok, F.col("__c")).alias("rt_u_click"),
@@ -93,7 +94,7 @@ def user_profile(click_show: DataFrame, vv: DataFrame, spec: WindowSpec, key: st
     kind's (gated) result; the absent kind's fields are NULL."""
     tagged = tag_union(click_show, vv, key, ts)
     g = with_windows(tagged, spec, ts).groupBy(WINDOW_COL, key).agg(*user_profile_aggs(exact_scale))
-    return finish_user_profile(g, spec, key)
+    return finish_user_profile(g, spec, key, exact_scale)
 
 
 def feed_prefix(length: int, shortest: int) -> str:
@@ -134,8 +135,8 @@ def feed_profile(click_show: DataFrame, vv: DataFrame,
     for L in lengths:
         p = feed_prefix(L, shortest)
         cols += [F.col(p + "click"), F.col(p + "reveal"),
-                 ieee_divide(F.col(f"__tm_{L}").cast("double"),
-                             F.col(f"__d_{L}").cast("double")).alias(p + "rpt")]
+                 ieee_divide(exact_value(f"__tm_{L}", exact_scale),
+                             exact_value(f"__d_{L}", exact_scale)).alias(p + "rpt")]
     return g.select(*cols)
 
 

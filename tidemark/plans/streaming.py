@@ -79,7 +79,7 @@ def click_show_twin(stream: DataFrame, scratch: str) -> DataFrame:
 
 def completion_twin(stream: DataFrame, scratch: str) -> DataFrame:
     agg = windowed_completion(vv_records(stream), SPEC, "u", exact_scale=EXACT_SCALE)
-    sink = ResultTableSink(f"{scratch}/out", gate_completion(SPEC, "u"))
+    sink = ResultTableSink(f"{scratch}/out", gate_completion(SPEC, "u", EXACT_SCALE))
     _run(agg, sink, scratch)
     return sink.read(stream.sparkSession).select("t", "u", "tm", "duration", "rpt")
 
@@ -89,7 +89,7 @@ def profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
                        vv_records(stream), "u")
     agg = tagged.groupBy(window_column("ts", SPEC).alias(WINDOW_COL), "u").agg(
         *user_profile_aggs(EXACT_SCALE))
-    sink = ResultTableSink(f"{scratch}/out", lambda b: finish_user_profile(b, SPEC, "u"))
+    sink = ResultTableSink(f"{scratch}/out", lambda b: finish_user_profile(b, SPEC, "u", EXACT_SCALE))
     _run(agg, sink, scratch)
     return sink.read(stream.sparkSession).select("t", "u", "rt_u_click", "rt_u_reveal", "rt_u_rpt")
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import WindowSpec
 from tidemark.functions.scalars import as_instant, ieee_divide
-from tidemark.operators.metrics import exact_sum
+from tidemark.operators.metrics import exact_sum, exact_value
 from tidemark.operators.windows import WINDOW_COL, min_records_gate, trigger_second, window_column
 
 DEFAULT_WATERMARK = "10 seconds"
@@ -52,11 +52,12 @@ def gate_click_show(spec: WindowSpec, key: str = "u"):
     return run
 
 
-def gate_completion(spec: WindowSpec, key: str = "u"):
-    """Batch transform for ``foreachBatch``: gate, then ``(t, key, tm, duration, rpt)``."""
+def gate_completion(spec: WindowSpec, key: str = "u", exact_scale: int | None = None):
+    """Batch transform for ``foreachBatch``: gate, then ``(t, key, tm, duration, rpt)``
+    (``exact_scale`` as given to ``windowed_completion``)."""
     def run(batch: DataFrame) -> DataFrame:
         g = min_records_gate(batch, key, "__n", spec.min_records)
-        tm, dur = F.col("tm").cast("double"), F.col("duration").cast("double")
+        tm, dur = exact_value("tm", exact_scale), exact_value("duration", exact_scale)
         return g.select(trigger_second(spec).alias("t"), key, tm.alias("tm"),
                         dur.alias("duration"), ieee_divide(tm, dur).alias("rpt"))
     return run
