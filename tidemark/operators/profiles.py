@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import FEED_LENGTHS_SECONDS, WindowSpec
-from tidemark.functions.scalars import ieee_divide
+from tidemark.functions.scalars import epoch_seconds, ieee_divide
 from tidemark.operators.metrics import exact_sum, exact_value
 from tidemark.operators.route import ACT, KIND_COL, VV, tag_union
 from tidemark.operators.windows import WINDOW_COL, trigger_second, with_windows
@@ -124,8 +124,7 @@ def feed_profile(click_show: DataFrame, vv: DataFrame,
     aggs = []
     for L in lengths:
         p = feed_prefix(L, shortest)
-        inside = F.col(ts) >= F.col(f"{WINDOW_COL}.end") - F.expr(f"INTERVAL {L} SECONDS") \
-            if L < longest else F.lit(True)
+        inside = (epoch_seconds(wdf, ts) >= F.col(WINDOW_COL) - L) if L < longest else F.lit(True)
         aggs += [F.sum(F.when(inside, F.col("clicks"))).alias(p + "click"),
                  F.sum(F.when(inside, F.col("shows"))).alias(p + "reveal"),
                  exact_sum(F.when(inside, F.col("tm")), exact_scale).alias(f"__tm_{L}"),

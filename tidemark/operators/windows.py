@@ -7,13 +7,15 @@ A record stamped at whole second ``sec`` is live at trigger ``T`` when
   stamps that evicts strictly older records; length + 1 distinct seconds).
 
 Triggers are the multiples of ``step`` since the epoch and a window ends at
-its trigger. Streams use ``window(ts, span, step, offset)`` (watermarks need
-it). Batch tumbling windows are a projection; batch overlapping windows are an
-``explode`` of each row's own trigger range (which also covers steps longer
-than the window, where ``window`` refuses). Either way the copies are made
-inside the map stage and only per-task partial aggregates cross a shuffle.
-Inclusive windows need no truncation of ``ts``: every boundary is a whole
-second.
+its trigger. In batch a window is identified by its trigger second ``T``, a
+``bigint`` column ``w``: tumbling windows are a projection, overlapping
+windows an ``explode`` of each row's own trigger range (which also covers
+steps longer than the window). Streams group by ``window(ts, span, step,
+offset)`` (watermarks need it) and turn its struct into ``T`` per micro-batch
+(``struct_to_trigger``), so everything after the aggregation is shared.
+Either way the copies are made inside the map stage and only per-task partial
+aggregates cross a shuffle. Inclusive windows need no truncation of ``ts``:
+every boundary is a whole second.
 """
 
 from __future__ import annotations
@@ -49,31 +51,32 @@ def window_column(ts: str, spec: WindowSpec) -> Column:
 
 
 def with_windows(df: DataFrame, spec: WindowSpec, ts: str = "ts") -> DataFrame:
-    """Add column ``w`` (struct start/end); rows falling in no window drop out.
-
-    A row appears once per window it belongs to. Tumbling windows are a plain
-    projection (``window``). Overlapping windows are an ``explode`` of the
-    row's own trigger range, which yields exactly the windows containing the
-    row (no post-filter), so every branch that re-reads the same windowed
-    aggregate plans identically and Spark reuses its shuffle. Streams use
-    ``window_column`` (watermarks need ``window``).
+    """Add column ``w``: the trigger second ``T`` of each window the row is in.
+
+    A row appears once per window it belongs to; rows in no window (or with
+    no timestamp) drop out. Overlapping windows explode exactly the row's own
+    trigger range, so no post-filter differs between two branches reading
+    the same windowed aggregate and Spark reuses its shuffle.
     """
     spec.check_fanout()
-    if spec.slide == spec.span and _offset(spec) == 0:
-        return df.withColumn(WINDOW_COL, window_column(ts, spec))
     sec = epoch_seconds(df, ts)
     s = spec.slide
+    if spec.is_tumbling:
+        trig = (F.floor(sec / F.lit(s)).cast("bigint") + 1) * s
+        return df.filter(F.col(ts).isNotNull()).withColumn(WINDOW_COL, trig)
     # half-open: T in [sec + 1, sec + length]; inclusive: T in [sec, sec + length]
     first = sec + 1 if spec.mode == "half_open" else sec
     lo = F.ceil(first / F.lit(s)).cast("bigint") * s
     hi = F.floor((sec + spec.length) / F.lit(s)).cast("bigint") * s
     # an empty range still yields [lo], removed by the filter below
     trig = F.explode(F.sequence(lo, F.greatest(hi, lo), F.lit(s).cast("bigint")))
-    end = F.col("__trig") + (1 if spec.mode == "inclusive" else 0)
-    w = F.struct(_as_timestamp(df, ts, end - spec.span).alias("start"),
-                 _as_timestamp(df, ts, end).alias("end"))
-    return (df.select("*", trig.alias("__trig")).filter(F.col("__trig") <= hi)
-            .withColumn(WINDOW_COL, w).drop("__trig"))
+    return df.select("*", trig.alias(WINDOW_COL)).filter(F.col(WINDOW_COL) <= hi)
+
+
+def struct_to_trigger(df: DataFrame, spec: WindowSpec, w: str = WINDOW_COL) -> DataFrame:
+    """Replace a ``window()`` struct column by its trigger second ``T``."""
+    end = F.unix_timestamp(F.col(f"{w}.end"))
+    return df.withColumn(w, end - 1 if spec.mode == "inclusive" else end)
 
 
 def _as_timestamp(df: DataFrame, ts: str, seconds: Column) -> Column:
@@ -110,9 +113,8 @@ def pre_aggregate(df: DataFrame, spec: WindowSpec, key: str, sums: dict[str, Col
 
 
 def trigger_second(spec: WindowSpec, w: str = WINDOW_COL) -> Column:
-    """Trigger ``T`` of a window struct as epoch seconds (bigint)."""
-    end = F.unix_timestamp(F.col(f"{w}.end"))
-    return end - 1 if spec.mode == "inclusive" else end
+    """Trigger ``T`` (epoch seconds) of the window column ``w``."""
+    return F.col(w)
 
 
 def min_records_gate(agg: DataFrame, key: str, count_col: str, min_records: int,

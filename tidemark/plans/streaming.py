@@ -16,7 +16,7 @@ from tidemark.config import USER_KEY_TEMPLATE
 from tidemark.operators.metrics import to_click_show
 from tidemark.operators.profiles import finish_user_profile, user_profile_aggs
 from tidemark.operators.route import tag_union
-from tidemark.operators.windows import WINDOW_COL, window_column
+from tidemark.operators.windows import WINDOW_COL, struct_to_trigger, window_column
 from tidemark.app import start_click_show, start_completion
 from tidemark.functions.scalars import as_instant
 from tidemark.plans.catalog import EXACT_SCALE, SPECS, events
@@ -89,7 +89,7 @@ def profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
                        vv_records(stream), "u")
     agg = tagged.groupBy(window_column("ts", SPEC).alias(WINDOW_COL), "u").agg(
         *user_profile_aggs(EXACT_SCALE))
-    sink = ResultTableSink(f"{scratch}/out", lambda b: finish_user_profile(b, SPEC, "u", EXACT_SCALE))
+    sink = ResultTableSink(f"{scratch}/out", lambda b: finish_user_profile(struct_to_trigger(b, SPEC), SPEC, "u", EXACT_SCALE))
     _run(agg, sink, scratch)
     return sink.read(stream.sparkSession).select("t", "u", "rt_u_click", "rt_u_reveal", "rt_u_rpt")
 

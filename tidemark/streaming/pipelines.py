@@ -17,7 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.config import WindowSpec
 from tidemark.functions.scalars import as_instant, ieee_divide
 from tidemark.operators.metrics import exact_sum, exact_value
-from tidemark.operators.windows import WINDOW_COL, min_records_gate, trigger_second, window_column
+from tidemark.operators.windows import (
+    WINDOW_COL,
+    min_records_gate,
+    struct_to_trigger,
+    trigger_second,
+    window_column,
+)
 
 DEFAULT_WATERMARK = "10 seconds"
 
@@ -47,7 +53,7 @@ def windowed_completion(stream: DataFrame, spec: WindowSpec, key: str = "u", ts:
 def gate_click_show(spec: WindowSpec, key: str = "u"):
     """Batch transform for ``foreachBatch``: gate, then ``(t, key, clicks, shows)``."""
     def run(batch: DataFrame) -> DataFrame:
-        g = min_records_gate(batch, key, "__n", spec.min_records)
+        g = min_records_gate(struct_to_trigger(batch, spec), key, "__n", spec.min_records)
         return g.select(trigger_second(spec).alias("t"), key, "clicks", "shows")
     return run
 
@@ -56,7 +62,7 @@ def gate_completion(spec: WindowSpec, key: str = "u", exact_scale: int | None =
     """Batch transform for ``foreachBatch``: gate, then ``(t, key, tm, duration, rpt)``
     (``exact_scale`` as given to ``windowed_completion``)."""
     def run(batch: DataFrame) -> DataFrame:
-        g = min_records_gate(batch, key, "__n", spec.min_records)
+        g = min_records_gate(struct_to_trigger(batch, spec), key, "__n", spec.min_records)
         tm, dur = exact_value("tm", exact_scale), exact_value("duration", exact_scale)
         return g.select(trigger_second(spec).alias("t"), key, tm.alias("tm"),
                         dur.alias("duration"), ieee_divide(tm, dur).alias("rpt"))
