@@ -36,9 +36,21 @@ def _present(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
 
+def computed_once(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+    """Add ``cols`` through a one-row ``inline`` generator.
+
+    Catalyst pushes a filter below a projection by inlining the projected
+    expressions, which would evaluate JSON parsing and number checks once in
+    the filter and again in the projection. A filter cannot move below a
+    generator whose output it reads, so these values are computed once.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
 def _parsed(raw: DataFrame, keys: list[str], value: str, keep: tuple[str, ...]) -> DataFrame:
     j = json_scalar_fields(F.col(value), keys)
-    return raw.select(*keep, j.alias("__j"))
+    out = computed_once(raw.select(*dict.fromkeys([*keep, value])), {"__j": j})
+    return out if value in keep else out.drop(value)
 
 
 def _not_all_strings(value: str, keys: list[str]) -> Column:
@@ -80,7 +92,8 @@ def parse_vv(raw: DataFrame, cfg: ActionConfig = ActionConfig(), value: str = "v
     keys = [cfg.type_key, cfg.user_key, cfg.content_key, cfg.watch_key, cfg.duration_key]
     p = _parsed(raw, keys, value, keep + ((value,) if strict_strings else ()))
     t, u, c, tm_s, dur_s = (F.col(f"__j.{k}") for k in keys)
-    tm, dur = strict_double(tm_s), strict_double(dur_s)
+    p = computed_once(p, {"__tm": strict_double(tm_s), "__dur": strict_double(dur_s)})
+    tm, dur = F.col("__tm"), F.col("__dur")
     required = _present(t) & _present(u) & _present(c) & _present(tm_s) & _present(dur_s)
     if strict_strings:
         required = required & ~_not_all_strings(value, keys)
