@@ -14,6 +14,11 @@ or call the ``start_*`` functions from a session.
 from __future__ import annotations
 
 import argparse
+import os
+import sys
+
+if __package__ in (None, ""):  # run as a script: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
