@@ -143,3 +143,16 @@ def test_union_glob():
     assert union_glob("s3a://b/data/t1", "s3a://b/ckpt/f") == "s3a://b/{data/t1,ckpt/f}"
     with pytest.raises(ValueError):
         union_glob("s3a://b1/x", "s3a://b2/y")
+
+
+def test_sinks_read_empty(spark):
+    """Sinks that only saw empty batches read back as empty typed tables."""
+    from tidemark.streaming.sinks import KeyedTableSink, ResultTableSink
+    d = tempfile.mkdtemp(prefix="tidemark-empty-")
+    empty = spark.createDataFrame([], "t long, u string, clicks long, shows long")
+    r = ResultTableSink(f"{d}/r")
+    r(empty, 0)
+    assert r.read(spark).count() == 0 and "clicks" in r.read(spark).columns
+    k = KeyedTableSink(f"{d}/o", f"{d}/s", FirstWrite(), key_template="K_%s")
+    k(empty, 0)
+    assert k.read(spark).count() == 0 and "store_key" in k.read(spark).columns

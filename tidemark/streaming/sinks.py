@@ -63,9 +63,13 @@ def _persisted(df: DataFrame):
         df.unpersist()
 
 
+def _with_batch_col(df: DataFrame, batch_id: int = 0) -> DataFrame:
+    return df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> StructType:
     """Write one batch's rows; returns the schema written (batch column last)."""
-    out = df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+    out = _with_batch_col(df, batch_id)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BATCH_COL).parquet(path))
     return out.schema
@@ -118,7 +122,11 @@ class ResultTableSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with _persisted(batch) as b:
-            self.schema = _write_batch(self.transform(b), self.path, batch_id)
+            rows = self.transform(b)
+            if b.isEmpty():  # nothing closed in this trigger: no jobs to run
+                self.schema = _with_batch_col(rows).schema
+                return
+            self.schema = _write_batch(rows, self.path, batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Everything written so far."""
@@ -237,8 +245,19 @@ class KeyedTableSink:
         return self.operation.state(merged, self.key, self.order)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        with _persisted(batch) as b, _persisted(self.transform(b)) as rows:
-            self._merge(b.sparkSession, rows, batch_id)
+        with _persisted(batch) as b:
+            if b.isEmpty():  # nothing closed in this trigger: no jobs to run
+                if self.schema is None:
+                    out, _ = self.operation.merge(self.transform(b), None, self.key, self.order)
+                    self.schema = _with_batch_col(self._keyed(out)).schema
+                return
+            with _persisted(self.transform(b)) as rows:
+                self._merge(b.sparkSession, rows, batch_id)
+
+    def _keyed(self, out: DataFrame) -> DataFrame:
+        if self.key_template is None:
+            return out
+        return out.withColumn("store_key", profile_key(F.col(self.key), self.key_template))
 
     def _merge(self, spark: SparkSession, rows: DataFrame, batch_id: int) -> None:
         # the delta schema as the merge produces it, without running anything
@@ -252,7 +271,5 @@ class KeyedTableSink:
         if state is not None:
             state = join_back(state, rows.select(self.key).distinct(), self.key, "left_semi")
         out, delta = self.operation.merge(rows, state, self.key, self.order)
-        if self.key_template is not None:
-            out = out.withColumn("store_key", profile_key(F.col(self.key), self.key_template))
-        self.schema = _write_batch(out, self.out_path, batch_id)
+        self.schema = _write_batch(self._keyed(out), self.out_path, batch_id)
         _write_batch(delta, self.state_path, batch_id)
