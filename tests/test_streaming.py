@@ -131,6 +131,13 @@ def test_restart_from_checkpoint(spark, split_dir):
     assert _rows(got, cols) == _rows(want, cols)
 
 
+def test_streaming_accumulate_refuses_overlap():
+    from tidemark.config import WindowSpec
+    with pytest.raises(ValueError):
+        Accumulate(spec=WindowSpec(300, 60))
+    Accumulate(spec=WindowSpec(300))
+
+
 def test_kafka_options():
     o = kafka_options("b1:9092,b2:9092", "act", maxOffsetsPerTrigger=1000)
     assert o["subscribe"] == "act" and o["startingOffsets"] == "latest"

@@ -40,38 +40,43 @@ from tidemark.streaming.sources import read_kafka, read_message_files
 
 
 def click_show_stream(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig,
-                      watermark: str = DEFAULT_WATERMARK) -> DataFrame:
+                      watermark: str = DEFAULT_WATERMARK, strict_strings: bool = False) -> DataFrame:
     """Windowed per-user click/show aggregate of an action message stream."""
     m = messages.withColumn("ts", as_instant(messages, "ts")).withWatermark("ts", watermark)
-    return windowed_click_show(good(parse_actions(m, cfg)), spec, key="u")
+    return windowed_click_show(good(parse_actions(m, cfg, strict_strings=strict_strings)), spec,
+                               key="u")
 
 
 def completion_stream(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig,
-                      watermark: str = DEFAULT_WATERMARK, exact_scale: int | None = None) -> DataFrame:
+                      watermark: str = DEFAULT_WATERMARK, exact_scale: int | None = None,
+                      strict_strings: bool = False) -> DataFrame:
     """Windowed per-user completion aggregate of a video-view message stream."""
     m = messages.withColumn("ts", as_instant(messages, "ts")).withWatermark("ts", watermark)
-    return windowed_completion(good(parse_vv(m, cfg)), spec, key="u", exact_scale=exact_scale)
+    return windowed_completion(good(parse_vv(m, cfg, strict_strings=strict_strings)), spec,
+                               key="u", exact_scale=exact_scale)
 
 
 def start_click_show(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str,
                      state: str, checkpoint: str, trigger: dict | None = None,
-                     state_partitions: int | None = None
+                     state_partitions: int | None = None, strict_strings: bool = False
                      ) -> tuple[StreamingQuery, KeyedTableSink]:
     """Click/show pipeline into the keyed first-write store."""
     sink = KeyedTableSink(out, state, FirstWrite(), key="u", order="t",
                           key_template=USER_KEY_TEMPLATE, transform=gate_click_show(spec, "u"))
-    q = start(click_show_stream(messages, spec, cfg), sink, checkpoint, trigger,
+    q = start(click_show_stream(messages, spec, cfg, strict_strings=strict_strings), sink,
+              checkpoint, trigger,
               state_partitions=state_partitions)
     return q, sink
 
 
 def start_completion(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str,
                      checkpoint: str, trigger: dict | None = None,
-                     exact_scale: int | None = None, state_partitions: int | None = None
-                     ) -> tuple[StreamingQuery, ResultTableSink]:
+                     exact_scale: int | None = None, state_partitions: int | None = None,
+                     strict_strings: bool = False) -> tuple[StreamingQuery, ResultTableSink]:
     """Completion pipeline into a result table."""
     sink = ResultTableSink(out, gate_completion(spec, "u", exact_scale))
-    q = start(completion_stream(messages, spec, cfg, exact_scale=exact_scale), sink,
+    q = start(completion_stream(messages, spec, cfg, exact_scale=exact_scale,
+                                strict_strings=strict_strings), sink,
               checkpoint, trigger, state_partitions=state_partitions)
     return q, sink
 
@@ -87,6 +92,8 @@ def _args(argv=None):
     p.add_argument("--mode", default=REFERENCE_SPEC.mode, choices=["inclusive", "half_open"])
     p.add_argument("--min-records", type=int, default=REFERENCE_SPEC.min_records)
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
+    p.add_argument("--strict-strings", action="store_true",
+                   help="reject messages whose fields are JSON numbers instead of strings")
     p.add_argument("--state-partitions", type=int, default=None,
                    help="state-store partitions of a new query (default: session setting)")
     for f in ("type_key", "user_key", "content_key", "watch_key", "duration_key",
@@ -108,10 +115,11 @@ def main(argv=None) -> None:
     trigger = {"availableNow": True} if a.once else every_step(spec)
     out = a.out.rstrip("/")
     q1, _ = start_click_show(acts, spec, cfg, f"{out}/user_click_show", f"{out}/user_click_show_state",
-                          f"{out}/_checkpoints/click_show", trigger, a.state_partitions)
+                          f"{out}/_checkpoints/click_show", trigger, a.state_partitions,
+                          a.strict_strings)
     q2, _ = start_completion(views, spec, cfg, f"{out}/user_completion",
                           f"{out}/_checkpoints/completion", trigger,
-                             state_partitions=a.state_partitions)
+                             state_partitions=a.state_partitions, strict_strings=a.strict_strings)
     q1.awaitTermination()
     q2.awaitTermination()
 

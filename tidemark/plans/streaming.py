@@ -161,7 +161,7 @@ STREAM_QUERIES = {
     "stream_keyed_first_write": (_twin("stream_keyed_first_write", lambda s, d: keyed_twin(
         s, d, FirstWrite(), FIRST_WRITE_COLS)), "keyed_first_write"),
     "stream_keyed_accumulate": (_twin("stream_keyed_accumulate", lambda s, d: keyed_twin(
-        s, d, Accumulate(), ACCUMULATE_COLS)), "keyed_accumulate"),
+        s, d, Accumulate(spec=SPEC), ACCUMULATE_COLS)), "keyed_accumulate"),
     "stream_pipeline_click_show": (q_stream_pipeline_click_show, "pipeline_click_show"),
     "stream_pipeline_completion": (q_stream_pipeline_completion, "pipeline_completion"),
 }

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tidemark.config import WindowSpec
 from tidemark.functions.scalars import profile_key
 from tidemark.operators.joins import join_back
 
@@ -166,10 +167,19 @@ class FirstWrite:
 
 @dataclass
 class Accumulate:
-    """K2: the stored value is the running total of every result."""
+    """K2: the stored value is the running total of every result.
+
+    Given the window ``spec``, overlapping windows are refused: they would
+    count a record once per window it falls in.
+    """
 
     values: Sequence[str] = ("clicks", "shows")
     returned: Sequence[str] = ("rt_u_click", "rt_u_reveal")
+    spec: WindowSpec | None = None
+
+    def __post_init__(self):
+        if self.spec is not None and not self.spec.is_tumbling:
+            raise ValueError("accumulating merge needs half-open tumbling windows")
 
     def state(self, deltas: DataFrame, key: str, order: str) -> DataFrame:
         return deltas.groupBy(key).agg(*[F.sum(f"__s_{v}").alias(f"__s_{v}") for v in self.values])
