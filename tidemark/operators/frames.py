@@ -7,7 +7,10 @@ consumed it) and never compares the size.
 
 Packing and Adler-32 are not Spark built-ins, so both directions are Arrow
 ``pandas_udf``s: a small per-batch helper inside Spark tasks; the data stay
-partitioned and the status counts are ordinary aggregates.
+partitioned and the status counts are ordinary aggregates. Whole documents
+travel to Python in Arrow batches bounded by
+``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB by default) as well as
+by record count, so large texts do not inflate a worker's memory.
 """
 
 from __future__ import annotations
