@@ -48,6 +48,19 @@ def first_write_merge(results: DataFrame, key: str = "u", order: str = "t",
     return j.select(*cols)
 
 
+def store_snapshot(results: DataFrame, key: str = "u", order: str = "t",
+                   values: Sequence[str] = ("clicks", "shows"),
+                   stored: Sequence[str] = ("rt_u_click", "rt_u_reveal"),
+                   key_template: str | None = None) -> DataFrame:
+    """Content of a first-write store after all results (S3 as a reader sees
+    it): one row per key with its first result. One hash aggregate."""
+    cols = [F.col(key)]
+    if key_template is not None:
+        cols = [profile_key(F.col(key), key_template).alias("store_key")]
+    return results.groupBy(key).agg(*[F.min_by(F.col(v), F.col(order)).alias(s)
+                                      for v, s in zip(values, stored)]).select(*cols, *stored)
+
+
 def time_block(df: DataFrame, column: str, size: int) -> Column:
     """Block number of an order column: epoch seconds (timestamps) or the
     value itself (numbers), integer-divided by ``size``."""

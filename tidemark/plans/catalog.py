@@ -17,7 +17,7 @@ from tidemark.config import USER_KEY_TEMPLATE
 from tidemark.functions.json import json_path
 from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators import frames as fr
-from tidemark.operators.keyed import accumulate_merge, first_write_merge
+from tidemark.operators.keyed import accumulate_merge, first_write_merge, store_snapshot
 from tidemark.operators.metrics import click_show_metrics, completion_metrics, to_click_show
 from tidemark.operators.parse import good, parse_actions, parse_vv, reason_counts
 from tidemark.operators.profiles import feed_profile, read_profile, user_profile
@@ -177,6 +177,11 @@ def q_keyed_first_write(spark: SparkSession, sf: str) -> DataFrame:
     return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
 
 
+def q_profile_store(spark: SparkSession, sf: str) -> DataFrame:
+    res = QUERIES["user_click_show_tumbling"](spark, sf)
+    return store_snapshot(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
+
+
 def q_keyed_first_write_reference(spark: SparkSession, sf: str) -> DataFrame:
     """The original click/show pipeline end to end: 5 s windows every 1 s,
     both ends closed, two-record gate, first-write merge into the keyed store."""
@@ -283,6 +288,7 @@ QUERIES: dict[str, QueryFn] = {
     "keyed_first_write": q_keyed_first_write,
     "keyed_accumulate": q_keyed_accumulate,
     "keyed_first_write_reference": q_keyed_first_write_reference,
+    "profile_store": q_profile_store,
     "pipeline_click_show": q_pipeline_click_show,
     "pipeline_completion": q_pipeline_completion,
     "sequence_summary": q_sequence_summary,

@@ -315,6 +315,10 @@ ORACLE_SQL.update({
     "keyed_first_write": KEYED_FIRST_WRITE_SQL,
     "keyed_accumulate": KEYED_ACCUMULATE_SQL,
     "keyed_first_write_reference": KEYED_FIRST_WRITE_REFERENCE_SQL,
+    "profile_store": f"""WITH {_TUMBLING_RESULTS}
+SELECT 'USER_CLICK_SHOW_5MIN_' || u AS store_key, arg_min(clicks, t) AS rt_u_click,
+       arg_min(shows, t) AS rt_u_reveal
+FROM res GROUP BY u""",
     "feed_profile_read": f"""SELECT t, contid, {", ".join(
         f"coalesce({p}{m}, {'0.0' if m == 'rpt' else '0'}) AS {p}{m}"
         for p in ("rt_f_", "rt_f_2h_", "rt_f_4h_") for m in ("click", "reveal", "rpt"))}
