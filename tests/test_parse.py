@@ -109,3 +109,21 @@ def test_nested_json_access(spark):
     assert [a["now_live"] for a in u["address"]] == [True, None]
     assert (r["n2"], r["e0"]) == ("9", "a@x")
     assert df.select(F.size(json_field("value", schema)["user"]["address"])).collect()[0][0] == 2
+
+
+def test_scalar_traps(spark):
+    """SURVEY 2.8: duplicate keys, IEEE division signs, strict number edges."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.scalars import ieee_divide, is_strict_double
+
+    dup = _raw(spark, ['{"t":"click","t":"show","u":"a","contid":"1"}'])
+    r = parse_actions(dup, CFG, keep=("key",)).collect()[0]
+    assert (r["t"], r["shows"]) == ("show", 1)  # the last occurrence wins
+    nums = spark.createDataFrame([(-5.0, 0.0), (0.0, 0.0), (5.0, 0.0), (1.0, 4.0)], "a double, b double")
+    got = [x[0] for x in nums.select(ieee_divide("a", "b")).collect()]
+    assert got[0] == -math.inf and math.isnan(got[1]) and got[2] == math.inf and got[3] == 0.25
+    texts = ["5\n", "+.5", "5.", "-Infinity", "NaN", "1e5", "0x1p3", "1_000", "", " 1"]
+    ok = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "x string")
+          .select(is_strict_double(F.col("x"))).collect()]
+    assert ok == [False, True, True, True, True, True, False, False, False, False]
