@@ -24,8 +24,8 @@ def test_main_on_folders(spark):
               "--show-value", "view", "--once"])
     got_cs = spark.read.parquet(f"{d}/out/user_click_show")
     got_vv = spark.read.parquet(f"{d}/out/user_completion")
-    want_cs = QUERIES["pipeline_click_show"](spark, SF_SMALL)
-    want_vv = QUERIES["pipeline_completion"](spark, SF_SMALL)
+    want_cs = QUERIES["messages_click_show"](spark, SF_SMALL)
+    want_vv = QUERIES["messages_completion"](spark, SF_SMALL)
     # without a flush message the newest windows stay open: every emitted
     # row must be a batch row, and all batch rows of closed windows appear
     cs_cols = ["t", "u", "rt_u_click", "rt_u_reveal", "stored_click", "stored_reveal"]

@@ -85,7 +85,7 @@ def test_keyed_sink_compaction(spark, split_dir):
     from tidemark.operators.metrics import to_click_show
     from tidemark.plans.streaming import SPEC, _run
     from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records
-    from tidemark.streaming.pipelines import gate_click_show, windowed_click_show
+    from tidemark.streaming.windowed import gate_click_show, windowed_click_show
     from tidemark.streaming.sinks import KeyedTableSink
 
     stream, scratch = _stream(spark, split_dir)
@@ -105,7 +105,7 @@ def test_restart_from_checkpoint(spark, split_dir):
     from tidemark.plans.streaming import SPEC
     from tidemark.operators.metrics import to_click_show
     from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records
-    from tidemark.streaming.pipelines import gate_click_show, windowed_click_show
+    from tidemark.streaming.windowed import gate_click_show, windowed_click_show
     from tidemark.streaming.sinks import ResultTableSink
 
     stream, scratch = _stream(spark, split_dir)

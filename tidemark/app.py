@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.config import REFERENCE_SPEC, USER_KEY_TEMPLATE, ActionConfig, WindowSpec
 from tidemark.functions.scalars import as_instant
 from tidemark.operators.parse import good, parse_actions, parse_vv
-from tidemark.streaming.pipelines import (
+from tidemark.streaming.windowed import (
     DEFAULT_WATERMARK,
     every_step,
     gate_click_show,

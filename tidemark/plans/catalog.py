@@ -189,7 +189,7 @@ def q_keyed_first_write_reference(spark: SparkSession, sf: str) -> DataFrame:
     return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
 
 
-def q_pipeline_click_show(spark: SparkSession, sf: str) -> DataFrame:
+def q_messages_click_show(spark: SparkSession, sf: str) -> DataFrame:
     """Entry 1 from raw action messages: parse, 5 s / 1 s closed windows,
     gate, per-user counts, first-write keyed store."""
     cs = good(parse_actions(raw_action_messages(events(spark, sf)), EVENTS_ACTION_CONFIG))
@@ -197,7 +197,7 @@ def q_pipeline_click_show(spark: SparkSession, sf: str) -> DataFrame:
     return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
 
 
-def q_pipeline_completion(spark: SparkSession, sf: str) -> DataFrame:
+def q_messages_completion(spark: SparkSession, sf: str) -> DataFrame:
     """Entry 2 from raw video-view messages: parse, 5 s / 1 s closed windows,
     gate, per-user watch time / duration / ratio (user ids not trimmed)."""
     v = good(parse_vv(raw_vv_messages(events(spark, sf)), EVENTS_ACTION_CONFIG))
@@ -289,8 +289,8 @@ QUERIES: dict[str, QueryFn] = {
     "keyed_accumulate": q_keyed_accumulate,
     "keyed_first_write_reference": q_keyed_first_write_reference,
     "profile_store": q_profile_store,
-    "pipeline_click_show": q_pipeline_click_show,
-    "pipeline_completion": q_pipeline_completion,
+    "messages_click_show": q_messages_click_show,
+    "messages_completion": q_messages_completion,
     "sequence_summary": q_sequence_summary,
     "bounded_intake": q_bounded_intake,
     "frame_integrity": q_frame_integrity,

@@ -267,7 +267,7 @@ FROM documents"""
 FRAME_STATUS_COUNTS_SQL = """SELECT CASE doc_id % 10 WHEN 0 THEN 'checksum' WHEN 5 THEN 'short' ELSE 'ok' END AS status,
        count(*) AS n FROM documents GROUP BY 1"""
 
-def _pipeline_sql(vv: bool) -> str:
+def _messages_sql(vv: bool) -> str:
     length, step, mode, gate = _spec_args("reference")
     if vv:
         parsed = f"""r AS (SELECT *, {_VV_REASON} AS reason FROM f),
@@ -302,8 +302,8 @@ g AS (SELECT t, u, {agg}, count(*) AS n FROM e GROUP BY t, u),
 
 
 ORACLE_SQL.update({
-    "pipeline_click_show": _pipeline_sql(False),
-    "pipeline_completion": _pipeline_sql(True),
+    "messages_click_show": _messages_sql(False),
+    "messages_completion": _messages_sql(True),
     "parse_actions": PARSE_ACTIONS_SQL,
     "parse_vv": PARSE_VV_SQL,
     "reject_reasons": REJECT_REASONS_SQL,

@@ -28,7 +28,7 @@ from tidemark.sources.adapters import (
     raw_vv_messages,
     vv_records,
 )
-from tidemark.streaming.pipelines import (
+from tidemark.streaming.windowed import (
     gate_click_show,
     gate_completion,
     start,
@@ -124,8 +124,8 @@ def message_stream(spark: SparkSession, sf_dir: str, scratch: str, vv: bool) ->
     return read_message_files(spark, [f"{scratch}/messages", f"{scratch}/flush"])
 
 
-def q_stream_pipeline_click_show(spark: SparkSession, sf: str) -> DataFrame:
-    scratch = scratch_path(spark, "stream_pipeline_click_show")
+def q_stream_messages_click_show(spark: SparkSession, sf: str) -> DataFrame:
+    scratch = scratch_path(spark, "stream_messages_click_show")
     msgs = message_stream(spark, sf, scratch, vv=False)
     q, sink = start_click_show(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
                                f"{scratch}/state", f"{scratch}/checkpoint",
@@ -134,8 +134,8 @@ def q_stream_pipeline_click_show(spark: SparkSession, sf: str) -> DataFrame:
     return sink.read(spark).select(*FIRST_WRITE_COLS)
 
 
-def q_stream_pipeline_completion(spark: SparkSession, sf: str) -> DataFrame:
-    scratch = scratch_path(spark, "stream_pipeline_completion")
+def q_stream_messages_completion(spark: SparkSession, sf: str) -> DataFrame:
+    scratch = scratch_path(spark, "stream_messages_completion")
     msgs = message_stream(spark, sf, scratch, vv=True)
     q, sink = start_completion(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
                                f"{scratch}/checkpoint", exact_scale=EXACT_SCALE,
@@ -162,6 +162,6 @@ STREAM_QUERIES = {
         s, d, FirstWrite(), FIRST_WRITE_COLS)), "keyed_first_write"),
     "stream_keyed_accumulate": (_twin("stream_keyed_accumulate", lambda s, d: keyed_twin(
         s, d, Accumulate(spec=SPEC), ACCUMULATE_COLS)), "keyed_accumulate"),
-    "stream_pipeline_click_show": (q_stream_pipeline_click_show, "pipeline_click_show"),
-    "stream_pipeline_completion": (q_stream_pipeline_completion, "pipeline_completion"),
+    "stream_messages_click_show": (q_stream_messages_click_show, "messages_click_show"),
+    "stream_messages_completion": (q_stream_messages_completion, "messages_completion"),
 }
