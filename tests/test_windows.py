@@ -113,3 +113,22 @@ def test_tumbling_partitions_rows(spark):
     snap = _snap(df, WindowSpec(10))
     ids = [i for v in snap.values() for i in v]
     assert sorted(ids) == list(range(7))
+
+
+def test_gate_three_records(spark):
+    df = _items(spark, [0, 4, 5, 10], users=["a", "b", "a", "b"])
+    got = click_show_metrics(df, WindowSpec(5, 5, "inclusive", min_records=3)).collect()
+    assert sorted((r["t"], r["u"], r["clicks"]) for r in got) == [(5, "a", 2), (5, "b", 1)]
+
+
+def test_profile_gate_three_records(spark):
+    from tidemark.operators.profiles import user_profile
+    cs = _items(spark, [0, 1, 2, 7], users=["a", "b", "a", "a"])
+    vv = spark.createDataFrame([(EPOCH + dt.timedelta(seconds=s), u, 1.0, 2.0)
+                                for s, u in [(1, "a"), (8, "a"), (9, "b"), (9, "a")]],
+                               "ts timestamp_ntz, u string, tm double, duration double")
+    prof = {(r["t"], r["u"]): (r["rt_u_click"], r["rt_u_rpt"])
+            for r in user_profile(cs, vv, WindowSpec(5, min_records=3)).collect()}
+    # window 5: three actions pass, one view fails; window 10: one action fails, three views pass
+    assert prof == {(5, "a"): (2, None), (5, "b"): (1, None), (10, "a"): (None, 0.5),
+                    (10, "b"): (None, 0.5)}
