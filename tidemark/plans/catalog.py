@@ -12,8 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import REFERENCE_SPEC, WindowSpec
-from tidemark.config import USER_KEY_TEMPLATE
+from tidemark.config import REFERENCE_SPEC, USER_KEY_TEMPLATE, WindowSpec
 from tidemark.functions.json import json_path
 from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators import frames as fr
@@ -40,7 +39,7 @@ from tidemark.sources.adapters import (
 )
 from tidemark.sources.tables import read_table
 
-# Exact decimal accumulation of watch time and duration (inputs have 2 decimals).
+# Watch time and duration are summed exactly at 2 decimals (the inputs' scale).
 EXACT_SCALE = 2
 
 SPECS = {
