@@ -69,6 +69,18 @@ def test_profile_stream_equals_batch(spark, split_dir):
     assert _rows(got, cols) == _rows(want, cols)
 
 
+def test_feed_profile_stream_equals_batch(spark, split_dir):
+    from tidemark.plans.streaming import feed_profile_twin
+    stream, scratch = _stream(spark, split_dir)
+    got = feed_profile_twin(stream, scratch)
+    want = QUERIES["feed_profile"](spark, SF_SMALL)
+    cols = sorted(want.columns)
+    norm = lambda rows: sorted((tuple("nan" if isinstance(v, float) and v != v else v for v in r)
+                                for r in rows), key=repr)
+    assert norm(tuple(r[c] for c in cols) for r in got.collect()) == \
+        norm(tuple(r[c] for c in cols) for r in want.collect())
+
+
 @pytest.mark.parametrize("op,cols,twin", [(FirstWrite(), FIRST_WRITE_COLS, "keyed_first_write"),
                                           (Accumulate(), ACCUMULATE_COLS, "keyed_accumulate")])
 def test_keyed_stream_across_batches(spark, split_dir, op, cols, twin):

@@ -109,36 +109,49 @@ def feed_prefix(length: int, shortest: int) -> str:
     return f"rt_f_{length}s_"
 
 
-def feed_profile(click_show: DataFrame, vv: DataFrame,
-                 lengths: Sequence[int] = FEED_LENGTHS_SECONDS, key: str = "contid",
-                 ts: str = "ts", exact_scale: int | None = None) -> DataFrame:
-    """``(t, key, <prefix>click, <prefix>reveal, <prefix>rpt, ...)`` at every
-    trigger ``t`` (a multiple of the longest length), half-open lengths
-    ``[t - length, t)``. No window copies: each row lands in one window of
-    the longest length and counts toward the shorter lengths by its age."""
+def feed_profile_aggs(lengths: Sequence[int], inside, exact_scale: int | None = None) -> list:
+    """Conditional aggregates of a tagged union inside one window of the
+    longest length: ``inside(L)`` is the Column "row is in the trailing L s"."""
     lengths = sorted(set(int(x) for x in lengths))
-    longest, shortest = lengths[-1], lengths[0]
-    spec = WindowSpec(longest)
-    tagged = tag_union(click_show, vv, key, ts)
-    wdf = with_windows(tagged, spec, ts)
-    aggs = []
+    shortest, aggs = lengths[0], []
     for L in lengths:
-        p = feed_prefix(L, shortest)
-        inside = (epoch_seconds(wdf, ts) >= F.col(WINDOW_COL) - L) if L < longest else F.lit(True)
-        aggs += [F.sum(F.when(inside, F.col("clicks"))).alias(p + "click"),
-                 F.sum(F.when(inside, F.col("shows"))).alias(p + "reveal"),
-                 exact_sum(F.when(inside, F.col("tm")), exact_scale).alias(f"__tm_{L}"),
-                 exact_sum(F.when(inside, F.col("duration")), exact_scale).alias(f"__d_{L}")]
-    g = wdf.groupBy(WINDOW_COL, key).agg(*aggs)
-    cols = [trigger_second(spec).alias("t"), key]
+        p, cond = feed_prefix(L, shortest), inside(L)
+        aggs += [F.sum(F.when(cond, F.col("clicks"))).alias(p + "click"),
+                 F.sum(F.when(cond, F.col("shows"))).alias(p + "reveal"),
+                 exact_sum(F.when(cond, F.col("tm")), exact_scale).alias(f"__tm_{L}"),
+                 exact_sum(F.when(cond, F.col("duration")), exact_scale).alias(f"__d_{L}")]
+    return aggs
+
+
+def finish_feed_profile(g: DataFrame, lengths: Sequence[int], key: str = "contid",
+                        exact_scale: int | None = None) -> DataFrame:
+    """``(t, key, <prefix>click, <prefix>reveal, <prefix>rpt, ...)`` from the
+    aggregates of ``feed_profile_aggs`` (window column holding the trigger)."""
+    lengths = sorted(set(int(x) for x in lengths))
+    cols = [F.col(WINDOW_COL).alias("t"), key]
     for L in lengths:
-        p = feed_prefix(L, shortest)
+        p = feed_prefix(L, lengths[0])
         cols += [F.col(p + "click"), F.col(p + "reveal"),
                  ieee_divide(exact_value(f"__tm_{L}", exact_scale),
                              exact_value(f"__d_{L}", exact_scale)).alias(p + "rpt")]
     return g.select(*cols)
 
 
+def feed_profile(click_show: DataFrame, vv: DataFrame,
+                 lengths: Sequence[int] = FEED_LENGTHS_SECONDS, key: str = "contid",
+                 ts: str = "ts", exact_scale: int | None = None) -> DataFrame:
+    """``(t, key, <prefix>click, <prefix>reveal, <prefix>rpt, ...)`` at every
+    trigger ``t`` (a multiple of the longest length), half-open lengths
+    ``[t - length, t)``. No window copies: each row lands in one window of
+    the longest length and counts toward the shorter lengths by its age."""
+    longest = max(int(x) for x in lengths)
+    wdf = with_windows(tag_union(click_show, vv, key, ts), WindowSpec(longest), ts)
+    sec = epoch_seconds(wdf, ts)
+    aggs = feed_profile_aggs(lengths, lambda L: (sec >= F.col(WINDOW_COL) - L) if L < longest
+                             else F.lit(True), exact_scale)
+    return finish_feed_profile(wdf.groupBy(WINDOW_COL, key).agg(*aggs), lengths, key, exact_scale)
+
+
 def read_profile(profile: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Reader view of a profile: absent (NULL) fields read as 0 (P10)."""
     cols = columns or [c for c in profile.columns if c.startswith("rt_")]

@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 
 from tidemark.config import USER_KEY_TEMPLATE
 from tidemark.operators.metrics import to_click_show
-from tidemark.operators.profiles import finish_user_profile, user_profile_aggs
+from tidemark.config import WindowSpec
+from tidemark.operators.profiles import (
+    feed_profile_aggs,
+    finish_feed_profile,
+    finish_user_profile,
+    user_profile_aggs,
+)
 from tidemark.operators.route import tag_union
 from tidemark.operators.windows import WINDOW_COL, struct_to_trigger, window_column
 from tidemark.app import start_click_show, start_completion
 from tidemark.functions.scalars import as_instant
-from tidemark.plans.catalog import EXACT_SCALE, SPECS, events
+from tidemark.plans.catalog import EXACT_SCALE, FEEDS, SPECS, events
 from tidemark.session import scratch_path
 from tidemark.sources.adapters import (
     EVENTS_ACTION_CONFIG,
@@ -94,6 +100,27 @@ def profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
     return sink.read(stream.sparkSession).select("t", "u", "rt_u_click", "rt_u_reveal", "rt_u_rpt")
 
 
+def feed_profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
+    """A6 on a stream: 4 h windows per content item, shorter lengths by age
+    against the window end."""
+    lengths = tuple(FEEDS.values())
+    spec = WindowSpec(max(lengths))
+    tagged = tag_union(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG),
+                       vv_records(stream), "contid")
+    wdf = tagged.withColumn(WINDOW_COL, window_column("ts", spec))
+
+    def inside(L):
+        if L >= spec.length:
+            return F.lit(True)
+        return F.col("ts") >= F.col(f"{WINDOW_COL}.end") - F.expr(f"INTERVAL {L} SECONDS")
+
+    agg = wdf.groupBy(WINDOW_COL, "contid").agg(*feed_profile_aggs(lengths, inside, EXACT_SCALE))
+    sink = ResultTableSink(f"{scratch}/out", lambda b: finish_feed_profile(
+        struct_to_trigger(b, spec), lengths, "contid", EXACT_SCALE))
+    _run(agg, sink, scratch)
+    return sink.read(stream.sparkSession).drop("batch_id")
+
+
 FIRST_WRITE_COLS = ["t", "u", "store_key", "rt_u_click", "rt_u_reveal", "stored_click", "stored_reveal"]
 ACCUMULATE_COLS = ["t", "u", "store_key", "rt_u_click", "rt_u_reveal"]
 
@@ -158,6 +185,7 @@ STREAM_QUERIES = {
     "stream_user_completion": (_twin("stream_user_completion", completion_twin),
                                "user_completion_tumbling"),
     "stream_user_profile": (_twin("stream_user_profile", profile_twin), "user_profile"),
+    "stream_feed_profile": (_twin("stream_feed_profile", feed_profile_twin), "feed_profile"),
     "stream_keyed_first_write": (_twin("stream_keyed_first_write", lambda s, d: keyed_twin(
         s, d, FirstWrite(), FIRST_WRITE_COLS)), "keyed_first_write"),
     "stream_keyed_accumulate": (_twin("stream_keyed_accumulate", lambda s, d: keyed_twin(
