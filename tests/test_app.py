@@ -38,3 +38,13 @@ def test_main_on_folders(spark):
     gv = {tuple(r[c] for c in vv_cols) for r in got_vv.collect()}
     wv = {tuple(r[c] for c in vv_cols) for r in want_vv.collect()}
     assert gv and {x for x in gv if x[4] == x[4]} <= wv  # NaN never compares equal
+
+
+def test_command_line(spark, capsys):
+    from tidemark.__main__ import main
+    main(["list"])
+    names = capsys.readouterr().out.split()
+    assert "user_click_show_tumbling" in names and "stream_feed_profile" in names
+    out = tempfile.mkdtemp(prefix="tidemark-cli-") + "/r"
+    main(["run", "profile_store", "--tables", "/root/testdata/sf0.001", "--out", out])
+    assert spark.read.parquet(out).count() == QUERIES["profile_store"](spark, "/root/testdata/sf0.001").count()

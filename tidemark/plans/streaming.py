@@ -100,6 +100,25 @@ def profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
     return sink.read(stream.sparkSession).select("t", "u", "rt_u_click", "rt_u_reveal", "rt_u_rpt")
 
 
+def feed_click_show_twin(stream: DataFrame, scratch: str, length: int) -> DataFrame:
+    """A3 on a stream: tumbling windows per content item, no gate."""
+    spec = WindowSpec(length)
+    agg = windowed_click_show(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG), spec,
+                              "contid")
+    sink = ResultTableSink(f"{scratch}/out", gate_click_show(spec, "contid"))
+    _run(agg, sink, scratch)
+    return sink.read(stream.sparkSession).select("t", "contid", "clicks", "shows")
+
+
+def feed_completion_twin(stream: DataFrame, scratch: str, length: int) -> DataFrame:
+    """A4 on a stream: tumbling windows per content item, no gate."""
+    spec = WindowSpec(length)
+    agg = windowed_completion(vv_records(stream), spec, "contid", exact_scale=EXACT_SCALE)
+    sink = ResultTableSink(f"{scratch}/out", gate_completion(spec, "contid", EXACT_SCALE))
+    _run(agg, sink, scratch)
+    return sink.read(stream.sparkSession).select("t", "contid", "tm", "duration", "rpt")
+
+
 def feed_profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
     """A6 on a stream: 4 h windows per content item, shorter lengths by age
     against the window end."""
@@ -186,6 +205,10 @@ STREAM_QUERIES = {
                                "user_completion_tumbling"),
     "stream_user_profile": (_twin("stream_user_profile", profile_twin), "user_profile"),
     "stream_feed_profile": (_twin("stream_feed_profile", feed_profile_twin), "feed_profile"),
+    "stream_feed_click_show_5m": (_twin("stream_feed_click_show_5m", lambda s, d: feed_click_show_twin(
+        s, d, FEEDS["5m"])), "feed_click_show_5m"),
+    "stream_feed_completion_5m": (_twin("stream_feed_completion_5m", lambda s, d: feed_completion_twin(
+        s, d, FEEDS["5m"])), "feed_completion_5m"),
     "stream_keyed_first_write": (_twin("stream_keyed_first_write", lambda s, d: keyed_twin(
         s, d, FirstWrite(), FIRST_WRITE_COLS)), "keyed_first_write"),
     "stream_keyed_accumulate": (_twin("stream_keyed_accumulate", lambda s, d: keyed_twin(
