@@ -37,3 +37,47 @@ def test_rolling_bucketed(spark, rows, length, bucket):
     for i, (k, s, v) in enumerate(rows):
         live = [v2 for k2, s2, v2 in rows if k2 == k and s - length <= s2 <= s]
         assert got[i] == (sum(live), len(live))
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=rows_strategy, m=st.integers(2, 3), length=st.integers(2, 12), step=st.integers(1, 6),
+       mode=st.sampled_from(["inclusive", "half_open"]))
+def test_gate_vs_bruteforce(spark, rows, m, length, step, mode):
+    from tidemark.config import WindowSpec
+    from tidemark.operators.metrics import click_show_metrics
+
+    data = [(EPOCH + dt.timedelta(seconds=s), k, 1, 0) for k, s, _ in rows]
+    df = spark.createDataFrame(data, "ts timestamp_ntz, u string, clicks long, shows long")
+    got = {(r["t"], r["u"]): r["clicks"]
+           for r in click_show_metrics(df, WindowSpec(length, step, mode, m)).collect()}
+    want = {}
+    for t in range(0, 50 + length + step + 1, step):
+        live = [k for k, s, _ in rows
+                if (t - length <= s <= t if mode == "inclusive" else t - length <= s < t)]
+        if len(live) >= m:
+            for k in set(live):
+                want[(t, k)] = live.count(k)
+    assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 5),
+                               st.one_of(st.none(), st.integers(-9, 9))), min_size=1, max_size=15))
+def test_sequence_summary_vs_bruteforce(spark, rows):
+    from tidemark.operators.sequences import sequence_summary
+
+    data = [(k, EPOCH + dt.timedelta(seconds=s), i, v) for i, (k, s, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, i long, v long")
+    got = {r["k"]: r for r in sequence_summary(df, "k", "v", ["ts", "i"]).collect()}
+    for k in {r[0] for r in rows}:
+        seq = [v for (_, _, _, v) in sorted((d for d in data if d[0] == k), key=lambda d: (d[1], d[2]))]
+        valid = [j for j, v in enumerate(seq) if v is not None]
+        g = got[k]
+        assert (g["length"], g["head"], g["tail"], g["tail_idx"]) == (len(seq), seq[0], seq[-1], len(seq) - 1)
+        if valid:
+            assert (g["valid_head"], g["valid_head_idx"], g["valid_tail"], g["valid_tail_idx"],
+                    g["valid_length"]) == (seq[valid[0]], valid[0], seq[valid[-1]], valid[-1],
+                                           valid[-1] - valid[0] + 1)
+        else:
+            assert (g["valid_head"], g["valid_head_idx"], g["valid_tail_idx"], g["valid_length"]) == \
+                (None, -1, -1, 0)
