@@ -81,3 +81,15 @@ def test_sequence_summary_vs_bruteforce(spark, rows):
         else:
             assert (g["valid_head"], g["valid_head_idx"], g["valid_tail_idx"], g["valid_length"]) == \
                 (None, -1, -1, 0)
+
+
+def test_sequence_summary_single_order_column(spark):
+    from tidemark.operators.sequences import sequence_summary
+
+    df = spark.createDataFrame([("k", 3, None), ("k", 1, None), ("k", 2, 7), ("k", 5, 9), ("k", 4, None)],
+                               "k string, i long, v long")
+    g = sequence_summary(df, "k", "v", ["i"]).collect()[0]
+    assert (g["head"], g["valid_head"], g["valid_head_idx"], g["valid_tail"], g["valid_tail_idx"],
+            g["valid_length"], g["length"]) == (None, 7, 1, 9, 4, 4, 5)
+    plan = sequence_summary(df, "k", "v", ["i"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

@@ -31,7 +31,9 @@ def sequence_summary(df: DataFrame, key: str, value: str, order: Sequence[str],
                      ts: str | None = None) -> DataFrame:
     """Per key: ``length, head, head_idx, tail, tail_idx, valid_head,
     valid_head_idx, valid_tail, valid_tail_idx, valid_length[, oldest_sec]``."""
-    ordc = F.struct(*[F.col(c) for c in order])
+    # A single order column is used as is (fixed-width buffers, hash-based
+    # aggregation); several are compared as a struct (sort-based aggregation).
+    ordc = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
     valid_ord = F.when(F.col(value).isNotNull(), ordc)
     aggs = [F.count(F.lit(1)).alias("length"),
             F.min_by(F.col(value), ordc).alias("head"),
