@@ -7,7 +7,10 @@ columns, whatever they are called, neither help nor harm.
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +24,25 @@ WORD_BYTES = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() el
                    for b in range(256))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark context.
+
+    Functions of the operators reach Python workers by module name, so that a
+    worker's caches outlive a task; executors need not have the package installed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="tidemark-")  # Spark serves the file from here
+    archive = shutil.make_archive(f"{folder}/tidemark-code", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    context._tidemark_shipped = True
+
+
 def text_of(docs: DataFrame) -> DataFrame:
     """doc_id and text, null text as an empty one."""
+    ship(docs.sparkSession)
     return docs.select("doc_id", F.coalesce(docs["text"], F.lit("")).alias("text"))
 
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, batches_of, row_key, words_of, written
+from tidemark.llm.common import as_bytes, batches_of, row_key, ship, words_of, written
 
 WINDOW = 10
 SAMPLE = 8  # every eighth suffix position is kept
@@ -221,6 +221,7 @@ def shards(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.R
 
 
 def _one_block(docs: DataFrame, items: list[tuple[str, bytes]], window: int, shard_words: int) -> DataFrame:
+    ship(docs.sparkSession)
     phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, window))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", *row_key(), F.coalesce(docs["text"], F.lit("")).alias("text"))
@@ -283,6 +284,7 @@ def _copies():
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                  shard_words: int = 1 << 20, block_words: int = 5_000_000) -> DataFrame:
     """docs with the contaminated words cut out of text (n_chars follows, where docs has it); all columns."""
+    ship(docs.sparkSession)
     blocks = _blocks(benchmark, block_words)
     if len(blocks) == 1:  # no shuffle: each task rewrites its own rows
         phrases = docs.sparkSession.sparkContext.broadcast(Phrases(blocks[0], window))

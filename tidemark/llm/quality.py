@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, batches_of, fold_of, text_of
+from tidemark.llm.common import as_bytes, batches_of, fold_of, ship, text_of
 
 MAX_ROWS = 20_000
 STATISTICS = (
@@ -62,6 +62,7 @@ def statistics_of(text: bytes) -> tuple[float, ...]:
 
 def with_statistics(docs: DataFrame, *columns: str) -> DataFrame:
     """columns of docs and one double per statistic of its text (null: empty)."""
+    ship(docs.sparkSession)
     taken = docs.select(*columns, F.coalesce(docs["text"], F.lit("")).alias("_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in taken.schema if f.name != "_text")
     names = [f"_s_{s}" for s in STATISTICS]
