@@ -3,6 +3,7 @@ FIXTURES.md sections 4 and 5."""
 
 import datetime as dt
 import math
+import re
 
 import pytest
 
@@ -73,7 +74,7 @@ def test_first_write(spark):
 
 
 def test_accumulate(spark):
-    out = accumulate_merge(_results(spark), block_seconds=600).orderBy("t").collect()
+    out = accumulate_merge(_results(spark), spec=WindowSpec(300), block_seconds=600).orderBy("t").collect()
     assert [(r["rt_u_click"], r["rt_u_reveal"]) for r in out] == [(2, 1), (5, 1), (6, 2)]
 
 
@@ -82,13 +83,58 @@ def test_accumulate_refuses_overlapping_windows(spark):
         accumulate_merge(_results(spark), spec=WindowSpec(300, 60))
 
 
+def test_accumulate_needs_the_geometry(spark):
+    with pytest.raises(TypeError):
+        accumulate_merge(_results(spark))
+
+
+def test_exact_sum_keeps_ieee_values(spark):
+    from pyspark.sql import functions as F
+    from tidemark.operators.metrics import exact_sum, exact_value
+
+    inf, nan = float("inf"), float("nan")
+    cases = {"a": ([1.0, nan], nan), "b": ([1.0, inf], inf), "c": ([inf, -inf], nan), "d": ([0.1] * 10, 1.0),
+             "e": ([1e300, 1.0], 1e300), "f": ([2.125, 2.125], 4.25), "g": ([None, None], None), "h": ([None, 0.01], 0.01)}
+    df = spark.createDataFrame([(k, v) for k, (vs, _) in cases.items() for v in vs], "k string, v double")
+    out = df.groupBy("k").agg(*exact_sum("v", "v", 2)).select("k", exact_value("v", 2).alias("s"))
+    for r in out.collect():
+        want = cases[r["k"]][1]
+        assert r["s"] == want or (want != want and r["s"] != r["s"]), r
+
+
+@pytest.mark.parametrize("name", ["user_click_show_tumbling", "user_completion_sliding", "user_profile"])
+def test_gate_exchanges_the_aggregate_once(spark, name):
+    """Without broadcasts the gate's join keeps the aggregate's partitioning."""
+    from tidemark.plans.catalog import QUERIES
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    by_group = [line for line in plan.splitlines()
+                if re.search(r"Exchange hashpartitioning\(w#\w+, [^,]+, [^,]+, \d+\)", line)]
+    # the aggregate's own exchange (its reuse does not count), and none between it and the joins
+    assert sum("Reused" not in line for line in by_group) == 1, plan
+    assert "coalesce" not in "".join(line for line in plan.splitlines() if "Exchange" in line), plan
+
+
 def test_serialize_profile(spark):
-    from tidemark.streaming.sinks import serialize_profile
+    from tidemark.streaming.sinks import read_serialized, serialize_profile
     df = spark.createDataFrame([("a", 2, None)], "u string, rt_u_click long, rt_u_reveal long")
     js = serialize_profile(df, "u", ["rt_u_click", "rt_u_reveal"], fmt="json").collect()[0]
     assert js["value"] == '{"rt_u_click":2}'
     st = serialize_profile(df, "u", ["rt_u_click", "rt_u_reveal"]).collect()[0]
     assert st["value"]["rt_u_click"] == 2 and st["value"]["rt_u_reveal"] is None
+    for fmt in ("json", "struct"):
+        back = read_serialized(serialize_profile(df, "u", ["rt_u_click", "rt_u_reveal"], fmt), "u",
+                               "rt_u_click long, rt_u_reveal long")
+        assert [tuple(r) for r in back.collect()] == [("a", 2, None)]
 
 
 @pytest.mark.parametrize("spec", [WindowSpec(900, 300, min_records=2), WindowSpec(300, 60, "inclusive", 2),

@@ -89,6 +89,17 @@ def test_reason_counts(spark):
     assert got == {("ok", 1), ("parse", 1), ("type", 1)}
 
 
+def test_only_one_json_object_is_a_message(spark):
+    """Trailing text, several objects, single quotes, bare NaN, text that closes a wrapping array."""
+    good_text = '{"t":"click","u":"a","contid":"1"}'
+    bad = [good_text + " xyz", good_text + ",", good_text + good_text, good_text + "," + good_text,
+           good_text.replace('"', "'"), '{"t":NaN,"u":"a","contid":"1"}', '{"x":NaN,' + good_text[1:],
+           good_text + "] [" + good_text, good_text + "}} {\"v\":" + good_text, "[" + good_text + "]", "null", "5", ""]
+    fine = [good_text, "  " + good_text + " ", '{"x":[1,{"y":"]"}],' + good_text[1:]]
+    rows = parse_actions(_raw(spark, bad + fine), CFG, keep=("key",)).collect()
+    assert sorted(str(r["reason"]) for r in rows) == ["None"] * len(fine) + ["parse"] * len(bad)
+
+
 def test_nested_json_access(spark):
     """Object in object, arrays, array of objects, bool, null, number."""
     from pyspark.sql import functions as F
@@ -120,10 +131,15 @@ def test_scalar_traps(spark):
     dup = _raw(spark, ['{"t":"click","t":"show","u":"a","contid":"1"}'])
     r = parse_actions(dup, CFG, keep=("key",)).collect()[0]
     assert (r["t"], r["shows"]) == ("show", 1)  # the last occurrence wins
+    nan, inf = math.nan, math.inf
+    odd = spark.createDataFrame([(nan, 0.0), (5.0, -0.0), (-5.0, -0.0), (inf, 0.0), (None, 0.0), (nan, 2.0)],
+                                "a double, b double")
+    got = [x[0] for x in odd.select(ieee_divide("a", "b")).collect()]
+    assert math.isnan(got[0]) and got[1:5] == [-inf, inf, inf, None] and math.isnan(got[5])
     nums = spark.createDataFrame([(-5.0, 0.0), (0.0, 0.0), (5.0, 0.0), (1.0, 4.0)], "a double, b double")
     got = [x[0] for x in nums.select(ieee_divide("a", "b")).collect()]
     assert got[0] == -math.inf and math.isnan(got[1]) and got[2] == math.inf and got[3] == 0.25
     texts = ["5\n", "+.5", "5.", "-Infinity", "NaN", "1e5", "0x1p3", "1_000", "", " 1"]
     ok = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "x string")
           .select(is_strict_double(F.col("x"))).collect()]
-    assert ok == [False, True, True, True, True, True, False, False, False, False]
+    assert ok == [False, True, True, True, True, True, True, False, False, False]

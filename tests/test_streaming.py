@@ -7,146 +7,149 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.catalog import QUERIES
+from tidemark.config import USER_KEY_TEMPLATE, WindowSpec
+from tidemark.plans.catalog import QUERIES, SPECS
 from tidemark.plans.streaming import (
     ACCUMULATE_COLS,
     FIRST_WRITE_COLS,
+    SPEC,
     click_show_twin,
-    event_stream,
+    completion_twin,
+    event_replay,
+    feed_click_show_twin,
+    feed_completion_twin,
+    feed_profile_twin,
     keyed_twin,
+    messages_click_show_twin,
+    messages_completion_twin,
     profile_twin,
+    run_replay,
 )
-from tidemark.streaming.sinks import Accumulate, FirstWrite
+from tidemark.operators.metrics import to_click_show
+from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records
+from tidemark.streaming.sinks import Accumulate, FirstWrite, KeyedTableSink, ResultTableSink
 from tidemark.streaming.sources import kafka_options
+from tidemark.streaming.windowed import LateRows, every_step, gate_click_show, start, windowed_click_show
 
 from conftest import SF_SMALL
 
-N_FILES = 5
+N_FILES = 8
+LONG = "40 days"  # covers the whole table
 
 
-@pytest.fixture(scope="module")
-def split_dir(spark):
-    """events of sf0.001 as N_FILES parquet files, written oldest first."""
+def _split(spark, part):
     d = tempfile.mkdtemp(prefix="tidemark-split-")
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    edges = ev.approxQuantile("event_id", [i / N_FILES for i in range(1, N_FILES)], 0.0)
-    lo = None
-    for hi in edges + [None]:
-        part = ev
-        if lo is not None:
-            part = part.filter(F.col("event_id") > lo)
-        if hi is not None:
-            part = part.filter(F.col("event_id") <= hi)
-        part.coalesce(1).write.mode("append").parquet(d)
-        lo = hi
+    for k in range(N_FILES):
+        ev.filter(part(ev) == k).coalesce(1).write.mode("append").parquet(f"{d}/events.parquet")
     return d
 
 
+@pytest.fixture(scope="module")
+def ordered_dir(spark):
+    """events of sf0.001 as a folder of N_FILES files, oldest first."""
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    return _split(spark, lambda ev: F.floor(F.col("event_id") * N_FILES / n))
+
+
+@pytest.fixture(scope="module")
+def mixed_dir(spark):
+    """The same with every file spread over the whole time."""
+    return _split(spark, lambda ev: F.pmod("event_id", F.lit(N_FILES)))
+
+
 def _rows(df, cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    norm = lambda v: "nan" if isinstance(v, float) and v != v else v
+    return sorted((tuple(norm(r[c]) for c in cols) for r in df.collect()), key=repr)
 
 
-def _stream(spark, split_dir):
-    scratch = tempfile.mkdtemp(prefix="tidemark-stream-")
-    return event_stream(spark, SF_SMALL, scratch, source_dir=split_dir, name="part",
-                        max_files_per_trigger=1), scratch
+def _replay(spark, folder, watermark=LONG):
+    return event_replay(spark, folder, tempfile.mkdtemp(prefix="tidemark-stream-"), 1, watermark)
 
 
-def test_click_show_stream_equals_batch(spark, split_dir):
-    stream, scratch = _stream(spark, split_dir)
-    got = click_show_twin(stream, scratch)
-    want = QUERIES["user_click_show_tumbling"](spark, SF_SMALL)
-    cols = ["t", "u", "clicks", "shows"]
-    assert _rows(got, cols) == _rows(want, cols)
-    assert got.select("batch_id").distinct().count() > 1 if "batch_id" in got.columns else True
+TWINS = {
+    "user_click_show_tumbling": click_show_twin,
+    "user_click_show_gapped": lambda r: click_show_twin(r, SPECS["gapped"]),
+    "user_completion_tumbling": completion_twin,
+    "user_profile": profile_twin,
+    "feed_profile": feed_profile_twin,
+    "feed_click_show_5m": lambda r: feed_click_show_twin(r, 300),
+    "feed_completion_5m": lambda r: feed_completion_twin(r, 300),
+    "keyed_first_write": lambda r: keyed_twin(r, FirstWrite(), FIRST_WRITE_COLS),
+    "keyed_accumulate": lambda r: keyed_twin(r, Accumulate(SPEC), ACCUMULATE_COLS),
+    "messages_click_show": messages_click_show_twin,
+    "messages_completion": messages_completion_twin,
+}
 
 
-def test_profile_stream_equals_batch(spark, split_dir):
-    stream, scratch = _stream(spark, split_dir)
-    got = profile_twin(stream, scratch)
-    want = QUERIES["user_profile"](spark, SF_SMALL)
-    cols = ["t", "u", "rt_u_click", "rt_u_reveal", "rt_u_rpt"]
-    assert _rows(got, cols) == _rows(want, cols)
+@pytest.mark.parametrize("name", sorted(TWINS))
+def test_stream_equals_batch_out_of_order(spark, mixed_dir, name):
+    """A folder of files in no order of time, one per micro-batch, and a sufficient watermark."""
+    want = QUERIES[name](spark, SF_SMALL)
+    assert _rows(TWINS[name](_replay(spark, mixed_dir)), want.columns) == _rows(want, want.columns)
 
 
-def test_feed_profile_stream_equals_batch(spark, split_dir):
-    from tidemark.plans.streaming import feed_profile_twin
-    stream, scratch = _stream(spark, split_dir)
-    got = feed_profile_twin(stream, scratch)
-    want = QUERIES["feed_profile"](spark, SF_SMALL)
-    cols = sorted(want.columns)
-    norm = lambda rows: sorted((tuple("nan" if isinstance(v, float) and v != v else v for v in r)
-                                for r in rows), key=repr)
-    assert norm(tuple(r[c] for c in cols) for r in got.collect()) == \
-        norm(tuple(r[c] for c in cols) for r in want.collect())
+def test_late_rows_end_the_run(spark, mixed_dir):
+    with pytest.raises(LateRows):
+        click_show_twin(_replay(spark, mixed_dir, "10 seconds"))
 
 
 @pytest.mark.parametrize("op,cols,twin", [(FirstWrite(), FIRST_WRITE_COLS, "keyed_first_write"),
-                                          (Accumulate(), ACCUMULATE_COLS, "keyed_accumulate")])
-def test_keyed_stream_across_batches(spark, split_dir, op, cols, twin):
-    stream, scratch = _stream(spark, split_dir)
-    got = keyed_twin(stream, scratch, op, cols)
-    n_batches = spark.read.parquet(f"{scratch}/out").select("batch_id").distinct().count()
-    assert n_batches > 2
+                                          (Accumulate(SPEC), ACCUMULATE_COLS, "keyed_accumulate")])
+def test_keyed_stream_across_batches(spark, ordered_dir, op, cols, twin):
+    replay = _replay(spark, ordered_dir, "10 seconds")
+    got = keyed_twin(replay, op, cols)
+    assert spark.read.parquet(f"{replay.scratch}/out").select("batch_id").distinct().count() > 3
     assert _rows(got, cols) == _rows(QUERIES[twin](spark, SF_SMALL), cols)
 
 
-def test_keyed_sink_compaction(spark, split_dir):
-    """Snapshots every two batches give the same keyed results."""
-    from tidemark.config import USER_KEY_TEMPLATE
-    from tidemark.operators.metrics import to_click_show
-    from tidemark.plans.streaming import SPEC, _run
-    from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records
-    from tidemark.streaming.windowed import gate_click_show, windowed_click_show
-    from tidemark.streaming.sinks import KeyedTableSink
+def _click_show(replay):
+    return windowed_click_show(to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG), SPEC, "u")
+
 
-    stream, scratch = _stream(spark, split_dir)
-    agg = windowed_click_show(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG), SPEC, "u")
-    sink = KeyedTableSink(f"{scratch}/out", f"{scratch}/state", Accumulate(), key="u", order="t",
-                          key_template=USER_KEY_TEMPLATE, transform=gate_click_show(SPEC, "u"),
-                          compact_every=2)
-    _run(agg, sink, scratch)
-    got = spark.read.parquet(f"{scratch}/out")
-    assert sink._latest_snapshot(spark, 100) is not None
-    assert _rows(got, ACCUMULATE_COLS) == _rows(QUERIES["keyed_accumulate"](spark, SF_SMALL),
-                                                ACCUMULATE_COLS)
+def test_keyed_sink_compaction(spark, ordered_dir):
+    """Snapshots every two batches give the same keyed results."""
+    replay = _replay(spark, ordered_dir, "10 seconds")
+    d = replay.scratch
+    sink = KeyedTableSink(f"{d}/out", f"{d}/state", Accumulate(SPEC), key="u", order="t",
+                          key_template=USER_KEY_TEMPLATE, transform=gate_click_show(SPEC, "u"), compact_every=2)
+    run_replay(replay, lambda: start(_click_show(replay), sink, f"{d}/checkpoint"))
+    got = spark.read.parquet(f"{d}/out")
+    assert _rows(got, ACCUMULATE_COLS) == _rows(QUERIES["keyed_accumulate"](spark, SF_SMALL), ACCUMULATE_COLS)
 
 
-def test_restart_from_checkpoint(spark, split_dir):
+def test_restart_from_checkpoint(spark, ordered_dir):
     """Stop after two files, restart on the same checkpoint: same result."""
-    from tidemark.plans.streaming import SPEC
-    from tidemark.operators.metrics import to_click_show
-    from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records
-    from tidemark.streaming.windowed import gate_click_show, windowed_click_show
-    from tidemark.streaming.sinks import ResultTableSink
-
-    stream, scratch = _stream(spark, split_dir)
-    agg = windowed_click_show(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG), SPEC, "u")
-    sink = ResultTableSink(f"{scratch}/out", gate_click_show(SPEC, "u"))
-
-    def run_once(max_batches):
-        w = (agg.writeStream.outputMode("append").foreachBatch(sink)
-             .option("checkpointLocation", f"{scratch}/checkpoint"))
-        if max_batches:
-            q = w.trigger(processingTime="0 seconds").start()
-            while (q.lastProgress or {}).get("batchId", -1) < max_batches - 1:
-                q.awaitTermination(0.2)
-            q.stop()
-        else:
-            w.trigger(availableNow=True).start().awaitTermination()
-
-    run_once(2)
-    run_once(None)
-    got = spark.read.parquet(f"{scratch}/out")
+    replay = _replay(spark, ordered_dir, "10 seconds")
+    d = replay.scratch
+    sink = ResultTableSink(f"{d}/out", gate_click_show(SPEC, "u"))
+    q = start(_click_show(replay), sink, f"{d}/checkpoint", {"processingTime": "0 seconds"})
+    while (q.lastProgress or {}).get("batchId", -1) < 1:
+        q.awaitTermination(0.2)
+    q.stop()
+    run_replay(replay, lambda: start(_click_show(replay), sink, f"{d}/checkpoint"))
     want = QUERIES["user_click_show_tumbling"](spark, SF_SMALL)
-    cols = ["t", "u", "clicks", "shows"]
-    assert _rows(got, cols) == _rows(want, cols)
+    assert _rows(spark.read.parquet(f"{d}/out"), want.columns) == _rows(want, want.columns)
+
+
+def test_processing_time_trigger(spark, ordered_dir):
+    """T5: a live stream runs one micro-batch per step."""
+    assert every_step(WindowSpec(5, 1)) == {"processingTime": "1 seconds"}
+    replay = _replay(spark, ordered_dir, "10 seconds")
+    sink = ResultTableSink(f"{replay.scratch}/out", gate_click_show(SPEC, "u"))
+    q = start(_click_show(replay), sink, f"{replay.scratch}/checkpoint", every_step(WindowSpec(5, 1)))
+    while (q.lastProgress or {}).get("batchId", -1) < 2:
+        q.awaitTermination(0.2)
+    starts = [p["timestamp"] for p in q.recentProgress]
+    q.stop()
+    assert len(set(starts)) == len(starts) >= 3
 
 
 def test_streaming_accumulate_refuses_overlap():
-    from tidemark.config import WindowSpec
     with pytest.raises(ValueError):
         Accumulate(spec=WindowSpec(300, 60))
+    with pytest.raises(TypeError):
+        Accumulate()
     Accumulate(spec=WindowSpec(300))
 
 
@@ -178,17 +181,10 @@ def test_user_defined_keyed_operation(spark):
 def test_kafka_options():
     o = kafka_options("b1:9092,b2:9092", "act", maxOffsetsPerTrigger=1000)
     assert o["subscribe"] == "act" and o["startingOffsets"] == "latest"
+    assert "failOnDataLoss" not in o  # lost offsets end the query
     assert o["kafka.bootstrap.servers"] == "b1:9092,b2:9092" and o["maxOffsetsPerTrigger"] == "1000"
 
 
-def test_union_glob():
-    from tidemark.streaming.sources import union_glob
-    assert union_glob("/root/a/x", "/tmp/y") == "/{root/a/x,tmp/y}"
-    assert union_glob("s3a://b/data/t1", "s3a://b/ckpt/f") == "s3a://b/{data/t1,ckpt/f}"
-    with pytest.raises(ValueError):
-        union_glob("s3a://b1/x", "s3a://b2/y")
-
-
 def test_sinks_read_empty(spark):
     """Sinks that only saw empty batches read back as empty typed tables."""
     from tidemark.streaming.sinks import KeyedTableSink, ResultTableSink

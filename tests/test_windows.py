@@ -76,19 +76,21 @@ def test_fanout_guard(spark):
     import pytest
     df = _items(spark, [0])
     with pytest.raises(ValueError):
-        window_snapshot(df, WindowSpec(4 * 3600, 1))
+        window_snapshot(df, WindowSpec(4 * 3600 + 1, 1))
+    window_snapshot(df, WindowSpec(4 * 3600, 1))
+    window_snapshot(df, WindowSpec(8 * 3600, 1, max_fanout=30000))
 
 
 def test_rolling_matches_bruteforce(spark):
     secs = [0, 1, 1, 3, 7, 8, 15, 16, 30, 31]
     users = ["a", "b", "a", "a", "b", "a", "a", "b", "a", "a"]
     df = _items(spark, secs, users)
-    for bucket in (5, 2, 1, 7):
+    for block in (5, 2, 1, 7):
         got = {r["id"]: (r["rolling_clicks"], r["rolling_n"])
-               for r in rolling_sums(df, "u", ["clicks"], 5, bucket=bucket).collect()}
+               for r in rolling_sums(df, "u", ["clicks"], 5, block=block).collect()}
         for i, (s, u) in enumerate(zip(secs, users)):
             n = sum(1 for s2, u2 in zip(secs, users) if u2 == u and s - 5 <= s2 <= s)
-            assert got[i] == (n, n), (bucket, i)
+            assert got[i] == (n, n), (block, i)
 
 
 @settings(max_examples=8, deadline=None)

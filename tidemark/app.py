@@ -28,6 +28,7 @@ from tidemark.functions.scalars import as_instant
 from tidemark.operators.parse import good, parse_actions, parse_vv
 from tidemark.streaming.windowed import (
     DEFAULT_WATERMARK,
+    await_complete,
     every_step,
     gate_click_show,
     gate_completion,
@@ -38,6 +39,11 @@ from tidemark.streaming.windowed import (
 from tidemark.streaming.sinks import FirstWrite, KeyedTableSink, ResultTableSink
 from tidemark.streaming.sources import read_kafka, read_message_files
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_STATE = "org.apache.spark.sql.execution.streaming.state"
+HDFS_STATE_STORE = f"{_STATE}.HDFSBackedStateStoreProvider"
+ROCKSDB_STATE_STORE = f"{_STATE}.RocksDBStateStoreProvider"
+
 
 def click_show_stream(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig,
                       watermark: str = DEFAULT_WATERMARK, strict_strings: bool = False) -> DataFrame:
@@ -58,25 +64,24 @@ def completion_stream(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig,
 
 def start_click_show(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str,
                      state: str, checkpoint: str, trigger: dict | None = None,
-                     state_partitions: int | None = None, strict_strings: bool = False
-                     ) -> tuple[StreamingQuery, KeyedTableSink]:
+                     state_partitions: int | None = None, strict_strings: bool = False,
+                     watermark: str = DEFAULT_WATERMARK) -> tuple[StreamingQuery, KeyedTableSink]:
     """Click/show pipeline into the keyed first-write store."""
     sink = KeyedTableSink(out, state, FirstWrite(), key="u", order="t",
                           key_template=USER_KEY_TEMPLATE, transform=gate_click_show(spec, "u"))
-    q = start(click_show_stream(messages, spec, cfg, strict_strings=strict_strings), sink,
-              checkpoint, trigger,
-              state_partitions=state_partitions)
+    q = start(click_show_stream(messages, spec, cfg, watermark, strict_strings), sink,
+              checkpoint, trigger, state_partitions=state_partitions)
     return q, sink
 
 
 def start_completion(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str,
                      checkpoint: str, trigger: dict | None = None,
                      exact_scale: int | None = None, state_partitions: int | None = None,
-                     strict_strings: bool = False) -> tuple[StreamingQuery, ResultTableSink]:
+                     strict_strings: bool = False, watermark: str = DEFAULT_WATERMARK
+                     ) -> tuple[StreamingQuery, ResultTableSink]:
     """Completion pipeline into a result table."""
     sink = ResultTableSink(out, gate_completion(spec, "u", exact_scale))
-    q = start(completion_stream(messages, spec, cfg, exact_scale=exact_scale,
-                                strict_strings=strict_strings), sink,
+    q = start(completion_stream(messages, spec, cfg, watermark, exact_scale, strict_strings), sink,
               checkpoint, trigger, state_partitions=state_partitions)
     return q, sink
 
@@ -91,6 +96,12 @@ def _args(argv=None):
     p.add_argument("--step", type=int, default=REFERENCE_SPEC.slide)
     p.add_argument("--mode", default=REFERENCE_SPEC.mode, choices=["inclusive", "half_open"])
     p.add_argument("--min-records", type=int, default=REFERENCE_SPEC.min_records)
+    p.add_argument("--watermark", default=DEFAULT_WATERMARK,
+                   help="how late a message may come; later ones end the run (see --allow-late)")
+    p.add_argument("--allow-late", action="store_true",
+                   help="drop messages later than the watermark instead of ending the run")
+    p.add_argument("--kafka-option", action="append", default=[], metavar="NAME=VALUE",
+                   help="further option of the Kafka source, e.g. maxOffsetsPerTrigger=1000000")
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     p.add_argument("--strict-strings", action="store_true",
                    help="reject messages whose fields are JSON numbers instead of strings")
@@ -105,23 +116,28 @@ def _args(argv=None):
 def main(argv=None) -> None:
     a = _args(argv)
     spark = SparkSession.builder.appName("tidemark").getOrCreate()
+    if spark.conf.get(STATE_STORE, None) in (None, "", HDFS_STATE_STORE):
+        spark.conf.set(STATE_STORE, ROCKSDB_STATE_STORE)  # open windows off the heap
     cfg = ActionConfig(a.type_key, a.user_key, a.content_key, a.watch_key, a.duration_key,
                        a.click_value, a.show_value)
     spec = WindowSpec(a.length, a.step, a.mode, a.min_records)
     if a.kafka:
-        acts, views = read_kafka(spark, a.kafka, a.actions), read_kafka(spark, a.kafka, a.views)
+        extra = dict(x.split("=", 1) for x in a.kafka_option)
+        acts, views = (read_kafka(spark, a.kafka, topic, **extra) for topic in (a.actions, a.views))
     else:
         acts, views = read_message_files(spark, a.actions), read_message_files(spark, a.views)
     trigger = {"availableNow": True} if a.once else every_step(spec)
     out = a.out.rstrip("/")
     q1, _ = start_click_show(acts, spec, cfg, f"{out}/user_click_show", f"{out}/user_click_show_state",
                           f"{out}/_checkpoints/click_show", trigger, a.state_partitions,
-                          a.strict_strings)
+                          a.strict_strings, a.watermark)
     q2, _ = start_completion(views, spec, cfg, f"{out}/user_completion",
                           f"{out}/_checkpoints/completion", trigger,
-                             state_partitions=a.state_partitions, strict_strings=a.strict_strings)
-    q1.awaitTermination()
-    q2.awaitTermination()
+                             state_partitions=a.state_partitions, strict_strings=a.strict_strings,
+                             watermark=a.watermark)
+    late = await_complete(q1, q2, fail_on_late=not a.allow_late)
+    if late:
+        print(f"{late} messages came later than the watermark allows and were dropped", file=sys.stderr)
 
 
 if __name__ == "__main__":

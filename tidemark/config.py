@@ -15,8 +15,10 @@ REFERENCE_WINDOW_SECONDS = 5                     # window length of both pipelin
 REFERENCE_STEP_SECONDS = 1                       # trigger step of both pipelines
 FEED_LENGTHS_SECONDS = (300, 7200, 14400)        # declared feed windows: 5 min, 2 h, 4 h
 
-# Largest number of windows a single row may be copied into (length / step).
-MAX_WINDOW_FANOUT = 3600
+# Largest number of windows a single row may be copied into (length / step)
+# unless a caller sets its own ``max_fanout``: the declared 4 h feed window
+# at the 1 s trigger step.
+MAX_WINDOW_FANOUT = 14400
 
 
 @dataclass(frozen=True)
@@ -48,6 +50,7 @@ class WindowSpec:
     step: int | None = None
     mode: str = "half_open"
     min_records: int = 1
+    max_fanout: int = MAX_WINDOW_FANOUT
 
     def __post_init__(self):
         if self.length <= 0:
@@ -78,12 +81,12 @@ class WindowSpec:
         """Upper bound of the number of windows one record falls into."""
         return -(-self.span // self.slide)
 
-    def check_fanout(self, limit: int = MAX_WINDOW_FANOUT) -> None:
-        if self.fanout > limit:
+    def check_fanout(self) -> None:
+        if self.fanout > self.max_fanout:
             raise ValueError(
                 f"window {self.length}s / step {self.slide}s copies each row into "
-                f"{self.fanout} windows (limit {limit}); use a coarser step or "
-                "the rolling operator")
+                f"{self.fanout} windows (limit {self.max_fanout}); raise max_fanout, "
+                "use a coarser step or the rolling operator")
 
 
 REFERENCE_SPEC = WindowSpec(REFERENCE_WINDOW_SECONDS, REFERENCE_STEP_SECONDS,

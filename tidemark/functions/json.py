@@ -6,9 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
-CORRUPT_FIELD = "_corrupt_record"
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 
 def json_path(text, path: str) -> Column:
@@ -27,12 +25,21 @@ def json_scalar_fields(text, keys: Sequence[str]) -> Column:
     """Parse a JSON object into a struct of string fields ``keys``.
 
     Scalars are read as their text (numbers keep their spelling), nested
-    values as their JSON text. Text that is not one JSON object gives a struct
-    whose ``_corrupt_record`` holds the input; a JSON ``null`` gives NULL.
-    Duplicate keys resolve to the last occurrence.
+    values as their JSON text. Text that is not exactly one JSON object (JSON
+    ``null``, trailing text, two objects, single quotes, a bare ``NaN``) gives
+    NULL. Duplicate keys resolve to the last occurrence.
+
+    ``from_json`` ignores what follows the first value, so the text is parsed
+    as the one element of an array. Only a text with a ``]`` of its own could
+    close that array early; such a text must also parse as a member of an
+    object, and none can leave both.
     """
     c = F.col(text) if isinstance(text, str) else text
-    fields = [StructField(k, StringType(), True) for k in keys]
-    fields.append(StructField(CORRUPT_FIELD, StringType(), True))
-    return F.from_json(c, StructType(fields), {"columnNameOfCorruptRecord": CORRUPT_FIELD,
-                                               "mode": "PERMISSIVE"})
+    fields = StructType([StructField(k, StringType(), True) for k in keys])
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false",
+              "allowNonNumericNumbers": "false"}
+    listed = F.from_json(F.concat(F.lit("["), c, F.lit("]")), ArrayType(fields), strict)
+    member = F.from_json(F.concat(F.lit('{"v":'), c, F.lit("}")),
+                         StructType([StructField("v", StringType(), True)]), strict)
+    whole = ~F.contains(c, F.lit("]")) | F.coalesce(member["v"].isNotNull(), F.lit(False))
+    return F.when((F.size(listed) == 1) & whole, listed[0])

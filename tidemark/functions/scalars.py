@@ -3,8 +3,8 @@
 * ``ieee_divide``: IEEE-754 division (x/0 = +-Inf, 0/0 = NaN) that also holds
   with ANSI mode on, where a bare ``/`` would raise DIVIDE_BY_ZERO.
 * ``strict_double``: string -> double that rejects everything a strict
-  decimal parser rejects ('1.0d', ' 2 ', '1e400', ...). Hex floats are
-  deliberately not accepted.
+  number parser rejects ('1.0d', ' 2 ', '1e400', ...). Hex floats with a
+  binary exponent ('0x1.8p3') are numbers.
 * ``trim_spaces``: strips ASCII spaces only (tabs stay).
 """
 
@@ -16,10 +16,11 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from tidemark.config import USER_KEY_TEMPLATE
 
-# Fixed value: the accepted spelling of a decimal floating point number,
-# including signed infinities and NaN, anchored at the very end of text.
+# Fixed value: the accepted spelling of a floating point number, decimal or
+# hexadecimal, including signed infinities and NaN, anchored at the very end of text.
 NUMBER_PATTERN = (
     r"^(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+    r"|[+-]?0[xX](?:[0-9a-fA-F]+\.?[0-9a-fA-F]*|\.[0-9a-fA-F]+)[pP][+-]?[0-9]+"
     r"|[+-]?(?i:inf|infinity)|(?i:nan))\z"
 )
 
@@ -41,16 +42,21 @@ def _col(c) -> Column:
 
 
 def ieee_divide(num, den) -> Column:
-    """``num / den`` with IEEE results for a zero divisor, ANSI-safe."""
+    """``num / den`` with IEEE results for a zero divisor (signed zeros
+    included), ANSI-safe; NULL when either side is."""
     n, d = _col(num).cast("double"), _col(den).cast("double")
+    # Spark orders NaN above every number and holds -0.0 equal to 0.0
+    same_sign = (n > 0) == (d.cast("string") == "0.0")
     return (
-        F.when(d == 0, F.when(n > 0, _pos_inf()).when(n < 0, _neg_inf()).otherwise(_nan()))
+        F.when(n.isNull() | d.isNull(), F.lit(None).cast("double"))
+        .when((d == 0) & (F.isnan(n) | (n == 0)), _nan())
+        .when(d == 0, F.when(same_sign, _pos_inf()).otherwise(_neg_inf()))
         .otherwise(n / F.when(d != 0, d))
     )
 
 
 def is_strict_double(text) -> Column:
-    """True when ``text`` is a complete decimal number a strict parser accepts.
+    """True when ``text`` is a complete number a strict parser accepts.
 
     Overflowing literals such as '1e400' are rejected; spelled-out infinities
     ('inf', '-Infinity') are accepted.

@@ -82,10 +82,11 @@ def _decode(frame: pd.Series) -> pd.DataFrame:
 
 
 def encode_frame(msg_id, data) -> Column:
-    """Full frame (with size prefix) of an int32 id and a binary payload."""
+    """Full frame (with size prefix) of an int32 id and a binary payload (C2);
+    NULL for an id beyond int32 or a NULL payload."""
     i = F.col(msg_id) if isinstance(msg_id, str) else msg_id
     d = F.col(data) if isinstance(data, str) else data
-    return _encode(i.cast("int"), d.cast("binary"))
+    return _encode(i.try_cast("int"), d.cast("binary"))
 
 
 def decode_frame(frame) -> Column:

@@ -98,15 +98,16 @@ def running_totals(df: DataFrame, key: str, order: Sequence[str], block: Column,
 def accumulate_merge(results: DataFrame, key: str = "u", order: str = "t",
                      values: Sequence[str] = ("clicks", "shows"),
                      returned: Sequence[str] = ("rt_u_click", "rt_u_reveal"),
-                     spec: WindowSpec | None = None,
+                     *, spec: WindowSpec,
                      block_seconds: int = DEFAULT_BLOCK_SECONDS,
                      key_template: str | None = None) -> DataFrame:
     """``(order, key, [store_key], *returned)``: running totals per key.
 
     Accumulating overlapping windows would count a record several times, so
-    only half-open tumbling windows are accepted when ``spec`` is given.
+    only half-open tumbling windows are accepted: ``spec`` is the geometry
+    that made ``results``.
     """
-    if spec is not None and not spec.is_tumbling:
+    if not spec.is_tumbling:
         raise ValueError("accumulating merge needs half-open tumbling windows; "
                          "overlapping windows would count records more than once")
     base = results.select(order, key, *values)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import ActionConfig
-from tidemark.functions.json import CORRUPT_FIELD, json_scalar_fields
+from tidemark.functions.json import json_scalar_fields
 from tidemark.functions.scalars import ieee_divide, one_hot, strict_double, trim_spaces
 
 REASON = "reason"
@@ -66,7 +66,7 @@ def _not_all_strings(value: str, keys: list[str]) -> Column:
 
 
 def _failed_parse() -> Column:
-    return F.col("__j").isNull() | F.col(f"__j.{CORRUPT_FIELD}").isNotNull()
+    return F.col("__j").isNull()
 
 
 def parse_actions(raw: DataFrame, cfg: ActionConfig = ActionConfig(), value: str = "value",

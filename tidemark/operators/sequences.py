@@ -70,7 +70,8 @@ def sequence_summary(df: DataFrame, key: str, value: str, order: Sequence[str],
 def bounded_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int,
                    block_size: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
     """Accepted rows of every key with ``pos`` (0-based) and per-key flags
-    ``size``, ``rejected`` and ``full``. ``capacity < 0`` means unlimited:
+    ``size``, ``rejected``, ``full`` and ``empty`` (false: a key that holds
+    nothing has no rows, unless capacity is 0). ``capacity < 0`` means unlimited:
     every row is accepted and ``pos`` is a blocked running count (blocks of
     ``block_size`` over the first order column), so no task holds a whole key.
     """
@@ -88,4 +89,5 @@ def bounded_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int,
     full = F.lit(False) if capacity < 0 else F.col("__n") >= capacity
     return (join_back(kept, counts, key)
             .withColumn("size", size).withColumn("rejected", rejected).withColumn("full", full)
+            .withColumn("empty", size == 0)
             .drop("__n"))

@@ -22,8 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
@@ -39,15 +38,22 @@ def _offset(spec: WindowSpec) -> int:
     return (-spec.length) % spec.slide
 
 
-def window_column(ts: str, spec: WindowSpec) -> Column:
-    """``window()`` struct for ``spec``; valid when step <= span."""
+def stream_windows(df: DataFrame, spec: WindowSpec, ts: str = "ts") -> DataFrame:
+    """Add column ``w``, the ``window()`` struct of each window a row is in.
+
+    Steps longer than the window take tumbling windows as long as the step
+    and keep the rows of the last ``span`` seconds of each.
+    """
     spec.check_fanout()
-    if spec.slide > spec.span:
-        raise ValueError("step longer than the window: use with_windows()")
-    if spec.slide == spec.span and _offset(spec) == 0:
-        return F.window(ts, f"{spec.span} seconds")
-    return F.window(ts, f"{spec.span} seconds", f"{spec.slide} seconds",
-                    f"{_offset(spec)} seconds")
+    if spec.slide <= spec.span:
+        if spec.slide == spec.span and _offset(spec) == 0:
+            return df.withColumn(WINDOW_COL, F.window(ts, f"{spec.span} seconds"))
+        return df.withColumn(WINDOW_COL, F.window(ts, f"{spec.span} seconds", f"{spec.slide} seconds",
+                                                  f"{_offset(spec)} seconds"))
+    length = f"{spec.slide} seconds"
+    end_offset = "1 seconds" if spec.mode == "inclusive" else "0 seconds"
+    return (df.withColumn(WINDOW_COL, F.window(ts, length, length, end_offset))
+            .filter(F.col(ts) >= F.col(f"{WINDOW_COL}.end") - F.expr(f"INTERVAL {spec.span} SECONDS")))
 
 
 def with_windows(df: DataFrame, spec: WindowSpec, ts: str = "ts") -> DataFrame:
@@ -95,7 +101,7 @@ def base_bucket(spec: WindowSpec) -> int:
     return math.gcd(spec.length, spec.slide)
 
 
-def pre_aggregate(df: DataFrame, spec: WindowSpec, key: str, sums: dict[str, Column],
+def pre_aggregate(df: DataFrame, spec: WindowSpec, key: str, sums: list[Column],
                   ts: str = "ts") -> DataFrame:
     """Collapse rows to one per (key, base bucket) before windowing.
 
@@ -106,10 +112,24 @@ def pre_aggregate(df: DataFrame, spec: WindowSpec, key: str, sums: dict[str, Col
     g = base_bucket(spec)
     sec = epoch_seconds(df, ts)
     b = F.floor(sec / F.lit(g)).cast("bigint") * g
-    agg = df.groupBy(key, b.alias("__bs")).agg(*[c.alias(n) for n, c in sums.items()],
-                                               F.count(F.lit(1)).alias("__n"))
-    return agg.select(_as_timestamp(df, ts, F.col("__bs")).alias(ts), key,
-                      *sums.keys(), "__n")
+    agg = df.groupBy(key, b.alias("__bs")).agg(*sums, F.count(F.lit(1)).alias("__n"))
+    return agg.withColumn(ts, _as_timestamp(df, ts, F.col("__bs"))).drop("__bs")
+
+
+# A grouping key as two never-null columns, so that joins on it are plain
+# equalities and keep the partitioning of the aggregate.
+GROUP_COLS = ("__k", "__knull")
+
+
+def group_key(key: str) -> list[Column]:
+    """``key`` as the grouping columns ``GROUP_COLS`` (a NULL key is a group)."""
+    return [F.coalesce(F.col(key).cast("string"), F.lit("")).alias(GROUP_COLS[0]),
+            F.col(key).isNull().alias(GROUP_COLS[1])]
+
+
+def grouped_key(key: str) -> Column:
+    """The string key back from ``GROUP_COLS``."""
+    return F.when(~F.col(GROUP_COLS[1]), F.col(GROUP_COLS[0])).alias(key)
 
 
 def trigger_second(spec: WindowSpec, w: str = WINDOW_COL) -> Column:
@@ -117,17 +137,17 @@ def trigger_second(spec: WindowSpec, w: str = WINDOW_COL) -> Column:
     return F.col(w)
 
 
-def min_records_gate(agg: DataFrame, key: str, count_col: str, min_records: int,
+def min_records_gate(agg: DataFrame, count_col: str, min_records: int,
                      w: str = WINDOW_COL) -> DataFrame:
     """Drop every row of a window whose total ``count_col`` is below ``min_records``.
 
-    ``agg`` holds one row per (window, key). The per-window totals are a
-    partial aggregate. For the common gate of two records a failing window
-    holds exactly one (window, key) row, so the failing pairs are anti-joined
-    on (window, key), the very partitioning ``agg`` already has: no re-shuffle
-    of ``agg`` and no task that gathers a whole window. Other gates anti-join
-    the (small) set of failing windows; AQE broadcasts it when its measured
-    size allows and splits skewed partitions otherwise.
+    ``agg`` holds one row per window and ``GROUP_COLS``. The per-window totals
+    are a partial aggregate. For the common gate of two records a failing
+    window holds exactly one row, so the failing rows are anti-joined by plain
+    equality on the window and ``GROUP_COLS``, the very partitioning ``agg``
+    already has: ``agg`` is exchanged once, broadcast or not, and no task
+    gathers a whole window. Other gates anti-join the (small) set of failing
+    windows, which shuffles ``agg`` by window unless AQE broadcasts that set.
     """
     if min_records <= 1:
         return agg
@@ -136,42 +156,34 @@ def min_records_gate(agg: DataFrame, key: str, count_col: str, min_records: int,
     agg = agg.filter(F.col(w).isNotNull())
     # Every column of ``agg`` is referenced (``__same``) so column pruning leaves
     # both branches with the same aggregate and the shuffle below is reused.
-    others = [c for c in agg.columns if c not in (w, key, count_col)]
-    totals = agg.groupBy(w).agg(F.sum(count_col).alias("__total"), F.min(key).alias("__key"),
-                                F.max(F.hash(*[F.col(c) for c in others] or [F.lit(0)])).alias("__same"))
+    others = [c for c in agg.columns if c not in (w, count_col, *GROUP_COLS)]
+    totals = agg.groupBy(w).agg(
+        F.sum(count_col).alias("__total"), *[F.min(c).alias(f"__f{c}") for c in GROUP_COLS],
+        F.max(F.hash(*[F.col(c) for c in others] or [F.lit(0)])).alias("__same"))
+    failing = totals.filter(F.col("__total") < min_records).withColumnRenamed(w, "__w")
     # A failing window's rows all have count < min_records. Stating that in the
     # join condition keeps the anti-join above the aggregate, so raw rows are
-    # never shuffled for it and map-side combining stays in place.
-    small = F.col(count_col) < min_records
+    # never shuffled for it and map-side combining stays in place. The test of
+    # ``__same`` is always true (a hash is an int) and keeps it alive.
+    cond = ((agg[w] == failing["__w"]) & (F.col(count_col) < min_records)
+            & (failing["__same"] >= F.lit(-(2 ** 31))))
     if min_records == 2:
-        failing = totals.filter(F.col("__total") < 2).select(
-            F.col(w).alias("__w"), F.col("__key"), "__same")
-        cond = (agg[w] == failing["__w"]) & agg[key].eqNullSafe(failing["__key"]) & small
-    else:
-        failing = totals.filter(F.col("__total") < min_records).select(
-            F.col(w).alias("__w"), "__same")
-        cond = (agg[w] == failing["__w"]) & small
-    # always true (a hash is an int), but keeps ``__same`` alive through pruning
-    cond = cond & (failing["__same"] >= F.lit(-(2 ** 31)))
+        for c in GROUP_COLS:
+            cond = cond & (agg[c] == failing[f"__f{c}"])
     return agg.join(failing, cond, "left_anti")
 
 
-def arrival_stamp(df: DataFrame, ts: str = "ts", out: str = "sec") -> DataFrame:
-    """Add the arrival stamp in whole seconds since the epoch."""
-    return df.withColumn(out, epoch_seconds(df, ts))
-
-
 def live_set_at(df: DataFrame, trigger, length: int, ts: str = "ts",
                 mode: str = "inclusive") -> DataFrame:
     """Records live at trigger second ``trigger`` (T2): a plain range filter.
 
     ``trigger`` may be an int or a Column (e.g. a scalar subquery).
     """
-    sec = epoch_seconds(df, ts)
     t = trigger if isinstance(trigger, Column) else F.lit(int(trigger))
-    # whole-second bounds: ts >= b iff sec >= b, and ts < b iff sec < b
-    upper = (sec <= t) if mode == "inclusive" else (sec < t)
-    return df.filter((sec >= t - length) & upper)
+    # whole-second bounds on ts itself (sec >= b iff ts >= b), so that they reach the scan
+    stamp = lambda seconds: _as_timestamp(df, ts, seconds)
+    return df.filter((F.col(ts) >= stamp(t - length))
+                     & (F.col(ts) < stamp(t + 1 if mode == "inclusive" else t)))
 
 
 def window_snapshot(df: DataFrame, spec: WindowSpec, ts: str = "ts") -> DataFrame:
@@ -181,32 +193,66 @@ def window_snapshot(df: DataFrame, spec: WindowSpec, ts: str = "ts") -> DataFram
     return out.withColumn("t", trigger_second(spec)).drop(WINDOW_COL)
 
 
+def _live_totals(df: DataFrame, key: str, values: list[str], enter: int, leave: int, ts: str,
+                 block: int) -> DataFrame:
+    """Per key and second at which its live set changes: ``(*GROUP_COLS, sec,
+    __blk, own, __live__<value>..., __live__n)``, the sums after the change.
+
+    A value enters ``enter`` and leaves ``leave`` seconds after its own second.
+    Changes are summed per (key, second); one running sum over the seconds
+    gives the live sums. The running sum is blocked (``running_totals``), so no
+    task holds a hot key's history, and its cost does not grow with the
+    window. ``own``: some row is stamped ``sec - enter``. Sums of whole
+    numbers are exact; doubles would carry the rounding of a running difference.
+    """
+    from tidemark.operators.keyed import running_totals
+
+    held = [f"__{v}" for v in values] + ["__n"]
+    rows = df.filter(F.col(ts).isNotNull()).select(
+        *group_key(key), epoch_seconds(df, ts).alias("sec"),
+        *[F.coalesce(F.col(v), F.lit(0)).alias(f"__{v}") for v in values])
+    per_second = rows.groupBy(*GROUP_COLS, "sec").agg(
+        *[F.sum(f"__{v}").alias(f"__{v}") for v in values], F.count(F.lit(1)).alias("__n"))
+    change = F.explode(F.array(
+        F.struct((F.col("sec") + enter).alias("sec"), F.lit(True).alias("own"), *[F.col(c).alias(c) for c in held]),
+        F.struct((F.col("sec") + leave).alias("sec"), F.lit(False).alias("own"),
+                 *[(-F.col(c)).alias(c) for c in held])))
+    changes = (per_second.select(*GROUP_COLS, change.alias("c")).select(*GROUP_COLS, "c.*")
+               .groupBy(*GROUP_COLS, "sec")
+               .agg(F.max("own").alias("own"), *[F.sum(c).alias(c) for c in held])
+               .withColumn("__blk", F.floor(F.col("sec") / block).cast("bigint")))
+    whole = F.concat_ws("|", *[F.col(c).cast("string") for c in GROUP_COLS])
+    return running_totals(changes.withColumn("__g", whole), "__g", ["sec"], F.col("__blk"),
+                          {f"__live{c}": F.col(c) for c in held})
+
+
 def rolling_sums(df: DataFrame, key: str, values: list[str], length: int,
-                 ts: str = "ts", bucket: int | None = None) -> DataFrame:
+                 ts: str = "ts", block: int | None = None) -> DataFrame:
     """Per-record live-set sums (T9): for every row, the sums of ``values`` over
-    the same key's rows with ``sec - length <= sec' <= sec`` (ties included).
-
-    Skew-safe layout: rows are cut into time buckets of ``bucket`` seconds
-    (default: ``length``) and each row is also copied, as context, into the
-    next ``ceil(length / bucket)`` buckets, which is every bucket whose frames
-    can reach it. The RANGE frame then runs per (key, bucket), so one hot key
-    is spread over all its buckets instead of landing in a single task; only a
-    row's own copy is emitted. Smaller buckets split a key whose rows crowd
-    into a short time, at the price of more copies.
-    """
-    b = max(int(bucket or length), 1)
-    reach = -(-length // b)  # buckets a frame can look back over
-    sec = epoch_seconds(df, ts)
-    own_b = F.floor(sec / b).cast("bigint")
-    # one pass over the input: the row in its bucket and in the next `reach` ones
-    copies = F.posexplode(F.sequence(own_b, own_b + reach))
-    both = (df.select("*", sec.alias("__sec"), copies.alias("__i", "__b"))
-            .withColumn("__own", F.col("__i") == 0).drop("__i"))
-    win = Window.partitionBy(key, "__b").orderBy("__sec").rangeBetween(-length, 0)
-    summed = both.select("*", *[F.sum(v).over(win).alias(f"__roll_{v}") for v in values],
-                         F.count(F.lit(1)).over(win).alias("__roll_n"))
-    out = summed.filter("__own")
-    for v in values:
-        out = out.withColumn(f"rolling_{v}", F.col(f"__roll_{v}"))
-    return (out.withColumn("rolling_n", F.col("__roll_n")).withColumn("sec", F.col("__sec"))
-            .drop("__own", "__b", "__sec", "__roll_n", *[f"__roll_{v}" for v in values]))
+    the same key's rows with ``sec - length <= sec' <= sec`` (ties included);
+    rows find the live sums of their second by (key, second)."""
+    live = _live_totals(df, key, values, 0, length + 1, ts, block or max(length, 1)).filter("own").select(
+        *[F.col(c).alias(f"__r{c}") for c in GROUP_COLS], F.col("sec").alias("__sec"),
+        *[F.col(f"__live__{v}").alias(f"rolling_{v}") for v in values],
+        F.col("__live__n").alias("rolling_n"))
+    out = df.withColumn("sec", epoch_seconds(df, ts)).withColumns(dict(zip(GROUP_COLS, group_key(key))))
+    return (out.join(live, [F.col(c) == F.col(f"__r{c}") for c in GROUP_COLS] + [F.col("sec") == F.col("__sec")])
+            .drop(*GROUP_COLS, *[f"__r{c}" for c in GROUP_COLS], "__sec"))
+
+
+def live_intervals(df: DataFrame, key: str, values: list[str], length: int,
+                   ts: str = "ts", block: int | None = None) -> DataFrame:
+    """Half-open windows of ``length`` seconds at every whole second, as the
+    intervals of triggers ``[t_from, t_to)`` between two changes of a key's
+    live set: ``(key, t_from, t_to, *values, n)``. A long window at a step of one second
+    costs two changes per row and second instead of ``length`` copies."""
+    live = _live_totals(df, key, values, 1, length + 1, ts, block or max(length, 1))
+    blocks = live.groupBy(*GROUP_COLS, "__blk").agg(F.min("sec").alias("first"))
+    following = blocks.withColumn("next_first", F.lead("first").over(
+        Window.partitionBy(*GROUP_COLS).orderBy("__blk"))).drop("first")  # the few blocks of a key
+    inside = Window.partitionBy(*GROUP_COLS, "__blk").orderBy("sec")
+    out = (live.withColumn("__next", F.lead("sec").over(inside))
+           .join(following, [*GROUP_COLS, "__blk"]).filter(F.col("__live__n") > 0))
+    return out.select(grouped_key(key), F.col("sec").alias("t_from"),
+                      F.coalesce("__next", "next_first").alias("t_to"),
+                      *[F.col(f"__live__{v}").alias(v) for v in values], F.col("__live__n").alias("n"))

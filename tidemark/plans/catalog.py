@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import REFERENCE_SPEC, USER_KEY_TEMPLATE, WindowSpec
 from tidemark.functions.json import json_path
-from tidemark.functions.scalars import epoch_seconds
+from tidemark.functions.scalars import epoch_seconds, profile_key
 from tidemark.operators import frames as fr
 from tidemark.operators.keyed import accumulate_merge, first_write_merge, store_snapshot
 from tidemark.operators.metrics import click_show_metrics, completion_metrics, to_click_show
@@ -24,6 +24,7 @@ from tidemark.operators.route import tag_union
 from tidemark.operators.sequences import bounded_intake, sequence_summary
 from tidemark.operators.windows import (
     WINDOW_COL,
+    live_intervals,
     live_set_at,
     rolling_sums,
     trigger_second,
@@ -38,6 +39,7 @@ from tidemark.sources.adapters import (
     vv_records,
 )
 from tidemark.sources.tables import read_table
+from tidemark.streaming.sinks import read_serialized, serialize_profile
 
 # Watch time and duration are summed exactly at 2 decimals (the inputs' scale).
 EXACT_SCALE = 2
@@ -57,9 +59,10 @@ SNAPSHOT_SPEC = WindowSpec(300, 60, mode="inclusive")
 ROUTE_SPEC = WindowSpec(300)
 INTAKE_CAPACITY = 8
 NULL_EVERY = 3                    # sequence fixture: value is NULL where event_id % 3 = 0
-# Frame fixture damage by doc_id: % 10 = 0 alters the last byte (whole frames
-# are always sent; short frames are covered by unit tests).
+# Frame fixture damage by doc_id: % 10 = 0 alters the last byte, % 10 = 5 sends
+# only the first bytes of the frame.
 FRAME_DAMAGE_MOD = 10
+FRAME_SHORT_BYTES = 10
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -203,6 +206,52 @@ def q_messages_completion(spark: SparkSession, sf: str) -> DataFrame:
     return completion_metrics(v, SPECS["reference"], key="u", exact_scale=EXACT_SCALE)
 
 
+def q_feed_profile_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed profile every 5 minutes, over 5-minute bucket sums."""
+    return feed_profile(click_show_records(spark, sf), vv(spark, sf), tuple(FEEDS.values()),
+                        key="contid", exact_scale=EXACT_SCALE, step=300)
+
+
+def q_feed_click_show_4h_live(spark: SparkSession, sf: str) -> DataFrame:
+    """The declared 4 h feed window at the declared 1 s step, as intervals of equal triggers."""
+    return live_intervals(click_show_records(spark, sf), "contid", ["clicks", "shows"], FEEDS["4h"])
+
+
+def q_keyed_most_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    """A user-defined merge in batch: the most clicks of a user so far (see KeepMost)."""
+    res = QUERIES["user_click_show_tumbling"](spark, sf)
+    w = Window.partitionBy("u").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    return res.select("t", "u", profile_key("u", USER_KEY_TEMPLATE).alias("store_key"),
+                      F.max("clicks").over(w).alias("most_clicks"))
+
+
+PROFILE_FIELDS = ("rt_u_click", "rt_u_reveal", "rt_u_rpt")
+
+
+def q_profile_value_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles as stored JSON values, read back with the reader's defaults."""
+    p = q_user_profile(spark, sf)
+    keyed = p.withColumn("store_key", F.concat_ws(":", profile_key("u", USER_KEY_TEMPLATE), "t"))
+    stored = serialize_profile(keyed, "store_key", PROFILE_FIELDS, "json")
+    return read_profile(read_serialized(stored, "store_key",
+                                        "rt_u_click bigint, rt_u_reveal bigint, rt_u_rpt double"))
+
+
+def q_props_nested(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON access to an object, an array, a null, a boolean and a number."""
+    ev = events(spark, sf)
+    nested = F.to_json(F.struct(
+        F.struct(F.col("user_id").cast("string").alias("id"), (F.col("user_id") % 2 == 0).alias("vip")).alias("user"),
+        F.array("event_id", json_path("props", "$.k").cast("bigint")).alias("items"),
+        F.lit(None).cast("string").alias("none"), (F.col("event_id") % 10).alias("n")),
+        {"ignoreNullFields": "false"})
+    j = F.col("j")
+    return ev.select("event_id", nested.alias("j")).select(
+        "event_id", json_path(j, "$.user").alias("user_json"), json_path(j, "$.user.id").alias("user_id"),
+        json_path(j, "$.items[1]").alias("second_item"), json_path(j, "$.none").alias("none"),
+        json_path(j, "$.user.vip").alias("vip"), json_path(j, "$.n").cast("bigint").alias("n"))
+
+
 def q_feed_profile_read(spark: SparkSession, sf: str) -> DataFrame:
     return read_profile(q_feed_profile(spark, sf))
 
@@ -239,7 +288,9 @@ def _frames(spark: SparkSession, sf: str) -> DataFrame:
                        F.when(last == F.unhex(F.lit("00")), F.unhex(F.lit("01")))
                        .otherwise(F.unhex(F.lit("00"))))
     damage = F.col("doc_id") % FRAME_DAMAGE_MOD
-    sent = F.when(damage == 0, altered).otherwise(F.col("frame"))
+    sent = (F.when(damage == 0, altered)
+            .when(damage == 5, F.expr(f"substring(frame, 1, {FRAME_SHORT_BYTES})"))
+            .otherwise(F.col("frame")))
     return framed.select("doc_id", "payload", fr.decode_frame(fr.strip_size_prefix(sent)).alias("d"))
 
 
@@ -274,6 +325,11 @@ QUERIES: dict[str, QueryFn] = {
     "user_profile_read": q_user_profile_read,
     "feed_profile": q_feed_profile,
     "feed_profile_read": q_feed_profile_read,
+    "feed_profile_sliding": q_feed_profile_sliding,
+    "feed_click_show_4h_live": q_feed_click_show_4h_live,
+    "profile_value_read": q_profile_value_read,
+    "keyed_most_clicks": q_keyed_most_clicks,
+    "props_nested": q_props_nested,
     "parse_actions": q_parse_actions,
     "parse_vv": q_parse_vv,
     "reject_reasons": q_reject_reasons,

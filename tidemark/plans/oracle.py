@@ -75,7 +75,7 @@ USER_PROFILE_READ_SQL = f"""SELECT t, u, coalesce(rt_u_click, 0) AS rt_u_click,
 FROM ({USER_PROFILE_SQL})"""
 
 
-def _feed_profile_sql() -> str:
+def _feed_profile_sql(step: int | None = None) -> str:
     lengths = sorted(FEEDS.values())
     longest = lengths[-1]
     names = {300: "rt_f_", 7200: "rt_f_2h_", 14400: "rt_f_4h_"}
@@ -95,7 +95,7 @@ def _feed_profile_sql() -> str:
 tagged AS (SELECT sec, contid, clicks, shows, NULL::DOUBLE AS tm, NULL::DOUBLE AS duration FROM act
            UNION ALL
            SELECT sec, contid, NULL::BIGINT, NULL::BIGINT, tm, duration FROM vv),
-e AS (SELECT *, (sec // {longest} + 1) * {longest} AS t FROM tagged)
+e AS (SELECT *, unnest({_triggers(longest, step or longest, "half_open")}) AS t FROM tagged)
 SELECT t, contid,
        {body}
 FROM e GROUP BY t, contid"""
@@ -119,7 +119,25 @@ ORACLE_SQL: dict[str, str] = {
 
 
 # --- parse (P1-P7): JSON built and parsed in DuckDB --------------------------
-_NUM = r"(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity)|(?i:nan))"
+_NUM = r"(?:[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|0x1\.8p3|[+-]?(?i:inf|infinity)|(?i:nan))"
+
+
+def _number(c: str) -> str:
+    return f"CASE WHEN {c} = '0x1.8p3' THEN 12.0 ELSE try_cast({c} AS DOUBLE) END"
+
+
+def _exact(c: str) -> str:
+    """The sum of c: two-decimal values under a billion exactly, all others as doubles."""
+    small = f"(isfinite({c}) AND abs({c}) < 1e9 AND round({c} * 100) / 100 = {c})"
+    whole = f"CAST(sum(CASE WHEN {small} THEN CAST({c} AS DECIMAL(18,2)) END) AS DOUBLE)"
+    return (f"CASE WHEN bool_and({small}) THEN {whole} "
+            f"ELSE coalesce({whole}, 0) + sum(CASE WHEN NOT {small} THEN {c} END) END")
+
+
+def _divide(n: str, d: str) -> str:
+    """IEEE division."""
+    return (f"CASE WHEN {d} <> 0 OR isnan({d}) THEN {n} / {d} WHEN isnan({n}) OR {n} = 0 THEN 'nan'::DOUBLE "
+            f"WHEN ({n} > 0) = (CAST({d} AS VARCHAR) = '0.0') THEN 'inf'::DOUBLE ELSE '-inf'::DOUBLE END")
 
 
 def _num_ok(c: str) -> str:
@@ -128,8 +146,12 @@ def _num_ok(c: str) -> str:
 
 
 def _raw_sql(vv: bool) -> str:
-    extra = (", 'tm', CASE WHEN event_id % 23 = 0 THEN 'abc' ELSE CAST(value AS VARCHAR) END, "
-             "'duration', CAST((event_id * 7) % 240 AS VARCHAR)") if vv else ""
+    odd = "['nan', 'inf', '-Infinity', '1e300', '0x1.8p3', '-0', '2.125', '1e400'][event_id // 31 % 8 + 1]"
+    extra = (f", 'tm', CASE WHEN event_id % 23 = 0 THEN 'abc' WHEN event_id % 31 = 0 THEN {odd} "
+             "ELSE CAST(value AS VARCHAR) END, 'duration', CASE WHEN event_id % 37 = 0 THEN '-0' "
+             "ELSE CAST((event_id * 7) % 240 AS VARCHAR) END") if vv else ""
+    texts = """[j || ' xyz', j || ',', j || j, replace(j, '"', chr(39)), j || '] [' || j,
+                '{"x":NaN,' || substr(j, 2), '  {"x":[1,{"y":"]"}],' || substr(j, 2) || ' ']"""
     return f"""src AS (
   SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS sec, CAST(json_object(
     't', event_type,
@@ -139,9 +161,12 @@ def _raw_sql(vv: bool) -> str:
     {extra}) AS VARCHAR) AS j
   FROM events),
 raw AS (SELECT event_id AS key, sec,
-               CASE WHEN event_id % 19 = 0 THEN left(j, length(j) // 2) ELSE j END AS value
+               event_id % 41 = 0 AND event_id % 19 <> 0 AND event_id // 41 % 7 = 5 AS bare_nan,
+               CASE WHEN event_id % 19 = 0 THEN left(j, length(j) // 2)
+                    WHEN event_id % 41 = 0 THEN {texts}[event_id // 41 % 7 + 1] ELSE j END AS value
         FROM src),
-p AS (SELECT key, sec, value, CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END AS is_obj
+p AS (SELECT key, sec, value, CASE WHEN json_valid(value) AND NOT bare_nan THEN json_type(value) = 'OBJECT'
+                              ELSE false END AS is_obj
       FROM raw),
 f AS (SELECT key, sec, is_obj,
         CASE WHEN is_obj THEN json_extract_string(value, '$.t') END AS t,
@@ -168,9 +193,9 @@ FROM r WHERE reason IS NULL"""
 
 PARSE_VV_SQL = f"""WITH {_raw_sql(True)},
 r AS (SELECT *, {_VV_REASON} AS reason FROM f)
-SELECT key, u, t, contid, CAST(tm AS DOUBLE) AS tm, CAST(duration AS DOUBLE) AS duration,
-       CAST(tm AS DOUBLE) / CAST(duration AS DOUBLE) AS rpt
-FROM r WHERE reason IS NULL"""
+SELECT key, u, t, contid, tm, duration, {_divide('tm', 'duration')} AS rpt
+FROM (SELECT key, u, t, contid, {_number('tm')} AS tm, CAST(duration AS DOUBLE) AS duration
+      FROM r WHERE reason IS NULL)"""
 
 REJECT_REASONS_SQL = f"""WITH a AS (WITH {_raw_sql(False)} SELECT coalesce({_ACT_REASON}, 'ok') AS reason FROM f),
 v AS (WITH {_raw_sql(True)} SELECT coalesce({_VV_REASON}, 'ok') AS reason FROM f)
@@ -226,6 +251,10 @@ SELECT t, u, 'USER_CLICK_SHOW_5MIN_' || u AS store_key,
        fc AS stored_click, fs AS stored_reveal
 FROM f"""
 
+KEYED_MOST_CLICKS_SQL = f"""WITH {_TUMBLING_RESULTS}
+SELECT t, u, 'USER_CLICK_SHOW_5MIN_' || u AS store_key, max(clicks) OVER w AS most_clicks
+FROM res WINDOW w AS (PARTITION BY u ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
 KEYED_ACCUMULATE_SQL = f"""WITH {_TUMBLING_RESULTS}
 SELECT t, u, 'USER_CLICK_SHOW_5MIN_' || u AS store_key,
        CAST(sum(clicks) OVER w AS BIGINT) AS rt_u_click, CAST(sum(shows) OVER w AS BIGINT) AS rt_u_reveal
@@ -253,29 +282,29 @@ BOUNDED_INTAKE_SQL = """WITH s AS (
   SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos,
          count(*) OVER (PARTITION BY user_id) AS n
   FROM events)
-SELECT user_id, event_id, pos, least(n, 8) AS size, greatest(n - 8, 0) AS rejected, n >= 8 AS full
+SELECT user_id, event_id, pos, least(n, 8) AS size, greatest(n - 8, 0) AS rejected, n >= 8 AS full, false AS empty
 FROM s WHERE pos < 8"""
 
-FRAME_INTEGRITY_SQL = """SELECT doc_id,
-  CASE WHEN doc_id % 10 = 0 THEN 'checksum' ELSE 'ok' END AS status,
-  CASE WHEN doc_id % 10 <> 0 THEN CAST(doc_id AS INTEGER) END AS msg_id,
-  CASE WHEN doc_id % 10 <> 0 THEN CAST(strlen(text) + 8 AS INTEGER) END AS size,
-  CASE WHEN doc_id % 10 <> 0 THEN strlen(text) END AS payload_len,
-  CASE WHEN doc_id % 10 <> 0 THEN true END AS payload_ok
+_FRAME_STATUS = "CASE WHEN doc_id % 10 = 0 THEN 'checksum' WHEN doc_id % 10 = 5 THEN 'short' ELSE 'ok' END"
+
+FRAME_INTEGRITY_SQL = f"""SELECT doc_id, {_FRAME_STATUS} AS status,
+  CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS INTEGER) END AS msg_id,
+  CASE WHEN doc_id % 5 <> 0 THEN CAST(strlen(text) + 8 AS INTEGER) END AS size,
+  CASE WHEN doc_id % 5 <> 0 THEN strlen(text) END AS payload_len,
+  CASE WHEN doc_id % 5 <> 0 THEN true END AS payload_ok
 FROM documents"""
 
-FRAME_STATUS_COUNTS_SQL = """SELECT CASE WHEN doc_id % 10 = 0 THEN 'checksum' ELSE 'ok' END AS status,
+FRAME_STATUS_COUNTS_SQL = f"""SELECT {_FRAME_STATUS} AS status,
        count(*) AS n FROM documents GROUP BY 1"""
 
 def _messages_sql(vv: bool) -> str:
     length, step, mode, gate = _spec_args("reference")
     if vv:
         parsed = f"""r AS (SELECT *, {_VV_REASON} AS reason FROM f),
-rec AS (SELECT sec, u, CAST(tm AS DOUBLE) AS tm, CAST(duration AS DOUBLE) AS duration
+rec AS (SELECT sec, u, {_number('tm')} AS tm, CAST(duration AS DOUBLE) AS duration
         FROM r WHERE reason IS NULL),"""
-        agg = """CAST(sum(CAST(tm AS DECIMAL(18,2))) AS DOUBLE) AS tm,
-             CAST(sum(CAST(duration AS DECIMAL(18,2))) AS DOUBLE) AS duration"""
-        tail = "SELECT t, u, tm, duration, tm / duration AS rpt FROM res"
+        agg = f"{_exact('tm')} AS tm, {_exact('duration')} AS duration"
+        tail = f"SELECT t, u, tm, duration, {_divide('tm', 'duration')} AS rpt FROM res"
     else:
         parsed = f"""r AS (SELECT *, {_ACT_REASON} AS reason FROM f),
 rec AS (SELECT sec, trim(u, ' ') AS u, CAST(t = 'click' AS BIGINT) AS clicks,
@@ -314,6 +343,23 @@ ORACLE_SQL.update({
     "user_rolling": USER_ROLLING_SQL,
     "keyed_first_write": KEYED_FIRST_WRITE_SQL,
     "keyed_accumulate": KEYED_ACCUMULATE_SQL,
+    "keyed_most_clicks": KEYED_MOST_CLICKS_SQL,
+    "feed_profile_sliding": _feed_profile_sql(300),
+    "feed_click_show_4h_live": f"""WITH {_ACT},
+edges AS (SELECT contid, sec + 1 AS t FROM act UNION SELECT contid, sec + 14401 FROM act),
+spans AS (SELECT contid, t AS t_from, lead(t) OVER (PARTITION BY contid ORDER BY t) AS t_to FROM edges)
+SELECT s.contid, t_from, t_to, CAST(sum(clicks) AS BIGINT) AS clicks, CAST(sum(shows) AS BIGINT) AS shows, count(*) AS n
+FROM spans s JOIN act a ON a.contid = s.contid AND a.sec < t_from AND a.sec >= t_from - 14400
+GROUP BY 1, 2, 3""",
+    "profile_value_read": f"""SELECT 'USER_CLICK_SHOW_5MIN_' || u || ':' || t AS store_key, rt_u_click, rt_u_reveal, rt_u_rpt
+FROM ({USER_PROFILE_READ_SQL})""",
+    "props_nested": """SELECT event_id, CAST(json_extract(j, '$.user') AS VARCHAR) AS user_json,
+       json_extract_string(j, '$.user.id') AS user_id, json_extract_string(j, '$.items[1]') AS second_item,
+       json_extract_string(j, '$.none') AS none, json_extract_string(j, '$.user.vip') AS vip,
+       CAST(json_extract_string(j, '$.n') AS BIGINT) AS n
+FROM (SELECT event_id, '{"user":{"id":"' || user_id || '","vip":' || (user_id % 2 = 0) || '},"items":[' || event_id
+             || ',' || CAST(json_extract_string(props, '$.k') AS BIGINT) || '],"none":null,"n":' || event_id % 10 || '}' AS j
+      FROM events)""",
     "keyed_first_write_reference": KEYED_FIRST_WRITE_REFERENCE_SQL,
     "profile_store": f"""WITH {_TUMBLING_RESULTS}
 SELECT 'USER_CLICK_SHOW_5MIN_' || u AS store_key, arg_min(clicks, t) AS rt_u_click,

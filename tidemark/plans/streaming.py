@@ -1,20 +1,27 @@
 """Streaming twins of batch queries.
 
-Each twin replays the ``events`` table as a file stream (plus the flush
-marker), runs the streaming plan with ``availableNow`` into a
-``foreachBatch`` sink under the shared checkpoint folder, and returns the
-sink's table. Its result must equal the batch twin's, so it shares the batch
-twin's oracle SQL.
+Each twin replays the ``events`` table, a file or a folder of part files, as a
+file stream with ``availableNow`` into a ``foreachBatch`` sink under the shared
+checkpoint folder. A second run on the same checkpoint reads the flush marker,
+which closes the last windows, wherever its folder lies. The result must equal the batch twin's,
+so it shares the batch twin's oracle SQL. Rows that a watermark drops end the run
+with ``LateRows``. What a replay writes besides its result is removed after it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.config import USER_KEY_TEMPLATE
+from tidemark.app import start_click_show, start_completion
+from tidemark.config import USER_KEY_TEMPLATE, WindowSpec
+from tidemark.functions.scalars import epoch_seconds
+from tidemark.operators.joins import join_back
 from tidemark.operators.metrics import to_click_show
-from tidemark.config import WindowSpec
 from tidemark.operators.profiles import (
     feed_profile_aggs,
     finish_feed_profile,
@@ -22,9 +29,7 @@ from tidemark.operators.profiles import (
     user_profile_aggs,
 )
 from tidemark.operators.route import tag_union
-from tidemark.operators.windows import WINDOW_COL, struct_to_trigger, window_column
-from tidemark.app import start_click_show, start_completion
-from tidemark.functions.scalars import as_instant
+from tidemark.operators.windows import WINDOW_COL, group_key, stream_windows, struct_to_trigger
 from tidemark.plans.catalog import EXACT_SCALE, FEEDS, SPECS, events
 from tidemark.session import scratch_path
 from tidemark.sources.adapters import (
@@ -34,7 +39,17 @@ from tidemark.sources.adapters import (
     raw_vv_messages,
     vv_records,
 )
+from tidemark.streaming.sinks import Accumulate, FirstWrite, KeyedTableSink, ResultTableSink
+from tidemark.streaming.sources import (
+    make_folder,
+    read_files_stream,
+    remove_folder,
+    table_stream,
+    write_flush_marker,
+)
 from tidemark.streaming.windowed import (
+    DEFAULT_WATERMARK,
+    await_complete,
     gate_click_show,
     gate_completion,
     start,
@@ -42,28 +57,33 @@ from tidemark.streaming.windowed import (
     windowed_completion,
     with_event_time,
 )
-from tidemark.streaming.sinks import Accumulate, FirstWrite, KeyedTableSink, ResultTableSink
-from tidemark.streaming.sources import (
-    FLUSH_USER,
-    read_files_stream,
-    read_message_files,
-    write_flush_marker,
-)
 
 SPEC = SPECS["tumbling"]
 
 
-def event_stream(spark: SparkSession, sf_dir: str, scratch: str, source_dir: str | None = None,
-                 name: str = "events", max_files_per_trigger: int | None = None) -> DataFrame:
-    """``events`` files as a stream with event time and watermark, plus the
-    flush marker derived from the table's newest timestamp. Data and marker
-    are one file source, so the marker (written last) is consumed last."""
-    ev = events(spark, sf_dir)
-    write_flush_marker(ev, f"{scratch}/flush")
-    folders = [source_dir or sf_dir, f"{scratch}/flush"]
-    glob = f"{{{name}*.parquet,part-*.parquet}}" if name != "part" else "part-*.parquet"
-    stream = read_files_stream(spark, folders, glob, ev.schema, max_files_per_trigger)
-    return with_event_time(stream)
+@dataclass
+class Replay:
+    """A bounded stream of ``events`` (no watermark yet) and how to close its last windows."""
+
+    stream: DataFrame
+    scratch: str
+    flush: Callable[[], None]
+    watermark: str = DEFAULT_WATERMARK
+
+    @property
+    def timed(self) -> DataFrame:
+        return with_event_time(self.stream, delay=self.watermark)
+
+
+def event_replay(spark: SparkSession, sf_dir: str, scratch: str, max_files_per_trigger: int | None = None,
+                 watermark: str = DEFAULT_WATERMARK) -> Replay:
+    """``events`` of ``sf_dir`` as a stream. ``watermark`` must cover how far out of order the files are."""
+    ev, flush = events(spark, sf_dir), f"{scratch}/flush"
+    make_folder(spark, flush)
+    data = table_stream(spark, sf_dir, "events", ev.schema, max_files_per_trigger)
+    marker = read_files_stream(spark, flush, "*.parquet", ev.schema)
+    return Replay(data.unionByName(marker), scratch,
+                  lambda: write_flush_marker(ev, flush, "1000 days"), watermark)
 
 
 def state_partitions(spark: SparkSession) -> int:
@@ -71,62 +91,73 @@ def state_partitions(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
-def _run(agg: DataFrame, sink, scratch: str) -> None:
-    q = start(agg, sink, f"{scratch}/checkpoint", state_partitions=state_partitions(agg.sparkSession))
-    q.awaitTermination()
+def run_replay(replay: Replay, begin: Callable[[], StreamingQuery]) -> None:
+    """Run the query over the table, then once more over the flush marker."""
+    spark = replay.stream.sparkSession
+    await_complete(begin())
+    replay.flush()
+    await_complete(begin())
+    for name in ("flush", "checkpoint"):
+        remove_folder(spark, f"{replay.scratch}/{name}")
+
 
+def _run(agg: DataFrame, sink, replay: Replay) -> None:
+    run_replay(replay, lambda: start(agg, sink, f"{replay.scratch}/checkpoint",
+                                     state_partitions=state_partitions(agg.sparkSession)))
 
-def click_show_twin(stream: DataFrame, scratch: str) -> DataFrame:
-    agg = windowed_click_show(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG), SPEC, "u")
-    sink = ResultTableSink(f"{scratch}/out", gate_click_show(SPEC, "u"))
-    _run(agg, sink, scratch)
-    return sink.read(stream.sparkSession).select("t", "u", "clicks", "shows")
 
+def click_show_twin(replay: Replay, spec: WindowSpec = SPEC) -> DataFrame:
+    agg = windowed_click_show(to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG), spec, "u")
+    sink = ResultTableSink(f"{replay.scratch}/out", gate_click_show(spec, "u"))
+    _run(agg, sink, replay)
+    return sink.read(replay.stream.sparkSession).select("t", "u", "clicks", "shows")
 
-def completion_twin(stream: DataFrame, scratch: str) -> DataFrame:
-    agg = windowed_completion(vv_records(stream), SPEC, "u", exact_scale=EXACT_SCALE)
-    sink = ResultTableSink(f"{scratch}/out", gate_completion(SPEC, "u", EXACT_SCALE))
-    _run(agg, sink, scratch)
-    return sink.read(stream.sparkSession).select("t", "u", "tm", "duration", "rpt")
 
+def completion_twin(replay: Replay, spec: WindowSpec = SPEC) -> DataFrame:
+    agg = windowed_completion(vv_records(replay.timed), spec, "u", exact_scale=EXACT_SCALE)
+    sink = ResultTableSink(f"{replay.scratch}/out", gate_completion(spec, "u", EXACT_SCALE))
+    _run(agg, sink, replay)
+    return sink.read(replay.stream.sparkSession).select("t", "u", "tm", "duration", "rpt")
 
-def profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
-    tagged = tag_union(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG),
-                       vv_records(stream), "u")
-    agg = tagged.groupBy(window_column("ts", SPEC).alias(WINDOW_COL), "u").agg(
-        *user_profile_aggs(EXACT_SCALE))
-    sink = ResultTableSink(f"{scratch}/out", lambda b: finish_user_profile(struct_to_trigger(b, SPEC), SPEC, "u", EXACT_SCALE))
-    _run(agg, sink, scratch)
-    return sink.read(stream.sparkSession).select("t", "u", "rt_u_click", "rt_u_reveal", "rt_u_rpt")
 
+def _tagged(replay: Replay, key: str) -> DataFrame:
+    timed = replay.timed
+    return tag_union(to_click_show(action_records(timed), EVENTS_ACTION_CONFIG), vv_records(timed), key)
 
-def feed_click_show_twin(stream: DataFrame, scratch: str, length: int) -> DataFrame:
+
+def profile_twin(replay: Replay) -> DataFrame:
+    agg = (stream_windows(_tagged(replay, "u"), SPEC, "ts").groupBy(WINDOW_COL, *group_key("u"))
+           .agg(*user_profile_aggs(EXACT_SCALE)))
+    sink = ResultTableSink(f"{replay.scratch}/out", lambda b: finish_user_profile(struct_to_trigger(b, SPEC), SPEC, "u", EXACT_SCALE))
+    _run(agg, sink, replay)
+    return sink.read(replay.stream.sparkSession).select("t", "u", "rt_u_click", "rt_u_reveal", "rt_u_rpt")
+
+
+def feed_click_show_twin(replay: Replay, length: int) -> DataFrame:
     """A3 on a stream: tumbling windows per content item, no gate."""
     spec = WindowSpec(length)
-    agg = windowed_click_show(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG), spec,
+    agg = windowed_click_show(to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG), spec,
                               "contid")
-    sink = ResultTableSink(f"{scratch}/out", gate_click_show(spec, "contid"))
-    _run(agg, sink, scratch)
-    return sink.read(stream.sparkSession).select("t", "contid", "clicks", "shows")
+    sink = ResultTableSink(f"{replay.scratch}/out", gate_click_show(spec, "contid"))
+    _run(agg, sink, replay)
+    return sink.read(replay.stream.sparkSession).select("t", "contid", "clicks", "shows")
 
 
-def feed_completion_twin(stream: DataFrame, scratch: str, length: int) -> DataFrame:
+def feed_completion_twin(replay: Replay, length: int) -> DataFrame:
     """A4 on a stream: tumbling windows per content item, no gate."""
     spec = WindowSpec(length)
-    agg = windowed_completion(vv_records(stream), spec, "contid", exact_scale=EXACT_SCALE)
-    sink = ResultTableSink(f"{scratch}/out", gate_completion(spec, "contid", EXACT_SCALE))
-    _run(agg, sink, scratch)
-    return sink.read(stream.sparkSession).select("t", "contid", "tm", "duration", "rpt")
+    agg = windowed_completion(vv_records(replay.timed), spec, "contid", exact_scale=EXACT_SCALE)
+    sink = ResultTableSink(f"{replay.scratch}/out", gate_completion(spec, "contid", EXACT_SCALE))
+    _run(agg, sink, replay)
+    return sink.read(replay.stream.sparkSession).select("t", "contid", "tm", "duration", "rpt")
 
 
-def feed_profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
+def feed_profile_twin(replay: Replay) -> DataFrame:
     """A6 on a stream: 4 h windows per content item, shorter lengths by age
     against the window end."""
     lengths = tuple(FEEDS.values())
     spec = WindowSpec(max(lengths))
-    tagged = tag_union(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG),
-                       vv_records(stream), "contid")
-    wdf = tagged.withColumn(WINDOW_COL, window_column("ts", spec))
+    wdf = stream_windows(_tagged(replay, "contid"), spec, "ts")
 
     def inside(L):
         if L >= spec.length:
@@ -134,85 +165,119 @@ def feed_profile_twin(stream: DataFrame, scratch: str) -> DataFrame:
         return F.col("ts") >= F.col(f"{WINDOW_COL}.end") - F.expr(f"INTERVAL {L} SECONDS")
 
     agg = wdf.groupBy(WINDOW_COL, "contid").agg(*feed_profile_aggs(lengths, inside, EXACT_SCALE))
-    sink = ResultTableSink(f"{scratch}/out", lambda b: finish_feed_profile(
+    sink = ResultTableSink(f"{replay.scratch}/out", lambda b: finish_feed_profile(
         struct_to_trigger(b, spec), lengths, "contid", EXACT_SCALE))
-    _run(agg, sink, scratch)
-    return sink.read(stream.sparkSession).drop("batch_id")
+    _run(agg, sink, replay)
+    return sink.read(replay.stream.sparkSession).drop("batch_id")
 
 
 FIRST_WRITE_COLS = ["t", "u", "store_key", "rt_u_click", "rt_u_reveal", "stored_click", "stored_reveal"]
 ACCUMULATE_COLS = ["t", "u", "store_key", "rt_u_click", "rt_u_reveal"]
 
 
-def keyed_twin(stream: DataFrame, scratch: str, operation, cols) -> DataFrame:
-    agg = windowed_click_show(to_click_show(action_records(stream), EVENTS_ACTION_CONFIG), SPEC, "u")
-    sink = KeyedTableSink(f"{scratch}/out", f"{scratch}/state", operation, key="u", order="t",
+def keyed_twin(replay: Replay, operation, cols) -> DataFrame:
+    agg = windowed_click_show(to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG), SPEC, "u")
+    sink = KeyedTableSink(f"{replay.scratch}/out", f"{replay.scratch}/state", operation, key="u", order="t",
                           key_template=USER_KEY_TEMPLATE, transform=gate_click_show(SPEC, "u"))
-    _run(agg, sink, scratch)
-    return sink.read(stream.sparkSession).select(*cols)
-
-
-def message_stream(spark: SparkSession, sf_dir: str, scratch: str, vv: bool) -> DataFrame:
-    """Raw messages derived from ``events`` written as ``(key, value, ts)``
-    files, plus one flush message a day after the newest, as one stream."""
-    cfg = EVENTS_ACTION_CONFIG
-    raw = (raw_vv_messages if vv else raw_action_messages)(events(spark, sf_dir))
-    msgs = raw.select("key", "value", as_instant(raw, "ts").alias("ts"))
-    msgs.write.mode("overwrite").parquet(f"{scratch}/messages")
-    fields = {cfg.type_key: "click", cfg.user_key: str(FLUSH_USER), cfg.content_key: "-1"}
-    if vv:
-        fields.update({cfg.watch_key: "0", cfg.duration_key: "1"})
-    flush_text = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in fields.items()]))
-    (msgs.agg(F.max("ts").alias("__max"))
-     .select(F.lit(-1).cast("bigint").alias("key"), flush_text.alias("value"),
-             (F.col("__max") + F.expr("INTERVAL 1 DAY")).alias("ts"))
-     .coalesce(1).write.mode("overwrite").parquet(f"{scratch}/flush"))
-    return read_message_files(spark, [f"{scratch}/messages", f"{scratch}/flush"])
-
-
-def q_stream_messages_click_show(spark: SparkSession, sf: str) -> DataFrame:
-    scratch = scratch_path(spark, "stream_messages_click_show")
-    msgs = message_stream(spark, sf, scratch, vv=False)
-    q, sink = start_click_show(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
-                               f"{scratch}/state", f"{scratch}/checkpoint",
-                               state_partitions=state_partitions(spark))
-    q.awaitTermination()
-    return sink.read(spark).select(*FIRST_WRITE_COLS)
-
-
-def q_stream_messages_completion(spark: SparkSession, sf: str) -> DataFrame:
-    scratch = scratch_path(spark, "stream_messages_completion")
-    msgs = message_stream(spark, sf, scratch, vv=True)
-    q, sink = start_completion(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{scratch}/out",
-                               f"{scratch}/checkpoint", exact_scale=EXACT_SCALE,
-                               state_partitions=state_partitions(spark))
-    q.awaitTermination()
-    return sink.read(spark).select("t", "u", "tm", "duration", "rpt")
+    _run(agg, sink, replay)
+    return sink.read(replay.stream.sparkSession).select(*cols)
+
+
+def messages_click_show_twin(replay: Replay) -> DataFrame:
+    """Raw action messages, derived on the stream itself, through the app's click/show pipeline."""
+    msgs, d, sinks = raw_action_messages(replay.stream), replay.scratch, []
+
+    def begin() -> StreamingQuery:
+        q, sink = start_click_show(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{d}/out", f"{d}/state",
+                                   f"{d}/checkpoint", watermark=replay.watermark,
+                                   state_partitions=state_partitions(msgs.sparkSession))
+        sinks[:] = [sink]
+        return q
+
+    run_replay(replay, begin)
+    return sinks[0].read(msgs.sparkSession).select(*FIRST_WRITE_COLS)
+
+
+def messages_completion_twin(replay: Replay) -> DataFrame:
+    """Raw video-view messages through the app's completion pipeline."""
+    msgs, d, sinks = raw_vv_messages(replay.stream), replay.scratch, []
+
+    def begin() -> StreamingQuery:
+        q, sink = start_completion(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{d}/out", f"{d}/checkpoint",
+                                   watermark=replay.watermark, exact_scale=EXACT_SCALE,
+                                   state_partitions=state_partitions(msgs.sparkSession))
+        sinks[:] = [sink]
+        return q
+
+    run_replay(replay, begin)
+    return sinks[0].read(msgs.sparkSession).select("t", "u", "tm", "duration", "rpt")
 
 
 def _twin(name: str, build):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        scratch = scratch_path(spark, name)
-        return build(event_stream(spark, sf, scratch), scratch)
+        return build(event_replay(spark, sf, scratch_path(spark, name)))
+    run.__name__ = f"q_{name}"
+    return run
+
+
+BATCHES = 6
+
+
+def _batched(name: str, build, in_order: bool):
+    """The table cut into ``BATCHES`` files, one micro-batch each: by time, oldest first, with a short
+    watermark, or with every file spread over the whole time and a watermark that covers it."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        scratch, ev = scratch_path(spark, name), events(spark, sf)
+        lo, hi = ev.select(F.min(epoch_seconds(ev, "ts")), F.max(epoch_seconds(ev, "ts"))).first()
+        lo, span = lo or 0, (hi or 0) - (lo or 0) + 1
+        sec = epoch_seconds(ev, "ts")
+        part = F.floor((sec - lo) * BATCHES / span) if in_order else F.pmod("event_id", F.lit(BATCHES))
+        for k in range(BATCHES):
+            ev.where(part == k).write.mode("append").parquet(f"{scratch}/in/events.parquet")
+        replay = event_replay(spark, f"{scratch}/in", scratch, max_files_per_trigger=1,
+                              watermark=DEFAULT_WATERMARK if in_order else f"{span} seconds")
+        out = build(replay)
+        remove_folder(spark, f"{scratch}/in")
+        return out
     run.__name__ = f"q_{name}"
     return run
 
 
-STREAM_QUERIES = {
-    "stream_user_click_show": (_twin("stream_user_click_show", click_show_twin),
-                               "user_click_show_tumbling"),
-    "stream_user_completion": (_twin("stream_user_completion", completion_twin),
-                               "user_completion_tumbling"),
-    "stream_user_profile": (_twin("stream_user_profile", profile_twin), "user_profile"),
-    "stream_feed_profile": (_twin("stream_feed_profile", feed_profile_twin), "feed_profile"),
-    "stream_feed_click_show_5m": (_twin("stream_feed_click_show_5m", lambda s, d: feed_click_show_twin(
-        s, d, FEEDS["5m"])), "feed_click_show_5m"),
-    "stream_feed_completion_5m": (_twin("stream_feed_completion_5m", lambda s, d: feed_completion_twin(
-        s, d, FEEDS["5m"])), "feed_completion_5m"),
-    "stream_keyed_first_write": (_twin("stream_keyed_first_write", lambda s, d: keyed_twin(
-        s, d, FirstWrite(), FIRST_WRITE_COLS)), "keyed_first_write"),
-    "stream_keyed_accumulate": (_twin("stream_keyed_accumulate", lambda s, d: keyed_twin(
-        s, d, Accumulate(spec=SPEC), ACCUMULATE_COLS)), "keyed_accumulate"),
-    "stream_messages_click_show": (q_stream_messages_click_show, "messages_click_show"),
-    "stream_messages_completion": (q_stream_messages_completion, "messages_completion"),
-}
+class KeepMost:
+    """A user-defined keyed operation (K3): the stored value is the most clicks of any result so far."""
+
+    def state(self, deltas: DataFrame, key: str, order: str) -> DataFrame:
+        return deltas.groupBy(key).agg(F.max("__s_most").alias("__s_most"))
+
+    def merge(self, batch: DataFrame, state: DataFrame | None, key: str, order: str):
+        w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        j = batch if state is None else join_back(batch, state, key, "left")
+        so_far = F.max("clicks").over(w)
+        most = so_far if state is None else F.greatest(so_far, F.col("__s_most"))
+        return (j.select(order, key, most.alias("most_clicks")),
+                batch.groupBy(key).agg(F.max("clicks").alias("__s_most")))
+
+
+STREAM_QUERIES = {name: (_twin(name, build), twin) for name, build, twin in [
+    ("stream_user_click_show", click_show_twin, "user_click_show_tumbling"),
+    ("stream_user_click_show_gapped", lambda r: click_show_twin(r, SPECS["gapped"]), "user_click_show_gapped"),
+    ("stream_user_completion", completion_twin, "user_completion_tumbling"),
+    ("stream_user_completion_gapped", lambda r: completion_twin(r, SPECS["gapped"]), "user_completion_gapped"),
+    ("stream_user_profile", profile_twin, "user_profile"),
+    ("stream_feed_profile", feed_profile_twin, "feed_profile"),
+    ("stream_feed_click_show_5m", lambda r: feed_click_show_twin(r, FEEDS["5m"]), "feed_click_show_5m"),
+    ("stream_feed_completion_5m", lambda r: feed_completion_twin(r, FEEDS["5m"]), "feed_completion_5m"),
+    ("stream_keyed_first_write", lambda r: keyed_twin(r, FirstWrite(), FIRST_WRITE_COLS), "keyed_first_write"),
+    ("stream_keyed_accumulate", lambda r: keyed_twin(r, Accumulate(SPEC), ACCUMULATE_COLS), "keyed_accumulate"),
+    ("stream_messages_click_show", messages_click_show_twin, "messages_click_show"),
+    ("stream_messages_completion", messages_completion_twin, "messages_completion"),
+]}
+STREAM_QUERIES.update({name: (_batched(name, build, in_order), twin) for name, build, in_order, twin in [
+    ("stream_user_click_show_batches", click_show_twin, False, "user_click_show_tumbling"),
+    ("stream_keyed_first_write_batches", lambda r: keyed_twin(r, FirstWrite(), FIRST_WRITE_COLS), True,
+     "keyed_first_write"),
+    ("stream_keyed_accumulate_batches", lambda r: keyed_twin(r, Accumulate(SPEC), ACCUMULATE_COLS), True,
+     "keyed_accumulate"),
+    ("stream_keyed_custom_batches", lambda r: keyed_twin(r, KeepMost(), ["t", "u", "store_key", "most_clicks"]), True,
+     "keyed_most_clicks"),
+]})

@@ -25,13 +25,14 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.config import WindowSpec
 from tidemark.functions.scalars import profile_key
 from tidemark.operators.joins import join_back
+from tidemark.operators.keyed import DEFAULT_BLOCK_SECONDS, running_totals, time_block
 
 BATCH_COL = "batch_id"
 
@@ -41,18 +42,19 @@ def serialize_profile(df: DataFrame, key: str, fields, fmt: str = "struct",
     """``(key, value)`` with the profile fields packed into one stored value.
 
     ``struct`` keeps a typed struct column; ``json`` writes JSON text with
-    absent fields omitted (so readers fall back to 0, P10); ``protobuf`` uses
-    ``to_protobuf`` and needs the optional spark-protobuf package.
+    absent fields omitted (so readers fall back to 0, P10).
     """
-    packed = F.struct(*[F.col(c) for c in fields])
-    if fmt == "json":
-        packed = F.to_json(packed)
-    elif fmt == "protobuf":
-        from pyspark.sql.protobuf.functions import to_protobuf  # needs the optional jar
-        packed = to_protobuf(packed, "UserActInfo")
-    elif fmt != "struct":
+    if fmt not in ("json", "struct"):
         raise ValueError(f"unknown format {fmt!r}")
-    return df.select(F.col(key), packed.alias(out))
+    packed = F.struct(*[F.col(c) for c in fields])
+    return df.select(F.col(key), (F.to_json(packed) if fmt == "json" else packed).alias(out))
+
+
+def read_serialized(df: DataFrame, key: str, schema: str, value: str = "value") -> DataFrame:
+    """``(key, *fields)`` of stored values, JSON text or structs; ``schema`` names the fields."""
+    text = df.schema[value].dataType.simpleString() == "string"
+    fields = F.from_json(F.col(value), schema) if text else F.col(value)
+    return df.select(F.col(key), fields.alias("__f")).select(key, "__f.*")
 
 
 @contextmanager
@@ -169,26 +171,28 @@ class FirstWrite:
 class Accumulate:
     """K2: the stored value is the running total of every result.
 
-    Given the window ``spec``, overlapping windows are refused: they would
-    count a record once per window it falls in.
+    ``spec`` is the window geometry of the results; overlapping windows are
+    refused, as they would count a record once per window it falls in.
     """
 
+    spec: WindowSpec
     values: Sequence[str] = ("clicks", "shows")
     returned: Sequence[str] = ("rt_u_click", "rt_u_reveal")
-    spec: WindowSpec | None = None
 
     def __post_init__(self):
-        if self.spec is not None and not self.spec.is_tumbling:
+        if not self.spec.is_tumbling:
             raise ValueError("accumulating merge needs half-open tumbling windows")
 
     def state(self, deltas: DataFrame, key: str, order: str) -> DataFrame:
         return deltas.groupBy(key).agg(*[F.sum(f"__s_{v}").alias(f"__s_{v}") for v in self.values])
 
     def merge(self, batch: DataFrame, state: DataFrame | None, key: str, order: str):
-        w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        j = batch if state is None else join_back(batch, state, key, "left")
+        run = running_totals(batch.select(order, key, *self.values), key, [order],
+                             time_block(batch, order, DEFAULT_BLOCK_SECONDS),
+                             {f"__run_{v}": F.col(v) for v in self.values})
+        j = run if state is None else join_back(run, state, key, "left")
         base = (lambda v: F.lit(0)) if state is None else (lambda v: F.coalesce(F.col(f"__s_{v}"), F.lit(0)))
-        out = j.select(order, key, *[(base(v) + F.sum(v).over(w)).alias(r)
+        out = j.select(order, key, *[(base(v) + F.col(f"__run_{v}")).alias(r)
                                      for v, r in zip(self.values, self.returned)])
         delta = batch.groupBy(key).agg(*[F.sum(v).alias(f"__s_{v}") for v in self.values])
         return out, delta

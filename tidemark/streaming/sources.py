@@ -5,9 +5,9 @@
   broker's arrival timestamp (the arrival stamp T1). Needs the
   ``spark-sql-kafka`` package on the classpath, which this environment does
   not bundle; the option builder is tested, the read is not run here.
-* ``read_table_stream``: a parquet table folder as a file stream (one
-  micro-batch per ``max_files_per_trigger`` files).
-* ``write_flush_marker``: a one-row sentinel one day after the newest event,
+* ``table_stream``: a parquet table, one file or a folder of part files, as a
+  file stream (one micro-batch per ``max_files_per_trigger`` files).
+* ``write_flush_marker``: a one-row sentinel far after the newest event,
   so a bounded replay closes its last windows. It is a valid click (it has to
   pass every filter Catalyst may push below the watermark) from user -1 and
   lands in a window that never closes, so it never reaches any output.
@@ -26,9 +26,10 @@ MESSAGE_SCHEMA = "key bigint, value string, ts timestamp"
 
 def kafka_options(servers: str, topic: str, starting_offsets: str = "latest",
                   **extra: str) -> dict[str, str]:
-    """Options of a Kafka source over all partitions of ``topic``."""
+    """Options of a Kafka source over all partitions of ``topic``. Offsets that
+    the broker has lost end the query (Spark's ``failOnDataLoss`` default)."""
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+            "startingOffsets": starting_offsets}
     opts.update({k: str(v) for k, v in extra.items()})
     return opts
 
@@ -43,77 +44,57 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, starting_offsets:
                       F.col("timestamp").alias("ts"))
 
 
-def read_table_stream(spark: SparkSession, folder: str, name: str, schema,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ``{name}*.parquet`` files of ``folder`` as a streaming DataFrame."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(folder)
+def table_stream(spark: SparkSession, sf_dir: str, name: str, schema,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """Table ``{sf_dir}/{name}.parquet``, a file or a folder of part files, as a stream."""
+    path, files = f"{sf_dir.rstrip('/')}/{name}.parquet", "*.parquet"
+    if not is_folder(spark, path):
+        path, files = sf_dir, f"{name}.parquet"
+    return read_files_stream(spark, path, files, schema, max_files_per_trigger)
 
 
-def union_glob(*folders: str) -> str:
-    """One Hadoop glob matching several folders: ``/{a/x,b/y}``.
-
-    Folders must share scheme and authority (one file system); their common
-    leading path stays outside the braces.
-    """
-    roots, paths = set(), []
-    for f in folders:
-        if "://" in f:
-            scheme, rest = f.split("://", 1)
-            authority, _, path = rest.partition("/")
-            roots.add(f"{scheme}://{authority}")
-        elif f.startswith("file:"):
-            roots.add("file:")
-            path = f[len("file:"):].lstrip("/")
-        else:
-            roots.add("")
-            path = f.lstrip("/")
-        paths.append([c for c in path.rstrip("/").split("/") if c])
-    if len(roots) != 1:
-        raise ValueError("folders must share a file system to be read as one source")
-    common = []
-    for comps in zip(*paths):
-        if len(set(comps)) != 1:
-            break
-        common.append(comps[0])
-    tails = ["/".join(p[len(common):]) for p in paths]
-    head = "/".join([roots.pop()] + common)
-    return f"{head}/{{{','.join(tails)}}}"
-
-
-def read_files_stream(spark: SparkSession, folders: list[str], file_glob: str, schema,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Files matching ``file_glob`` in several folders as ONE file stream.
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
 
-    A single source orders all its files by modification time, so a file
-    written later (e.g. the flush marker) is consumed after the others.
-    """
-    path = folders[0] if len(folders) == 1 else union_glob(*folders)
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.mkdirs(p)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def read_files_stream(spark: SparkSession, folder: str, file_glob: str, schema,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Files of ``folder`` matching ``file_glob`` as a stream, in the order of their modification times."""
     r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(path)
+    return r.parquet(folder)
 
 
-def read_message_files(spark: SparkSession, folders: list[str] | str,
+def read_message_files(spark: SparkSession, folder: str,
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stand-in for a topic: parquet files of ``(key, value, ts)`` messages.
-
-    Same columns as ``read_kafka``; several folders are one source, read in
-    file modification order.
-    """
-    folders = [folders] if isinstance(folders, str) else folders
-    return read_files_stream(spark, folders, "*.parquet", MESSAGE_SCHEMA, max_files_per_trigger)
+    """Stand-in for a topic: parquet files of ``(key, value, ts)`` messages (the columns of ``read_kafka``)."""
+    return read_files_stream(spark, folder, "*.parquet", MESSAGE_SCHEMA, max_files_per_trigger)
 
 
-def write_flush_marker(events: DataFrame, path: str) -> None:
-    """Write the sentinel row (schema of ``events``) derived from its newest ts."""
+def write_flush_marker(events: DataFrame, path: str, after: str = "1 day") -> None:
+    """Append the sentinel row (schema of ``events``), ``after`` its newest ts (longer than the watermark)."""
     cols = {f.name: F.lit(None).cast(f.dataType) for f in events.schema.fields}
     cols.update({
         "event_id": F.lit(-1).cast("bigint"),
-        "ts": F.col("__max") + F.expr("INTERVAL 1 DAY"),
+        "ts": F.col("__max") + F.expr(f"INTERVAL {after}"),
         "user_id": F.lit(FLUSH_USER).cast("bigint"),
         "event_type": F.lit("click"),
         "value": F.lit(0.0),
@@ -121,4 +102,4 @@ def write_flush_marker(events: DataFrame, path: str) -> None:
     })
     (events.agg(F.max("ts").alias("__max"))
      .select(*[c.alias(n) for n, c in cols.items()])
-     .coalesce(1).write.mode("overwrite").parquet(path))
+     .coalesce(1).write.mode("append").parquet(path))

@@ -15,14 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import WindowSpec
-from tidemark.functions.scalars import as_instant, ieee_divide
-from tidemark.operators.metrics import exact_sum, exact_value
+from tidemark.functions.scalars import as_instant
+from tidemark.operators.metrics import completion_sums, finish_click_show, finish_completion
 from tidemark.operators.windows import (
     WINDOW_COL,
-    min_records_gate,
+    group_key,
+    stream_windows,
     struct_to_trigger,
-    trigger_second,
-    window_column,
 )
 
 DEFAULT_WATERMARK = "10 seconds"
@@ -35,38 +34,28 @@ def with_event_time(stream: DataFrame, ts: str = "ts", delay: str = DEFAULT_WATE
 
 def windowed_click_show(stream: DataFrame, spec: WindowSpec, key: str = "u",
                         ts: str = "ts") -> DataFrame:
-    """Streaming ``(w, key, clicks, shows, __n)`` per window (append mode)."""
-    return (stream.groupBy(window_column(ts, spec).alias(WINDOW_COL), key)
+    """Streaming ``(w, *GROUP_COLS, clicks, shows, __n)`` per window (append mode)."""
+    return (stream_windows(stream, spec, ts).groupBy(WINDOW_COL, *group_key(key))
             .agg(F.sum("clicks").alias("clicks"), F.sum("shows").alias("shows"),
                  F.count(F.lit(1)).alias("__n")))
 
 
 def windowed_completion(stream: DataFrame, spec: WindowSpec, key: str = "u", ts: str = "ts",
                         exact_scale: int | None = None) -> DataFrame:
-    """Streaming ``(w, key, tm, duration, __n)`` per window (append mode)."""
-    return (stream.groupBy(window_column(ts, spec).alias(WINDOW_COL), key)
-            .agg(exact_sum("tm", exact_scale).alias("tm"),
-                 exact_sum("duration", exact_scale).alias("duration"),
-                 F.count(F.lit(1)).alias("__n")))
+    """Streaming ``(w, *GROUP_COLS, <sums>, __n)`` per window (append mode)."""
+    return (stream_windows(stream, spec, ts).groupBy(WINDOW_COL, *group_key(key))
+            .agg(*completion_sums(exact_scale), F.count(F.lit(1)).alias("__n")))
 
 
 def gate_click_show(spec: WindowSpec, key: str = "u"):
     """Batch transform for ``foreachBatch``: gate, then ``(t, key, clicks, shows)``."""
-    def run(batch: DataFrame) -> DataFrame:
-        g = min_records_gate(struct_to_trigger(batch, spec), key, "__n", spec.min_records)
-        return g.select(trigger_second(spec).alias("t"), key, "clicks", "shows")
-    return run
+    return lambda batch: finish_click_show(struct_to_trigger(batch, spec), spec, key)
 
 
 def gate_completion(spec: WindowSpec, key: str = "u", exact_scale: int | None = None):
     """Batch transform for ``foreachBatch``: gate, then ``(t, key, tm, duration, rpt)``
     (``exact_scale`` as given to ``windowed_completion``)."""
-    def run(batch: DataFrame) -> DataFrame:
-        g = min_records_gate(struct_to_trigger(batch, spec), key, "__n", spec.min_records)
-        tm, dur = exact_value("tm", exact_scale), exact_value("duration", exact_scale)
-        return g.select(trigger_second(spec).alias("t"), key, tm.alias("tm"),
-                        dur.alias("duration"), ieee_divide(tm, dur).alias("rpt"))
-    return run
+    return lambda batch: finish_completion(struct_to_trigger(batch, spec), spec, key, exact_scale)
 
 
 def every_step(spec: WindowSpec) -> dict:
@@ -74,6 +63,35 @@ def every_step(spec: WindowSpec) -> dict:
     return {"processingTime": f"{spec.slide} seconds"}
 
 
+class LateRows(RuntimeError):
+    """A watermark dropped rows: it was too short for how late the input came."""
+
+
+def await_complete(*queries: StreamingQuery, fail_on_late: bool = True, poll: float = 2.0) -> int:
+    """Wait until the queries end; the number of rows their watermarks dropped.
+
+    When one fails, or drops late rows (``fail_on_late``), the others are
+    stopped and the error is raised. Progress is read while the queries run,
+    so no micro-batch's report is missed.
+    """
+    dropped: dict[tuple, int] = {}
+    while True:
+        active = [q.isActive for q in queries]
+        for q in queries:
+            for p in q.recentProgress:
+                dropped[q.runId, p["batchId"]] = max(dropped.get((q.runId, p["batchId"]), 0), sum(
+                    o.get("numRowsDroppedByWatermark", 0) for o in p["stateOperators"]))
+        late = sum(dropped.values())
+        error = next((q.exception() for q in queries if q.exception() is not None), None)
+        if error is not None or (late and fail_on_late):
+            for q in queries:
+                q.stop()
+            raise error or LateRows(f"{late} rows came later than the watermark allows; use a longer one")
+        if not any(active):
+            return late
+        next(q for q, on in zip(queries, active) if on).awaitTermination(poll)
+
+
 def start(agg: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
           name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Start ``agg`` in append mode into a ``foreachBatch`` sink.
