@@ -12,7 +12,9 @@ import tempfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,20 @@ def as_bytes(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
+def slices(batches: Iterator[pa.RecordBatch], name: str = "text", max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Record batches cut so that a column holds about max_bytes, or one row: bounds what becomes Python objects."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0)
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            done = int(ends[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, done + max_bytes, "right")))
+            yield batch.slice(start, end - start)
+            start = end
+    pa.default_memory_pool().release_unused()  # workers live on; other tasks share the executor's memory
+
+
 def batches_of(rows: Iterator[tuple], schema: pa.Schema, max_rows: int = 4096,
                max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Tuples as record batches of bounded size."""

@@ -7,7 +7,7 @@ the context's frequency. L is learned by expectation-maximisation on held-out
 counts: every training token is scored with its own occurrence deleted from
 c(v w), c(v) and c(w).
 
-How it runs. A cell is one input partition. Each cell counts its own distinct
+How it runs. A cell is a run of rows of one input partition. Each cell counts its own distinct
 words and bigrams (64-bit hashes) and sends, to each of the hash buckets, one
 row with its sorted keys and training counts: a word that makes up a third of
 all tokens leaves a cell as one key. A bucket adds the counts up and answers
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, batches_of, fold_of, text_of, written
+from tidemark.llm.common import as_bytes, batches_of, fold_of, slices, text_of, written
 
 BUCKETS = 40         # of log2 context counts
 BINS = 2048          # of the ratio of bigram to unigram probability, 32 to the doubling; bin 0: ratio 0
@@ -44,9 +44,9 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _END = b"\x00 end"   # no word holds a space
 _START = b"\x00 start"
 
-_PACKED = pa.schema([("bucket", pa.int32()), ("cell", pa.int32()), ("n_words", pa.int32()),
+_PACKED = pa.schema([("bucket", pa.int32()), ("cell", pa.int64()), ("n_words", pa.int32()),
                      ("keys", pa.binary()), ("counts", pa.binary())])
-_ANSWER = pa.schema([("cell", pa.int32()), ("bucket", pa.int32()), ("n_words", pa.int32()), ("check", pa.int64()),
+_ANSWER = pa.schema([("cell", pa.int64()), ("bucket", pa.int32()), ("n_words", pa.int32()), ("check", pa.int64()),
                      ("tokens", pa.int64()), ("distinct", pa.int64()), ("totals", pa.binary())])
 _TABLE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                     ("train_tokens", pa.int64()), ("train_words", pa.int64()),
@@ -56,7 +56,7 @@ _TABLE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens
 class _Hashes(dict):
     """word -> 64-bit hash; emptied when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
@@ -74,14 +74,13 @@ _hashes = _Hashes()
 
 def hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes of all tokens (an end after each text), bigram hashes, tokens per text."""
-    words, sizes = [], []
-    for text in texts:
+    parts, get, end = [], _hashes.__getitem__, np.array([_hashes[_END]], np.uint64)
+    sizes = np.empty(len(texts), np.int64)
+    for i, text in enumerate(texts):
         found = text.translate(_LOWER).split()  # bytes split at [\x20\x09-\x0D]
-        words += found
-        words.append(_END)
-        sizes.append(len(found) + 1)
-    w = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    sizes = np.array(sizes, np.int64)
+        parts += [np.fromiter(map(get, found), np.uint64, len(found)), end]
+        sizes[i] = len(found) + 1
+    w = np.concatenate(parts) if parts else np.empty(0, np.uint64)
     v = np.empty_like(w)
     v[1:] = w[:-1]
     v[np.cumsum(sizes) - sizes] = _hashes[_START]
@@ -133,11 +132,17 @@ def _check(words: np.ndarray, bigrams: np.ndarray) -> int:
 
 def _distinct(texts: list[bytes]):
     w, vw, sizes = hashed(texts)
-    words, word_at = np.unique(w, return_inverse=True)
-    bigrams, bigram_at = np.unique(vw, return_inverse=True)
+    words, word_at = _numbered(w)
+    bigrams, bigram_at = _numbered(vw)
     return words, word_at, bigrams, bigram_at, sizes
 
 
+def _numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, sorted, and where each value stands among them."""
+    distinct, at = np.unique(x, return_inverse=True)
+    return distinct, at.astype(np.int32)
+
+
 def _column(table: pa.Table | pa.RecordBatch, name: str) -> list:
     return table.column(table.schema.get_field_index(name)).to_pylist()
 
@@ -198,6 +203,7 @@ def _counted(docs: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tuple]
         raise RuntimeError("a partition's rows changed between two reads; write docs to a table first")
     n, v = sum(_column(answers, "tokens")), sum(_column(answers, "distinct"))
     c_w, c_vw = word_totals[word_at], bigram_totals[bigram_at]
+    del word_at, bigram_at, words, bigrams, got
     start = 0
     for doc_id, out, size in zip(ids, held, sizes.tolist()):
         own = slice(start, start + size)
@@ -205,23 +211,34 @@ def _counted(docs: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tuple]
         start += size
 
 
-def token_counts(docs: DataFrame, held_out_mod: int = 10, buckets: int | None = None) -> DataFrame:
+def token_counts(docs: DataFrame, held_out_mod: int = 10, cell_bytes: int = 8 << 20,
+                 buckets: int | None = None) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, train_tokens (N), train_words (V), words, bigrams (packed counts).
 
     c(v) of a token is c(w) of the one before it; at a start it is c(end).
+    ``cell_bytes`` of text, on average, make a cell and bound a task's memory;
+    ``buckets`` (default: two a cell, 65,536 at most) bound that of a bucket.
     """
-    rows = text_of(docs).select(
-        "doc_id", (fold_of("doc_id", held_out_mod) == 0).alias("held_out"), "text",
-        F.spark_partition_id().alias("cell"))
-    if buckets is None:  # as many as cells, so that both grow alike
-        buckets = 2 * max(8, (rows.agg(F.max("cell")).first()[0] or 0) + 1)
+    rows = text_of(docs).select("doc_id", "text", F.monotonically_increasing_id().alias("at"))
+    size, n = rows.agg(F.sum(F.octet_length("text").cast("long") + 1), F.count("*")).first()
+    per_cell = max(1, int(cell_bytes * n / size)) if n else 1
+    # consecutive rows of one partition: its number, then the row's number in it by per_cell
+    cell = (F.shiftright("at", 33) * (1 << 24)
+            + F.floor(F.col("at").bitwiseAND((1 << 33) - 1) / per_cell)).alias("cell")
+    rows = rows.select("doc_id", (fold_of("doc_id", held_out_mod) == 0).alias("held_out"), "text", cell)
+    if buckets is None:
+        buckets = min(max(16, 2 * rows.agg(F.count_distinct("cell")).first()[0]), 1 << 16)
 
     def requests(batches):
         cell, held, texts = None, [], []
-        for batch in batches:
-            cell = _column(batch, "cell")[0] if batch.num_rows else cell
-            held += _column(batch, "held_out")
-            texts += as_bytes(batch, "text")
+        for batch in slices(batches):
+            for own, out, text in zip(_column(batch, "cell"), _column(batch, "held_out"), as_bytes(batch, "text")):
+                if own != cell:
+                    if texts:
+                        yield from batches_of(_requests(cell, held, texts, buckets), _PACKED)
+                    cell, held, texts = own, [], []
+                held.append(out)
+                texts.append(text)
         if texts:
             yield from batches_of(_requests(cell, held, texts, buckets), _PACKED)
 
@@ -231,9 +248,9 @@ def token_counts(docs: DataFrame, held_out_mod: int = 10, buckets: int | None =
     def counted(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         return pa.Table.from_batches(batches_of(_counted(left, right, buckets), _TABLE), schema=_TABLE)
 
-    asked = rows.mapInArrow(requests, "bucket int, cell int, n_words int, keys binary, counts binary")
+    asked = rows.mapInArrow(requests, "bucket int, cell long, n_words int, keys binary, counts binary")
     told = asked.groupBy("bucket").applyInArrow(
-        answers, "cell int, bucket int, n_words int, check long, tokens long, distinct long, totals binary")
+        answers, "cell long, bucket int, n_words int, check long, tokens long, distinct long, totals binary")
     return written(rows.groupBy("cell").cogroup(told.groupBy("cell")).applyInArrow(
         counted, "doc_id long, held_out boolean, n_tokens long, train_tokens long, train_words long, "
                  "words binary, bigrams binary"), "token-counts")
@@ -258,7 +275,7 @@ def ratio_histogram(table: DataFrame) -> np.ndarray:
 
     def local(batches):
         found = np.zeros(BUCKETS * BINS, np.int64)
-        for batch in batches:
+        for batch in slices(batches, "words"):
             names = ("train_tokens", "train_words", "words", "bigrams")
             for n, v, words, bigrams in zip(*(_column(batch, x) for x in names)):
                 c_w, c_vw = unpack_counts(words), unpack_counts(bigrams)
@@ -305,7 +322,7 @@ def score(docs: DataFrame, held_out_mod: int = 10) -> DataFrame:
                         ("base_score", pa.float64()), ("score", pa.float64())])
 
     def scored(batches):
-        for batch in batches:
+        for batch in slices(batches, "words"):
             for doc_id, held, size, n, v, words, bigrams in zip(*(_column(batch, f.name) for f in _TABLE)):
                 c_w, c_vw = unpack_counts(words), unpack_counts(bigrams)
                 base = _base(c_w, n, v)
