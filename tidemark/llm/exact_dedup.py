@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, as_bytes, batches_of, row_key, shuffle_partitions, text_of
+from tidemark.llm.common import SPACE, as_bytes, batches_of, row_key, shuffle_partitions, slices, text_of
 
-TRIE_BYTES = 128 << 20  # of labels that a trie holds before it spills
+TRIE_BYTES = 64 << 20  # of labels that a trie holds before it spills
 
 Owner = tuple  # (code points, doc_id or None, rows, hash, *extra)
 
@@ -104,6 +104,10 @@ class PatriciaTrie:
         kid, file = node.kids[first], tempfile.TemporaryFile()
         for key, owner in self._walk(kid, path):
             pickle.dump((key, owner), file)
+        for below in self._spilled(kid):  # its strings would come here from now on
+            self.files.remove(below)
+            for entry in _entries(below):
+                pickle.dump(entry, file)
         kid.kids, kid.owner, kid.spilled = {}, None, file
         self.size -= weights[first] - len(kid.label)
         # what arrives later is told apart from its siblings by the first byte alone
@@ -120,6 +124,15 @@ class PatriciaTrie:
             todo += node.kids.values()
         return total
 
+    @staticmethod
+    def _spilled(node: _Node) -> list:
+        found, todo = [], [node]
+        while todo:
+            node = todo.pop()
+            found += [node.spilled] if node.spilled is not None else []
+            todo += node.kids.values()
+        return found
+
     @staticmethod
     def _walk(node: _Node, path: bytes) -> Iterator[tuple[bytes, Owner]]:
         todo = [(node, path)]
@@ -134,20 +147,26 @@ class PatriciaTrie:
         """Every distinct string with its owner; spilled subtrees are rebuilt one at a time."""
         yield from self._walk(self.root, b"")
         for file in self.files:
-            file.seek(0)
             part = PatriciaTrie(self.budget)
-            while True:
-                try:
-                    part.insert(*pickle.load(file))
-                except EOFError:
-                    break
-            file.close()
+            for key, owner in _entries(file):
+                part.insert(key, owner)
             yield from part.items()
 
 
+def _entries(file) -> Iterator[tuple[bytes, Owner]]:
+    """What was written to a file, which is closed and gone afterwards."""
+    file.seek(0)
+    while True:
+        try:
+            yield pickle.load(file)
+        except EOFError:
+            break
+    file.close()
+
+
 def _reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, Owner]]:
     """doc_id, key1, key2, text rows -> the reduced text and the row as its owner."""
-    for batch in batches:
+    for batch in slices(batches):
         columns = [batch.column(i).to_pylist() for i in range(3)] + [as_bytes(batch, "text")]
         for doc_id, key1, key2, text in zip(*columns):
             body = text.translate(None, SPACE.encode())
@@ -175,7 +194,7 @@ def owners(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
 
     def in_partition(batches):
         trie = PatriciaTrie(trie_bytes)
-        for batch in batches:
+        for batch in slices(batches, "body"):
             names = ("points", "doc_id", "rows", "hash", "key1", "key2")
             columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
             for body, owner in zip(as_bytes(batch, "body"), zip(*columns)):

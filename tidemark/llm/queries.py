@@ -143,8 +143,8 @@ ORACLE_SQL = {
           FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
         hits AS (SELECT w.doc_id, w.i, w.n, p.item FROM windows w JOIN phrases p ON w.n = p.n AND w.p = p.p),
         words AS (
-          SELECT doc_id, count(DISTINCT at) AS n_hit
-          FROM (SELECT doc_id, unnest(range(i, i + n)) AS at FROM hits) GROUP BY doc_id),
+          SELECT doc_id, count(DISTINCT place) AS n_hit
+          FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id),
         found AS (
           SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
           FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
