@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, text_of
+from tidemark.llm.common import batches_of, slices, text_of
 from tidemark.llm.tokens import encoder
 
 
@@ -100,7 +100,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 2048, end_id: int = 1,
 
         encode = encoder(vocabulary)
         narrow = max(encode.vocabulary - 1, end_id) < 1 << 16  # two bytes an id on the way
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, seed, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 ids = np.frombuffer(encode.encode(text) + end, "<u4")
                 sent = ids.astype("<u2") if narrow else ids

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, text_of
+from tidemark.llm.common import batches_of, slices, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "gazetteer", "context", "shape", "boundary")
@@ -223,7 +223,7 @@ def train(docs: DataFrame) -> SpanClassifier:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         found: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 for kind, span, strict in _candidates(text):
                     found[kind, ",".join(map(str, votes(text, kind, span, strict)))] += 1
@@ -243,7 +243,7 @@ def find(docs: DataFrame, model: SpanClassifier, threshold: float = 0.5) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         known: dict[tuple, bool] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 out = []
                 for kind, (start, end), strict in _candidates(text):

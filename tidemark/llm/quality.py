@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, batches_of, fold_of, ship, text_of
+from tidemark.llm.common import as_bytes, fold_of, ship, slices, text_of
 
 MAX_ROWS = 20_000
 STATISTICS = (
@@ -68,7 +68,7 @@ def with_statistics(docs: DataFrame, *columns: str) -> DataFrame:
     names = [f"_s_{s}" for s in STATISTICS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "_text"):
             table = np.array([statistics_of(t) for t in as_bytes(batch, "_text")], np.float64)
             table = table.reshape(batch.num_rows, len(STATISTICS))
             kept = [c for f, c in zip(batch.schema, batch.columns) if f.name != "_text"]

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, row_key, shuffle_partitions, text_of, written
+from tidemark.llm.common import batches_of, row_key, shuffle_partitions, slices, text_of, written
 from tidemark.llm.tokens import encoder
 
 MAGIC, VERSION, BLOCK_IDS = b"TDBP", 1, 4096
@@ -131,7 +131,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 1,
         names: list[int | None] = []
         ids: list[bytes] = []
         held = first = 0
-        for batch in batches:
+        for batch in slices(batches):
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 names.append(name)
                 ids.append(encode.encode(text) + end)
