@@ -343,7 +343,7 @@ def test_smallest_capacity():
 
             ends = sharding.smallest_cuts(sizes, shards)
             starts = [0, *ends[:-1]]
-            assert ends[-1] == n and len(ends) <= shards
+            assert ends[-1] == n and len(ends) == shards
             assert max(sum(sizes[a:b]) for a, b in zip(starts, ends)) == least(0, shards)
 
 

@@ -5,7 +5,7 @@ each holding every row of the texts that hash into it, so equal texts always
 share a shard. One aggregation sums the bytes of each group (at most 65,536
 rows whatever the input, the proven bound of what the driver reads). The
 smallest feasible capacity is found by binary search over those ordered sizes,
-each candidate checked greedily, and the order is cut there. A row's shard is
+each candidate checked greedily, and the order is cut within it, as evenly as it allows. A row's shard is
 then a comparison of its group with the cuts: no join, no shuffle.
 
 Slots number the rows of a shard from 0 without gaps. Rows are numbered within
@@ -32,32 +32,43 @@ GROUP_BITS = 16
 CELLS = 4096
 
 
-def greedy_cuts(prefix: list[int], capacity: int, shards: int) -> list[int] | None:
-    """Ends (exclusive) of the shards filled one after another; None if they don't suffice."""
-    ends, start = [], 0
+def fits(prefix: list[int], start: int, capacity: int, shards: int) -> bool:
+    """Whether shards filled one after another hold everything from start on."""
     for _ in range(shards):
-        end = bisect_right(prefix, prefix[start] + capacity) - 1
-        ends.append(end)
-        start = end
-        if end == len(prefix) - 1:
-            return ends
-    return None
+        start = bisect_right(prefix, prefix[start] + capacity) - 1
+    return start == len(prefix) - 1
+
+
+def cuts_within(prefix: list[int], capacity: int, shards: int) -> list[int]:
+    """Ends (exclusive) of shards of at most a feasible capacity, each as near an even share of what is
+    left as the shards after it allow."""
+    ends, start, last = [], 0, len(prefix) - 1
+    for left in reversed(range(shards)):
+        most = bisect_right(prefix, prefix[start] + capacity) - 1
+        share = prefix[start] + (prefix[last] - prefix[start]) / (left + 1)
+        end = min(bisect_right(prefix, share), last)
+        if end > start and share - prefix[end - 1] < prefix[end] - share:
+            end -= 1
+        end = min(end, most)
+        ends.append(end if fits(prefix, end, capacity, left) else most)
+        start = ends[-1]
+    return ends
 
 
 def smallest_cuts(sizes: list[int], shards: int) -> list[int]:
-    """Ends of at most ``shards`` contiguous runs of sizes whose largest sum is minimal."""
+    """Ends of ``shards`` contiguous runs (some may be empty) of sizes whose largest sum is minimal."""
     prefix = list(accumulate(sizes, initial=0))
     low = max(max(sizes, default=0), -(-prefix[-1] // shards))
     high = low + max(sizes, default=0)
-    while greedy_cuts(prefix, high, shards) is None:
+    while not fits(prefix, 0, high, shards):
         high *= 2
     while low < high:
         middle = (low + high) // 2
-        if greedy_cuts(prefix, middle, shards) is None:
-            low = middle + 1
-        else:
+        if fits(prefix, 0, middle, shards):
             high = middle
-    return greedy_cuts(prefix, low, shards)
+        else:
+            low = middle + 1
+    return cuts_within(prefix, low, shards)
 
 
 def shard_by_size(docs: DataFrame, shards: int = 16) -> DataFrame:
