@@ -178,6 +178,28 @@ def test_user_defined_keyed_operation(spark):
     assert got == {(0, "a", 3), (0, "b", 1), (1, "a", 3), (1, "b", 5)}
 
 
+def test_keyed_store_stays_bounded(spark):
+    """50 batches with gaps: the store equals one pass over all results, its folders stay few."""
+    import os
+
+    d = tempfile.mkdtemp(prefix="tidemark-k2-")
+    sink = KeyedTableSink(f"{d}/o", f"{d}/s", Accumulate(SPEC), compact_every=3, buckets=4)
+    total, n = {}, 0
+    for batch_id in range(0, 100, 2):
+        rows = [(300 * batch_id, f"u{(batch_id * k) % 7}", k, 1) for k in (1, 3)]
+        rows = list({r[1]: r for r in rows}.values())
+        df = spark.createDataFrame(rows, "t long, u string, clicks long, shows long").coalesce(1)
+        sink(df, batch_id)
+        if batch_id % 10 == 0:
+            sink(df, batch_id)  # a replay of the same batch
+        for _, u, c, _ in rows:
+            total[u] = total.get(u, 0) + c
+        n = max(n, len(os.listdir(f"{d}/s")), len(os.listdir(f"{d}/s_snapshots")) if batch_id > 20 else 0)
+    last = {r["u"]: r["rt_u_click"] for r in sink.read(spark).orderBy("t").collect()}
+    assert last == total
+    assert n < 25
+
+
 def test_kafka_options():
     o = kafka_options("b1:9092,b2:9092", "act", maxOffsetsPerTrigger=1000)
     assert o["subscribe"] == "act" and o["startingOffsets"] == "latest"

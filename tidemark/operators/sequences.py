@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import epoch_seconds
@@ -27,13 +27,38 @@ from tidemark.operators.joins import join_back
 from tidemark.operators.keyed import DEFAULT_BLOCK_SECONDS, running_totals, time_block
 
 
+# Fixed widths of an order number: a timestamp's microseconds (or a whole
+# number of up to 17 digits) before a 64-bit number shifted to be positive.
+_SECOND_WIDTH, _SECOND_SHIFT, _FIRST_NULL = 2 * 10 ** 19, 2 ** 63, -(10 ** 17)
+
+
+def order_number(df: DataFrame, order: Sequence[str]) -> Column:
+    """The order columns as one comparable column of fixed width, which keeps
+    ``min_by`` / ``max_by`` hash-based: one column as it is, (timestamp, whole
+    number) as one decimal; anything else is compared as a struct
+    (sort-based). NULLs come first."""
+    if len(order) == 1:
+        return F.col(order[0])
+    kinds = [df.schema[c].dataType.simpleString() for c in order]
+    if len(order) == 2 and kinds[0] in ("timestamp", "timestamp_ntz") and kinds[1] in ("bigint", "int"):
+        seconds = epoch_seconds(df, order[0])
+        fraction = F.date_part(F.lit("SECOND"), F.col(order[0])) * 1_000_000 % 1_000_000
+        micros = seconds.cast("decimal(17,0)") * 1_000_000 + fraction.cast("decimal(6,0)")
+        first = F.coalesce(micros.cast("decimal(18,0)"), F.lit(_FIRST_NULL).cast("decimal(18,0)"))
+        second = F.coalesce(F.col(order[1]).cast("decimal(20,0)") + _decimal(_SECOND_SHIFT), _decimal(0))
+        return (first * _decimal(_SECOND_WIDTH)).cast("decimal(38,0)") + second.cast("decimal(38,0)")
+    return F.struct(*[F.col(c) for c in order])
+
+
+def _decimal(n: int) -> Column:
+    return F.lit(str(n)).cast("decimal(20,0)")
+
+
 def sequence_summary(df: DataFrame, key: str, value: str, order: Sequence[str],
                      ts: str | None = None) -> DataFrame:
     """Per key: ``length, head, head_idx, tail, tail_idx, valid_head,
     valid_head_idx, valid_tail, valid_tail_idx, valid_length[, oldest_sec]``."""
-    # A single order column is used as is (fixed-width buffers, hash-based
-    # aggregation); several are compared as a struct (sort-based aggregation).
-    ordc = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+    ordc = order_number(df, order)
     valid_ord = F.when(F.col(value).isNotNull(), ordc)
     aggs = [F.count(F.lit(1)).alias("length"),
             F.min_by(F.col(value), ordc).alias("head"),
@@ -44,16 +69,17 @@ def sequence_summary(df: DataFrame, key: str, value: str, order: Sequence[str],
     if ts is not None:
         aggs.append(F.min(epoch_seconds(df, ts)).alias("oldest_sec"))
     first = df.groupBy(key).agg(*aggs)
-    # Second pass: the positions of the first and last non-null element are
-    # the numbers of rows ordered before them. The first pass's answers ride
-    # along (constant per key), so nothing is joined back afterwards.
-    carried = [c for c in first.columns if c != key]
-    pos = (df.select(key, ordc.alias("__o"))
-           .transform(lambda d: join_back(d, first, key))
-           .groupBy(key)
-           .agg(*[F.first(c).alias(c) for c in carried],
-                F.count(F.when(F.col("__o") < F.col("__fv"), 1)).alias("__vh"),
-                F.count(F.when(F.col("__o") < F.col("__lv"), 1)).alias("__vt")))
+    # Second pass: only NULL elements come before the first non-null one and
+    # after the last, so their numbers give both positions; no other row is
+    # shuffled again.
+    gaps = join_back(df.filter(F.col(value).isNull()).select(key, ordc.alias("__o")),
+                     first.select(key, "__fv", "__lv"), key)
+    around = gaps.groupBy(key).agg(F.count_if(F.col("__o") < F.col("__fv")).alias("__before"),
+                                   F.count_if(F.col("__o") > F.col("__lv")).alias("__after"))
+    zero = F.lit(0).cast("bigint")
+    pos = (join_back(first, around, key, "left")
+           .withColumn("__vh", F.coalesce("__before", zero))
+           .withColumn("__vt", F.col("length") - 1 - F.coalesce("__after", zero)))
     has_valid = F.col("__fv").isNotNull()
     vh = F.when(has_valid, F.col("__vh")).otherwise(F.lit(-1).cast("bigint"))
     vt = F.when(has_valid, F.col("__vt")).otherwise(F.lit(-1).cast("bigint"))

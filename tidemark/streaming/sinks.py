@@ -11,23 +11,23 @@ and releases it at the end; a lost block is simply recomputed.
 * ``KeyedTableSink``: a keyed store with a pluggable merge (K3). The stored
   values live as per-batch deltas; the state seen by batch N is the merge of
   the deltas of batches before N, so a replay of N never sees its own writes.
-  Every ``compact_every`` batches the merged state is written as a snapshot,
-  so a batch reads one snapshot plus the deltas after it, and only for the
-  keys present in the batch (a semi-join AQE can broadcast).
+  State lies in hash buckets of the key; a batch reads the buckets of its own
+  keys and compacts some of all buckets in turn.
   ``FirstWrite`` (K1) stores a key's first result and returns stored + current
   afterwards; ``Accumulate`` (K2) stores the running total.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tidemark.config import WindowSpec
 from tidemark.functions.scalars import profile_key
@@ -95,24 +95,16 @@ def _list(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-def read_batches(spark: SparkSession, path: str, before: int | None = None,
-                 schema=None) -> DataFrame | None:
-    """All rows written by a sink (optionally only batches before ``before``).
 
-    With ``schema`` (the batch column included) a sink that has only seen
-    empty batches reads as an empty table.
-    """
-    if not _exists(spark, path):
-        return None
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(path)
-    return df if before is None else df.filter(F.col(BATCH_COL) < before)
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 @dataclass
@@ -204,7 +196,13 @@ class KeyedTableSink:
 
     ``operation`` is any object with ``state(deltas, key, order)`` and
     ``merge(batch, state, key, order) -> (returned_rows, state_delta)``.
-    Returned rows go to ``out_path``; deltas to ``state_path``.
+    Returned rows go to ``out_path``. The state lies in ``buckets`` hash buckets of
+    the key: deltas in ``state_path/batch_id=<n>/bucket=<b>``, compacted state in
+    ``snapshot_path/upto=<n>/bucket=<b>`` (the batches before n).
+
+    A batch reads only the buckets of its own keys. It also compacts about one
+    ``compact_every``-th of all buckets, and once a new snapshot is committed, what it and the
+    other buckets' newest snapshots cover is removed: folders stay bounded however many batches run.
     """
 
     out_path: str
@@ -215,6 +213,7 @@ class KeyedTableSink:
     key_template: str | None = None
     transform: Callable[[DataFrame], DataFrame] = lambda df: df
     compact_every: int = 10
+    buckets: int = 64
     schema: StructType | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -225,38 +224,64 @@ class KeyedTableSink:
     def snapshot_path(self) -> str:
         return f"{self.state_path.rstrip('/')}_snapshots"
 
-    def _latest_snapshot(self, spark: SparkSession, batch_id: int) -> int | None:
-        """Largest snapshot id <= batch_id (a snapshot N holds batches < N)."""
-        if not _exists(spark, self.snapshot_path):
-            return None
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.snapshot_path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        ids = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("upto="):
-                ok = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-                if ok and int(name[5:]) <= batch_id:
-                    ids.append(int(name[5:]))
-        return max(ids) if ids else None
-
-    def state_before(self, spark: SparkSession, batch_id: int, schema) -> DataFrame | None:
-        """Merged stored values as of the start of ``batch_id``."""
-        snap_id = self._latest_snapshot(spark, batch_id)
-        deltas = read_batches(spark, self.state_path, before=batch_id,
-                              schema=StructType(schema.fields + [StructField(BATCH_COL, LongType())]))
-        parts = []
-        if snap_id is not None:
-            parts.append(spark.read.schema(schema).parquet(f"{self.snapshot_path}/upto={snap_id}"))
-            if deltas is not None:
-                deltas = deltas.filter(F.col(BATCH_COL) >= snap_id)
-        if deltas is not None:
-            parts.append(deltas.drop(BATCH_COL))
-        if not parts:
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
+
+    def _due(self, batch_id: int) -> set[int]:
+        """The buckets that batch ``batch_id`` compacts: a turn that also comes round when batches are skipped."""
+        if not self.compact_every or batch_id == 0:
+            return set()
+        turn = zlib.crc32(str(batch_id).encode())
+        return {b for b in range(self.buckets) if (b + turn) % self.compact_every == 0}
+
+    def _numbers(self, spark: SparkSession, path: str, name: str) -> list[int]:
+        """n of the committed folders ``name=<n>`` of a path, ascending."""
+        if not _exists(spark, path):
+            return []
+        found = [st.getPath() for st in _list(spark, path) if st.getPath().getName().startswith(f"{name}=")]
+        return sorted(int(p.getName().split("=")[1]) for p in found if _exists(spark, f"{p}/_SUCCESS"))
+
+    def _newest(self, spark: SparkSession, batch_id: int) -> dict[int, int]:
+        """bucket -> the newest snapshot at or before ``batch_id`` that holds it (0: none, all deltas count)."""
+        newest = dict.fromkeys(range(self.buckets), 0)
+        for n in self._numbers(spark, self.snapshot_path, "upto"):
+            if n <= batch_id:
+                newest.update(dict.fromkeys(self._due(n), n))
+        return newest
+
+    def state_before(self, spark: SparkSession, batch_id: int, schema: StructType,
+                     wanted: set[int]) -> DataFrame | None:
+        """Merged stored values of the wanted buckets as of the start of ``batch_id``."""
+        newest = self._newest(spark, batch_id)
+        folders = [f"{self.snapshot_path}/upto={newest[b]}/bucket={b}" for b in sorted(wanted) if newest[b]]
+        for n in self._numbers(spark, self.state_path, BATCH_COL):
+            folders += [f"{self.state_path}/{BATCH_COL}={n}/bucket={b}" for b in sorted(wanted)
+                        if newest[b] <= n < batch_id]
+        folders = [f for f in folders if _exists(spark, f)]
+        if not folders:
             return None
-        merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return self.operation.state(merged, self.key, self.order)
+        return self.operation.state(spark.read.schema(schema).parquet(*folders), self.key, self.order)
+
+    def _write_state(self, df: DataFrame, path: str) -> None:
+        (df.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+    def _compact(self, spark: SparkSession, batch_id: int, schema: StructType) -> None:
+        """Write the due buckets' state before this batch, then remove what no bucket needs any more."""
+        due = self._due(batch_id)
+        if not due:
+            return
+        state = self.state_before(spark, batch_id, schema, due)
+        if state is None:  # buckets without keys are up to date all the same
+            state = spark.createDataFrame([], schema)
+        self._write_state(state, f"{self.snapshot_path}/upto={batch_id}")
+        newest = self._newest(spark, batch_id)
+        oldest = min(newest.values())
+        for n in self._numbers(spark, self.state_path, BATCH_COL):
+            if n < oldest:
+                _remove(spark, f"{self.state_path}/{BATCH_COL}={n}")
+        for n in self._numbers(spark, self.snapshot_path, "upto"):
+            if n not in newest.values():
+                _remove(spark, f"{self.snapshot_path}/upto={n}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with _persisted(batch) as b:
@@ -276,14 +301,11 @@ class KeyedTableSink:
     def _merge(self, spark: SparkSession, rows: DataFrame, batch_id: int) -> None:
         # the delta schema as the merge produces it, without running anything
         _, shape = self.operation.merge(rows, None, self.key, self.order)
-        state = self.state_before(spark, batch_id, shape.schema)
-        if state is not None and self.compact_every and batch_id > 0 \
-                and batch_id % self.compact_every == 0:
-            (state.write.mode("overwrite")
-             .parquet(f"{self.snapshot_path}/upto={batch_id}"))
-            state = spark.read.schema(shape.schema).parquet(f"{self.snapshot_path}/upto={batch_id}")
+        self._compact(spark, batch_id, shape.schema)
+        touched = {r[0] for r in rows.select(self.bucket()).distinct().collect()}  # ``buckets`` rows at most
+        state = self.state_before(spark, batch_id, shape.schema, touched)
         if state is not None:
             state = join_back(state, rows.select(self.key).distinct(), self.key, "left_semi")
         out, delta = self.operation.merge(rows, state, self.key, self.order)
         self.schema = _write_batch(self._keyed(out), self.out_path, batch_id)
-        _write_batch(delta, self.state_path, batch_id)
+        self._write_state(delta, f"{self.state_path}/{BATCH_COL}={batch_id}")

@@ -1,6 +1,8 @@
 """Summarise the physical plan of every registered batch query.
 
-usage: python tools/plan_audit.py [sf_dir] [name ...]
+usage: python tools/plan_audit.py [--no-broadcast] [sf_dir] [name ...]
+``--no-broadcast`` sets both broadcast thresholds to -1, which is what plans
+look like once no side is small.
 Per query: shuffles, scans (columns read), broadcasts, sort aggregates,
 Python UDF stages, and red flags (cartesian / nested-loop joins, windows or
 exchanges without partitioning keys).
@@ -18,9 +20,13 @@ from tidemark.session import local_session  # noqa: E402
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(QUERIES)
+    args = [a for a in sys.argv[1:] if a != "--no-broadcast"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:] or list(QUERIES)
     spark = local_session(8)
+    if "--no-broadcast" in sys.argv:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.set(key, "-1")
     for name in names:
         df = QUERIES[name](spark, sf)
         df.collect()  # the final adaptive plan shows reuse and runtime joins
