@@ -11,18 +11,24 @@ gives every other text or tokenizer to the library whole. The ids are those of
 from __future__ import annotations
 
 import json
-import re
-import struct
+from array import array
 
 import numpy as np
 
-# Letters that are lower-cased one by one and never recomposed.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PIECE = re.compile(f"([{_LETTERS}]+)([.,!?;:$%&*#]*)")
+# Marks that no pre-token mixes with letters (no apostrophe: contractions are tokens of their own).
+_MARKS = ".,!?;:$%&*#"
 # Fixed rule of byte-level vocabularies: printable Latin-1 bytes stand for themselves, the others for 256, 257, ...
 _ODD_BYTES = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 _BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(_ODD_BYTES)}
-_ODD_SPACE = re.compile(r"\s\s|[^\S \n]|<\|")
+
+
+class _OddSpace(Exception):
+    """White space that can't be cut at."""
+
+
+def _is_run(piece: str) -> bool:
+    """Latin-1 letters only: one pre-token, lower-cased letter by letter, never recomposed."""
+    return piece.isalpha() and (piece.isascii() or max(piece) <= "\xff")
 
 
 class _Cache(dict):
@@ -42,7 +48,7 @@ class _Cache(dict):
 class Encoder:
     """text -> ids as little-endian uint32 bytes. ``cache`` bounds the pieces held."""
 
-    def __init__(self, path: str, cache: int = 600_000):
+    def __init__(self, path: str, cache: int = 500_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -70,36 +76,40 @@ class Encoder:
     def _run(self, run: str) -> bytes:
         """A run of letters (with a leading space, perhaps): one pre-token, straight to the BPE model."""
         text = run.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
-        ids = [token.id for token in self.model.tokenize(text)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return array("I", [token.id for token in self.model.tokenize(text)]).tobytes()
 
     def _word(self, piece: str) -> bytes:
-        m = _PIECE.fullmatch(piece)
-        if not m:
+        letters = piece.rstrip(_MARKS)
+        if not _is_run(letters):
             return self._whole(piece)
-        ids = self.runs[m[1].lower()]
-        return ids + self.pieces[m[2]] if m[2] and m[1] else ids
+        ids = self.runs[letters.lower()]
+        return ids + self.pieces[piece[len(letters):]] if len(letters) < len(piece) else ids
 
     def _by_word(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, text.replace("\n", " ").split(" ")))
 
     def _spaced(self, space: str, piece: str) -> bytes:
-        m = _PIECE.fullmatch(piece)
-        if not m:
-            return self._whole(space + piece)
-        ids = self.runs[space + m[1]]
-        return ids + self.first[m[2]] if m[2] else ids
+        letters = piece.rstrip(_MARKS)
+        if _is_run(letters):
+            ids = self.runs[space + letters]
+            return ids + self.first[piece[len(letters):]] if len(letters) < len(piece) else ids
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _OddSpace
+        return self._whole(space + piece)
 
     def _by_space(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
+        """Cuts at spaces and newlines that stand alone between other characters."""
+        piece, first, newline = self.pieces.__getitem__, self.first, self.newline
+        out: list[bytes] = []
+        try:
+            for line in text.split("\n"):
+                head, *rest = line.split(" ")
+                if head or out or not rest:  # only the text's first piece may be empty, before a space
+                    out.append(first[head])
+                out += map(piece, rest)
+                out.append(newline)
+        except _OddSpace:
             return self._whole(text)
-        piece, first, out = self.pieces.__getitem__, self.first, []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            if head:
-                out.append(first[head])
-            out += map(piece, rest)
-            out.append(self.newline)
         out.pop()
         return b"".join(out)
 
