@@ -10,7 +10,7 @@ fewest bits that hold every id of the vocabulary:
 
 A block holds 4096 ids (a multiple of 8), so any block starts on a byte and
 can be unpacked on its own: ``read_ids`` unpacks only the blocks that a range
-of ids touches, with a few numpy operations per block.
+of ids touches, with a few numpy operations.
 
 Images are rows of a Parquet table (file, image) in the shared folder: written
 and read by Spark's own connectors, they work on every store that Spark
@@ -73,13 +73,14 @@ def pack_image(doc_ids: list[int | None], ids: list[bytes], bits: int) -> bytes:
     """A file image of documents; ids are little-endian uint32 bytes."""
     counts = np.array([len(x) // 4 for x in ids], np.uint64)
     every = np.frombuffer(b"".join(ids), "<u4")
-    blocks = [pack_bits(every[i:i + BLOCK_IDS], bits) for i in range(0, len(every), BLOCK_IDS)]
+    blocks = -(-len(every) // BLOCK_IDS)
     head = _HEADER.pack(MAGIC, VERSION, bits, BLOCK_IDS, len(doc_ids), len(every))
     names = np.array([x or 0 for x in doc_ids], "<i8").tobytes()
     flags = np.array([x is None for x in doc_ids], np.uint8).tobytes()
-    start = len(head) + len(names) + len(flags) + 8 * len(counts) + 8 * len(blocks)
-    offsets = np.array(list(accumulate(map(len, blocks), initial=start))[:-1], "<u8").tobytes()
-    return b"".join([head, names, flags, counts.astype("<u8").tobytes(), offsets, *blocks])
+    start = len(head) + len(names) + len(flags) + 8 * len(counts) + 8 * blocks
+    # whole blocks end on a byte, so packing all ids at once packs them block by block
+    offsets = (start + np.arange(blocks, dtype=np.uint64) * np.uint64(BLOCK_IDS // 8 * bits)).astype("<u8").tobytes()
+    return b"".join([head, names, flags, counts.astype("<u8").tobytes(), offsets, pack_bits(every, bits)])
 
 
 class Image:
@@ -98,16 +99,14 @@ class Image:
         self.offsets = np.frombuffer(data, "<u8", -(-self.n_ids // self.block), at + 17 * n)
 
     def read_ids(self, start: int, end: int) -> np.ndarray:
-        """ids [start, end) of the image; only their blocks are unpacked."""
+        """ids [start, end) of the image; only their blocks, which lie one after another, are unpacked."""
         if start >= end:
             return np.empty(0, np.uint32)
         first, last = start // self.block, (end - 1) // self.block
-        parts = []
-        for k in range(first, last + 1):
-            n = min(self.block, self.n_ids - k * self.block)
-            at = int(self.offsets[k])
-            parts.append(unpack_bits(self.data[at:at + -(-n // 8) * self.bits], self.bits, n))
-        return np.concatenate(parts)[start - first * self.block:end - first * self.block]
+        n = min((last + 1) * self.block, self.n_ids) - first * self.block
+        at = int(self.offsets[first])
+        ids = unpack_bits(self.data[at:at + -(-n // 8) * self.bits], self.bits, n)
+        return ids[start - first * self.block:end - first * self.block]
 
     def document(self, k: int) -> np.ndarray:
         return self.read_ids(int(self.starts[k]), int(self.starts[k + 1]))
