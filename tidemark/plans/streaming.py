@@ -224,8 +224,8 @@ BATCHES = 6
 
 
 def _batched(name: str, build, in_order: bool):
-    """The table cut into ``BATCHES`` files, one micro-batch each: by time, oldest first, with a short
-    watermark, or with every file spread over the whole time and a watermark that covers it."""
+    """The table cut into ``BATCHES`` slices, a micro-batch per file: by time, oldest first, with a watermark
+    of one slice (its files come in any order), or spread over the whole time with one that covers it."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
         scratch, ev = scratch_path(spark, name), events(spark, sf)
         lo, hi = ev.select(F.min(epoch_seconds(ev, "ts")), F.max(epoch_seconds(ev, "ts"))).first()
@@ -235,7 +235,7 @@ def _batched(name: str, build, in_order: bool):
         for k in range(BATCHES):
             ev.where(part == k).write.mode("append").parquet(f"{scratch}/in/events.parquet")
         replay = event_replay(spark, f"{scratch}/in", scratch, max_files_per_trigger=1,
-                              watermark=DEFAULT_WATERMARK if in_order else f"{span} seconds")
+                              watermark=f"{span // BATCHES + 10 if in_order else span} seconds")
         out = build(replay)
         remove_folder(spark, f"{scratch}/in")
         return out
