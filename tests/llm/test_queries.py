@@ -22,6 +22,10 @@ COLUMNS = {
     "op9_interpolated_lm": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                            "base_score double, score double",
     "op10_exact_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
+    "op11_token_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
+                            "count_sum bigint, groups_sha256 string",
+    "op12_main_text": "page_id bigint, url string, text string, n_chars bigint",
+    "op13_spelling_variants": "word string, n bigint, n_near bigint, form string, form_n bigint, root string",
 }
 
 
@@ -30,6 +34,9 @@ def test_query(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     assert ", ".join(f"{c} {t}" for c, t in df.dtypes) == COLUMNS[name]
     rows = df.collect()
+    if "doc_id" not in df.columns:
+        assert rows  # test_alignment_html_spelling.py compares them with brute force
+        return
     ids = {r["doc_id"] for r in rows}
     assert ids == set(range(200)) and (len(rows) == 200 or name == "op5_packing")
     if name in ORACLE_SQL:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bag_minhash, decontaminate, exact_dedup, interpolated_lm, line_dedup, packing, pii, quality,
-                          sharding, token_files)
+from tidemark.llm import (alignment, bag_minhash, decontaminate, exact_dedup, html_text, interpolated_lm, line_dedup,
+                          packing, pii, quality, sharding, spelling, token_files)
 from tidemark.llm.common import fold_of
 from tidemark.sources.tables import read_table
 
-WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
+WORD_VOCABULARY, BYTE_VOCABULARY, PIECE_MODEL = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def vocabulary(name: str) -> str:
@@ -95,6 +95,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("hash")).alias("text_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_documents(spark, sf_dir), vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_MODEL))
+
+
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(_documents(spark, sf_dir), min_chars=7, min_count=2, noise=31, ratio=10)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_files": op2_token_files,
@@ -106,6 +118,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_interpolated_lm": op9_interpolated_lm,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_main_text": op12_main_text,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
