@@ -28,6 +28,8 @@ from tidemark.functions.scalars import as_instant
 from tidemark.operators.parse import good, parse_actions, parse_vv
 from tidemark.streaming.windowed import (
     DEFAULT_WATERMARK,
+    ROCKSDB_STATE_STORE,
+    STATE_STORE,
     await_complete,
     every_step,
     gate_click_show,
@@ -36,13 +38,11 @@ from tidemark.streaming.windowed import (
     windowed_click_show,
     windowed_completion,
 )
-from tidemark.streaming.sinks import FirstWrite, KeyedTableSink, ResultTableSink
+from tidemark.operators.operations import FirstWrite
+from tidemark.streaming.sinks import KeyedTableSink, ResultTableSink
 from tidemark.streaming.sources import read_kafka, read_message_files
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-_STATE = "org.apache.spark.sql.execution.streaming.state"
-HDFS_STATE_STORE = f"{_STATE}.HDFSBackedStateStoreProvider"
-ROCKSDB_STATE_STORE = f"{_STATE}.RocksDBStateStoreProvider"
+HDFS_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 
 
 def click_show_stream(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig,

@@ -9,6 +9,8 @@
   per (key, time block) totals, a prefix over the (few) blocks of a key, then
   a running sum inside each (key, block) partition. No task ever holds all of
   one key's history.
+* ``keyed_merge`` (K3): the same for any associative operation
+  (``operations.KeyedOperation``), as a blocked scan.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 from tidemark.config import WindowSpec
 from tidemark.functions.scalars import epoch_seconds, profile_key
 from tidemark.operators.joins import join_back
+from tidemark.operators.operations import KeyedOperation
 
 DEFAULT_BLOCK_SECONDS = 86400
 
@@ -117,3 +120,62 @@ def accumulate_merge(results: DataFrame, key: str = "u", order: str = "t",
     if key_template is not None:
         cols.append(profile_key(F.col(key), key_template).alias("store_key"))
     return run.select(*cols, *returned)
+
+
+# Blocks of a key that one task scans at once, above the blocks of results.
+BLOCKS_AT_ONCE = 1024
+
+
+def _states(op: KeyedOperation, first: Column, values: Column) -> Column:
+    """Array of the stored values before each of ``values`` and after the last, given the one before the first."""
+    return F.aggregate(values, F.array(first), lambda done, x: F.concat(
+        done, F.array(op.merged(F.element_at(done, -1), x))))
+
+
+def _before_blocks(blocks: DataFrame, op: KeyedOperation, key: str, span: int) -> DataFrame:
+    """``(key, __blk, __b)``: the value stored before each block, from ``(key, __blk, __s)``, its own.
+
+    ``span``: how many block numbers there may be. Blocks are scanned in groups of
+    ``BLOCKS_AT_ONCE`` numbers, the groups by the same means.
+    """
+    groups = (blocks.withColumn("__grp", F.floor(F.col("__blk") / BLOCKS_AT_ONCE).cast("bigint"))
+              .groupBy(key, "__grp").agg(F.array_sort(F.collect_list(F.struct("__blk", "__s"))).alias("__held")))
+    if span > BLOCKS_AT_ONCE:
+        totals = groups.select(key, F.col("__grp").alias("__blk"), op.folded(F.col("__held.__s")).alias("__s"))
+        before = _before_blocks(totals, op, key, -(-span // BLOCKS_AT_ONCE)).withColumnRenamed("__blk", "__grp")
+        groups = join_back(groups, before, [key, "__grp"])
+    else:
+        groups = groups.withColumn("__b", op.absent())
+    states = F.slice(_states(op, F.col("__b"), F.col("__held.__s")), F.lit(1), F.size("__held"))
+    each = F.explode(F.arrays_zip(F.col("__held.__blk").alias("__blk"), states.alias("__b")))
+    return groups.select(key, each.alias("__e")).select(key, "__e.__blk", "__e.__b")
+
+
+def keyed_scan(results: DataFrame, op: KeyedOperation, key: str = "u", order: str = "t") -> DataFrame:
+    """Every result with ``__s``, its own stored value, and ``__before``, the one stored before it.
+
+    Results of a key are merged in ``order`` (epoch seconds or any number):
+    inside blocks of ``op.block_seconds``, over the blocks' own merged values, and
+    so on. No window function runs over a whole key, and no task holds more of a key than a block.
+    """
+    columns = results.columns
+    rows = results.select(F.col(key).alias("__key"), F.struct(F.col(order).alias("__o"), F.struct(
+        *[F.col(c) for c in columns]).alias("__row"), op.lifted(order).alias("__s")).alias("__r"),
+        F.floor(F.col(order) / op.block_seconds).cast("bigint").alias("__blk"))
+    by_order = lambda a, b: F.when(a["__o"] < b["__o"], -1).when(a["__o"] > b["__o"], 1).otherwise(0)
+    blocks = rows.groupBy("__key", "__blk").agg(F.array_sort(F.collect_list("__r"), by_order).alias("__held"))
+    totals = blocks.select("__key", "__blk", op.folded(F.col("__held.__s")).alias("__s"))
+    before = _before_blocks(totals, op, "__key", -(-2 ** 33 // op.block_seconds))
+    states = F.slice(_states(op, F.col("__b"), F.col("__held.__s")), F.lit(1), F.size("__held"))
+    each = F.explode(F.arrays_zip(F.col("__held").alias("r"), states.alias("b")))
+    out = join_back(blocks, before, ["__key", "__blk"]).select(each.alias("__e"))
+    return out.select("__e.r.__row.*", F.col("__e.r.__s").alias("__s"), F.col("__e.b").alias("__before"))
+
+
+def keyed_merge(results: DataFrame, op: KeyedOperation, key: str = "u", order: str = "t",
+                key_template: str | None = None) -> DataFrame:
+    """``(order, key, [store_key], *returned)`` of a keyed operation over all results (K3 in batch)."""
+    out = op.project(keyed_scan(results, op, key, order), key, order)
+    if key_template is None:
+        return out
+    return out.withColumn("store_key", profile_key(F.col(key), key_template))

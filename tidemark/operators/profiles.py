@@ -166,10 +166,8 @@ def feed_profile(click_show: DataFrame, vv: DataFrame,
         rows, aggs = tagged, feed_profile_aggs
     else:
         bucket = WindowSpec(math.gcd(*(int(x) for x in lengths), spec.slide))
-        rows = pre_aggregate(tagged, bucket, key, [
-            F.sum("clicks").alias("clicks"), F.sum("shows").alias("shows"),
-            *exact_sum("tm", "tm", exact_scale), *exact_sum("duration", "duration", exact_scale)], ts)
-        aggs = _feed_profile_aggs_again
+        rows = pre_aggregate(tagged, bucket, key, feed_bucket_sums(exact_scale), ts)
+        aggs = feed_profile_aggs_again
     wdf = with_windows(rows, spec, ts)
     sec = epoch_seconds(wdf, ts)
     inside = lambda L: (sec >= F.col(WINDOW_COL) - L) if L < longest else F.lit(True)
@@ -177,7 +175,13 @@ def feed_profile(click_show: DataFrame, vv: DataFrame,
                                lengths, key, exact_scale)
 
 
-def _feed_profile_aggs_again(lengths: Sequence[int], inside, exact_scale: int | None = None) -> list:
+def feed_bucket_sums(exact_scale: int | None = None) -> list:
+    """Sums of a tagged union's rows per key and bucket, which ``feed_profile_aggs_again`` reads."""
+    return [F.sum("clicks").alias("clicks"), F.sum("shows").alias("shows"),
+            *exact_sum("tm", "tm", exact_scale), *exact_sum("duration", "duration", exact_scale)]
+
+
+def feed_profile_aggs_again(lengths: Sequence[int], inside, exact_scale: int | None = None) -> list:
     """``feed_profile_aggs`` over bucket rows."""
     lengths = sorted(set(int(x) for x in lengths))
     aggs = []

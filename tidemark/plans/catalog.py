@@ -9,15 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import REFERENCE_SPEC, USER_KEY_TEMPLATE, WindowSpec
 from tidemark.functions.json import json_path
 from tidemark.functions.scalars import epoch_seconds, profile_key
 from tidemark.operators import frames as fr
-from tidemark.operators.keyed import accumulate_merge, first_write_merge, store_snapshot
+from tidemark.operators.keyed import accumulate_merge, first_write_merge, keyed_merge, store_snapshot
 from tidemark.operators.metrics import click_show_metrics, completion_metrics, to_click_show
+from tidemark.operators.operations import KeepMost
 from tidemark.operators.parse import good, parse_actions, parse_vv, reason_counts
 from tidemark.operators.profiles import feed_profile, read_profile, user_profile
 from tidemark.operators.route import tag_union
@@ -218,11 +219,9 @@ def q_feed_click_show_4h_live(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_keyed_most_clicks(spark: SparkSession, sf: str) -> DataFrame:
-    """A user-defined merge in batch: the most clicks of a user so far (see KeepMost)."""
+    """A user-defined operation in batch: the most clicks of a user so far; the streams run the same object."""
     res = QUERIES["user_click_show_tumbling"](spark, sf)
-    w = Window.partitionBy("u").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    return res.select("t", "u", profile_key("u", USER_KEY_TEMPLATE).alias("store_key"),
-                      F.max("clicks").over(w).alias("most_clicks"))
+    return keyed_merge(res, KeepMost(), "u", "t", USER_KEY_TEMPLATE)
 
 
 PROFILE_FIELDS = ("rt_u_click", "rt_u_reveal", "rt_u_rpt")

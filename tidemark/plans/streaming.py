@@ -10,27 +10,30 @@ with ``LateRows``. What a replay writes besides its result is removed after it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.app import start_click_show, start_completion
 from tidemark.config import USER_KEY_TEMPLATE, WindowSpec
-from tidemark.functions.scalars import epoch_seconds
-from tidemark.operators.joins import join_back
+from tidemark.functions.scalars import epoch_seconds, profile_key
 from tidemark.operators.metrics import to_click_show
+from tidemark.operators.operations import Accumulate, FirstWrite, KeepMost, KeyedOperation
 from tidemark.operators.profiles import (
+    feed_bucket_sums,
     feed_profile_aggs,
+    feed_profile_aggs_again,
     finish_feed_profile,
     finish_user_profile,
     user_profile_aggs,
 )
 from tidemark.operators.route import tag_union
-from tidemark.operators.windows import WINDOW_COL, group_key, stream_windows, struct_to_trigger
-from tidemark.plans.catalog import EXACT_SCALE, FEEDS, SPECS, events
+from tidemark.operators.windows import WINDOW_COL, group_key, grouped_key, stream_windows, struct_to_trigger
+from tidemark.plans.catalog import EXACT_SCALE, FEEDS, ROLLING_SECONDS, SPECS, events
 from tidemark.session import scratch_path
 from tidemark.sources.adapters import (
     EVENTS_ACTION_CONFIG,
@@ -39,7 +42,7 @@ from tidemark.sources.adapters import (
     raw_vv_messages,
     vv_records,
 )
-from tidemark.streaming.sinks import Accumulate, FirstWrite, KeyedTableSink, ResultTableSink
+from tidemark.streaming.sinks import KeyedTableSink, ResultTableSink
 from tidemark.streaming.sources import (
     make_folder,
     read_files_stream,
@@ -47,11 +50,14 @@ from tidemark.streaming.sources import (
     table_stream,
     write_flush_marker,
 )
+from tidemark.streaming.state import gated, live_intervals_on_state, merge_on_state, read_state
 from tidemark.streaming.windowed import (
     DEFAULT_WATERMARK,
     await_complete,
+    every_step,
     gate_click_show,
     gate_completion,
+    rolling_on_stream,
     start,
     windowed_click_show,
     windowed_completion,
@@ -91,19 +97,19 @@ def state_partitions(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
-def run_replay(replay: Replay, begin: Callable[[], StreamingQuery]) -> None:
+def run_replay(replay: Replay, begin: Callable[[], StreamingQuery], keep: bool = False) -> None:
     """Run the query over the table, then once more over the flush marker."""
     spark = replay.stream.sparkSession
     await_complete(begin())
     replay.flush()
     await_complete(begin())
-    for name in ("flush", "checkpoint"):
+    for name in ("flush",) if keep else ("flush", "checkpoint"):
         remove_folder(spark, f"{replay.scratch}/{name}")
 
 
-def _run(agg: DataFrame, sink, replay: Replay) -> None:
+def _run(agg: DataFrame, sink, replay: Replay, rocksdb: bool = False, keep: bool = False) -> None:
     run_replay(replay, lambda: start(agg, sink, f"{replay.scratch}/checkpoint",
-                                     state_partitions=state_partitions(agg.sparkSession)))
+                                     state_partitions=state_partitions(agg.sparkSession), rocksdb=rocksdb), keep)
 
 
 def click_show_twin(replay: Replay, spec: WindowSpec = SPEC) -> DataFrame:
@@ -171,11 +177,64 @@ def feed_profile_twin(replay: Replay) -> DataFrame:
     return sink.read(replay.stream.sparkSession).drop("batch_id")
 
 
+def feed_profile_panes_twin(replay: Replay, step: int) -> DataFrame:
+    """A6 on a stream at a short step, by two chained aggregates: sums per content item and pane (the longest
+    time that divides all lengths and the step), then windows of the longest length over the panes."""
+    lengths = tuple(FEEDS.values())
+    spec = WindowSpec(max(lengths), step)
+    pane = f"{math.gcd(*lengths, step)} seconds"
+    panes = (_tagged(replay, "contid").groupBy(F.window("ts", pane).alias("__pane"), "contid")
+             .agg(*feed_bucket_sums(EXACT_SCALE))
+             .withColumn("ts", F.window_time("__pane")).withColumn("__from", F.col("__pane.start")).drop("__pane"))
+    inside = lambda L: F.col("__from") >= F.col(f"{WINDOW_COL}.end") - F.expr(f"INTERVAL {L} SECONDS")
+    agg = (stream_windows(panes, spec, "ts").groupBy(WINDOW_COL, "contid")
+           .agg(*feed_profile_aggs_again(lengths, inside, EXACT_SCALE)))
+    sink = ResultTableSink(f"{replay.scratch}/out", lambda b: finish_feed_profile(
+        struct_to_trigger(b, spec), lengths, "contid", EXACT_SCALE))
+    _run(agg, sink, replay)
+    return sink.read(replay.stream.sparkSession).drop("batch_id")
+
+
+def rolling_twin(replay: Replay) -> DataFrame:
+    """T9 on a stream: rows meet the last two hours of their user in an interval join."""
+    cs = to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG).select("event_id", "ts", "u", "clicks", "shows")
+    out = rolling_on_stream(cs, "u", ["clicks", "shows"], ROLLING_SECONDS)
+    sink = ResultTableSink(f"{replay.scratch}/out")
+    _run(out, sink, replay)
+    return sink.read(replay.stream.sparkSession).select("event_id", "u", "sec", "rolling_clicks", "rolling_shows",
+                                                        "rolling_n")
+
+
+def live_twin(replay: Replay) -> DataFrame:
+    """T2 on a stream: the declared 4 h feed window at the declared 1 s step, by timers."""
+    cs = to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG).select("ts", "contid", "clicks", "shows")
+    out = live_intervals_on_state(cs, "contid", ["clicks", "shows"], FEEDS["4h"])
+    sink = ResultTableSink(f"{replay.scratch}/out")
+    _run(out, sink, replay, rocksdb=True)
+    return sink.read(replay.stream.sparkSession).select("contid", "t_from", "t_to", "clicks", "shows", "n")
+
+
+def processing_time_twin(replay: Replay, spec: WindowSpec = SPEC) -> DataFrame:
+    """T5: a live stream, triggered every step of processing time; the marker closes its last windows."""
+    agg = windowed_click_show(to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG), spec, "u")
+    sink = ResultTableSink(f"{replay.scratch}/out", gate_click_show(spec, "u"))
+    q = start(agg, sink, f"{replay.scratch}/checkpoint", every_step(WindowSpec(1)),
+              state_partitions=state_partitions(agg.sparkSession))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    _run(agg, sink, replay)
+    return sink.read(replay.stream.sparkSession).select("t", "u", "clicks", "shows")
+
+
 FIRST_WRITE_COLS = ["t", "u", "store_key", "rt_u_click", "rt_u_reveal", "stored_click", "stored_reveal"]
 ACCUMULATE_COLS = ["t", "u", "store_key", "rt_u_click", "rt_u_reveal"]
+MOST_COLS = ["t", "u", "store_key", "most_clicks"]
 
 
-def keyed_twin(replay: Replay, operation, cols) -> DataFrame:
+def table_twin(replay: Replay, operation: KeyedOperation, cols) -> DataFrame:
+    """A keyed operation into a keyed table, micro-batch by micro-batch."""
     agg = windowed_click_show(to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG), SPEC, "u")
     sink = KeyedTableSink(f"{replay.scratch}/out", f"{replay.scratch}/state", operation, key="u", order="t",
                           key_template=USER_KEY_TEMPLATE, transform=gate_click_show(SPEC, "u"))
@@ -183,6 +242,32 @@ def keyed_twin(replay: Replay, operation, cols) -> DataFrame:
     return sink.read(replay.stream.sparkSession).select(*cols)
 
 
+def gated_results(replay: Replay) -> DataFrame:
+    """The flagship's results, ``(t, u, clicks, shows)``, as a stream with the gate inside the plan."""
+    cs = to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG)
+    agg = gated(windowed_click_show(cs, SPEC, "u"), cs, SPEC)
+    return struct_to_trigger(agg, SPEC).select(F.col(WINDOW_COL).alias("t"), grouped_key("u"), "clicks", "shows")
+
+
+def keyed_twin(replay: Replay, operation: KeyedOperation, cols) -> DataFrame:
+    """A keyed operation on the state store, chained after the window aggregate and its gate."""
+    out = merge_on_state(gated_results(replay), operation, "u", "t", profile_key("u", USER_KEY_TEMPLATE))
+    sink = ResultTableSink(f"{replay.scratch}/out")
+    _run(out, sink, replay, rocksdb=True)
+    return sink.read(replay.stream.sparkSession).select(*cols)
+
+
+def store_twin(replay: Replay) -> DataFrame:
+    """What the state store holds at the end (S3 as a reader sees it), read from the checkpoint."""
+    op = FirstWrite()
+    out = merge_on_state(gated_results(replay), op, "u", "t")
+    sink = ResultTableSink(f"{replay.scratch}/out")
+    _run(out, sink, replay, rocksdb=True, keep=True)
+    stored = read_state(replay.stream.sparkSession, f"{replay.scratch}/checkpoint")
+    return stored.select(profile_key("u", USER_KEY_TEMPLATE).alias("store_key"),
+                         *[F.col(v).alias(n) for v, n in zip(op.values, op.names)])
+
+
 def messages_click_show_twin(replay: Replay) -> DataFrame:
     """Raw action messages, derived on the stream itself, through the app's click/show pipeline."""
     msgs, d, sinks = raw_action_messages(replay.stream), replay.scratch, []
@@ -243,21 +328,6 @@ def _batched(name: str, build, in_order: bool):
     return run
 
 
-class KeepMost:
-    """A user-defined keyed operation (K3): the stored value is the most clicks of any result so far."""
-
-    def state(self, deltas: DataFrame, key: str, order: str) -> DataFrame:
-        return deltas.groupBy(key).agg(F.max("__s_most").alias("__s_most"))
-
-    def merge(self, batch: DataFrame, state: DataFrame | None, key: str, order: str):
-        w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        j = batch if state is None else join_back(batch, state, key, "left")
-        so_far = F.max("clicks").over(w)
-        most = so_far if state is None else F.greatest(so_far, F.col("__s_most"))
-        return (j.select(order, key, most.alias("most_clicks")),
-                batch.groupBy(key).agg(F.max("clicks").alias("__s_most")))
-
-
 STREAM_QUERIES = {name: (_twin(name, build), twin) for name, build, twin in [
     ("stream_user_click_show", click_show_twin, "user_click_show_tumbling"),
     ("stream_user_click_show_gapped", lambda r: click_show_twin(r, SPECS["gapped"]), "user_click_show_gapped"),
@@ -269,6 +339,11 @@ STREAM_QUERIES = {name: (_twin(name, build), twin) for name, build, twin in [
     ("stream_feed_completion_5m", lambda r: feed_completion_twin(r, FEEDS["5m"]), "feed_completion_5m"),
     ("stream_keyed_first_write", lambda r: keyed_twin(r, FirstWrite(), FIRST_WRITE_COLS), "keyed_first_write"),
     ("stream_keyed_accumulate", lambda r: keyed_twin(r, Accumulate(SPEC), ACCUMULATE_COLS), "keyed_accumulate"),
+    ("stream_profile_store", store_twin, "profile_store"),
+    ("stream_user_rolling", rolling_twin, "user_rolling"),
+    ("stream_feed_click_show_4h_live", live_twin, "feed_click_show_4h_live"),
+    ("stream_feed_profile_sliding", lambda r: feed_profile_panes_twin(r, 300), "feed_profile_sliding"),
+    ("stream_user_click_show_every_step", processing_time_twin, "user_click_show_tumbling"),
     ("stream_messages_click_show", messages_click_show_twin, "messages_click_show"),
     ("stream_messages_completion", messages_completion_twin, "messages_completion"),
 ]}
@@ -278,6 +353,6 @@ STREAM_QUERIES.update({name: (_batched(name, build, in_order), twin) for name, b
      "keyed_first_write"),
     ("stream_keyed_accumulate_batches", lambda r: keyed_twin(r, Accumulate(SPEC), ACCUMULATE_COLS), True,
      "keyed_accumulate"),
-    ("stream_keyed_custom_batches", lambda r: keyed_twin(r, KeepMost(), ["t", "u", "store_key", "most_clicks"]), True,
-     "keyed_most_clicks"),
+    ("stream_keyed_custom_batches", lambda r: keyed_twin(r, KeepMost(), MOST_COLS), True, "keyed_most_clicks"),
+    ("stream_keyed_table_batches", lambda r: table_twin(r, KeepMost(), MOST_COLS), True, "keyed_most_clicks"),
 ]})

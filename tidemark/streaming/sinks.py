@@ -1,40 +1,45 @@
 """Streaming sinks (S3-S6, K3), all written through ``foreachBatch``.
 
-Every write is keyed by the micro-batch id and replaces that batch's
-partition (dynamic partition overwrite), so a batch replayed after a failure
-overwrites instead of adding twice. A micro-batch DataFrame is a leaf RDD:
-each action would run the micro-batch again (input read and stateful
-operator included), so a sink persists its transformed batch while it works
-and releases it at the end; a lost block is simply recomputed.
+Tables are made of segments (``SegmentedTable``): a micro-batch writes the segment
+of its own number, whole, and commits it with a marker file, so a batch
+replayed after a failure replaces its segment. Segments of earlier batches are
+merged by tens, so a table has a few of them however many batches ran;
+a segment goes only when one that covers it is committed, and no batch
+ever reads or replaces what it wrote itself.
+
+A micro-batch DataFrame is a leaf RDD: each action would run the micro-batch
+again (input read and stateful operator included), so a sink persists its
+transformed batch while it works and releases it at the end. Inside
+``foreachBatch`` of a stateful query Spark turns adaptive execution off, so
+nothing here relies on it: a key's rows are window results, one per window.
 
 * ``ResultTableSink``: appends a batch's result rows (S4 as a table).
-* ``KeyedTableSink``: a keyed store with a pluggable merge (K3). The stored
-  values live as per-batch deltas; the state seen by batch N is the merge of
-  the deltas of batches before N, so a replay of N never sees its own writes.
-  State lies in hash buckets of the key; a batch reads the buckets of its own
-  keys and compacts some of all buckets in turn.
-  ``FirstWrite`` (K1) stores a key's first result and returns stored + current
-  afterwards; ``Accumulate`` (K2) stores the running total.
+* ``KeyedTableSink``: a keyed store in a table, driven by a keyed operation
+  (``operators.operations``) or any object with ``state`` and ``merge_batch``.
+  The state seen by batch N is the merge of the segments before N. It is
+  read whole in each batch: for stores much larger than a batch use
+  ``state.merge_on_state``.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.config import WindowSpec
 from tidemark.functions.scalars import profile_key
 from tidemark.operators.joins import join_back
-from tidemark.operators.keyed import DEFAULT_BLOCK_SECONDS, running_totals, time_block
+from tidemark.operators.operations import FirstWrite
 
 BATCH_COL = "batch_id"
+MERGE_AT = 10  # segments of about the same number of batches that are merged into one
+_COMMITTED = "_committed.json"
 
 
 def serialize_profile(df: DataFrame, key: str, fields, fmt: str = "struct",
@@ -70,41 +75,84 @@ def _with_batch_col(df: DataFrame, batch_id: int = 0) -> DataFrame:
     return df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> StructType:
-    """Write one batch's rows; returns the schema written (batch column last)."""
-    out = _with_batch_col(df, batch_id)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BATCH_COL).parquet(path))
-    return out.schema
-
-
-def _read_output(spark: SparkSession, path: str, schema: StructType | None) -> DataFrame:
-    """A sink's table; empty (with the written schema) when no batch had rows."""
-    if schema is None:
-        return spark.read.parquet(path)
-    has_rows = _exists(spark, path) and any(
-        st.getPath().getName().startswith(BATCH_COL + "=") for st in _list(spark, path))
-    if not has_rows:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
-def _list(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+class SegmentedTable:
+    """A table written a micro-batch at a time: folders ``seg=<first>_<last>`` of batch numbers.
 
+    ``merge``: how the rows of several segments become those of one (the rows as they are by default).
+    """
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    def __init__(self, path: str, merge: Callable[[DataFrame], DataFrame] = lambda df: df, merge_at: int = MERGE_AT):
+        self.path, self.merge, self.merge_at = path.rstrip("/"), merge, merge_at
+
+    def _fs(self, spark: SparkSession, path: str):
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def segments(self, spark: SparkSession, below: int | None = None) -> list[tuple[int, int]]:
+        """(first, last) of the committed segments that no other covers, ascending; only batches before ``below``."""
+        fs, p = self._fs(spark, f"{self.path}/seg=*/{_COMMITTED}")
+        found = sorted({tuple(map(int, st.getPath().getParent().getName()[4:].split("_"))) for st in fs.globStatus(p) or []},
+                       key=lambda s: (s[0], -s[1]))
+        out: list[tuple[int, int]] = []
+        for first, last in found:
+            if (not out or last > out[-1][1]) and (below is None or last < below):
+                out.append((first, last))
+        return out
+
+    def _folder(self, segment: tuple[int, int]) -> str:
+        return f"{self.path}/seg={segment[0]}_{segment[1]}"
+
+    def _commit(self, spark: SparkSession, df: DataFrame, segment: tuple[int, int]) -> None:
+        df.write.mode("overwrite").parquet(self._folder(segment))
+        fs, p = self._fs(spark, f"{self._folder(segment)}/{_COMMITTED}")
+        out = fs.create(p, True)
+        out.write(bytearray(json.dumps({"first": segment[0], "last": segment[1], "schema": df.schema.jsonValue()}), "utf-8"))
+        out.close()
+
+    def write(self, spark: SparkSession, df: DataFrame, batch_id: int) -> None:
+        """The rows of a batch, in place of what an earlier try of it wrote."""
+        self._commit(spark, df, (batch_id, batch_id))
+
+    def schema(self, spark: SparkSession, segment: tuple[int, int]) -> StructType:
+        fs, p = self._fs(spark, f"{self._folder(segment)}/{_COMMITTED}")
+        data = fs.open(p)
+        try:
+            return StructType.fromJson(json.loads(bytes(data.readAllBytes()).decode())["schema"])
+        finally:
+            data.close()
+
+    def read(self, spark: SparkSession, below: int | None = None,
+             segments: list[tuple[int, int]] | None = None) -> DataFrame | None:
+        """Rows of the table, or of the batches before ``below``; None without any."""
+        segments = self.segments(spark, below) if segments is None else segments
+        if not segments:
+            return None
+        return spark.read.schema(self.schema(spark, segments[-1])).parquet(*map(self._folder, segments))
+
+    def compact(self, spark: SparkSession, below: int) -> None:
+        """Merge runs of ``merge_at`` neighbours of one size among the batches before ``below``, oldest and largest first."""
+        segments = self.segments(spark, below)
+        level = lambda s: len(str(s[1] - s[0] + 1))  # noqa: E731  batches covered, by powers of ten
+        at = 0
+        while at + self.merge_at <= len(segments):
+            run = segments[at:at + self.merge_at]
+            if len({level(s) for s in run}) > 1 and max(map(level, run)) > level(run[0]):
+                at += 1
+                continue
+            whole = (run[0][0], run[-1][1])
+            self._commit(spark, self.merge(self.read(spark, segments=run)), whole)
+            segments[at:at + self.merge_at] = [whole]
+            at = 0
+        self._remove_covered(spark, segments)
+
+    def _remove_covered(self, spark: SparkSession, segments: list[tuple[int, int]]) -> None:
+        """Folders that a committed segment of several batches covers, also what a lost run left."""
+        merged = [s for s in segments if s[1] > s[0]]
+        fs, p = self._fs(spark, f"{self.path}/seg=*")
+        for st in fs.globStatus(p) or []:
+            first, last = map(int, st.getPath().getName()[4:].split("_"))
+            if any(a <= first and last <= b and (a, b) != (first, last) for a, b in merged):
+                fs.delete(st.getPath(), True)
 
 
 @dataclass
@@ -114,95 +162,38 @@ class ResultTableSink:
     path: str
     transform: Callable[[DataFrame], DataFrame] = lambda df: df
     schema: StructType | None = None
+    merge_at: int = MERGE_AT
+
+    @property
+    def table(self) -> SegmentedTable:
+        return SegmentedTable(self.path, merge_at=self.merge_at)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with _persisted(batch) as b:
-            rows = self.transform(b)
+            rows = _with_batch_col(self.transform(b), batch_id)
+            self.schema = rows.schema
             if b.isEmpty():  # nothing closed in this trigger: no jobs to run
-                self.schema = _with_batch_col(rows).schema
                 return
-            self.schema = _write_batch(rows, self.path, batch_id)
+            self.table.compact(b.sparkSession, batch_id)
+            self.table.write(b.sparkSession, rows, batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """Everything written so far."""
-        return _read_output(spark, self.path, self.schema)
-
-
-@dataclass
-class FirstWrite:
-    """K1: insert-if-absent; the returned value adds the stored first result."""
-
-    values: Sequence[str] = ("clicks", "shows")
-    returned: Sequence[str] = ("rt_u_click", "rt_u_reveal")
-    stored: Sequence[str] = ("stored_click", "stored_reveal")
-
-    def state(self, deltas: DataFrame, key: str, order: str) -> DataFrame:
-        return deltas.groupBy(key).agg(*[
-            F.min_by(F.col(f"__s_{v}"), F.col("__s_t")).alias(f"__s_{v}") for v in self.values],
-            F.min("__s_t").alias("__s_t"))
-
-    def merge(self, batch: DataFrame, state: DataFrame | None, key: str, order: str):
-        first = batch.groupBy(key).agg(
-            F.min(F.col(order)).alias("__s_t"),
-            *[F.min_by(F.col(v), F.col(order)).alias(f"__s_{v}") for v in self.values])
-        if state is not None:
-            first = join_back(first, state.select(key), key, "left_anti")
-            stored = state.unionByName(first)
-        else:
-            stored = first
-        j = join_back(batch, stored, key)
-        is_first = F.col(order) == F.col("__s_t")
-        out = j.select(order, key, *[
-            F.when(is_first, F.col(v)).otherwise(F.col(f"__s_{v}") + F.col(v)).alias(r)
-            for v, r in zip(self.values, self.returned)],
-            *[F.col(f"__s_{v}").alias(s) for v, s in zip(self.values, self.stored)])
-        return out, first
-
-
-@dataclass
-class Accumulate:
-    """K2: the stored value is the running total of every result.
-
-    ``spec`` is the window geometry of the results; overlapping windows are
-    refused, as they would count a record once per window it falls in.
-    """
-
-    spec: WindowSpec
-    values: Sequence[str] = ("clicks", "shows")
-    returned: Sequence[str] = ("rt_u_click", "rt_u_reveal")
-
-    def __post_init__(self):
-        if not self.spec.is_tumbling:
-            raise ValueError("accumulating merge needs half-open tumbling windows")
-
-    def state(self, deltas: DataFrame, key: str, order: str) -> DataFrame:
-        return deltas.groupBy(key).agg(*[F.sum(f"__s_{v}").alias(f"__s_{v}") for v in self.values])
-
-    def merge(self, batch: DataFrame, state: DataFrame | None, key: str, order: str):
-        run = running_totals(batch.select(order, key, *self.values), key, [order],
-                             time_block(batch, order, DEFAULT_BLOCK_SECONDS),
-                             {f"__run_{v}": F.col(v) for v in self.values})
-        j = run if state is None else join_back(run, state, key, "left")
-        base = (lambda v: F.lit(0)) if state is None else (lambda v: F.coalesce(F.col(f"__s_{v}"), F.lit(0)))
-        out = j.select(order, key, *[(base(v) + F.col(f"__run_{v}")).alias(r)
-                                     for v, r in zip(self.values, self.returned)])
-        delta = batch.groupBy(key).agg(*[F.sum(v).alias(f"__s_{v}") for v in self.values])
-        return out, delta
+        """Everything written so far; empty (with the written schema) when no batch had rows."""
+        rows = self.table.read(spark)
+        return spark.createDataFrame([], self.schema) if rows is None else rows
 
 
 @dataclass
 class KeyedTableSink:
     """``foreachBatch`` callable merging each batch into a keyed store (S3, K3).
 
-    ``operation`` is any object with ``state(deltas, key, order)`` and
-    ``merge(batch, state, key, order) -> (returned_rows, state_delta)``.
-    Returned rows go to ``out_path``. The state lies in ``buckets`` hash buckets of
-    the key: deltas in ``state_path/batch_id=<n>/bucket=<b>``, compacted state in
-    ``snapshot_path/upto=<n>/bucket=<b>`` (the batches before n).
-
-    A batch reads only the buckets of its own keys. It also compacts about one
-    ``compact_every``-th of all buckets, and once a new snapshot is committed, what it and the
-    other buckets' newest snapshots cover is removed: folders stay bounded however many batches run.
+    ``operation`` is a ``KeyedOperation``, or any object with ``state(deltas, key,
+    order)`` and ``merge_batch(batch, state, key, order) -> (returned_rows, state_delta)``,
+    where ``state`` may be applied to its own results again. Returned rows go to the table
+    ``out_path``, the state to ``state_path``, both in segments: batch N merges what the
+    segments before N hold, writes its delta as segment N, and merges older
+    segments when there are ``compact_every`` of a size. How they are merged is
+    no part of what is stored, so ``compact_every`` may change between runs.
     """
 
     out_path: str
@@ -212,82 +203,35 @@ class KeyedTableSink:
     order: str = "t"
     key_template: str | None = None
     transform: Callable[[DataFrame], DataFrame] = lambda df: df
-    compact_every: int = 10
-    buckets: int = 64
+    compact_every: int = MERGE_AT
     schema: StructType | None = None
 
+    @property
+    def results(self) -> SegmentedTable:
+        return SegmentedTable(self.out_path)
+
+    @property
+    def store(self) -> SegmentedTable:
+        return SegmentedTable(self.state_path, self._state, max(2, self.compact_every))
+
+    def _state(self, deltas: DataFrame) -> DataFrame:
+        return self.operation.state(deltas, self.key, self.order)
+
     def read(self, spark: SparkSession) -> DataFrame:
         """Every returned row written so far."""
-        return _read_output(spark, self.out_path, self.schema)
+        rows = self.results.read(spark)
+        return spark.createDataFrame([], self.schema) if rows is None else rows
 
-    @property
-    def snapshot_path(self) -> str:
-        return f"{self.state_path.rstrip('/')}_snapshots"
-
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
-
-    def _due(self, batch_id: int) -> set[int]:
-        """The buckets that batch ``batch_id`` compacts: a turn that also comes round when batches are skipped."""
-        if not self.compact_every or batch_id == 0:
-            return set()
-        turn = zlib.crc32(str(batch_id).encode())
-        return {b for b in range(self.buckets) if (b + turn) % self.compact_every == 0}
-
-    def _numbers(self, spark: SparkSession, path: str, name: str) -> list[int]:
-        """n of the committed folders ``name=<n>`` of a path, ascending."""
-        if not _exists(spark, path):
-            return []
-        found = [st.getPath() for st in _list(spark, path) if st.getPath().getName().startswith(f"{name}=")]
-        return sorted(int(p.getName().split("=")[1]) for p in found if _exists(spark, f"{p}/_SUCCESS"))
-
-    def _newest(self, spark: SparkSession, batch_id: int) -> dict[int, int]:
-        """bucket -> the newest snapshot at or before ``batch_id`` that holds it (0: none, all deltas count)."""
-        newest = dict.fromkeys(range(self.buckets), 0)
-        for n in self._numbers(spark, self.snapshot_path, "upto"):
-            if n <= batch_id:
-                newest.update(dict.fromkeys(self._due(n), n))
-        return newest
-
-    def state_before(self, spark: SparkSession, batch_id: int, schema: StructType,
-                     wanted: set[int]) -> DataFrame | None:
-        """Merged stored values of the wanted buckets as of the start of ``batch_id``."""
-        newest = self._newest(spark, batch_id)
-        folders = [f"{self.snapshot_path}/upto={newest[b]}/bucket={b}" for b in sorted(wanted) if newest[b]]
-        for n in self._numbers(spark, self.state_path, BATCH_COL):
-            folders += [f"{self.state_path}/{BATCH_COL}={n}/bucket={b}" for b in sorted(wanted)
-                        if newest[b] <= n < batch_id]
-        folders = [f for f in folders if _exists(spark, f)]
-        if not folders:
-            return None
-        return self.operation.state(spark.read.schema(schema).parquet(*folders), self.key, self.order)
-
-    def _write_state(self, df: DataFrame, path: str) -> None:
-        (df.withColumn("bucket", self.bucket()).write.mode("overwrite").partitionBy("bucket").parquet(path))
-
-    def _compact(self, spark: SparkSession, batch_id: int, schema: StructType) -> None:
-        """Write the due buckets' state before this batch, then remove what no bucket needs any more."""
-        due = self._due(batch_id)
-        if not due:
-            return
-        state = self.state_before(spark, batch_id, schema, due)
-        if state is None:  # buckets without keys are up to date all the same
-            state = spark.createDataFrame([], schema)
-        self._write_state(state, f"{self.snapshot_path}/upto={batch_id}")
-        newest = self._newest(spark, batch_id)
-        oldest = min(newest.values())
-        for n in self._numbers(spark, self.state_path, BATCH_COL):
-            if n < oldest:
-                _remove(spark, f"{self.state_path}/{BATCH_COL}={n}")
-        for n in self._numbers(spark, self.snapshot_path, "upto"):
-            if n not in newest.values():
-                _remove(spark, f"{self.snapshot_path}/upto={n}")
+    def read_store(self, spark: SparkSession) -> DataFrame | None:
+        """The stored values, a row per key; None before the first batch."""
+        deltas = self.store.read(spark)
+        return None if deltas is None else self._state(deltas)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with _persisted(batch) as b:
             if b.isEmpty():  # nothing closed in this trigger: no jobs to run
                 if self.schema is None:
-                    out, _ = self.operation.merge(self.transform(b), None, self.key, self.order)
+                    out, _ = self.operation.merge_batch(self.transform(b), None, self.key, self.order)
                     self.schema = _with_batch_col(self._keyed(out)).schema
                 return
             with _persisted(self.transform(b)) as rows:
@@ -299,13 +243,14 @@ class KeyedTableSink:
         return out.withColumn("store_key", profile_key(F.col(self.key), self.key_template))
 
     def _merge(self, spark: SparkSession, rows: DataFrame, batch_id: int) -> None:
-        # the delta schema as the merge produces it, without running anything
-        _, shape = self.operation.merge(rows, None, self.key, self.order)
-        self._compact(spark, batch_id, shape.schema)
-        touched = {r[0] for r in rows.select(self.bucket()).distinct().collect()}  # ``buckets`` rows at most
-        state = self.state_before(spark, batch_id, shape.schema, touched)
-        if state is not None:
-            state = join_back(state, rows.select(self.key).distinct(), self.key, "left_semi")
-        out, delta = self.operation.merge(rows, state, self.key, self.order)
-        self.schema = _write_batch(self._keyed(out), self.out_path, batch_id)
-        self._write_state(delta, f"{self.state_path}/{BATCH_COL}={batch_id}")
+        self.store.compact(spark, batch_id)
+        self.results.compact(spark, batch_id)
+        deltas = self.store.read(spark, batch_id)
+        state = None
+        if deltas is not None:
+            state = self._state(join_back(deltas, rows.select(self.key).distinct(), self.key, "left_semi"))
+        out, delta = self.operation.merge_batch(rows, state, self.key, self.order)
+        out = _with_batch_col(self._keyed(out), batch_id)
+        self.schema = out.schema
+        self.results.write(spark, out, batch_id)
+        self.store.write(spark, delta, batch_id)

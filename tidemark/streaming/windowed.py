@@ -18,6 +18,7 @@ from tidemark.config import WindowSpec
 from tidemark.functions.scalars import as_instant
 from tidemark.operators.metrics import completion_sums, finish_click_show, finish_completion
 from tidemark.operators.windows import (
+    GROUP_COLS,
     WINDOW_COL,
     group_key,
     stream_windows,
@@ -25,6 +26,8 @@ from tidemark.operators.windows import (
 )
 
 DEFAULT_WATERMARK = "10 seconds"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def with_event_time(stream: DataFrame, ts: str = "ts", delay: str = DEFAULT_WATERMARK) -> DataFrame:
@@ -93,30 +96,57 @@ def await_complete(*queries: StreamingQuery, fail_on_late: bool = True, poll: fl
 
 
 def start(agg: DataFrame, sink, checkpoint: str, trigger: dict | None = None,
-          name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
+          name: str | None = None, state_partitions: int | None = None, rocksdb: bool = False) -> StreamingQuery:
     """Start ``agg`` in append mode into a ``foreachBatch`` sink.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``; the default is a
     bounded replay (``availableNow``). ``state_partitions`` sets the number
     of state-store partitions of a new query (it is then fixed by the
-    checkpoint); the query's session is cloned at start, so the caller's
-    session setting is restored right after.
+    checkpoint), ``rocksdb`` its state store; the query's session is cloned at start, so the caller's
+    session settings are restored right after.
     """
     w = (agg.writeStream.outputMode("append").foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
     w = w.trigger(**(trigger or {"availableNow": True}))
-    if not state_partitions:
-        return w.start()
-    spark = agg.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    conf = agg.sparkSession.conf
+    wanted = {"spark.sql.shuffle.partitions": state_partitions and str(state_partitions),
+              STATE_STORE: ROCKSDB_STATE_STORE if rocksdb else None}
+    before = {k: conf.get(k, None) for k, v in wanted.items() if v}
     try:
+        for k in before:
+            conf.set(k, wanted[k])
         return w.start()
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
+
+
+def rolling_on_stream(rows: DataFrame, key: str, values: list[str], length: int, ts: str = "ts") -> DataFrame:
+    """The stream's twin of ``windows.rolling_sums`` (T9): every row with ``sec`` and the sums of ``values`` over
+    the same key's rows of the ``length`` seconds before it, its own second included.
+
+    A stream-to-stream interval join: rows meet the sums per (key, second) of
+    their last ``length`` seconds, so a hot key pairs a row with one row a second at
+    most; both sides leave the state when the watermark is past their interval. The join's
+    rows are summed again per row, which comes out once the watermark has passed it.
+    """
+    keyed = rows.where(F.col(ts).isNotNull()).withColumns(dict(zip(GROUP_COLS, group_key(key))))
+    sums = (keyed.groupBy(F.window(ts, "1 second").alias(WINDOW_COL), *[F.col(c).alias(f"__r{c}") for c in GROUP_COLS])
+            .agg(*[F.sum(F.coalesce(F.col(v), F.lit(0))).alias(f"__r_{v}") for v in values],
+                 F.count(F.lit(1)).alias("__r_n"))
+            .withColumn("__at", F.window_time(WINDOW_COL))
+            .withColumn("__sec", F.unix_timestamp(F.col(f"{WINDOW_COL}.start"))).drop(WINDOW_COL))
+    left = keyed.withColumn("sec", F.unix_timestamp(ts))
+    # bounds on the event times let Spark drop state; whole seconds decide
+    near = (F.col("__at") >= F.col(ts) - F.expr(f"INTERVAL {length + 1} SECONDS")) & (
+        F.col("__at") <= F.col(ts) + F.expr("INTERVAL 1 SECOND"))
+    exact = F.col("__sec").between(F.col("sec") - length, F.col("sec"))
+    same = [F.col(c) == F.col(f"__r{c}") for c in GROUP_COLS]
+    joined = left.join(sums, [*same, near, exact])
+    return (joined.groupBy(*rows.columns, "sec")
+            .agg(*[F.sum(f"__r_{v}").alias(f"rolling_{v}") for v in values], F.sum("__r_n").alias("rolling_n")))
 
 
 def console(agg: DataFrame, trigger: dict | None = None) -> StreamingQuery:
