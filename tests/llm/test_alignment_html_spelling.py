@@ -86,8 +86,8 @@ def test_alignment_odd_rows(frame, odd_rows):
     texts = ["<|endoftext|> and <s> </s> <unk>", "a▁b", " leading", "trailing  ", "\n\n  \n", "é ﬁ ½", "\x00 \x7f",
              "😀👩‍👩‍👧 日本語 ΣΑΣ", "  ", "\r\n\t x", "supercalifragilistic" * 40, "ÿ" * 3000, "﻿​"]
     rows = odd_rows + [(100 + i, t) for i, t in enumerate(texts * 2)]
-    for data in (rows, []):
-        got = alignment.align(frame(data), vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_MODEL), cell_bytes=5000)
+    for data, pairs in ((rows, 10**6), (rows, 0), ([], 0)):  # all counts to all tasks, or to the cells that ask
+        got = alignment.align(frame(data), vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_MODEL), 5000, pairs)
         assert sorted(map(tuple, got.collect()), key=repr) == alignment_expected(data)
 
 
@@ -97,6 +97,22 @@ def test_alignment_passes_a_string_id_on(spark):
     assert sorted((r["doc_id"] or "", r["n_a"] > 0) for r in got) == [("", False), ("x", True)]
 
 
+def test_fast_ids_are_the_librarys():
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    a, library = alignment.ByteTokens(vocabulary(BYTE_VOCABULARY)), Tokenizer.from_file(vocabulary(BYTE_VOCABULARY))
+    library.encode_special_tokens = True
+    assert a.fast is not None
+    texts = [t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist() if t]
+    rnd = random.Random(4)
+    odd = [chr(c) for c in (*range(0x250), *range(0x2010, 0x2027))] + ["  ", "\n\n", "'s", "'re", "ing", "12", "の", "\u3000", "\u200b"]
+    texts += ["".join(rnd.choice(odd) for _ in range(40)) for _ in range(4000)]
+    assert sum(alignment._LATIN.fullmatch(t) is not None for t in texts) > 2500
+    for t in texts:
+        assert a.encode(t).tolist() == library.encode(" " + t, add_special_tokens=False).ids
+
+
 def test_gallop():
     rnd = np.random.default_rng(1)
     for n, m, high in [(0, 5, 9), (5, 0, 9), (1, 1, 3), (31, 400, 500), (32, 32, 40), (33, 4000, 10**6), (1000, 70, 2000),
@@ -112,8 +128,8 @@ def test_cells_are_bounded_and_requests_grow_with_the_input(frame):
     cells = alignment.token_cells(frame(rows), vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_MODEL), cell_bytes=20_000)
     of_cell = cells.groupBy("cell").agg(F.count("*").alias("n")).collect()
     assert max(r["n"] for r in of_cell) <= 20_000 // 1800 + 1
-    requests = alignment.pair_requests(cells, vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_MODEL))
-    assert requests.count() <= 2 * len(of_cell) * requests.select("pair").distinct().count()
+    requests = alignment.pair_requests(cells)
+    assert requests.count() <= 3 * len(of_cell) * requests.select("pair").distinct().count()
 
 
 # --- pages ---------------------------------------------------------------------------------------

@@ -15,11 +15,12 @@ stretches step forward together, so that NumPy does one step of many at once.
 Documents follow each other in one byte space, hence one search serves a cell of documents.
 
 Counts over the corpus: a cell (documents of one task up to ``cell_bytes`` of
-text, or one longer document) asks for each id pair it holds once. The cells'
-counts are summed by pair, the largest count of each B id is taken (a table no
-longer than its vocabulary), and the answers go back to their cell. What is exchanged grows
-with the input, a frequent pair is one row for each cell, and no task holds
-more than a cell or a page of pairs.
+text, or one longer document) gives each id pair it holds once, with its
+links. They are summed by pair and the largest count of each B id is taken (a table no
+longer than its vocabulary). The distinct pairs are counted: up to
+``broadcast_pairs`` of them go to every task; beyond, the answers go back to the cells that
+asked, a frequent pair as one row for each cell. Either way what is exchanged grows
+with the input at most, and no task holds more than a cell, a batch of texts or that many pairs.
 
 Edge cases: a text that is null or empty, or whose tokens do not spell the space
 and the text (a literal U+2581, say), has no tokens: all its counts are 0 and its digest
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,46 +41,79 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from tidemark.llm.common import slices, text_of, written
-from tidemark.llm.tokens import _BYTE_CHARACTERS, Encoder, _Cache
+from tidemark.llm.tokens import _BYTE_CHARACTERS
 
 LANE = 32  # ends that a lane of the search takes one after another
 
 
-class _ShortPieces(_Cache):
-    """Holds pieces of some length only, so that its size is bounded in bytes too."""
+# Fixed value: how byte-level vocabularies part a text, as a pattern.
+BYTE_LEVEL_PARTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_LATIN = re.compile("[\x00-\u024f\u2010-\u2026]*+")
 
-    def __missing__(self, piece: str) -> bytes:
-        return super().__missing__(piece) if len(piece) <= 40 else self.encode(piece)
 
+class _Tokens:
+    """Ids of a vocabulary, and the bytes of each id."""
 
-class ByteTokens:
-    """Ids of a byte-level vocabulary, and the bytes of each id."""
+    bytes: list[bytes]
+
+    def _list(self, text: str) -> list[int]:
+        """Ids of a space and the text."""
+        raise NotImplementedError
+
+    def encode(self, text: str) -> np.ndarray | None:
+        """Ids of a space and the text; None if they do not spell it."""
+        ids = self._list(text)
+        return np.array(ids, "<u4") if b"".join(map(self.bytes.__getitem__, ids)) == (" " + text).encode() else None
+
+    def sizes(self) -> np.ndarray:
+        if not hasattr(self, "_sizes"):
+            self._sizes = np.array([len(x) for x in self.bytes], np.int64)
+        return self._sizes
+
+
+class ByteTokens(_Tokens):
+    """A byte-level BPE vocabulary of the ``tokenizers`` library.
+
+    Where its merges are in the order of the ids they make, ``tiktoken`` gives
+    the same ids several times faster; it gets the texts of Latin letters and signs, for
+    which the two libraries' character classes are the same.
+    """
 
     def __init__(self, path: str):
-        encoder = Encoder(path, cache=100_000)
-        encoder.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        for name in ("runs", "first", "pieces"):
-            if hasattr(encoder, name):
-                cache = getattr(encoder, name)
-                setattr(encoder, name, _ShortPieces(cache.encode, cache.limit))
-        self._encode = encoder.encode
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         byte_of = {chr(_BYTE_CHARACTERS.get(b, b)): b for b in range(256)}
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            spec = json.load(file)
+        model, parts = spec["model"], spec.get("pre_tokenizer") or {}
+        vocabulary = model["vocab"]
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             if all(c in byte_of for c in token):
                 self.bytes[i] = bytes(byte_of[c] for c in token)
+        made = [vocabulary.get("".join(x if isinstance(x, list) else x.split(" "))) for x in model["merges"]]
+        self.fast = None
+        if (made == list(range(256, 256 + len(made))) and parts.get("type") == "ByteLevel" and parts.get("use_regex", True)
+                and not (parts.get("add_prefix_space") or spec.get("normalizer") or model.get("dropout")
+                         or model.get("ignore_merges"))):
+            import tiktoken
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self._encode(" " + text), "<u4")
+            ranks = {self.bytes[i]: i for i in range(256 + len(made))}
+            self.fast = tiktoken.Encoding("parts", pat_str=BYTE_LEVEL_PARTS, mergeable_ranks=ranks, special_tokens={})
 
+    def _list(self, text: str) -> list[int]:
+        if self.fast is not None and _LATIN.fullmatch(text):
+            return self.fast.encode_ordinary(" " + text)
+        return self.library.encode(" " + text, add_special_tokens=False).ids
 
-class PieceTokens:
-    """Ids of a sentencepiece model, and the bytes of each id."""
+
+class PieceTokens(_Tokens):
+    """A sentencepiece model, which puts a space before its text."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -90,8 +125,8 @@ class PieceTokens:
         piece = self.model.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, num_threads=1), "<u4")
+    def _list(self, text: str) -> list[int]:
+        return self.model.encode(text, num_threads=1)
 
 
 _loaded: dict[tuple[type, str], ByteTokens | PieceTokens] = {}
@@ -185,12 +220,14 @@ class _Groups:
     """The text of a cell's groups: decimal ids, ``,`` inside a side, ``|`` between A and B, ``;`` between groups."""
 
     def __init__(self, n_a: int, n_b: int):
-        self.words = [f"{i},".encode() for i in range(n_a)] + [f"{i}|".encode() for i in range(n_a)]
-        self.words += [f"{i},".encode() for i in range(n_b)] + [f"{i};".encode() for i in range(n_b)]
+        words = [f"{i}{end}".encode() for n, ends in ((n_a, ",|"), (n_b, ",;")) for end in ends for i in range(n)]
+        self.sizes = np.array([len(x) for x in words], np.int64)
+        wide = int(self.sizes.max())
+        self.table = np.frombuffer(b"".join(x.ljust(wide, b"\0") for x in words), np.uint8).reshape(-1, wide)
         self.n_a, self.n_b = n_a, n_b
 
-    def ordered(self, a: np.ndarray, b: np.ndarray, aligned: Aligned) -> np.ndarray:
-        """Places in ``words`` of all tokens, A's before B's in each group."""
+    def _ordered(self, a: np.ndarray, b: np.ndarray, aligned: Aligned) -> np.ndarray:
+        """Places in ``table`` of all tokens, A's before B's in each group."""
         out = np.empty(len(a) + len(b), np.int64)
         a_word, b_word = a.astype(np.int64), 2 * self.n_a + b.astype(np.int64)
         a_word[aligned.cut_a] += self.n_a
@@ -204,19 +241,25 @@ class _Groups:
         out[np.arange(len(b)) + (aligned.cut_a + 1)[b_group]] = b_word
         return out
 
-
-def _sizes(tokens: ByteTokens | PieceTokens) -> np.ndarray:
-    if not hasattr(tokens, "sizes"):
-        tokens.sizes = np.array([len(x) for x in tokens.bytes], np.int64)
-    return tokens.sizes
+    def digests(self, a: np.ndarray, b: np.ndarray, aligned: Aligned, tokens: np.ndarray) -> list[str]:
+        """sha256 of each document's groups; ``tokens``: of A and B together, by document."""
+        if not len(a):
+            return [""] * len(tokens)
+        order = self._ordered(a, b, aligned)
+        text = self.table[order].ravel()
+        text = memoryview(text[text != 0])
+        ends = np.concatenate([[0], np.cumsum(self.sizes[order])])[np.concatenate([[0], np.cumsum(tokens)])].tolist()
+        return [hashlib.sha256(text[start:end - 1]).hexdigest() if end > start else ""
+                for start, end in zip(ends, ends[1:])]
 
 
-def _spells(tokens: ByteTokens | PieceTokens, ids: np.ndarray, text: bytes) -> bool:
-    return b"".join(map(tokens.bytes.__getitem__, ids.tolist())) == text
+def _tokens(byte_vocabulary: str, piece_model: str) -> tuple[ByteTokens, PieceTokens]:
+    return tokens_of(ByteTokens, byte_vocabulary), tokens_of(PieceTokens, piece_model)
 
 
 def token_cells(docs: DataFrame, byte_vocabulary: str, piece_model: str, cell_bytes: int = 2 << 20) -> DataFrame:
-    """One row per document: cell, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, a, b (ids, uint32 bytes).
+    """One row per document: cell, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, a, b (ids, little-endian of
+    ``_id_type``); a cell's first row in each batch also has the id pairs linked there and how often (pair, n).
 
     Written as a table: cells are named by task, and stay what they are.
     """
@@ -224,11 +267,12 @@ def token_cells(docs: DataFrame, byte_vocabulary: str, piece_model: str, cell_by
     out = StructType([StructField("cell", LongType()), texts.schema["doc_id"],
                       *[StructField(x, LongType()) for x in ("n_a", "n_b", "n_groups", "n_links")],
                       StructField("groups_sha256", StringType()),
-                      StructField("a", BinaryType()), StructField("b", BinaryType())])
+                      StructField("a", BinaryType()), StructField("b", BinaryType()),
+                      StructField("pair", ArrayType(LongType())), StructField("n", ArrayType(LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens_a, tokens_b = tokens_of(ByteTokens, byte_vocabulary), tokens_of(PieceTokens, piece_model)
-        groups = _Groups(len(tokens_a.bytes), len(tokens_b.bytes))
+        tokens = _tokens(byte_vocabulary, piece_model)
+        groups = _Groups(*[len(x.bytes) for x in tokens])
         cell = TaskContext.get().partitionId() << 32
         held = 0
         for batch in slices(batches, max_bytes=cell_bytes // 2):
@@ -236,72 +280,64 @@ def token_cells(docs: DataFrame, byte_vocabulary: str, piece_model: str, cell_by
             if held and held + size > cell_bytes:
                 cell, held = cell + 1, 0
             held += size
-            yield _cell_rows(cell, batch, tokens_a, tokens_b, groups)
+            yield _cell_rows(cell, batch, *tokens, groups)
 
     return written(texts.mapInArrow(run, out), "alignment-cells")
 
 
+def _id_type(tokens: _Tokens) -> str:
+    return "<u2" if len(tokens.bytes) <= 1 << 16 else "<u4"
+
+
 def _cell_rows(cell: int, batch: pa.RecordBatch, tokens_a: ByteTokens, tokens_b: PieceTokens,
                groups: _Groups) -> pa.RecordBatch:
-    none = np.empty(0, "<u4")
     every: list[tuple[np.ndarray, np.ndarray]] = []
     for text in batch.column(1).to_pylist():
-        a, b = none, none
-        if text:
-            a, b, whole = tokens_a.encode(text), tokens_b.encode(text), b" " + text.encode()
-            if not (_spells(tokens_a, a, whole) and _spells(tokens_b, b, whole)):
-                a, b = none, none
-        every.append((a, b))
+        a = tokens_a.encode(text) if text else None
+        b = tokens_b.encode(text) if a is not None else None
+        every.append((a, b) if b is not None else (_NONE, _NONE))
     n_a, n_b = (np.array([len(x[k]) for x in every], np.int64) for k in (0, 1))
     a, b = (np.concatenate([x[k] for x in every]) for k in (0, 1))
-    aligned = Aligned(_sizes(tokens_a)[a], _sizes(tokens_b)[b])
-    ends = np.cumsum(n_a)
-    n_groups = np.diff(np.searchsorted(aligned.cut_a, np.concatenate([[0], ends]), "left"))
-    total = np.concatenate([[0], np.cumsum(aligned.last - aligned.first + 1)])
-    n_links = np.diff(total[np.concatenate([[0], ends])])
-    order = groups.ordered(a, b, aligned)
-    digests, at = [], 0
-    for n in (n_a + n_b).tolist():
-        text = b"".join(map(groups.words.__getitem__, order[at:at + n].tolist()))[:-1]
-        digests.append(hashlib.sha256(text).hexdigest() if n else "")
-        at += n
+    aligned = Aligned(tokens_a.sizes()[a], tokens_b.sizes()[b])
+    ends = np.concatenate([[0], np.cumsum(n_a)])
+    n_groups = np.diff(np.searchsorted(aligned.cut_a, ends, "left"))
+    n_links = np.diff(np.concatenate([[0], np.cumsum(aligned.last - aligned.first + 1)])[ends])
+    pair, n = np.unique(_pairs(a, b, aligned)[0], return_counts=True)
+    firsts = [None] * (len(every) - 1)
+    ids = ((a.astype(_id_type(tokens_a)), n_a), (b.astype(_id_type(tokens_b)), n_b))
     return pa.RecordBatch.from_arrays(
         [pa.array([cell] * len(every), pa.int64()), batch.column(0), *map(pa.array, (n_a, n_b, n_groups, n_links)),
-         pa.array(digests, pa.string()), pa.array([x.tobytes() for x, _ in every], pa.binary()),
-         pa.array([x.tobytes() for _, x in every], pa.binary())],
-        names=["cell", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b"])
+         pa.array(groups.digests(a, b, aligned, n_a + n_b), pa.string()), *[_rows_of(*x) for x in ids],
+         pa.array([pair, *firsts], pa.list_(pa.int64())), pa.array([n.astype(np.int64), *firsts], pa.list_(pa.int64()))],
+        names=["cell", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b", "pair", "n"])
+
+
+_NONE = np.empty(0, "<u4")
+
 
+def _rows_of(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A binary column of stretches of ids."""
+    ends = np.concatenate([[0], np.cumsum(counts)]) * ids.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(counts),
+                                 [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
 
-def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+
+def _ids(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a binary column, and the number in each row."""
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), "<u4"), np.array([len(x) // 4 for x in rows], np.int64)
+    return np.frombuffer(b"".join(rows), kind), np.array([len(x) for x in rows], np.int64) // np.dtype(kind).itemsize
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(a: np.ndarray, b: np.ndarray, aligned: Aligned) -> tuple[np.ndarray, np.ndarray]:
     """Of all links the id pair (A's in the upper half), and the A token's place."""
-    places_a, places_b = Aligned(sizes_a[a], sizes_b[b]).links()
+    places_a, places_b = aligned.links()
     return a[places_a].astype(np.int64) << 32 | b[places_b].astype(np.int64), places_a
 
 
-def pair_requests(cells: DataFrame, byte_vocabulary: str, piece_model: str) -> DataFrame:
-    """cell, pair, n: links by id pair, summed in each stretch of a cell."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes_a, sizes_b = (_sizes(tokens_of(*x)) for x in ((ByteTokens, byte_vocabulary), (PieceTokens, piece_model)))
-        for batch in slices(batches, "a", 2 << 20):
-            cell = batch.column(0).to_numpy()
-            (a, n_a), (b, _) = _ids(batch.column(1)), _ids(batch.column(2))
-            if not len(a):
-                continue
-            pairs, at = _pairs(a, b, sizes_a, sizes_b)
-            of_cell, where = np.unique(np.repeat(cell, n_a)[at], return_inverse=True)
-            for k, one in enumerate(of_cell.tolist()):
-                pair, n = np.unique(pairs[where == k], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(pair), one)), pa.array(pair), pa.array(n.astype(np.int64))],
-                    names=["cell", "pair", "n"])
-
-    return cells.select("cell", "a", "b").mapInArrow(run, "cell long, pair long, n long")
+def pair_requests(cells: DataFrame) -> DataFrame:
+    """cell, pair, n: links by id pair, summed in each batch of a cell."""
+    each = F.explode(F.arrays_zip("pair", "n"))
+    return cells.where("pair IS NOT NULL").select("cell", each.alias("e")).select("cell", "e.pair", "e.n")
 
 
 def pair_counts(requests: DataFrame) -> DataFrame:
@@ -313,36 +349,67 @@ def pair_counts(requests: DataFrame) -> DataFrame:
             .select("pair", "count", (F.col("count") == F.col("most")).alias("best")))
 
 
-def align(docs: DataFrame, byte_vocabulary: str, piece_model: str, cell_bytes: int = 2 << 20) -> DataFrame:
-    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document."""
-    cells = token_cells(docs, byte_vocabulary, piece_model, cell_bytes)
-    requests = written(pair_requests(cells, byte_vocabulary, piece_model), "alignment-pairs")
-    counts = written(pair_counts(requests), "alignment-counts")
-    answers = requests.select("cell", "pair").join(counts, "pair")
-    numbers = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-    out = StructType([cells.schema["doc_id"], *[StructField(x, LongType()) for x in numbers],
-                      StructField("groups_sha256", StringType())])
+class _Counts:
+    """Counts of pairs, for the sums of documents."""
 
-    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
-        sizes_a, sizes_b = (_sizes(tokens_of(*x)) for x in ((ByteTokens, byte_vocabulary), (PieceTokens, piece_model)))
-        pair = found.column("pair").to_numpy()
+    def __init__(self, pair: np.ndarray, count: np.ndarray, best: np.ndarray):
         order = np.argsort(pair)
-        pair = pair[order]
-        count = found.column("count").to_numpy()[order]
-        best = found.column("best").to_numpy()[order].astype(np.int64)
-        n_best, count_sum = [], []
-        for batch in slices(iter(rows.select(["a", "b"]).to_batches()), "a", 2 << 20):
-            (a, n_a), (b, _) = _ids(batch.column(0)), _ids(batch.column(1))
-            pairs, at = _pairs(a, b, sizes_a, sizes_b)
-            place = np.searchsorted(pair, pairs)
-            row = np.repeat(np.arange(len(n_a)), n_a)[at]
-            for values, sums in ((best, n_best), (count, count_sum)):
-                total = np.zeros(len(n_a), np.int64)
-                np.add.at(total, row, values[place])
-                sums.append(total)
-        sums = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (n_best, count_sum)]
-        columns = [rows.column(x) for x in ("doc_id", *numbers[:4])]
-        return pa.table([*columns, *map(pa.array, sums), rows.column("groups_sha256")],
-                        names=["doc_id", *numbers, "groups_sha256"])
-
-    return (cells.groupBy("cell").cogroup(answers.groupBy("cell")).applyInArrow(run, out))
+        self.pair = pair[order]
+        self.values = best[order].astype(np.int64), count[order].astype(np.int64)
+
+    def sums(self, batch: pa.RecordBatch, tokens: tuple[ByteTokens, PieceTokens]) -> list[np.ndarray]:
+        """n_best and count_sum of each row of (a, b)."""
+        (a, n_a), (b, _) = (_ids(batch.column(k), _id_type(x)) for k, x in enumerate(tokens))
+        if not len(a):
+            return [np.zeros(len(n_a), np.int64)] * 2
+        pairs, at = _pairs(a, b, Aligned(tokens[0].sizes()[a], tokens[1].sizes()[b]))
+        place = np.searchsorted(self.pair, pairs)
+        ends = np.searchsorted(at, np.concatenate([[0], np.cumsum(n_a)]), "left")
+        return [np.diff(np.concatenate([[0], np.cumsum(x[place])])[ends]) for x in self.values]
+
+
+_NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+
+
+def _summed(rows: pa.Table | pa.RecordBatch, sums: list[np.ndarray]) -> list[pa.Array]:
+    names = rows.schema.names
+    return [*[rows.column(names.index(x)) for x in ("doc_id", *_NUMBERS[:4])], *map(pa.array, sums),
+            rows.column(names.index("groups_sha256"))]
+
+
+def align(docs: DataFrame, byte_vocabulary: str, piece_model: str, cell_bytes: int = 2 << 20,
+          broadcast_pairs: int = 4_000_000) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document.
+
+    The counts go to all tasks if the corpus has ``broadcast_pairs`` distinct
+    pairs at most (17 bytes each), else each cell is sent those that it asked for.
+    """
+    spark = docs.sparkSession
+    cells = token_cells(docs, byte_vocabulary, piece_model, cell_bytes)
+    counts = written(pair_counts(pair_requests(cells)), "alignment-counts")
+    out = StructType([cells.schema["doc_id"], *[StructField(x, LongType()) for x in _NUMBERS],
+                      StructField("groups_sha256", StringType())])
+    rows = cells.drop("pair", "n")
+    names = ["doc_id", *_NUMBERS, "groups_sha256"]
+    if counts.count() <= broadcast_pairs:
+        held = counts.toArrow()
+        sent = spark.sparkContext.broadcast(tuple(held.column(x).to_numpy() for x in ("pair", "count", "best")))
+
+        def by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tokens, known = _tokens(byte_vocabulary, piece_model), _Counts(*sent.value)
+            for batch in slices(batches, "a", 1 << 20):
+                sums = known.sums(batch.select(["a", "b"]), tokens)
+                yield pa.RecordBatch.from_arrays(_summed(batch, sums), names=names)
+
+        return rows.mapInArrow(by_batch, out)
+
+    answers = pair_requests(cells).select(F.col("cell").alias("asked"), "pair").join(counts, "pair")
+
+    def by_cell(held: pa.Table, found: pa.Table) -> pa.Table:
+        tokens = _tokens(byte_vocabulary, piece_model)
+        known = _Counts(*[found.column(x).to_numpy() for x in ("pair", "count", "best")])
+        sums = [known.sums(x, tokens) for x in slices(iter(held.select(["a", "b"]).to_batches()), "a", 1 << 20)]
+        whole = [np.concatenate([x[k] for x in sums]) if sums else np.empty(0, np.int64) for k in (0, 1)]
+        return pa.table(_summed(held, whole), names=names)
+
+    return rows.groupBy("cell").cogroup(answers.groupBy("asked")).applyInArrow(by_cell, out)
