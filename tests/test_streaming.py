@@ -19,15 +19,24 @@ from tidemark.plans.streaming import (
     feed_click_show_twin,
     feed_completion_twin,
     feed_profile_twin,
+    MOST_COLS,
+    feed_profile_panes_twin,
+    gated_results,
     keyed_twin,
+    live_twin,
     messages_click_show_twin,
     messages_completion_twin,
+    processing_time_twin,
     profile_twin,
+    rolling_twin,
     run_replay,
+    store_twin,
+    table_twin,
 )
 from tidemark.operators.metrics import to_click_show
 from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records
-from tidemark.streaming.sinks import Accumulate, FirstWrite, KeyedTableSink, ResultTableSink
+from tidemark.operators.operations import Accumulate, FirstWrite, KeepMost
+from tidemark.streaming.sinks import KeyedTableSink, ResultTableSink, SegmentedTable
 from tidemark.streaming.sources import kafka_options
 from tidemark.streaming.windowed import LateRows, every_step, gate_click_show, start, windowed_click_show
 
@@ -77,6 +86,11 @@ TWINS = {
     "feed_completion_5m": lambda r: feed_completion_twin(r, 300),
     "keyed_first_write": lambda r: keyed_twin(r, FirstWrite(), FIRST_WRITE_COLS),
     "keyed_accumulate": lambda r: keyed_twin(r, Accumulate(SPEC), ACCUMULATE_COLS),
+    "keyed_most_clicks": lambda r: table_twin(r, KeepMost(), MOST_COLS),
+    "profile_store": store_twin,
+    "user_rolling": rolling_twin,
+    "feed_click_show_4h_live": live_twin,
+    "feed_profile_sliding": lambda r: feed_profile_panes_twin(r, 300),
     "messages_click_show": messages_click_show_twin,
     "messages_completion": messages_completion_twin,
 }
@@ -94,13 +108,24 @@ def test_late_rows_end_the_run(spark, mixed_dir):
         click_show_twin(_replay(spark, mixed_dir, "10 seconds"))
 
 
-@pytest.mark.parametrize("op,cols,twin", [(FirstWrite(), FIRST_WRITE_COLS, "keyed_first_write"),
-                                          (Accumulate(SPEC), ACCUMULATE_COLS, "keyed_accumulate")])
-def test_keyed_stream_across_batches(spark, ordered_dir, op, cols, twin):
+IN_ORDER = {
+    "keyed_first_write": lambda r: keyed_twin(r, FirstWrite(), FIRST_WRITE_COLS),
+    "keyed_accumulate": lambda r: table_twin(r, Accumulate(SPEC), ACCUMULATE_COLS),
+    "keyed_most_clicks": lambda r: keyed_twin(r, KeepMost(), MOST_COLS),
+    "user_rolling": rolling_twin,
+    "feed_click_show_4h_live": live_twin,
+    "feed_profile_sliding": lambda r: feed_profile_panes_twin(r, 300),
+    "user_click_show_tumbling": processing_time_twin,
+}
+
+
+@pytest.mark.parametrize("name", sorted(IN_ORDER))
+def test_stream_equals_batch_across_batches(spark, ordered_dir, name):
+    """The oldest file first, one per micro-batch and a short watermark: results come batch by batch."""
     replay = _replay(spark, ordered_dir, "10 seconds")
-    got = keyed_twin(replay, op, cols)
-    assert spark.read.parquet(f"{replay.scratch}/out").select("batch_id").distinct().count() > 3
-    assert _rows(got, cols) == _rows(QUERIES[twin](spark, SF_SMALL), cols)
+    want = QUERIES[name](spark, SF_SMALL)
+    assert _rows(IN_ORDER[name](replay), want.columns) == _rows(want, want.columns)
+    assert SegmentedTable(f"{replay.scratch}/out").read(spark).select("batch_id").distinct().count() > 3
 
 
 def _click_show(replay):
@@ -154,20 +179,16 @@ def test_streaming_accumulate_refuses_overlap():
 
 
 def test_user_defined_keyed_operation(spark):
-    """K3: any object with state() and merge() drives the keyed store."""
-    from pyspark.sql import functions as F
-    from tidemark.streaming.sinks import KeyedTableSink
-
+    """K3: any object with state() and merge_batch() drives the keyed table."""
     class KeepMax:
         def state(self, deltas, key, order):
-            return deltas.groupBy(key).agg(F.max("__s_clicks").alias("__s_clicks"))
+            return deltas.groupBy(key).agg(F.max("best").alias("best"))
 
-        def merge(self, batch, state, key, order):
-            best = batch.groupBy(key).agg(F.max("clicks").alias("__s_clicks"))
+        def merge_batch(self, batch, state, key, order):
+            best = batch.groupBy(key).agg(F.max("clicks").alias("best"))
             if state is not None:
-                best = (best.unionByName(state).groupBy(key)
-                        .agg(F.max("__s_clicks").alias("__s_clicks")))
-            return best.withColumnRenamed("__s_clicks", "best"), best
+                best = best.unionByName(state).groupBy(key).agg(F.max("best").alias("best"))
+            return best, best
 
     d = tempfile.mkdtemp(prefix="tidemark-k3-")
     sink = KeyedTableSink(f"{d}/o", f"{d}/s", KeepMax(), key="u", order="t")
@@ -178,26 +199,142 @@ def test_user_defined_keyed_operation(spark):
     assert got == {(0, "a", 3), (0, "b", 1), (1, "a", 3), (1, "b", 5)}
 
 
-def test_keyed_store_stays_bounded(spark):
-    """50 batches with gaps: the store equals one pass over all results, its folders stay few."""
-    import os
+@pytest.fixture
+def without_aqe(spark):
+    """As inside foreachBatch of a stateful stream."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+STORES = {"first": (FirstWrite(), ["t", "u", "rt_u_click", "stored_click"]), "total": (Accumulate(SPEC), ["t", "u", "rt_u_click"]),
+          "most": (KeepMost(), ["t", "u", "most_clicks"])}
+
+
+def _results(n):
+    """n batches of one result for some of 7 users."""
+    return [[(300 * b, f"u{u}", (b * 5 + u * 3) % 11, 1) for u in range(7) if (b + u) % 3] for b in range(n)]
+
+
+def _one_pass(batches):
+    stored, out = {}, {k: [] for k in STORES}
+    for t, u, c, _ in (r for b in batches for r in b):
+        first, total, most = stored.get(u, (None, 0, None))
+        out["first"].append((t, u, c if first is None else first + c, c if first is None else first))
+        out["total"].append((t, u, total + c))
+        out["most"].append((t, u, c if most is None else max(most, c)))
+        stored[u] = (c if first is None else first, total + c, c if most is None else max(most, c))
+    return {k: sorted(v) for k, v in out.items()}, stored
 
-    d = tempfile.mkdtemp(prefix="tidemark-k2-")
-    sink = KeyedTableSink(f"{d}/o", f"{d}/s", Accumulate(SPEC), compact_every=3, buckets=4)
-    total, n = {}, 0
-    for batch_id in range(0, 100, 2):
-        rows = [(300 * batch_id, f"u{(batch_id * k) % 7}", k, 1) for k in (1, 3)]
-        rows = list({r[1]: r for r in rows}.values())
+
+def _run_batches(spark, sink, batches, crash=()):
+    """Every batch is replayed; before some, a try of it dies at one of its writes."""
+    for n, rows in enumerate(batches):
         df = spark.createDataFrame(rows, "t long, u string, clicks long, shows long").coalesce(1)
-        sink(df, batch_id)
-        if batch_id % 10 == 0:
-            sink(df, batch_id)  # a replay of the same batch
-        for _, u, c, _ in rows:
-            total[u] = total.get(u, 0) + c
-        n = max(n, len(os.listdir(f"{d}/s")), len(os.listdir(f"{d}/s_snapshots")) if batch_id > 20 else 0)
-    last = {r["u"]: r["rt_u_click"] for r in sink.read(spark).orderBy("t").collect()}
-    assert last == total
-    assert n < 25
+        if n in crash:
+            done, commit = [], SegmentedTable._commit
+
+            def dies(self, spark_, df_, segment):
+                if len(done) == crash[n]:
+                    df_.write.mode("overwrite").parquet(self._folder(segment))  # written, not committed
+                    raise OSError("lost")
+                done.append(segment)
+                commit(self, spark_, df_, segment)
+
+            SegmentedTable._commit = dies
+            try:
+                with pytest.raises(OSError):
+                    sink(df, n)
+            finally:
+                SegmentedTable._commit = commit
+        sink(df, n)
+        sink(df, n)
+
+
+@pytest.mark.parametrize("kind", sorted(STORES))
+def test_keyed_table_survives_replays_and_crashes(spark, without_aqe, kind):
+    """Each of 20 batches replayed, some after a crash between a write and its commit: as one pass."""
+    d = tempfile.mkdtemp(prefix="tidemark-replay-")
+    op, cols = STORES[kind]
+    batches = _results(20)
+    sink = KeyedTableSink(f"{d}/o", f"{d}/s", op, compact_every=3)
+    _run_batches(spark, sink, batches, crash={2: 0, 3: 1, 6: 0, 9: 2, 15: 0})
+    want, _ = _one_pass(batches)
+    assert sorted(tuple(r[c] for c in cols) for r in sink.read(spark).collect()) == want[kind]
+
+
+def test_keyed_table_follows_changed_parameters(spark, without_aqe):
+    """``compact_every`` changes at restarts; folders stay few; the stored values are those of one pass."""
+    import os
+
+    d = tempfile.mkdtemp(prefix="tidemark-params-")
+    batches, n = _results(60), 0
+    for k, every in enumerate((2, 3, 10, 2, 5, 3)):
+        sink = KeyedTableSink(f"{d}/o", f"{d}/s", Accumulate(SPEC), compact_every=every)
+        for b in range(10 * k, 10 * k + 10):
+            sink(spark.createDataFrame(batches[b], "t long, u string, clicks long, shows long").coalesce(1), b)
+            n = max(n, len(os.listdir(f"{d}/s")), len(os.listdir(f"{d}/o")))
+    want, stored = _one_pass(batches)
+    assert sorted((r["t"], r["u"], r["rt_u_click"]) for r in sink.read(spark).collect()) == want["total"]
+    assert {r["u"]: r["__s"]["clicks"] for r in sink.read_store(spark).collect()} == {u: s[1] for u, s in stored.items()}
+    assert n <= 25
+
+
+def test_result_table_stays_bounded(spark):
+    """A result table has some folders for each power of ten of its batches."""
+    import os
+
+    d = tempfile.mkdtemp(prefix="tidemark-bounded-")
+    sink = ResultTableSink(f"{d}/r", merge_at=4)
+    for b in range(70):
+        sink(spark.createDataFrame([(b, b * 2)], "t long, v long").coalesce(1), b)
+        assert len(os.listdir(f"{d}/r")) <= 14
+    assert sorted((r["t"], r["v"], r["batch_id"]) for r in sink.read(spark).collect()) == [(b, b * 2, b) for b in range(70)]
+
+
+def test_console_prints_every_window(spark, capfd):
+    """The console sink."""
+    from tidemark.streaming.windowed import console
+
+    replay = event_replay(spark, SF_SMALL, tempfile.mkdtemp(prefix="tidemark-console-"))
+    replay.flush()
+    agg = windowed_click_show(to_click_show(action_records(replay.timed), EVENTS_ACTION_CONFIG), SPEC, "u")
+    q = console(agg.select("clicks", "shows", "__n"))
+    q.awaitTermination()
+    printed = capfd.readouterr().out
+    assert "Batch:" in printed and "clicks" in printed and printed.count("\n|") > 3
+
+
+def test_state_store_survives_restarts_and_a_failing_sink(spark, ordered_dir):
+    """K2 on the state store: the query dies after each batch it has written once; the results are those of one pass."""
+    from tidemark.streaming.state import merge_on_state
+
+    replay = _replay(spark, ordered_dir, "10 seconds")
+    out = merge_on_state(gated_results(replay), Accumulate(SPEC), "u", "t")
+    table, tried = ResultTableSink(f"{replay.scratch}/out"), set()
+
+    def dies_once(batch, batch_id):
+        table(batch, batch_id)
+        if batch_id not in tried:
+            tried.add(batch_id)
+            raise OSError("lost after writing")
+
+    begin = lambda: start(out, dies_once, f"{replay.scratch}/checkpoint", rocksdb=True, state_partitions=2)
+    flushed = False
+    for _ in range(40):
+        q = begin()
+        try:
+            q.awaitTermination()
+        except Exception as e:
+            assert "lost after writing" in str(e)
+            continue
+        if flushed:
+            break
+        replay.flush()
+        flushed = True
+    want = QUERIES["keyed_accumulate"](spark, SF_SMALL)
+    cols = ["t", "u", "rt_u_click", "rt_u_reveal"]
+    assert len(tried) > 5 and _rows(table.read(spark), cols) == _rows(want, cols)
 
 
 def test_kafka_options():

@@ -135,12 +135,14 @@ def _states(op: KeyedOperation, first: Column, values: Column) -> Column:
 def _before_blocks(blocks: DataFrame, op: KeyedOperation, key: str, span: int) -> DataFrame:
     """``(key, __blk, __b)``: the value stored before each block, from ``(key, __blk, __s)``, its own.
 
-    ``span``: how many block numbers there may be. Blocks are scanned in groups of
-    ``BLOCKS_AT_ONCE`` numbers, the groups by the same means.
+    ``span``: about how many block numbers there may be. Blocks are scanned in groups of
+    ``BLOCKS_AT_ONCE`` numbers, the groups by the same means, until one group holds them all.
     """
-    groups = (blocks.withColumn("__grp", F.floor(F.col("__blk") / BLOCKS_AT_ONCE).cast("bigint"))
+    last = span <= BLOCKS_AT_ONCE
+    group = F.lit(0) if last else F.floor(F.col("__blk") / BLOCKS_AT_ONCE)
+    groups = (blocks.withColumn("__grp", group.cast("bigint"))
               .groupBy(key, "__grp").agg(F.array_sort(F.collect_list(F.struct("__blk", "__s"))).alias("__held")))
-    if span > BLOCKS_AT_ONCE:
+    if not last:
         totals = groups.select(key, F.col("__grp").alias("__blk"), op.folded(F.col("__held.__s")).alias("__s"))
         before = _before_blocks(totals, op, key, -(-span // BLOCKS_AT_ONCE)).withColumnRenamed("__blk", "__grp")
         groups = join_back(groups, before, [key, "__grp"])
