@@ -5,8 +5,8 @@
 * completion: video-view messages -> parse (P1-P4, P7) -> windows with the
   gate -> per-user watch time, duration and ratio -> result table.
 
-Both read Kafka topics (``--kafka``) or folders of ``(key, value, ts)``
-parquet message files, and trigger once per window step (``--once`` replays
+Both read Kafka topics (``--kafka``), message logs with offsets (``--log``) or
+folders of ``(key, value, ts)`` parquet message files, and trigger once per window step (``--once`` replays
 what is available and stops). Run with ``spark-submit tidemark/app.py ...``
 or call the ``start_*`` functions from a session.
 """
@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.config import REFERENCE_SPEC, USER_KEY_TEMPLATE, ActionConfig, WindowSpec
 from tidemark.functions.scalars import as_instant
 from tidemark.operators.parse import good, parse_actions, parse_vv
+from tidemark.sources.message_log import read_message_log
 from tidemark.streaming.windowed import (
     DEFAULT_WATERMARK,
     ROCKSDB_STATE_STORE,
@@ -89,8 +90,10 @@ def start_completion(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, o
 def _args(argv=None):
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--kafka", help="bootstrap servers; without it the sources are folders")
-    p.add_argument("--actions", required=True, help="action topic or folder")
-    p.add_argument("--views", required=True, help="video-view topic or folder")
+    p.add_argument("--log", action="store_true",
+                   help="the folders are message logs, read from their newest offsets at the first start")
+    p.add_argument("--actions", required=True, help="action topic, log or folder")
+    p.add_argument("--views", required=True, help="video-view topic, log or folder")
     p.add_argument("--out", required=True, help="output folder (results, keyed store, checkpoints)")
     p.add_argument("--length", type=int, default=REFERENCE_SPEC.length)
     p.add_argument("--step", type=int, default=REFERENCE_SPEC.slide)
@@ -124,6 +127,8 @@ def main(argv=None) -> None:
     if a.kafka:
         extra = dict(x.split("=", 1) for x in a.kafka_option)
         acts, views = (read_kafka(spark, a.kafka, topic, **extra) for topic in (a.actions, a.views))
+    elif a.log:
+        acts, views = read_message_log(spark, a.actions), read_message_log(spark, a.views)
     else:
         acts, views = read_message_files(spark, a.actions), read_message_files(spark, a.views)
     trigger = {"availableNow": True} if a.once else every_step(spec)

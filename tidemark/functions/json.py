@@ -43,3 +43,24 @@ def json_scalar_fields(text, keys: Sequence[str]) -> Column:
                          StructType([StructField("v", StringType(), True)]), strict)
     whole = ~F.contains(c, F.lit("]")) | F.coalesce(member["v"].isNotNull(), F.lit(False))
     return F.when((F.size(listed) == 1) & whole, listed[0])
+
+
+def json_variant(text) -> Column:
+    """JSON text as a VARIANT, which keeps the types of its values; NULL for text that is no JSON."""
+    return F.try_parse_json(F.col(text) if isinstance(text, str) else text)
+
+
+def variant_kind(v: Column, path: str = "$") -> Column:
+    """The type at a path (BIGINT, DECIMAL(p,s), DOUBLE, STRING, BOOLEAN, VOID for JSON null, ARRAY<...>,
+    OBJECT<...>); NULL when nothing is there."""
+    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+
+
+def variant_number(v: Column, path: str, as_type: str = "bigint") -> Column:
+    """The number at a path; NULL when there is none or the value is a string that only looks like one."""
+    return F.when(variant_kind(v, path).rlike("^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"), F.try_variant_get(v, path, as_type))
+
+
+def variant_text(v: Column, path: str) -> Column:
+    """The string at a path; NULL when there is none or the value is not a string."""
+    return F.when(variant_kind(v, path) == "STRING", F.try_variant_get(v, path, "string"))

@@ -13,18 +13,28 @@ spreads over every map task:
   ``capacity`` rows. ``row_number() <= capacity`` is planned with a partial
   window group limit before the shuffle, so at most ``capacity`` rows per key
   and map task are shuffled.
+
+``rolling_sequence`` asks R1-R4 of every row's live set, ``live_intake`` is R5
+where what was accepted expires.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators.joins import join_back
 from tidemark.operators.keyed import DEFAULT_BLOCK_SECONDS, running_totals, time_block
+from tidemark.session import scratch_path
+
+# Functions for the Python workers travel by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 # Fixed widths of an order number: a timestamp's microseconds (or a whole
@@ -117,3 +127,124 @@ def bounded_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int,
             .withColumn("size", size).withColumn("rejected", rejected).withColumn("full", full)
             .withColumn("empty", size == 0)
             .drop("__n"))
+
+
+def rolling_sequence(df: DataFrame, key: str, value: str, order: Sequence[str], length: int, ts: str) -> DataFrame:
+    """R1-R4 inside the live set: for every row the answers about its key's rows of the last ``length`` seconds,
+    its own second included: ``sec, length, head, tail, valid_head, valid_tail, valid_length, lowest, oldest_sec``.
+
+    First, last and least values have no inverse, so they cannot leave a running
+    figure as sums do. Time is cut into blocks as long as a window; a window is
+    then the end of one block and the beginning of the next. One pass forward
+    and one backward through each block give every beginning and every end, and a
+    row's answers are two of them put together. Windows run inside (key, block), so a
+    hot key spreads over its blocks, and each row is copied twice whatever the length.
+    """
+    span = length + 1
+    rows = df.select(F.col(key).alias("__k"), epoch_seconds(df, ts).alias("sec"), order_number(df, order).alias("__o"),
+                     F.col(value).alias("__v")).where(F.col("sec").isNotNull())
+    rows = rows.withColumn("blk", F.floor(F.col("sec") / span).cast("bigint"))
+    inside = Window.partitionBy("__k", "blk")
+    # places from both ends of the block, for the distance between two rows of different blocks
+    rows = (rows.withColumn("__up", F.row_number().over(inside.orderBy("__o")))
+            .withColumn("__down", F.count(F.lit(1)).over(inside) - F.col("__up") + 1))
+    valid = F.when(F.col("__v").isNotNull(), F.col("__o"))
+    one = F.struct(F.col("__v").alias("v"), F.col("__up").alias("up"), F.col("__down").alias("down"))
+    answers = {"n": F.count("__o"), "head": F.min_by(one, "__o"), "tail": F.max_by(one, "__o"),
+               "vh": F.min_by(one, valid), "vt": F.max_by(one, valid), "lowest": F.min("__v"), "oldest": F.min("__sec")}
+    seconds = rows.select("__k", "sec", "blk").distinct()
+    begin = inside.orderBy("sec").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = rows.withColumn("__sec", F.col("sec")).select(
+        "__k", "sec", F.struct(*[a.over(begin).alias(n) for n, a in answers.items()]).alias("b")).dropDuplicates(["__k", "sec"])
+    # the block before: its rows, and a question at the second where the window begins
+    asked = seconds.select("__k", (F.col("sec") - length).alias("sec"), (F.col("blk") - 1).alias("blk"),
+                           F.col("sec").alias("for"))
+    both = rows.withColumn("__sec", F.col("sec")).unionByName(asked, allowMissingColumns=True)
+    end = inside.orderBy(F.col("sec").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = both.select("__k", "for", F.struct(*[a.over(end).alias(n) for n, a in answers.items()]).alias("a")).where(
+        F.col("for").isNotNull()).withColumnRenamed("for", "sec")
+    met = join_back(ahead, behind, ["__k", "sec"])
+    a, b = (lambda n: F.col(f"a.{n}")), (lambda n: F.col(f"b.{n}"))
+    first = F.when(a("n") > 0, a("head.v")).otherwise(b("head.v"))
+    vh, vt = F.coalesce(a("vh"), b("vh")), F.coalesce(b("vt"), a("vt"))
+    apart = (F.when(vh.isNull(), F.lit(0))
+             .when(a("vh").isNotNull() & b("vt").isNotNull(), a("vh.down") + b("vt.up"))
+             .otherwise(vt["up"] - vh["up"] + 1))
+    found = met.select("__k", "sec", (a("n") + b("n")).alias("length"), first.alias("head"), b("tail.v").alias("tail"),
+                       vh["v"].alias("valid_head"), vt["v"].alias("valid_tail"), apart.cast("bigint").alias("valid_length"),
+                       F.least(a("lowest"), b("lowest")).alias("lowest"), F.coalesce(a("oldest"), b("oldest")).alias("oldest_sec"))
+    out = df.withColumn("__k", F.col(key)).withColumn("sec", epoch_seconds(df, ts))
+    return join_back(out, found, ["__k", "sec"]).drop("__k")
+
+
+_INTAKE = "__k, __blk, __i bigint, sec bigint, accepted boolean, size int, held array<bigint>"
+
+
+def live_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int, length: int, ts: str,
+                block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+    """R5 with expiry: every row with ``accepted`` and ``size`` (held after it), where a key holds ``capacity``
+    rows at most and a row leaves ``length`` seconds after its own second (it is live at both ends).
+
+    Whether a row is accepted depends on the rows accepted before it, so a key's rows are gone through in
+    order; what one block of time hands to the next is the seconds of the rows
+    still held, ``capacity`` at most. All blocks start at once, as if nothing were
+    held; then those whose predecessor handed over something else are run again, and so on
+    until no block's beginning changes. A block forgets its beginning as soon as
+    what it holds has expired or is the same either way, so few rounds are
+    needed (never more than a key has blocks); a task holds one block of a key.
+    """
+    if capacity < 1:
+        raise ValueError("capacity must be at least 1")
+    table = lambda d, name: _as_table(d, f"intake-{name}")
+    rows = df.where(F.col(ts).isNotNull()).withColumn("sec", epoch_seconds(df, ts))
+    block = F.floor(F.col("sec") / block_seconds).cast("bigint")
+    place = F.row_number().over(Window.partitionBy(F.col(key), block).orderBy(*order)).cast("bigint")
+    rows = table(rows.select("*", F.col(key).alias("__k"), block.alias("__blk"), place.alias("__i")), "rows")
+    kind = rows.schema["__k"].dataType.simpleString()
+    schema = _INTAKE.replace("__k,", f"__k {kind},").replace("__blk,", "__blk bigint,")
+
+    def run(held: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        """One block, from the seconds held at its beginning."""
+        out = held.sort_values("__i")[["__k", "__blk", "__i", "sec"]].copy()
+        live = list(start["held"].iloc[0]) if len(start) and start["held"].iloc[0] is not None else []
+        accepted, size = [], []
+        for s in out["sec"]:
+            while live and live[0] + length < s:
+                live.pop(0)
+            accepted.append(len(live) < capacity)
+            if accepted[-1]:
+                live.append(int(s))
+            size.append(len(live))
+        out["accepted"], out["size"] = accepted, size
+        out["held"] = [None] * (len(out) - 1) + [live]
+        return out
+
+    def run_blocks(blocks: DataFrame, starts: DataFrame) -> DataFrame:
+        return blocks.select("__k", "__blk", "__i", "sec").groupBy("__k", "__blk").cogroup(
+            starts.groupBy("__k", "__blk")).applyInPandas(run, schema)
+
+    firsts = rows.groupBy("__k", "__blk").agg(F.min("sec").alias("first"))
+    none = F.array().cast("array<bigint>")
+    starts = firsts.select("__k", "__blk", none.alias("held"))
+    results = table(run_blocks(rows, starts), "results")
+    before = Window.partitionBy("__k").orderBy("__blk")  # the blocks of a key
+    while True:
+        ends = join_back(results.where("held IS NOT NULL").select("__k", "__blk", "held"), firsts, ["__k", "__blk"])
+        handed = ends.select("__k", "__blk", "first", F.coalesce(F.lag("held").over(before), none).alias("held"))
+        now = handed.select("__k", "__blk", F.filter("held", lambda s: s + length >= F.col("first")).alias("held"))
+        changed = table(join_back(now.withColumnRenamed("held", "new"), starts, ["__k", "__blk"])
+                        .where(F.col("new") != F.col("held")).select("__k", "__blk", F.col("new").alias("held")), "changed")
+        if changed.isEmpty():
+            break
+        starts = table(join_back(starts, changed, ["__k", "__blk"], "left_anti").unionByName(changed), "starts")
+        again = run_blocks(join_back(rows, changed, ["__k", "__blk"], "left_semi"), changed)
+        results = table(join_back(results, changed, ["__k", "__blk"], "left_anti").unionByName(again), "results")
+    done = results.select("__k", "__blk", "__i", "accepted", "size")
+    return join_back(rows, done, ["__k", "__blk", "__i"]).drop("__k", "__blk", "__i")
+
+
+def _as_table(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared scratch folder and read back: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,20 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import REFERENCE_SPEC, USER_KEY_TEMPLATE, WindowSpec
-from tidemark.functions.json import json_path
+from tidemark.functions.json import json_path, json_variant, variant_kind, variant_number, variant_text
 from tidemark.functions.scalars import epoch_seconds, profile_key
-from tidemark.operators import frames as fr
+from tidemark.functions.wire import FEED_PROFILE, USER_PROFILE
+from tidemark.operators import frame_log, frames as fr
 from tidemark.operators.keyed import accumulate_merge, first_write_merge, keyed_merge, store_snapshot
 from tidemark.operators.metrics import click_show_metrics, completion_metrics, to_click_show
 from tidemark.operators.operations import KeepMost
 from tidemark.operators.parse import good, parse_actions, parse_vv, reason_counts
 from tidemark.operators.profiles import feed_profile, read_profile, user_profile
 from tidemark.operators.route import tag_union
-from tidemark.operators.sequences import bounded_intake, sequence_summary
+from tidemark.operators.sequences import bounded_intake, live_intake, rolling_sequence, sequence_summary
 from tidemark.operators.windows import (
     WINDOW_COL,
     live_intervals,
@@ -32,6 +33,7 @@ from tidemark.operators.windows import (
     window_snapshot,
     with_windows,
 )
+from tidemark.session import scratch_path
 from tidemark.sources.adapters import (
     EVENTS_ACTION_CONFIG,
     action_records,
@@ -200,6 +202,22 @@ def q_messages_click_show(spark: SparkSession, sf: str) -> DataFrame:
     return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
 
 
+def newer_than(ev: DataFrame, thirds: int) -> Column:
+    """The first second after so many thirds of the time that the events cover."""
+    sec = epoch_seconds(ev, "ts")
+    lo, hi = F.min(sec), F.max(sec)
+    return ev.select(lo + F.floor((hi - lo + 3) * thirds / 3).cast("bigint")).scalar()
+
+
+def q_messages_click_show_newer(spark: SparkSession, sf: str) -> DataFrame:
+    """Entry 1, with five-minute windows, over the messages of the newer two thirds of the time."""
+    ev = events(spark, sf)
+    newer = ev.where(epoch_seconds(ev, "ts") >= newer_than(ev, 1))
+    cs = good(parse_actions(raw_action_messages(newer), EVENTS_ACTION_CONFIG))
+    res = click_show_metrics(cs, SPECS["tumbling"], key="u")
+    return first_write_merge(res, key="u", order="t", key_template=USER_KEY_TEMPLATE)
+
+
 def q_messages_completion(spark: SparkSession, sf: str) -> DataFrame:
     """Entry 2 from raw video-view messages: parse, 5 s / 1 s closed windows,
     gate, per-user watch time / duration / ratio (user ids not trimmed)."""
@@ -236,6 +254,30 @@ def q_profile_value_read(spark: SparkSession, sf: str) -> DataFrame:
                                         "rt_u_click bigint, rt_u_reveal bigint, rt_u_rpt double"))
 
 
+def q_profile_value_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles as stored wire bytes, read back with the reader's defaults."""
+    p = q_user_profile(spark, sf)
+    keyed = p.withColumn("store_key", F.concat_ws(":", profile_key("u", USER_KEY_TEMPLATE), "t"))
+    stored = serialize_profile(keyed, "store_key", USER_PROFILE, "protobuf")
+    return read_profile(read_serialized(stored, "store_key", USER_PROFILE))
+
+
+def q_feed_value_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """The nine figures of a feed profile as stored wire bytes, read back."""
+    keyed = q_feed_profile(spark, sf).withColumn("at", F.struct("t", "contid"))
+    stored = serialize_profile(keyed, "at", FEED_PROFILE, "protobuf")
+    return read_profile(read_serialized(stored, "at", FEED_PROFILE).select("at.t", "at.contid", *FEED_PROFILE))
+
+
+def q_props_variant(spark: SparkSession, sf: str) -> DataFrame:
+    """Typed access to the events' own JSON text: what kind of value, and the value if it is of that kind."""
+    v = F.col("v")
+    return events(spark, sf).select("event_id", json_variant("props").alias("v")).select(
+        "event_id", F.when(variant_kind(v).startswith("OBJECT"), "OBJECT").otherwise(variant_kind(v)).alias("kind"),
+        variant_kind(v, "$.k").alias("k_kind"), variant_number(v, "$.k").alias("k"), variant_text(v, "$.k").alias("k_text"),
+        variant_kind(v, "$.k.deeper").isNull().alias("no_deeper"))
+
+
 def q_props_nested(spark: SparkSession, sf: str) -> DataFrame:
     """JSON access to an object, an array, a null, a boolean and a number."""
     ev = events(spark, sf)
@@ -277,7 +319,23 @@ def q_bounded_intake(spark: SparkSession, sf: str) -> DataFrame:
     return bounded_intake(ev, "user_id", ["ts", "event_id"], INTAKE_CAPACITY).drop("ts")
 
 
-def _frames(spark: SparkSession, sf: str) -> DataFrame:
+def q_user_sequence_2h(spark: SparkSession, sf: str) -> DataFrame:
+    """Head, tail, least and oldest of every event's live set of two hours."""
+    rows = _nullable_values(spark, sf)
+    return rolling_sequence(rows, "user_id", "value", ["ts", "event_id"], ROLLING_SECONDS, "ts").drop("ts", "value")
+
+
+INTAKE_LIVE = 3  # of a kind of event, at most so many live in two hours
+
+
+def q_bounded_intake_2h(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounded intake where what was accepted expires after two hours, per kind of event (five hot keys)."""
+    ev = events(spark, sf).select("event_type", "event_id", "ts")
+    return live_intake(ev, "event_type", ["ts", "event_id"], INTAKE_LIVE, ROLLING_SECONDS, "ts").drop("ts")
+
+
+def _sent_frames(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as frames, ``(doc_id, payload, sent)``: some with an altered last byte, some cut off."""
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     payload = F.encode(F.col("text"), "UTF-8")
     framed = docs.select("doc_id", payload.alias("payload"),
@@ -290,7 +348,32 @@ def _frames(spark: SparkSession, sf: str) -> DataFrame:
     sent = (F.when(damage == 0, altered)
             .when(damage == 5, F.expr(f"substring(frame, 1, {FRAME_SHORT_BYTES})"))
             .otherwise(F.col("frame")))
-    return framed.select("doc_id", "payload", fr.decode_frame(fr.strip_size_prefix(sent)).alias("d"))
+    return framed.select("doc_id", "payload", sent.alias("sent"))
+
+
+def _frames(spark: SparkSession, sf: str) -> DataFrame:
+    return _sent_frames(spark, sf).select("doc_id", "payload", fr.decode_frame(fr.strip_size_prefix("sent")).alias("d"))
+
+
+def _frame_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The sent frames as byte files in the shared folder, one after another in the order of doc_id, scanned again."""
+    folder = scratch_path(spark, "frame-log")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent = _sent_frames(spark, sf).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    frame_log.write_frame_log(sent, folder, "sent")
+    return frame_log.read_frame_log(spark, folder)
+
+
+def q_frame_log_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Good frames found in a byte log with damaged and cut-off frames in it."""
+    return frame_log.good_frames(_frame_log(spark, sf)).select("msg_id", F.md5("data").alias("payload_md5"))
+
+
+def q_frame_log_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """The bad stretches of that log, with their sizes; what a cut-off frame leaves has no id."""
+    bad = frame_log.quarantined(_frame_log(spark, sf))
+    return bad.select("status", F.when(F.col("status") == fr.STATUS_CHECKSUM, F.col("msg_id")).alias("msg_id"),
+                      F.octet_length("bytes").cast("bigint").alias("size"))
 
 
 def q_frame_integrity(spark: SparkSession, sf: str) -> DataFrame:
@@ -342,9 +425,17 @@ QUERIES: dict[str, QueryFn] = {
     "keyed_first_write_reference": q_keyed_first_write_reference,
     "profile_store": q_profile_store,
     "messages_click_show": q_messages_click_show,
+    "messages_click_show_newer": q_messages_click_show_newer,
     "messages_completion": q_messages_completion,
     "sequence_summary": q_sequence_summary,
     "bounded_intake": q_bounded_intake,
+    "bounded_intake_2h": q_bounded_intake_2h,
+    "user_sequence_2h": q_user_sequence_2h,
+    "profile_value_bytes": q_profile_value_bytes,
+    "feed_value_bytes": q_feed_value_bytes,
+    "props_variant": q_props_variant,
     "frame_integrity": q_frame_integrity,
     "frame_status_counts": q_frame_status_counts,
+    "frame_log_scan": q_frame_log_scan,
+    "frame_log_quarantine": q_frame_log_quarantine,
 }

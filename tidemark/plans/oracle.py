@@ -285,6 +285,33 @@ BOUNDED_INTAKE_SQL = """WITH s AS (
 SELECT user_id, event_id, pos, least(n, 8) AS size, greatest(n - 8, 0) AS rejected, n >= 8 AS full, false AS empty
 FROM s WHERE pos < 8"""
 
+USER_SEQUENCE_2H_SQL = """WITH e AS (
+  SELECT user_id, event_id, ts, CAST(floor(epoch(ts)) AS BIGINT) AS sec, CASE WHEN event_id % 3 <> 0 THEN value END AS value
+  FROM events),
+m AS (
+  SELECT a.event_id, a.user_id, a.sec, b.value, b.sec AS s,
+         row_number() OVER (PARTITION BY a.event_id ORDER BY b.ts, b.event_id) AS i
+  FROM e a JOIN e b ON a.user_id = b.user_id AND b.sec BETWEEN a.sec - 7200 AND a.sec)
+SELECT user_id, event_id, sec, count(*) AS length, arg_min_null(value, i) AS head, arg_max_null(value, i) AS tail,
+       arg_min(value, i) FILTER (WHERE value IS NOT NULL) AS valid_head,
+       arg_max(value, i) FILTER (WHERE value IS NOT NULL) AS valid_tail,
+       coalesce(max(i) FILTER (WHERE value IS NOT NULL) - min(i) FILTER (WHERE value IS NOT NULL) + 1, 0) AS valid_length,
+       min(value) AS lowest, min(s) AS oldest_sec
+FROM m GROUP BY event_id, user_id, sec"""
+
+BOUNDED_INTAKE_2H_SQL = """WITH RECURSIVE e AS (
+  SELECT event_type, event_id, CAST(floor(epoch(ts)) AS BIGINT) AS sec,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i
+  FROM events),
+r AS (
+  SELECT event_type, event_id, sec, i, true AS accepted, [sec] AS live FROM e WHERE i = 1
+  UNION ALL
+  SELECT event_type, event_id, sec, i, len(held) < 3,
+         CASE WHEN len(held) < 3 THEN list_append(held, sec) ELSE held END
+  FROM (SELECT e.event_type, e.event_id, e.sec, e.i, list_filter(r.live, lambda x: x + 7200 >= e.sec) AS held
+        FROM r JOIN e ON e.event_type = r.event_type AND e.i = r.i + 1))
+SELECT event_type, event_id, sec, accepted, CAST(len(live) AS INTEGER) AS size FROM r"""
+
 _FRAME_STATUS = "CASE WHEN doc_id % 10 = 0 THEN 'checksum' WHEN doc_id % 10 = 5 THEN 'short' ELSE 'ok' END"
 
 FRAME_INTEGRITY_SQL = f"""SELECT doc_id, {_FRAME_STATUS} AS status,
@@ -297,8 +324,8 @@ FROM documents"""
 FRAME_STATUS_COUNTS_SQL = f"""SELECT {_FRAME_STATUS} AS status,
        count(*) AS n FROM documents GROUP BY 1"""
 
-def _messages_sql(vv: bool) -> str:
-    length, step, mode, gate = _spec_args("reference")
+def _messages_sql(vv: bool, spec: str = "reference") -> str:
+    length, step, mode, gate = _spec_args(spec)
     if vv:
         parsed = f"""r AS (SELECT *, {_VV_REASON} AS reason FROM f),
 rec AS (SELECT sec, u, {_number('tm')} AS tm, CAST(duration AS DOUBLE) AS duration
@@ -360,6 +387,20 @@ FROM ({USER_PROFILE_READ_SQL})""",
 FROM (SELECT event_id, '{"user":{"id":"' || user_id || '","vip":' || (user_id % 2 = 0) || '},"items":[' || event_id
              || ',' || CAST(json_extract_string(props, '$.k') AS BIGINT) || '],"none":null,"n":' || event_id % 10 || '}' AS j
       FROM events)""",
+    "profile_value_bytes": f"""SELECT 'USER_CLICK_SHOW_5MIN_' || u || ':' || t AS store_key, rt_u_click, rt_u_reveal, rt_u_rpt
+FROM ({USER_PROFILE_READ_SQL})""",
+    "props_variant": """SELECT event_id, json_type(props) AS kind,
+       CASE json_type(props, '$.k') WHEN 'UBIGINT' THEN 'BIGINT' ELSE json_type(props, '$.k') END AS k_kind,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS k_text,
+       json_extract(props, '$.k.deeper') IS NULL AS no_deeper FROM events""",
+    "user_sequence_2h": USER_SEQUENCE_2H_SQL,
+    "bounded_intake_2h": BOUNDED_INTAKE_2H_SQL,
+    "frame_log_scan": """SELECT CAST(doc_id AS INTEGER) AS msg_id, md5(text) AS payload_md5
+FROM documents WHERE doc_id % 5 <> 0""",
+    "frame_log_quarantine": """SELECT CASE WHEN doc_id % 10 = 0 THEN 'checksum' ELSE 'lost' END AS status,
+       CASE WHEN doc_id % 10 = 0 THEN CAST(doc_id AS INTEGER) END AS msg_id,
+       CASE WHEN doc_id % 10 = 0 THEN strlen(text) + 12 ELSE 10 END AS size
+FROM documents WHERE doc_id % 5 = 0""",
     "keyed_first_write_reference": KEYED_FIRST_WRITE_REFERENCE_SQL,
     "profile_store": f"""WITH {_TUMBLING_RESULTS}
 SELECT 'USER_CLICK_SHOW_5MIN_' || u AS store_key, arg_min(clicks, t) AS rt_u_click,
@@ -374,3 +415,12 @@ FROM ({_feed_profile_sql()})""",
     "frame_integrity": FRAME_INTEGRITY_SQL,
     "frame_status_counts": FRAME_STATUS_COUNTS_SQL,
 })
+ORACLE_SQL["feed_value_bytes"] = ORACLE_SQL["feed_profile_read"]
+
+# Messages of the newer two thirds of the time: a log's start at its newest offset skips the first.
+ORACLE_SQL["messages_click_show_newer"] = _messages_sql(False, "tumbling").replace("FROM events)", "FROM newer)").replace(
+    "WITH src", """WITH newer AS (
+  SELECT * FROM events WHERE CAST(floor(epoch(ts)) AS BIGINT) >= (
+    SELECT min(CAST(floor(epoch(ts)) AS BIGINT)) + (max(CAST(floor(epoch(ts)) AS BIGINT)) - min(CAST(floor(epoch(ts)) AS BIGINT)) + 3) // 3
+    FROM events)),
+src""", 1)

@@ -20,7 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.app import start_click_show, start_completion
 from tidemark.config import USER_KEY_TEMPLATE, WindowSpec
-from tidemark.functions.scalars import epoch_seconds, profile_key
+from tidemark.functions.scalars import as_instant, epoch_seconds, profile_key
+from tidemark.functions.wire import USER_PROFILE
 from tidemark.operators.metrics import to_click_show
 from tidemark.operators.operations import Accumulate, FirstWrite, KeepMost, KeyedOperation
 from tidemark.operators.profiles import (
@@ -29,11 +30,12 @@ from tidemark.operators.profiles import (
     feed_profile_aggs_again,
     finish_feed_profile,
     finish_user_profile,
+    read_profile,
     user_profile_aggs,
 )
 from tidemark.operators.route import tag_union
 from tidemark.operators.windows import WINDOW_COL, group_key, grouped_key, stream_windows, struct_to_trigger
-from tidemark.plans.catalog import EXACT_SCALE, FEEDS, ROLLING_SECONDS, SPECS, events
+from tidemark.plans.catalog import EXACT_SCALE, FEEDS, ROLLING_SECONDS, SPECS, events, newer_than
 from tidemark.session import scratch_path
 from tidemark.sources.adapters import (
     EVENTS_ACTION_CONFIG,
@@ -42,8 +44,10 @@ from tidemark.sources.adapters import (
     raw_vv_messages,
     vv_records,
 )
-from tidemark.streaming.sinks import KeyedTableSink, ResultTableSink
+from tidemark.sources.message_log import append_messages, read_message_log
+from tidemark.streaming.sinks import KeyedTableSink, ResultTableSink, read_serialized, serialize_profile
 from tidemark.streaming.sources import (
+    FLUSH_USER,
     make_folder,
     read_files_stream,
     remove_folder,
@@ -283,6 +287,61 @@ def messages_click_show_twin(replay: Replay) -> DataFrame:
     return sinks[0].read(msgs.sparkSession).select(*FIRST_WRITE_COLS)
 
 
+LOG_PARTITIONS = 4
+
+
+def log_twin(spark: SparkSession, sf: str) -> DataFrame:
+    """Entry 1 from a message log (S1): a third of the messages lies there before the first start and is skipped, a third
+    comes while the query runs, and a third after it was stopped, which it finds from its checkpoint's offsets."""
+    ev, d = events(spark, sf), scratch_path(spark, "stream_log")
+    root, msgs = f"{d}/log", raw_action_messages(ev).withColumn("ts", as_instant(ev, "ts"))
+    sec, bounds = epoch_seconds(ev, "ts"), [newer_than(ev, k) for k in (1, 2)]
+    thirds = [msgs.where(epoch_seconds(msgs, "ts") < bounds[0]),
+              msgs.where((epoch_seconds(msgs, "ts") >= bounds[0]) & (epoch_seconds(msgs, "ts") < bounds[1])),
+              msgs.where(epoch_seconds(msgs, "ts") >= bounds[1])]
+    add = lambda df: append_messages(df, root, LOG_PARTITIONS)
+
+    def begin(trigger: dict | None = None):
+        return start_click_show(read_message_log(spark, root), SPEC, EVENTS_ACTION_CONFIG, f"{d}/out",
+                                f"{d}/state", f"{d}/checkpoint", trigger, state_partitions=state_partitions(spark))
+
+    add(thirds[0])
+    q, _ = begin(every_step(WindowSpec(1)))
+    try:
+        q.processAllAvailable()
+        add(thirds[1])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    add(thirds[2])
+    marker = ev.agg(F.max(sec).alias("sec")).select(
+        F.lit(FLUSH_USER).cast("string").alias("key"), F.timestamp_seconds(F.col("sec") + 86400).alias("ts"),
+        F.to_json(F.struct(F.lit("click").alias("t"), F.lit(str(FLUSH_USER)).alias("u"), F.lit("-1").alias("contid"))).alias("value"))
+    for last in (None, marker):
+        if last is not None:
+            add(last)
+        q, sink = begin()
+        await_complete(q)
+    for name in ("log", "checkpoint"):
+        remove_folder(spark, f"{d}/{name}")
+    return sink.read(spark).select(*FIRST_WRITE_COLS)
+
+
+def value_bytes_twin(replay: Replay) -> DataFrame:
+    """User profiles stored by a stream as wire bytes, read back from the store."""
+    agg = (stream_windows(_tagged(replay, "u"), SPEC, "ts").groupBy(WINDOW_COL, *group_key("u"))
+           .agg(*user_profile_aggs(EXACT_SCALE)))
+
+    def stored(batch: DataFrame) -> DataFrame:
+        rows = finish_user_profile(struct_to_trigger(batch, SPEC), SPEC, "u", EXACT_SCALE)
+        key = F.concat_ws(":", profile_key("u", USER_KEY_TEMPLATE), "t")
+        return serialize_profile(rows.withColumn("store_key", key), "store_key", USER_PROFILE, "protobuf")
+
+    sink = ResultTableSink(f"{replay.scratch}/out", stored)
+    _run(agg, sink, replay)
+    return read_profile(read_serialized(sink.read(replay.stream.sparkSession), "store_key", USER_PROFILE))
+
+
 def messages_completion_twin(replay: Replay) -> DataFrame:
     """Raw video-view messages through the app's completion pipeline."""
     msgs, d, sinks = raw_vv_messages(replay.stream), replay.scratch, []
@@ -340,6 +399,7 @@ STREAM_QUERIES = {name: (_twin(name, build), twin) for name, build, twin in [
     ("stream_keyed_first_write", lambda r: keyed_twin(r, FirstWrite(), FIRST_WRITE_COLS), "keyed_first_write"),
     ("stream_keyed_accumulate", lambda r: keyed_twin(r, Accumulate(SPEC), ACCUMULATE_COLS), "keyed_accumulate"),
     ("stream_profile_store", store_twin, "profile_store"),
+    ("stream_profile_value_bytes", value_bytes_twin, "profile_value_bytes"),
     ("stream_user_rolling", rolling_twin, "user_rolling"),
     ("stream_feed_click_show_4h_live", live_twin, "feed_click_show_4h_live"),
     ("stream_feed_profile_sliding", lambda r: feed_profile_panes_twin(r, 300), "feed_profile_sliding"),
@@ -347,6 +407,7 @@ STREAM_QUERIES = {name: (_twin(name, build), twin) for name, build, twin in [
     ("stream_messages_click_show", messages_click_show_twin, "messages_click_show"),
     ("stream_messages_completion", messages_completion_twin, "messages_completion"),
 ]}
+STREAM_QUERIES["stream_log_click_show"] = (log_twin, "messages_click_show_newer")
 STREAM_QUERIES.update({name: (_batched(name, build, in_order), twin) for name, build, in_order, twin in [
     ("stream_user_click_show_batches", click_show_twin, False, "user_click_show_tumbling"),
     ("stream_keyed_first_write_batches", lambda r: keyed_twin(r, FirstWrite(), FIRST_WRITE_COLS), True,

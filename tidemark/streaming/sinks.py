@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.scalars import profile_key
+from tidemark.functions.wire import decode_message, encode_message
 from tidemark.operators.joins import join_back
 from tidemark.operators.operations import FirstWrite
 
@@ -46,19 +47,26 @@ def serialize_profile(df: DataFrame, key: str, fields, fmt: str = "struct",
                       out: str = "value") -> DataFrame:
     """``(key, value)`` with the profile fields packed into one stored value.
 
-    ``struct`` keeps a typed struct column; ``json`` writes JSON text with
-    absent fields omitted (so readers fall back to 0, P10).
+    ``struct`` keeps a typed struct column; ``json`` writes JSON text and
+    ``protobuf`` wire bytes (``functions.wire``; ``fields`` then maps names to
+    numbers and kinds), both with absent fields omitted (so readers fall back to 0, P10).
     """
+    if fmt == "protobuf":
+        return df.select(F.col(key), encode_message(fields).alias(out))
     if fmt not in ("json", "struct"):
         raise ValueError(f"unknown format {fmt!r}")
     packed = F.struct(*[F.col(c) for c in fields])
     return df.select(F.col(key), (F.to_json(packed) if fmt == "json" else packed).alias(out))
 
 
-def read_serialized(df: DataFrame, key: str, schema: str, value: str = "value") -> DataFrame:
-    """``(key, *fields)`` of stored values, JSON text or structs; ``schema`` names the fields."""
-    text = df.schema[value].dataType.simpleString() == "string"
-    fields = F.from_json(F.col(value), schema) if text else F.col(value)
+def read_serialized(df: DataFrame, key: str, schema, value: str = "value") -> DataFrame:
+    """``(key, *fields)`` of stored values, JSON text, structs or wire bytes; ``schema`` names the fields
+    (for bytes: names to numbers and kinds)."""
+    kind = df.schema[value].dataType.simpleString()
+    if kind == "binary":
+        return df.select(F.col(key), decode_message(F.col(value), schema).alias("__f")).select(
+            key, *[f"__f.{c}" for c in schema])
+    fields = F.from_json(F.col(value), schema) if kind == "string" else F.col(value)
     return df.select(F.col(key), fields.alias("__f")).select(key, "__f.*")
 
 

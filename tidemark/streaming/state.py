@@ -23,16 +23,23 @@ values as a table.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from tidemark.config import WindowSpec
+from tidemark.operators import operations
 from tidemark.operators.operations import KeyedOperation, ValueOps
 from tidemark.operators.windows import WINDOW_COL, stream_windows
 
+# The processors travel to the Python workers by value, with the operations they run.
+for _module in (sys.modules[__name__], operations):
+    cloudpickle.register_pickle_by_value(_module)
+
 STORED, LIVE, LEAVING = "stored", "live", "leaving"  # state variables
 
 
