@@ -85,12 +85,29 @@ def test_rolling_matches_bruteforce(spark):
     secs = [0, 1, 1, 3, 7, 8, 15, 16, 30, 31]
     users = ["a", "b", "a", "a", "b", "a", "a", "b", "a", "a"]
     df = _items(spark, secs, users)
-    for block in (5, 2, 1, 7):
+    for length in (5, 2, 1, 0, 40):
         got = {r["id"]: (r["rolling_clicks"], r["rolling_n"])
-               for r in rolling_sums(df, "u", ["clicks"], 5, block=block).collect()}
+               for r in rolling_sums(df, "u", ["clicks"], length).collect()}
         for i, (s, u) in enumerate(zip(secs, users)):
-            n = sum(1 for s2, u2 in zip(secs, users) if u2 == u and s - 5 <= s2 <= s)
-            assert got[i] == (n, n), (block, i)
+            n = sum(1 for s2, u2 in zip(secs, users) if u2 == u and s - length <= s2 <= s)
+            assert got[i] == (n, n), (length, i)
+
+
+def test_group_keys_keep_their_type(spark):
+    """NULL is a key of its own, beside the value that stands in for it."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.windows import group_key, grouped_key
+
+    day = dt.date(1970, 1, 1)
+    rows = [(0, "", 0.0, False, day), (None, None, None, None, None), (5, "x", 1.5, True, dt.date(2024, 1, 2))] * 2
+    df = spark.createDataFrame(rows, "a int, b string, c double, d boolean, e date")
+    for c in df.columns:
+        out = df.groupBy(*group_key(c, df)).agg(F.count("*").alias("n")).select(grouped_key(c), "n")
+        assert out.schema[c].dataType == df.schema[c].dataType
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted({(getattr(r, c), 2) for r in df.collect()}, key=repr)
 
 
 @settings(max_examples=8, deadline=None)

@@ -89,7 +89,7 @@ def click_show_metrics(click_show: DataFrame, spec: WindowSpec, key: str = "u",
     else:
         count = F.count(F.lit(1))
     g = (with_windows(rows, spec, ts)
-         .groupBy(WINDOW_COL, *group_key(key))
+         .groupBy(WINDOW_COL, *group_key(key, rows))
          .agg(F.sum("clicks").alias("clicks"), F.sum("shows").alias("shows"),
               count.alias("__n")))
     return finish_click_show(g, spec, key)
@@ -113,7 +113,7 @@ def completion_metrics(vv: DataFrame, spec: WindowSpec, key: str = "u", ts: str
     else:
         count, sums = F.count(F.lit(1)), completion_sums(exact_scale)
     g = (with_windows(rows, spec, ts)
-         .groupBy(WINDOW_COL, *group_key(key))
+         .groupBy(WINDOW_COL, *group_key(key, rows))
          .agg(*sums, count.alias("__n")))
     return finish_completion(g, spec, key, exact_scale)
 

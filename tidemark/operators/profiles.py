@@ -104,7 +104,7 @@ def user_profile(click_show: DataFrame, vv: DataFrame, spec: WindowSpec, key: st
     """``(t, key, rt_u_click, rt_u_reveal, rt_u_rpt)``: a user present in either
     kind's (gated) result; the absent kind's fields are NULL."""
     tagged = tag_union(click_show, vv, key, ts)
-    g = (with_windows(tagged, spec, ts).groupBy(WINDOW_COL, *group_key(key))
+    g = (with_windows(tagged, spec, ts).groupBy(WINDOW_COL, *group_key(key, tagged))
          .agg(*user_profile_aggs(exact_scale)))
     return finish_user_profile(g, spec, key, exact_scale)
 

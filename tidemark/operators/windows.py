@@ -24,7 +24,15 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from tidemark.config import WindowSpec
 from tidemark.functions.scalars import epoch_seconds
@@ -121,14 +129,25 @@ def pre_aggregate(df: DataFrame, spec: WindowSpec, key: str, sums: list[Column],
 GROUP_COLS = ("__k", "__knull")
 
 
-def group_key(key: str) -> list[Column]:
-    """``key`` as the grouping columns ``GROUP_COLS`` (a NULL key is a group)."""
-    return [F.coalesce(F.col(key).cast("string"), F.lit("")).alias(GROUP_COLS[0]),
+def _stand_in(kind: DataType) -> Column | None:
+    """Some value of a key's type, for NULL keys."""
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    values = {StringType: "", BooleanType: False, NumericType: 0}
+    return next((F.lit(v).cast(kind) for k, v in values.items() if isinstance(kind, k)), None)
+
+
+def group_key(key: str, df: DataFrame) -> list[Column]:
+    """``key`` of ``df`` as the grouping columns ``GROUP_COLS`` (a NULL key is a group). Its type is kept, unless
+    it is nested or binary: then its text."""
+    stand_in = _stand_in(df.schema[key].dataType)
+    held = F.col(key).cast("string") if stand_in is None else F.col(key)
+    return [F.coalesce(held, F.lit("") if stand_in is None else stand_in).alias(GROUP_COLS[0]),
             F.col(key).isNull().alias(GROUP_COLS[1])]
 
 
 def grouped_key(key: str) -> Column:
-    """The string key back from ``GROUP_COLS``."""
+    """The key back from ``GROUP_COLS``."""
     return F.when(~F.col(GROUP_COLS[1]), F.col(GROUP_COLS[0])).alias(key)
 
 
@@ -193,60 +212,60 @@ def window_snapshot(df: DataFrame, spec: WindowSpec, ts: str = "ts") -> DataFram
     return out.withColumn("t", trigger_second(spec)).drop(WINDOW_COL)
 
 
-def _live_totals(df: DataFrame, key: str, values: list[str], enter: int, leave: int, ts: str,
-                 block: int) -> DataFrame:
-    """Per key and second at which its live set changes: ``(*GROUP_COLS, sec,
-    __blk, own, __live__<value>..., __live__n)``, the sums after the change.
+def _live_totals(df: DataFrame, key: str, values: list[str], enter: int, leave: int, ts: str) -> DataFrame:
+    """Per key and second at which its live set changes: ``(*GROUP_COLS, __blk, sec,
+    own, __live__<value>..., __live__n)``, the sums after the change.
 
     A value enters ``enter`` and leaves ``leave`` seconds after its own second.
-    Changes are summed per (key, second); one running sum over the seconds
-    gives the live sums. The running sum is blocked (``running_totals``), so no
-    task holds a hot key's history, and its cost does not grow with the
-    window. ``own``: some row is stamped ``sec - enter``. Sums of whole
+    Time is cut into blocks as long as a value stays, so what enters in one
+    block leaves in the next: what a block begins with is what leaves in it, and a
+    running sum inside the block does the rest. A task holds one block of a key, at most one
+    row per second and kind of change whatever the key's rows, and the cost does not grow with
+    the window. ``own``: some row is stamped ``sec - enter``. Sums of whole
     numbers are exact; doubles would carry the rounding of a running difference.
     """
-    from tidemark.operators.keyed import running_totals
-
-    held = [f"__{v}" for v in values] + ["__n"]
+    held, stay = [f"__{v}" for v in values] + ["__n"], leave - enter
     rows = df.filter(F.col(ts).isNotNull()).select(
-        *group_key(key), epoch_seconds(df, ts).alias("sec"),
+        *group_key(key, df), epoch_seconds(df, ts).alias("sec"),
         *[F.coalesce(F.col(v), F.lit(0)).alias(f"__{v}") for v in values])
     per_second = rows.groupBy(*GROUP_COLS, "sec").agg(
         *[F.sum(f"__{v}").alias(f"__{v}") for v in values], F.count(F.lit(1)).alias("__n"))
+    at = F.col("sec") + enter
+    block = F.floor(at / stay).cast("bigint")
     change = F.explode(F.array(
-        F.struct((F.col("sec") + enter).alias("sec"), F.lit(True).alias("own"), *[F.col(c).alias(c) for c in held]),
-        F.struct((F.col("sec") + leave).alias("sec"), F.lit(False).alias("own"),
+        F.struct(block.alias("__blk"), at.alias("sec"), F.lit(True).alias("own"), *[F.col(c).alias(c) for c in held]),
+        F.struct((block + 1).alias("__blk"), (at + stay).alias("sec"), F.lit(False).alias("own"),
                  *[(-F.col(c)).alias(c) for c in held])))
     changes = (per_second.select(*GROUP_COLS, change.alias("c")).select(*GROUP_COLS, "c.*")
-               .groupBy(*GROUP_COLS, "sec")
-               .agg(F.max("own").alias("own"), *[F.sum(c).alias(c) for c in held])
-               .withColumn("__blk", F.floor(F.col("sec") / block).cast("bigint")))
-    whole = F.concat_ws("|", *[F.col(c).cast("string") for c in GROUP_COLS])
-    return running_totals(changes.withColumn("__g", whole), "__g", ["sec"], F.col("__blk"),
-                          {f"__live{c}": F.col(c) for c in held})
+               .repartition(*GROUP_COLS, "__blk")  # serves the sums per second and the windows
+               .groupBy(*GROUP_COLS, "__blk", "sec")
+               .agg(F.max("own").alias("own"), *[F.sum(c).alias(c) for c in held],
+                    *[F.sum(F.when(~F.col("own"), F.col(c))).alias(f"__gone{c}") for c in held]))
+    whole = Window.partitionBy(*GROUP_COLS, "__blk")
+    running = whole.orderBy("sec").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return changes.select(*GROUP_COLS, "__blk", "sec", "own", *[
+        (F.sum(c).over(running) - F.coalesce(F.sum(f"__gone{c}").over(whole), F.lit(0))).alias(f"__live{c}") for c in held])
 
 
-def rolling_sums(df: DataFrame, key: str, values: list[str], length: int,
-                 ts: str = "ts", block: int | None = None) -> DataFrame:
+def rolling_sums(df: DataFrame, key: str, values: list[str], length: int, ts: str = "ts") -> DataFrame:
     """Per-record live-set sums (T9): for every row, the sums of ``values`` over
     the same key's rows with ``sec - length <= sec' <= sec`` (ties included);
     rows find the live sums of their second by (key, second)."""
-    live = _live_totals(df, key, values, 0, length + 1, ts, block or max(length, 1)).filter("own").select(
+    live = _live_totals(df, key, values, 0, length + 1, ts).filter("own").select(
         *[F.col(c).alias(f"__r{c}") for c in GROUP_COLS], F.col("sec").alias("__sec"),
         *[F.col(f"__live__{v}").alias(f"rolling_{v}") for v in values],
         F.col("__live__n").alias("rolling_n"))
-    out = df.withColumn("sec", epoch_seconds(df, ts)).withColumns(dict(zip(GROUP_COLS, group_key(key))))
+    out = df.withColumn("sec", epoch_seconds(df, ts)).withColumns(dict(zip(GROUP_COLS, group_key(key, df))))
     return (out.join(live, [F.col(c) == F.col(f"__r{c}") for c in GROUP_COLS] + [F.col("sec") == F.col("__sec")])
             .drop(*GROUP_COLS, *[f"__r{c}" for c in GROUP_COLS], "__sec"))
 
 
-def live_intervals(df: DataFrame, key: str, values: list[str], length: int,
-                   ts: str = "ts", block: int | None = None) -> DataFrame:
+def live_intervals(df: DataFrame, key: str, values: list[str], length: int, ts: str = "ts") -> DataFrame:
     """Half-open windows of ``length`` seconds at every whole second, as the
     intervals of triggers ``[t_from, t_to)`` between two changes of a key's
     live set: ``(key, t_from, t_to, *values, n)``. A long window at a step of one second
     costs two changes per row and second instead of ``length`` copies."""
-    live = _live_totals(df, key, values, 1, length + 1, ts, block or max(length, 1))
+    live = _live_totals(df, key, values, 1, length + 1, ts)
     blocks = live.groupBy(*GROUP_COLS, "__blk").agg(F.min("sec").alias("first"))
     following = blocks.withColumn("next_first", F.lead("first").over(
         Window.partitionBy(*GROUP_COLS).orderBy("__blk"))).drop("first")  # the few blocks of a key

@@ -136,7 +136,8 @@ def _tagged(replay: Replay, key: str) -> DataFrame:
 
 
 def profile_twin(replay: Replay) -> DataFrame:
-    agg = (stream_windows(_tagged(replay, "u"), SPEC, "ts").groupBy(WINDOW_COL, *group_key("u"))
+    tagged = _tagged(replay, "u")
+    agg = (stream_windows(tagged, SPEC, "ts").groupBy(WINDOW_COL, *group_key("u", tagged))
            .agg(*user_profile_aggs(EXACT_SCALE)))
     sink = ResultTableSink(f"{replay.scratch}/out", lambda b: finish_user_profile(struct_to_trigger(b, SPEC), SPEC, "u", EXACT_SCALE))
     _run(agg, sink, replay)
@@ -329,7 +330,8 @@ def log_twin(spark: SparkSession, sf: str) -> DataFrame:
 
 def value_bytes_twin(replay: Replay) -> DataFrame:
     """User profiles stored by a stream as wire bytes, read back from the store."""
-    agg = (stream_windows(_tagged(replay, "u"), SPEC, "ts").groupBy(WINDOW_COL, *group_key("u"))
+    tagged = _tagged(replay, "u")
+    agg = (stream_windows(tagged, SPEC, "ts").groupBy(WINDOW_COL, *group_key("u", tagged))
            .agg(*user_profile_aggs(EXACT_SCALE)))
 
     def stored(batch: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def with_event_time(stream: DataFrame, ts: str = "ts", delay: str = DEFAULT_WATE
 def windowed_click_show(stream: DataFrame, spec: WindowSpec, key: str = "u",
                         ts: str = "ts") -> DataFrame:
     """Streaming ``(w, *GROUP_COLS, clicks, shows, __n)`` per window (append mode)."""
-    return (stream_windows(stream, spec, ts).groupBy(WINDOW_COL, *group_key(key))
+    return (stream_windows(stream, spec, ts).groupBy(WINDOW_COL, *group_key(key, stream))
             .agg(F.sum("clicks").alias("clicks"), F.sum("shows").alias("shows"),
                  F.count(F.lit(1)).alias("__n")))
 
@@ -46,7 +46,7 @@ def windowed_click_show(stream: DataFrame, spec: WindowSpec, key: str = "u",
 def windowed_completion(stream: DataFrame, spec: WindowSpec, key: str = "u", ts: str = "ts",
                         exact_scale: int | None = None) -> DataFrame:
     """Streaming ``(w, *GROUP_COLS, <sums>, __n)`` per window (append mode)."""
-    return (stream_windows(stream, spec, ts).groupBy(WINDOW_COL, *group_key(key))
+    return (stream_windows(stream, spec, ts).groupBy(WINDOW_COL, *group_key(key, stream))
             .agg(*completion_sums(exact_scale), F.count(F.lit(1)).alias("__n")))
 
 
@@ -132,7 +132,7 @@ def rolling_on_stream(rows: DataFrame, key: str, values: list[str], length: int,
     most; both sides leave the state when the watermark is past their interval. The join's
     rows are summed again per row, which comes out once the watermark has passed it.
     """
-    keyed = rows.where(F.col(ts).isNotNull()).withColumns(dict(zip(GROUP_COLS, group_key(key))))
+    keyed = rows.where(F.col(ts).isNotNull()).withColumns(dict(zip(GROUP_COLS, group_key(key, rows))))
     sums = (keyed.groupBy(F.window(ts, "1 second").alias(WINDOW_COL), *[F.col(c).alias(f"__r{c}") for c in GROUP_COLS])
             .agg(*[F.sum(F.coalesce(F.col(v), F.lit(0))).alias(f"__r_{v}") for v in values],
                  F.count(F.lit(1)).alias("__r_n"))
