@@ -396,8 +396,10 @@ STREAM_QUERIES = {name: (_twin(name, build), twin) for name, build, twin in [
     ("stream_user_completion_gapped", lambda r: completion_twin(r, SPECS["gapped"]), "user_completion_gapped"),
     ("stream_user_profile", profile_twin, "user_profile"),
     ("stream_feed_profile", feed_profile_twin, "feed_profile"),
-    ("stream_feed_click_show_5m", lambda r: feed_click_show_twin(r, FEEDS["5m"]), "feed_click_show_5m"),
-    ("stream_feed_completion_5m", lambda r: feed_completion_twin(r, FEEDS["5m"]), "feed_completion_5m"),
+    *[(f"stream_feed_click_show_{n}", lambda r, L=L: feed_click_show_twin(r, L), f"feed_click_show_{n}")
+      for n, L in FEEDS.items()],
+    *[(f"stream_feed_completion_{n}", lambda r, L=L: feed_completion_twin(r, L), f"feed_completion_{n}")
+      for n, L in FEEDS.items()],
     ("stream_keyed_first_write", lambda r: keyed_twin(r, FirstWrite(), FIRST_WRITE_COLS), "keyed_first_write"),
     ("stream_keyed_accumulate", lambda r: keyed_twin(r, Accumulate(SPEC), ACCUMULATE_COLS), "keyed_accumulate"),
     ("stream_profile_store", store_twin, "profile_store"),
