@@ -131,7 +131,8 @@ def pack(docs: DataFrame, vocabulary: str, length: int = 2048, end_id: int = 1,
     def in_group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return pa.Table.from_batches(batches_of(group_rows(key, table), placed), schema=placed)
 
-    seeded = rows.select("doc_id", F.xxhash64("doc_id", "text", F.spark_partition_id()).alias("seed"), "text")
+    # numbered, so that repeated rows are dealt to different groups too
+    seeded = rows.select("doc_id", F.xxhash64(F.monotonically_increasing_id()).alias("seed"), "text")
     group = F.pmod(F.xxhash64("seed", "number"), F.lit(groups)).alias("group")
     return (seeded.mapInArrow(lambda b: batches_of(pieces(b), cut),
                               "doc_id long, seed long, number long, doc_tokens long, wide boolean, ids binary")
