@@ -146,7 +146,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 1,
 
     ordered = (text_of(docs)
                .select("doc_id", "text", row_key()[0])
-               .repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first())
+               .repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first(), "key1")
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "key1")
                .select("doc_id", "text"))
     return written(ordered.mapInArrow(run, "part int, file int, first long, n_ids long, image binary"), "token-files")
