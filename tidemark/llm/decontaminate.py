@@ -32,10 +32,12 @@ several texts.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -208,11 +210,11 @@ def search_shard(texts: list[bytes], phrases: Phrases) -> list[tuple[int, list[t
 
 
 def shards(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Rows cut into shards of at most ``words`` words (two bytes of text each, at least), with their texts."""
+    """Rows cut into shards of at most ``words`` words (two bytes of text each, at least) or one row, with their texts."""
     for batch in batches:
         texts, start, held = [t or b"" for t in as_bytes(batch, "text")], 0, 0
         for i, text in enumerate(texts):
-            if i > start and held + len(text) > 4 * words:
+            if i > start and held + len(text) > 2 * words:
                 yield batch.slice(start, i - start), texts[start:i]
                 start, held = i, 0
             held += len(text)
@@ -220,9 +222,8 @@ def shards(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.R
             yield batch.slice(start), texts[start:]
 
 
-def _one_block(docs: DataFrame, items: list[tuple[str, bytes]], window: int, shard_words: int) -> DataFrame:
+def _one_block(docs: DataFrame, phrases: Broadcast, shard_words: int) -> DataFrame:
     ship(docs.sparkSession)
-    phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, window))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", *row_key(), F.coalesce(docs["text"], F.lit("")).alias("text"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -238,29 +239,33 @@ def _one_block(docs: DataFrame, items: list[tuple[str, bytes]], window: int, sha
     return rows.mapInArrow(lambda b: batches_of(search(b), schema), RESULT.format(kind))
 
 
-def _blocks(benchmark: DataFrame, block_words: int) -> list[list[tuple[str, bytes]]]:
-    """The items in blocks of about ``block_words`` words: a stated query set, not a sample of the documents."""
+def _blocks(benchmark: DataFrame, block_words: int) -> list[Callable[[], list[tuple[str, bytes]]]]:
+    """The items in blocks of about ``block_words`` words (a stated query set, not a sample of the documents), each
+    brought to the driver when it is asked for."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").dropna()
     size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = max(1, -(-size // (2 * block_words)))  # a word and its separator are two bytes at least
-    out = []
-    for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        out.append([(r["item"], r["text"].encode()) for r in block.collect()])
-    return out
+
+    def block(k: int) -> list[tuple[str, bytes]]:
+        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k) if blocks > 1 else items
+        return [(r["item"], r["text"].encode()) for r in own.collect()]
+
+    return [partial(block, k) for k in range(blocks)]
 
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                       shard_words: int = 1 << 20, block_words: int = 5_000_000) -> DataFrame:
+                       shard_words: int = 1 << 20, block_words: int = 500_000) -> DataFrame:
     """Per row: doc_id, key1, key2, n_words, spans (word positions, merged), items (ids as strings, sorted)."""
-    passes = [_one_block(docs, items, window, shard_words) for items in _blocks(benchmark, block_words)]
-    if len(passes) == 1:
-        return passes[0]
-    # one row per document and block; equal rows have equal spans, so each keeps its own answer
-    parts = [written(p.withColumn("copy", F.row_number().over(_copies())), "spans") for p in passes]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
+    blocks, context = _blocks(benchmark, block_words), docs.sparkSession.sparkContext
+    if len(blocks) == 1:
+        return _one_block(docs, context.broadcast(Phrases(blocks[0](), window)), shard_words)
+    every = None
+    for block in blocks:  # one at a time: neither the driver nor a worker holds two
+        phrases = context.broadcast(Phrases(block(), window))
+        # one row per document and block; equal rows have equal spans, so each keeps its own answer
+        part = written(_one_block(docs, phrases, shard_words).withColumn("copy", F.row_number().over(_copies())), "spans")
+        phrases.destroy()
+        every = part if every is None else every.unionByName(part)
     merged = every.groupBy("doc_id", "key1", "key2", "copy").agg(
         F.max("n_words").alias("n_words"),
         F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
@@ -282,12 +287,12 @@ def _copies():
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                 shard_words: int = 1 << 20, block_words: int = 5_000_000) -> DataFrame:
+                 shard_words: int = 1 << 20, block_words: int = 500_000) -> DataFrame:
     """docs with the contaminated words cut out of text (n_chars follows, where docs has it); all columns."""
     ship(docs.sparkSession)
     blocks = _blocks(benchmark, block_words)
     if len(blocks) == 1:  # no shuffle: each task rewrites its own rows
-        phrases = docs.sparkSession.sparkContext.broadcast(Phrases(blocks[0], window))
+        phrases = docs.sparkSession.sparkContext.broadcast(Phrases(blocks[0](), window))
 
         def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for shard, texts in shards(batches, shard_words):
