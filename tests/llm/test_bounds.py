@@ -49,3 +49,26 @@ def test_benchmark_blocks_come_one_at_a_time(spark, frame, monkeypatch):
     got = decontaminate.contaminated_spans(docs, items, block_words=100).collect()
     assert len(most) > 3 and sum(most) == 40 and len(held) == len(most)
     assert sorted((r["doc_id"], r["items"]) for r in got) == [(i, [str(i)]) for i in range(0, 40, 3)]
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, frame):
+    """Columns called like the stages' own helpers come through unchanged; empty tables give empty tables."""
+    from tidemark.llm import bag_minhash, exact_dedup, quality
+
+    names = ("_keep", "_keep1", "_keep2", "_owner1", "_owner2", "_cut1", "_cut2", "_cuts", "_KEEP1_", "copy")
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(1, text + " one two three"), (2, text + " one two three"), (3, "wholly other words stand in this one"), (4, None)]
+    docs = frame(rows)
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{k}:"), F.coalesce("doc_id", F.lit(0))))
+    items = spark.createDataFrame([(1, text), (2, "nothing that occurs")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 1)], "doc_id long, quality int")
+    stages = [exact_dedup.keep_owners, bag_minhash.keep_one,
+              lambda d: decontaminate.remove_spans(d, items), lambda d: decontaminate.remove_spans(d, items, block_words=5),
+              lambda d: quality.keep_good(d, quality.learn(d, labels))]
+    for stage in stages:
+        out = stage(docs)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(r[name] == f"{k}:{r['doc_id']}" for r in got for k, name in enumerate(names))
+        assert stage(docs.limit(0)).collect() == []

@@ -55,6 +55,16 @@ def row_key(doc_id: Column | str = "doc_id", text: Column | str = "text") -> lis
             F.xxhash64(F.lit(2), text, doc_id).alias("key2")]
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until df has no such columns."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def fold_of(doc_id: Column | str, n: int) -> Column:
     """crc32 of the doc_id as text, modulo n; a null doc_id counts as empty text."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit("")) if isinstance(doc_id, str) else doc_id

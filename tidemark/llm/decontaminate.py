@@ -41,7 +41,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, batches_of, row_key, ship, words_of, written
+from tidemark.llm.common import as_bytes, batches_of, fresh_names, row_key, ship, words_of, written
 
 WINDOW = 10
 SAMPLE = 8  # every eighth suffix position is kept
@@ -301,10 +301,11 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                                           for t, (_, spans, _) in zip(texts, found)])
 
         return docs.mapInArrow(rewrite, docs.schema)
+    own1, own2, cuts_of = fresh_names(docs, "_cut1", "_cut2", "_cuts")
     found = (contaminated_spans(docs, benchmark, window, shard_words, block_words)
              .where(F.size("spans") > 0)
-             .select(F.col("key1").alias("_cut1"), F.col("key2").alias("_cut2"), F.col("spans").alias("_cuts"))
-             .dropDuplicates(["_cut1", "_cut2"]))
+             .select(F.col("key1").alias(own1), F.col("key2").alias(own2), F.col("spans").alias(cuts_of))
+             .dropDuplicates([own1, own2]))
 
     def rewrite_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,9 +315,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 for t, c in zip(texts, cuts)])
 
     key1, key2 = row_key(docs["doc_id"], docs["text"])
-    return (docs.withColumns({"_cut1": key1, "_cut2": key2})
-            .join(found.hint("shuffle_hash"), ["_cut1", "_cut2"], "left")
-            .select(*[docs[c] for c in docs.columns], "_cuts")
+    return (docs.withColumns({own1: key1, own2: key2})
+            .join(found, [own1, own2], "left")
+            .select(*docs.columns, cuts_of)
             .mapInArrow(rewrite_joined, docs.schema))
 
 

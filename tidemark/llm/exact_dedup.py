@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, as_bytes, batches_of, row_key, shuffle_partitions, slices, text_of
+from tidemark.llm.common import SPACE, as_bytes, batches_of, fresh_names, row_key, shuffle_partitions, slices, text_of
 
 TRIE_BYTES = 64 << 20  # of labels that a trie holds before it spills
 
@@ -232,9 +232,7 @@ def exact_dedup(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
 
 def keep_owners(docs: DataFrame, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """The owners' rows of docs, all columns; of rows alike in doc_id and text, one."""
-    best = owners(docs, trie_bytes).select(F.col("key1").alias("_owner1"), F.col("key2").alias("_owner2"))
-    key1, key2 = row_key(docs["doc_id"], docs["text"])
-    return (docs.withColumns({"_owner1": key1, "_owner2": key2})
-            .join(best, ["_owner1", "_owner2"], "left_semi")
-            .dropDuplicates(["_owner1", "_owner2"])
-            .drop("_owner1", "_owner2"))
+    own = fresh_names(docs, "_owner1", "_owner2")
+    best = owners(docs, trie_bytes).select(*[F.col(k).alias(n) for k, n in zip(("key1", "key2"), own)])
+    return (docs.withColumns(dict(zip(own, row_key(docs["doc_id"], docs["text"]))))
+            .join(best, own, "left_semi").dropDuplicates(own).drop(*own))
