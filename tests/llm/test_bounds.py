@@ -72,3 +72,48 @@ def test_pipeline_stages_keep_columns_of_any_name(spark, frame):
         got = out.collect()
         assert got and all(r[name] == f"{k}:{r['doc_id']}" for r in got for k, name in enumerate(names))
         assert stage(docs.limit(0)).collect() == []
+
+
+def lm_rows(table):
+    return sorted((tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in table.collect()), key=repr)
+
+
+def test_language_model_exchange_in_steps(spark, frame, odd_rows, tmp_path):
+    """Few rows a cell: the exchange takes several steps and every count is the same."""
+    from tidemark.llm import interpolated_lm
+
+    rows = list(odd_rows) + [(100 + i, " ".join(f"w{(i * k) % 37}" for k in range(i % 40))) for i in range(400)]
+    frame(rows).repartition(3).write.parquet(f"{tmp_path}/d")
+    df = spark.read.parquet(f"{tmp_path}/d")
+    want = lm_rows(interpolated_lm.token_counts(df))
+    for options in ({"cell_bytes": 3000}, {"cell_bytes": 3000, "fan": 6}, {"cell_bytes": 300, "fan": 4, "buckets": 60}):
+        assert lm_rows(interpolated_lm.token_counts(df, **options)) == want
+
+
+def test_language_model_cells_and_rows(spark, frame, tmp_path, monkeypatch):
+    """Cells are bounded by bytes also where long texts follow short ones; what they send grows as they do."""
+    from tidemark.llm import interpolated_lm as lm
+
+    def sent(n):
+        rows = [(i, "short text") for i in range(40 * n)] + [(10**6 + i, f"long{i} " * 400) for i in range(20 * n)]
+        path = f"{tmp_path}/{n}"
+        frame(rows, clash=False).coalesce(1).write.parquet(path)
+        counts = []
+        exchange = lm._exchange
+
+        def counted(asked, senders, fan, buckets, last):
+            counts.append((asked.count(), asked.select("cell").distinct().count(), fan))
+            return exchange(asked, senders, fan, buckets, last)
+
+        monkeypatch.setattr(lm, "_exchange", counted)
+        lm.token_counts(spark.read.parquet(path), cell_bytes=8000, fan=8)
+        monkeypatch.setattr(lm, "_exchange", exchange)
+        return counts
+
+    small, large = sent(1), sent(6)
+    for counts in (small, large):
+        for rows, cells, fan in counts:
+            assert rows == cells * fan and fan <= 8
+    assert 4 * small[0][1] < large[0][1] < 8 * small[0][1]
+    for counts in (small, large):  # fan rows a cell and step, not one for every bucket
+        assert sum(rows for rows, _, _ in counts) <= 1.5 * len(counts) * 8 * counts[0][1]

@@ -7,11 +7,16 @@ the context's frequency. L is learned by expectation-maximisation on held-out
 counts: every training token is scored with its own occurrence deleted from
 c(v w), c(v) and c(w).
 
-How it runs. A cell is a run of rows of one input partition. Each cell counts its own distinct
+How it runs. A cell is a run of rows of one input partition, ``cell_bytes`` of text or one longer text. Each cell counts its own distinct
 words and bigrams (64-bit hashes) and sends, to each of the hash buckets, one
 row with its sorted keys and training counts: a word that makes up a third of
 all tokens leaves a cell as one key. A bucket adds the counts up and answers
 each cell with one row of totals in the order it asked, so no key travels back.
+There are two buckets a cell; so that the rows do not grow with the square of
+the cells, a cell sends ``fan`` rows at most. Beyond that many buckets the
+exchange takes several steps: the rows of about ``fan`` cells for one range of hashes are added up, that
+sum is cut into finer ranges like a cell of its own, and its answers
+are dealt to the cells it came from. Each step sends ``fan`` rows a cell at most, and keys that cells share go on as one.
 The cell's documents meet its answers in a cogroup, and each text becomes two
 arrays, c(w) and c(v w) per token, written to the shared folder. EM and scoring read only that
 table; EM sees a histogram of ratios per bucket, at most BUCKETS x BINS rows
@@ -28,10 +33,13 @@ training tokens N and V are 0 and every token has the base probability, 1.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,9 +52,9 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _END = b"\x00 end"   # no word holds a space
 _START = b"\x00 start"
 
-_PACKED = pa.schema([("bucket", pa.int32()), ("cell", pa.int64()), ("n_words", pa.int32()),
+_PACKED = pa.schema([("bucket", pa.int64()), ("cell", pa.int64()), ("n_words", pa.int32()),
                      ("keys", pa.binary()), ("counts", pa.binary())])
-_ANSWER = pa.schema([("cell", pa.int64()), ("bucket", pa.int32()), ("n_words", pa.int32()), ("check", pa.int64()),
+_ANSWER = pa.schema([("cell", pa.int64()), ("bucket", pa.int64()), ("n_words", pa.int32()), ("check", pa.int64()),
                      ("tokens", pa.int64()), ("distinct", pa.int64()), ("totals", pa.binary())])
 _TABLE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                     ("train_tokens", pa.int64()), ("train_words", pa.int64()),
@@ -147,38 +155,47 @@ def _column(table: pa.Table | pa.RecordBatch, name: str) -> list:
     return table.column(table.schema.get_field_index(name)).to_pylist()
 
 
+def _split(unit: int, first: int, words: np.ndarray, word_counts: np.ndarray, bigrams: np.ndarray,
+           bigram_counts: np.ndarray, fan: int, buckets: int) -> Iterator[tuple]:
+    """Sorted keys as one row for each of the ``fan`` buckets from ``first`` on, of ``buckets`` in all."""
+    edge = first + np.arange(fan + 1)
+    w_at = np.searchsorted(_bucket_of(words, buckets), edge)
+    b_at = np.searchsorted(_bucket_of(bigrams, buckets), edge)
+    for k in range(fan):
+        w, b = slice(w_at[k], w_at[k + 1]), slice(b_at[k], b_at[k + 1])
+        yield (first + k, unit, int(w.stop - w.start), pack_sorted(words[w]) + pack_sorted(bigrams[b]),
+               pack_counts(np.concatenate([word_counts[w], bigram_counts[b]])))
+
+
 def _requests(cell: int, held: list[bool], texts: list[bytes], buckets: int) -> Iterator[tuple]:
     words, word_at, bigrams, bigram_at, sizes = _distinct(texts)
     train = np.repeat(~np.array(held, bool), sizes).astype(np.float64)
     n_words = np.bincount(word_at, train, len(words)).astype(np.int64)
     n_bigrams = np.bincount(bigram_at, train, len(bigrams)).astype(np.int64)
-    edge = np.arange(buckets + 1)
-    w_at = np.searchsorted(_bucket_of(words, buckets), edge)
-    b_at = np.searchsorted(_bucket_of(bigrams, buckets), edge)
-    for k in range(buckets):
-        w, b = slice(w_at[k], w_at[k + 1]), slice(b_at[k], b_at[k + 1])
-        yield (k, cell, int(w.stop - w.start), pack_sorted(words[w]) + pack_sorted(bigrams[b]),
-               pack_counts(np.concatenate([n_words[w], n_bigrams[b]])))
+    yield from _split(cell, 0, words, n_words, bigrams, n_bigrams, buckets, buckets)
 
 
-def _added(key: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int, int]:
-    """Totals of each key at its places; the sum of all; how many keys have any."""
+def _added(key: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, their totals, and where each key stands among them."""
     distinct, at = np.unique(key, return_inverse=True)
-    totals = np.bincount(at, counts, len(distinct)).astype(np.int64)
-    return totals[at], int(totals.sum()), int((totals > 0).sum())
+    return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64), at
 
 
-def _answers(bucket: int, table: pa.Table) -> Iterator[tuple]:
-    cells, n_words = _column(table, "cell"), _column(table, "n_words")
+def _asked(table: pa.Table) -> tuple[list[int], list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+    """cells, words and bigrams of each, and all word and bigram counts, of a bucket's rows."""
     words, bigrams, word_counts, bigram_counts = [], [], [], []
-    for n, keys, counts in zip(n_words, _column(table, "keys"), _column(table, "counts")):
+    for n, keys, counts in zip(*(_column(table, x) for x in ("n_words", "keys", "counts"))):
         counts = unpack_counts(counts)
         words.append(unpack_sorted(keys[:8 * n]))
         bigrams.append(unpack_sorted(keys[8 * n:]))
         word_counts.append(counts[:n])
         bigram_counts.append(counts[n:])
-    word_totals, tokens, distinct = _added(np.concatenate(words), np.concatenate(word_counts))
-    bigram_totals, _, _ = _added(np.concatenate(bigrams), np.concatenate(bigram_counts))
+    return _column(table, "cell"), words, bigrams, np.concatenate(word_counts), np.concatenate(bigram_counts)
+
+
+def _told(bucket: int, cells: list[int], words: list[np.ndarray], bigrams: list[np.ndarray], word_totals: np.ndarray,
+          bigram_totals: np.ndarray, tokens: int, distinct: int) -> Iterator[tuple]:
+    """The rows that answer a bucket's cells, from the totals of all their keys in turn."""
     w = b = 0
     for cell, ws, bs in zip(cells, words, bigrams):
         totals = np.concatenate([word_totals[w:w + len(ws)], bigram_totals[b:b + len(bs)]])
@@ -186,24 +203,53 @@ def _answers(bucket: int, table: pa.Table) -> Iterator[tuple]:
         w, b = w + len(ws), b + len(bs)
 
 
-def _counted(docs: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tuple]:
-    """The documents of a cell with c(w) and c(v w) of each of their tokens."""
-    held, ids = _column(docs, "held_out"), _column(docs, "doc_id")
-    words, word_at, bigrams, bigram_at, sizes = _distinct(
-        docs.column(docs.schema.get_field_index("text")).cast(pa.binary()).to_pylist())
+def _answers(bucket: int, table: pa.Table) -> Iterator[tuple]:
+    cells, words, bigrams, word_counts, bigram_counts = _asked(table)
+    _, word_totals, word_at = _added(np.concatenate(words), word_counts)
+    _, bigram_totals, bigram_at = _added(np.concatenate(bigrams), bigram_counts)
+    yield from _told(bucket, cells, words, bigrams, word_totals[word_at], bigram_totals[bigram_at],
+                     int(word_totals.sum()), int((word_totals > 0).sum()))
+
+
+def _summed(unit: int, bucket: int, table: pa.Table, fan: int, buckets: int) -> Iterator[tuple]:
+    """Rows of several cells for one bucket, added up and cut into finer buckets."""
+    _, words, bigrams, word_counts, bigram_counts = _asked(table)
+    w, n_w, _ = _added(np.concatenate(words), word_counts)
+    b, n_b, _ = _added(np.concatenate(bigrams), bigram_counts)
+    yield from _split(unit, bucket * fan, w, n_w, b, n_b, fan, buckets)
+
+
+def _joined(answers: pa.Table, words: int, bigrams: int, check: int, rows: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Totals of the words and bigrams of a cell, N and V, from the rows of its buckets; they must be of its keys."""
     order = np.argsort(_column(answers, "bucket"))
     n_words, checks, totals = (_column(answers, n) for n in ("n_words", "check", "totals"))
     got = [unpack_counts(totals[k]) for k in order]
     word_totals = np.concatenate([x[:n_words[k]] for x, k in zip(got, order)])
     bigram_totals = np.concatenate([x[n_words[k]:] for x, k in zip(got, order)])
     with np.errstate(over="ignore"):
-        check = int(np.array(checks, np.int64).sum(dtype=np.int64))
-    if (len(order), len(word_totals), len(bigram_totals), check) != (
-            buckets, len(words), len(bigrams), _check(words, bigrams)):
+        found = int(np.array(checks, np.int64).sum(dtype=np.int64))
+    if (len(order), len(word_totals), len(bigram_totals), found) != (rows, words, bigrams, check):
         raise RuntimeError("a partition's rows changed between two reads; write docs to a table first")
-    n, v = sum(_column(answers, "tokens")), sum(_column(answers, "distinct"))
+    return word_totals, bigram_totals, sum(_column(answers, "tokens")), sum(_column(answers, "distinct"))
+
+
+def _dealt(bucket: int, asked: pa.Table, answers: pa.Table, fan: int) -> Iterator[tuple]:
+    """What a sum of cells was answered, dealt to those cells."""
+    cells, words, bigrams, word_counts, bigram_counts = _asked(asked)
+    w, _, word_at = _added(np.concatenate(words), word_counts)
+    b, _, bigram_at = _added(np.concatenate(bigrams), bigram_counts)
+    word_totals, bigram_totals, tokens, distinct = _joined(answers, len(w), len(b), _check(w, b), fan)
+    yield from _told(bucket, cells, words, bigrams, word_totals[word_at], bigram_totals[bigram_at], tokens, distinct)
+
+
+def _counted(docs: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tuple]:
+    """The documents of a cell with c(w) and c(v w) of each of their tokens."""
+    held, ids = _column(docs, "held_out"), _column(docs, "doc_id")
+    words, word_at, bigrams, bigram_at, sizes = _distinct(
+        docs.column(docs.schema.get_field_index("text")).cast(pa.binary()).to_pylist())
+    word_totals, bigram_totals, n, v = _joined(answers, len(words), len(bigrams), _check(words, bigrams), buckets)
     c_w, c_vw = word_totals[word_at], bigram_totals[bigram_at]
-    del word_at, bigram_at, words, bigrams, got
+    del word_at, bigram_at, words, bigrams
     start = 0
     for doc_id, out, size in zip(ids, held, sizes.tolist()):
         own = slice(start, start + size)
@@ -211,47 +257,94 @@ def _counted(docs: pa.Table, answers: pa.Table, buckets: int) -> Iterator[tuple]
         start += size
 
 
+_ASKED = "bucket long, cell long, n_words int, keys binary, counts binary"
+_TOLD = "cell long, bucket long, n_words int, check long, tokens long, distinct long, totals binary"
+
+
+def _exchange(asked: DataFrame, senders: int, fan: int, buckets: int, last: int) -> DataFrame:
+    """Answers to the rows of cells: of ``senders`` cells that share each of ``buckets`` buckets, ``last`` in the end."""
+    def answers(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(batches_of(_answers(key[0].as_py(), table), _ANSWER), schema=_ANSWER)
+
+    if buckets >= last:
+        return asked.groupBy("bucket").applyInArrow(answers, _TOLD)
+
+    groups = max(1, -(-senders // fan))  # of cells, each with a sum for every bucket
+
+    def summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        unit, bucket = key[0].as_py(), key[1].as_py()
+        return pa.Table.from_batches(batches_of(_summed(unit, bucket, table, fan, buckets * fan), _PACKED), schema=_PACKED)
+
+    def dealt(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(batches_of(_dealt(key[1].as_py(), left, right, fan), _ANSWER), schema=_ANSWER)
+
+    unit = F.pmod(F.xxhash64("cell"), F.lit(groups)) * buckets + F.col("bucket")
+    asked = written(asked.withColumn("unit", unit), "lm-asked")
+    sums = asked.groupBy("unit", "bucket").applyInArrow(summed, _ASKED)
+    told = _exchange(sums, groups, fan, buckets * fan, last).withColumnRenamed("cell", "unit")
+    own = F.floor(F.col("bucket") / fan).cast("long").alias("own")
+    return (asked.groupBy("unit", "bucket")
+            .cogroup(told.select("*", own).groupBy("unit", "own")).applyInArrow(dealt, _TOLD))
+
+
+def _rows_by_cell(batches: Iterator[pa.RecordBatch], cell_bytes: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Stretches of rows with their cell: the task's number, then a number that grows when the next text does not fit."""
+    cell, held = TaskContext.get().partitionId() << 32, 0
+    for batch in slices(batches):
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0).to_pylist()
+        start = 0
+        for k, size in enumerate(sizes):
+            if held and held + size + 1 > cell_bytes:
+                if k > start:
+                    yield cell, batch.slice(start, k - start)
+                cell, held, start = cell + 1, 0, k
+            held += size + 1
+        yield cell, batch.slice(start)
+
+
 def token_counts(docs: DataFrame, held_out_mod: int = 10, cell_bytes: int = 8 << 20,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, fan: int = 1024) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, train_tokens (N), train_words (V), words, bigrams (packed counts).
 
     c(v) of a token is c(w) of the one before it; at a start it is c(end).
-    ``cell_bytes`` of text, on average, make a cell and bound a task's memory;
-    ``buckets`` (default: two a cell, 65,536 at most) bound that of a bucket.
+    ``cell_bytes`` of text (or one longer text) make a cell and bound a task's memory;
+    ``buckets`` (default: two a cell) bound that of a bucket, ``fan`` the rows that a cell sends.
     """
-    rows = text_of(docs).select("doc_id", "text", F.monotonically_increasing_id().alias("at"))
-    size, n = rows.agg(F.sum(F.octet_length("text").cast("long") + 1), F.count("*")).first()
-    per_cell = max(1, int(cell_bytes * n / size)) if n else 1
-    # consecutive rows of one partition: its number, then the row's number in it by per_cell
-    cell = (F.shiftright("at", 33) * (1 << 24)
-            + F.floor(F.col("at").bitwiseAND((1 << 33) - 1) / per_cell)).alias("cell")
-    rows = rows.select("doc_id", (fold_of("doc_id", held_out_mod) == 0).alias("held_out"), "text", cell)
+    rows = text_of(docs).select("doc_id", (fold_of("doc_id", held_out_mod) == 0).alias("held_out"), "text")
+    size, parts = (rows.select(F.octet_length("text").cast("long").alias("n"), F.spark_partition_id().alias("part"))
+                   .agg(F.sum(F.col("n") + 1), F.count_distinct("part")).first())
+    cells = (size or 0) // cell_bytes + parts
     if buckets is None:
-        buckets = min(max(16, 2 * rows.agg(F.count_distinct("cell")).first()[0]), 1 << 16)
+        buckets = max(16, 2 * cells)
+    steps = 1
+    while fan ** steps < buckets:
+        steps += 1
+    fan = min(fan, next(n for n in itertools.count(max(1, int(buckets ** (1 / steps)) - 1)) if n ** steps >= buckets))
+    buckets = fan ** steps
 
     def requests(batches):
         cell, held, texts = None, [], []
-        for batch in slices(batches):
-            for own, out, text in zip(_column(batch, "cell"), _column(batch, "held_out"), as_bytes(batch, "text")):
-                if own != cell:
-                    if texts:
-                        yield from batches_of(_requests(cell, held, texts, buckets), _PACKED)
-                    cell, held, texts = own, [], []
-                held.append(out)
-                texts.append(text)
+        for own, batch in _rows_by_cell(batches, cell_bytes):
+            if own != cell:
+                if texts:
+                    yield from batches_of(_requests(cell, held, texts, fan), _PACKED)
+                cell, held, texts = own, [], []
+            held += _column(batch, "held_out")
+            texts += as_bytes(batch, "text")
         if texts:
-            yield from batches_of(_requests(cell, held, texts, buckets), _PACKED)
+            yield from batches_of(_requests(cell, held, texts, fan), _PACKED)
 
-    def answers(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(batches_of(_answers(key[0].as_py(), table), _ANSWER), schema=_ANSWER)
+    def with_cells(batches):
+        for cell, batch in _rows_by_cell(batches, cell_bytes):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([cell] * batch.num_rows, pa.int64())],
+                                             names=["doc_id", "held_out", "text", "cell"])
 
     def counted(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(batches_of(_counted(left, right, buckets), _TABLE), schema=_TABLE)
+        return pa.Table.from_batches(batches_of(_counted(left, right, fan), _TABLE), schema=_TABLE)
 
-    asked = rows.mapInArrow(requests, "bucket int, cell long, n_words int, keys binary, counts binary")
-    told = asked.groupBy("bucket").applyInArrow(
-        answers, "cell long, bucket int, n_words int, check long, tokens long, distinct long, totals binary")
-    return written(rows.groupBy("cell").cogroup(told.groupBy("cell")).applyInArrow(
+    told = _exchange(rows.mapInArrow(requests, _ASKED), cells, fan, fan, buckets)
+    placed = rows.mapInArrow(with_cells, "doc_id long, held_out boolean, text string, cell long")
+    return written(placed.groupBy("cell").cogroup(told.groupBy("cell")).applyInArrow(
         counted, "doc_id long, held_out boolean, n_tokens long, train_tokens long, train_words long, "
                  "words binary, bigrams binary"), "token-counts")
 
