@@ -48,3 +48,34 @@ def test_command_line(spark, capsys):
     out = tempfile.mkdtemp(prefix="tidemark-cli-") + "/r"
     main(["run", "profile_store", "--tables", "/root/testdata/sf0.001", "--out", out])
     assert spark.read.parquet(out).count() == QUERIES["profile_store"](spark, "/root/testdata/sf0.001").count()
+
+
+def test_main_on_message_logs_with_the_state_store(spark):
+    """What lies in the logs before the first run is skipped; a second run goes on from its checkpoint."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.scalars import epoch_seconds
+    from tidemark.sources.message_log import append_messages
+    from tidemark.streaming.sinks import SegmentedTable
+
+    d = tempfile.mkdtemp(prefix="tidemark-app-log-")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    sec = epoch_seconds(ev, "ts")
+    middle = ev.select(F.percentile_approx(sec, 0.5)).first()[0] // 300 * 300
+
+    def add(rows):
+        for raw, name in ((raw_action_messages(rows), "actions"), (raw_vv_messages(rows), "views")):
+            append_messages(raw.select("key", "value", as_instant(raw, "ts").alias("ts")), f"{d}/{name}", 2)
+
+    args = ["--log", "--actions", f"{d}/actions", "--views", f"{d}/views", "--out", f"{d}/out", "--length", "300", "--step", "300",
+            "--mode", "half_open", "--show-value", "view", "--once", "--store", "state", "--state-partitions", "2"]
+    add(ev.where(sec < middle))
+    app.main(args)
+    assert SegmentedTable(f"{d}/out/user_click_show").read(spark) is None
+    add(ev.where(sec >= middle))
+    app.main(args)
+    got = SegmentedTable(f"{d}/out/user_click_show").read(spark).collect()
+    newer = [r for r in QUERIES["user_click_show_tumbling"](spark, SF_SMALL).collect() if r["t"] > middle]
+    last = max(r["t"] for r in got)
+    parsed = {(r["t"], r["u"]) for r in got}
+    assert parsed and parsed <= {(r["t"], r["u"].strip()) for r in newer} and last > max(r["t"] for r in newer) - 3600

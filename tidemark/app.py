@@ -21,12 +21,15 @@ if __package__ in (None, ""):  # run as a script: make the package importable
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import REFERENCE_SPEC, USER_KEY_TEMPLATE, ActionConfig, WindowSpec
-from tidemark.functions.scalars import as_instant
+from tidemark.functions.scalars import as_instant, profile_key
 from tidemark.operators.parse import good, parse_actions, parse_vv
+from tidemark.operators.windows import WINDOW_COL, grouped_key, struct_to_trigger
 from tidemark.sources.message_log import read_message_log
+from tidemark.streaming.state import gated, merge_on_state
 from tidemark.streaming.windowed import (
     DEFAULT_WATERMARK,
     ROCKSDB_STATE_STORE,
@@ -46,12 +49,17 @@ from tidemark.streaming.sources import read_kafka, read_message_files
 HDFS_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
 
 
+def click_show_rows(messages: DataFrame, cfg: ActionConfig, watermark: str = DEFAULT_WATERMARK,
+                    strict_strings: bool = False) -> DataFrame:
+    """Click/show records of an action message stream, with a watermark."""
+    m = messages.withColumn("ts", as_instant(messages, "ts")).withWatermark("ts", watermark)
+    return good(parse_actions(m, cfg, strict_strings=strict_strings))
+
+
 def click_show_stream(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig,
                       watermark: str = DEFAULT_WATERMARK, strict_strings: bool = False) -> DataFrame:
     """Windowed per-user click/show aggregate of an action message stream."""
-    m = messages.withColumn("ts", as_instant(messages, "ts")).withWatermark("ts", watermark)
-    return windowed_click_show(good(parse_actions(m, cfg, strict_strings=strict_strings)), spec,
-                               key="u")
+    return windowed_click_show(click_show_rows(messages, cfg, watermark, strict_strings), spec, key="u")
 
 
 def completion_stream(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig,
@@ -67,7 +75,7 @@ def start_click_show(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, o
                      state: str, checkpoint: str, trigger: dict | None = None,
                      state_partitions: int | None = None, strict_strings: bool = False,
                      watermark: str = DEFAULT_WATERMARK) -> tuple[StreamingQuery, KeyedTableSink]:
-    """Click/show pipeline into the keyed first-write store."""
+    """Click/show pipeline into the keyed first-write store, a table."""
     sink = KeyedTableSink(out, state, FirstWrite(), key="u", order="t",
                           key_template=USER_KEY_TEMPLATE, transform=gate_click_show(spec, "u"))
     q = start(click_show_stream(messages, spec, cfg, watermark, strict_strings), sink,
@@ -75,6 +83,19 @@ def start_click_show(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, o
     return q, sink
 
 
+def start_click_show_on_state(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str, checkpoint: str,
+                              trigger: dict | None = None, state_partitions: int | None = None,
+                              strict_strings: bool = False, watermark: str = DEFAULT_WATERMARK
+                              ) -> tuple[StreamingQuery, ResultTableSink]:
+    """The same pipeline with the first-write store on the state store; ``streaming.state.read_state`` reads it."""
+    rows = click_show_rows(messages, cfg, watermark, strict_strings)
+    results = struct_to_trigger(gated(windowed_click_show(rows, spec, "u"), rows, spec), spec).select(
+        F.col(WINDOW_COL).alias("t"), grouped_key("u"), "clicks", "shows")
+    sink = ResultTableSink(out)
+    merged = merge_on_state(results, FirstWrite(), "u", "t", profile_key("u", USER_KEY_TEMPLATE))
+    return start(merged, sink, checkpoint, trigger, state_partitions=state_partitions, rocksdb=True), sink
+
+
 def start_completion(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, out: str,
                      checkpoint: str, trigger: dict | None = None,
                      exact_scale: int | None = None, state_partitions: int | None = None,
@@ -106,6 +127,8 @@ def _args(argv=None):
     p.add_argument("--kafka-option", action="append", default=[], metavar="NAME=VALUE",
                    help="further option of the Kafka source, e.g. maxOffsetsPerTrigger=1000000")
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
+    p.add_argument("--store", default="table", choices=["table", "state"],
+                   help="where the click/show values are kept: a table reread in each batch, or Spark's state store")
     p.add_argument("--strict-strings", action="store_true",
                    help="reject messages whose fields are JSON numbers instead of strings")
     p.add_argument("--state-partitions", type=int, default=None,
@@ -133,9 +156,10 @@ def main(argv=None) -> None:
         acts, views = read_message_files(spark, a.actions), read_message_files(spark, a.views)
     trigger = {"availableNow": True} if a.once else every_step(spec)
     out = a.out.rstrip("/")
-    q1, _ = start_click_show(acts, spec, cfg, f"{out}/user_click_show", f"{out}/user_click_show_state",
-                          f"{out}/_checkpoints/click_show", trigger, a.state_partitions,
-                          a.strict_strings, a.watermark)
+    store = [f"{out}/user_click_show_state"] if a.store == "table" else []
+    begin = start_click_show if a.store == "table" else start_click_show_on_state
+    q1, _ = begin(acts, spec, cfg, f"{out}/user_click_show", *store, f"{out}/_checkpoints/click_show", trigger,
+                  a.state_partitions, a.strict_strings, a.watermark)
     q2, _ = start_completion(views, spec, cfg, f"{out}/user_completion",
                           f"{out}/_checkpoints/completion", trigger,
                              state_partitions=a.state_partitions, strict_strings=a.strict_strings,

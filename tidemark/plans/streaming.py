@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.app import start_click_show, start_completion
+from tidemark.app import start_click_show, start_click_show_on_state, start_completion
 from tidemark.config import USER_KEY_TEMPLATE, WindowSpec
 from tidemark.functions.scalars import as_instant, epoch_seconds, profile_key
 from tidemark.functions.wire import USER_PROFILE
@@ -273,14 +273,15 @@ def store_twin(replay: Replay) -> DataFrame:
                          *[F.col(v).alias(n) for v, n in zip(op.values, op.names)])
 
 
-def messages_click_show_twin(replay: Replay) -> DataFrame:
+def messages_click_show_twin(replay: Replay, on_state: bool = False) -> DataFrame:
     """Raw action messages, derived on the stream itself, through the app's click/show pipeline."""
     msgs, d, sinks = raw_action_messages(replay.stream), replay.scratch, []
+    begin_app = start_click_show_on_state if on_state else start_click_show
+    places = [f"{d}/out", f"{d}/checkpoint"] if on_state else [f"{d}/out", f"{d}/state", f"{d}/checkpoint"]
 
     def begin() -> StreamingQuery:
-        q, sink = start_click_show(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, f"{d}/out", f"{d}/state",
-                                   f"{d}/checkpoint", watermark=replay.watermark,
-                                   state_partitions=state_partitions(msgs.sparkSession))
+        q, sink = begin_app(msgs, SPECS["reference"], EVENTS_ACTION_CONFIG, *places, watermark=replay.watermark,
+                            state_partitions=state_partitions(msgs.sparkSession))
         sinks[:] = [sink]
         return q
 
@@ -409,6 +410,7 @@ STREAM_QUERIES = {name: (_twin(name, build), twin) for name, build, twin in [
     ("stream_feed_profile_sliding", lambda r: feed_profile_panes_twin(r, 300), "feed_profile_sliding"),
     ("stream_user_click_show_every_step", processing_time_twin, "user_click_show_tumbling"),
     ("stream_messages_click_show", messages_click_show_twin, "messages_click_show"),
+    ("stream_messages_click_show_state", lambda r: messages_click_show_twin(r, True), "messages_click_show"),
     ("stream_messages_completion", messages_completion_twin, "messages_completion"),
 ]}
 STREAM_QUERIES["stream_log_click_show"] = (log_twin, "messages_click_show_newer")
