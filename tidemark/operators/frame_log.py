@@ -24,21 +24,18 @@ than reading it.
 from __future__ import annotations
 
 import struct
-import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.frames import STATUS_CHECKSUM, STATUS_OK
+from tidemark.session import ship_package
 from tidemark.sources import message_log
 
-# Functions for the Python workers travel by value, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 STATUS_LOST = "lost"
 FOUND = "path string, at bigint, status string, msg_id int, bytes binary"
 _MODULUS = 65521  # fixed value of the checksum
@@ -106,6 +103,7 @@ def scan_frames(files: DataFrame) -> DataFrame:
                             pa.string(), pa.int64(), pa.string(), pa.int32(), pa.binary()))],
                         ["path", "at", "status", "msg_id", "bytes"])
 
+    ship_package(files.sparkSession)
     return files.select("path", "content").mapInArrow(run, FOUND)
 
 
@@ -129,6 +127,7 @@ def write_frame_log(sent: DataFrame, folder: str, frame: str = "frame", file_byt
 
     A retried task replaces its files, whatever it wrote before.
     """
+    ship_package(sent.sparkSession)
     fs, path = message_log.file_system(folder)
     fs.create_dir(path, recursive=True)
 

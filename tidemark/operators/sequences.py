@@ -20,21 +20,16 @@ where what was accepted expires.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import epoch_seconds
 from tidemark.operators.joins import join_back
 from tidemark.operators.keyed import DEFAULT_BLOCK_SECONDS, running_totals, time_block
-from tidemark.session import scratch_path
-
-# Functions for the Python workers travel by value, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from tidemark.session import scratch_path, ship_package
 
 
 # Fixed widths of an order number: a timestamp's microseconds (or a whole
@@ -195,6 +190,7 @@ def live_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int, le
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
+    ship_package(df.sparkSession)
     table = lambda d, name: _as_table(d, f"intake-{name}")
     rows = df.where(F.col(ts).isNotNull()).withColumn("sec", epoch_seconds(df, ts))
     block = F.floor(F.col("sec") / block_seconds).cast("bigint")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -63,3 +65,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for one run of ``name``."""
     return f"{checkpoint_root(spark)}/tidemark/{name}/{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark context: what runs in Python workers
+    is found there by module name, whether or not the executors have the package installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="tidemark-")  # Spark serves the file from here
+    context.addPyFile(shutil.make_archive(f"{folder}/tidemark-code", "zip", package.parent, package.name))
+    context._tidemark_shipped = True

@@ -232,5 +232,7 @@ class MessageLogSource(DataSource):
 def read_message_log(spark: SparkSession, root: str, starting_offsets: str = "latest", **options: str) -> DataFrame:
     """``(key, value, partition, offset, ts)`` of a message log as a stream, from its newest messages on."""
     spark.dataSource.register(MessageLogSource)
+    # else an availableNow run over a Python source is a single batch, which closes no window
+    spark.conf.set("spark.sql.streaming.triggerAvailableNowWrapper.enabled", "true")
     return (spark.readStream.format("message_log")
             .options(startingOffsets=starting_offsets, **options).load(root))

@@ -31,13 +31,16 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+from tidemark import config
 from tidemark.config import WindowSpec
-from tidemark.operators import operations
+from tidemark.operators import joins, operations
 from tidemark.operators.operations import KeyedOperation, ValueOps
 from tidemark.operators.windows import WINDOW_COL, stream_windows
 
-# The processors travel to the Python workers by value, with the operations they run.
-for _module in (sys.modules[__name__], operations):
+# The processors and the operations they run travel to the Python workers by value: the worker that Spark starts
+# beside the driver to set a query up sees no shipped files. A user's own operation class must be importable there, or
+# registered in the same way.
+for _module in (sys.modules[__name__], operations, joins, config):
     cloudpickle.register_pickle_by_value(_module)
 
 STORED, LIVE, LEAVING = "stored", "live", "leaving"  # state variables
