@@ -53,7 +53,7 @@ def admitted(rows, capacity, length):
 def test_live_intake(spark, capacity, length, block):
     """A hot key over many blocks, windows longer than a block included."""
     rows = rows_of(capacity, 300, 3000)
-    got = live_intake(frame(spark, rows), "k", ["ts", "i"], capacity, length, "ts", block).collect()
+    got = live_intake(frame(spark, rows), "k", ["ts", "i"], capacity, length, "ts", block, block_rows=1 + capacity * 3).collect()
     assert {r["i"]: (r["accepted"], r["size"]) for r in got} == admitted(rows, capacity, length) and len(got) == len(rows)
 
 

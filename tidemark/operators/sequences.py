@@ -176,7 +176,7 @@ _INTAKE = "__k, __blk, __i bigint, sec bigint, accepted boolean, size int, held
 
 
 def live_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int, length: int, ts: str,
-                block_seconds: int = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+                block_seconds: int = DEFAULT_BLOCK_SECONDS, block_rows: int = 100_000) -> DataFrame:
     """R5 with expiry: every row with ``accepted`` and ``size`` (held after it), where a key holds ``capacity``
     rows at most and a row leaves ``length`` seconds after its own second (it is live at both ends).
 
@@ -185,17 +185,21 @@ def live_intake(df: DataFrame, key: str, order: Sequence[str], capacity: int, le
     still held, ``capacity`` at most. All blocks start at once, as if nothing were
     held; then those whose predecessor handed over something else are run again, and so on
     until no block's beginning changes. A block forgets its beginning as soon as
-    what it holds has expired or is the same either way, so few rounds are
-    needed (never more than a key has blocks); a task holds one block of a key.
+    what it holds has expired or is the same either way; where a key is full all the time that may never
+    be, and its blocks follow one another, a round each. So blocks are large: stretches of ``block_seconds`` are
+    put together up to ``block_rows`` rows of a key, and a task holds one such block.
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
     ship_package(df.sparkSession)
     table = lambda d, name: _as_table(d, f"intake-{name}")
     rows = df.where(F.col(ts).isNotNull()).withColumn("sec", epoch_seconds(df, ts))
-    block = F.floor(F.col("sec") / block_seconds).cast("bigint")
-    place = F.row_number().over(Window.partitionBy(F.col(key), block).orderBy(*order)).cast("bigint")
-    rows = table(rows.select("*", F.col(key).alias("__k"), block.alias("__blk"), place.alias("__i")), "rows")
+    rows = rows.withColumn("__k", F.col(key)).withColumn("__part", F.floor(F.col("sec") / block_seconds).cast("bigint"))
+    earlier = Window.partitionBy("__k").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a key's stretches
+    blocks = rows.groupBy("__k", "__part").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__k", "__part", F.floor(F.coalesce(F.sum("__n").over(earlier), F.lit(0)) / block_rows).cast("bigint").alias("__blk"))
+    place = F.row_number().over(Window.partitionBy("__k", "__blk").orderBy(*order)).cast("bigint")
+    rows = table(join_back(rows, blocks, ["__k", "__part"]).drop("__part").withColumn("__i", place), "rows")
     kind = rows.schema["__k"].dataType.simpleString()
     schema = _INTAKE.replace("__k,", f"__k {kind},").replace("__blk,", "__blk bigint,")
 
