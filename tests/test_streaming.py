@@ -357,3 +357,58 @@ def test_sinks_read_empty(spark):
     k = KeyedTableSink(f"{d}/o", f"{d}/s", FirstWrite(), key_template="K_%s")
     k(empty, 0)
     assert k.read(spark).count() == 0 and "store_key" in k.read(spark).columns
+
+
+def test_gate_holds_only_the_windows_totals(spark, ordered_dir):
+    """The gate's join keeps a row per window in its state, not one per window and key."""
+    replay = _replay(spark, ordered_dir, "10 seconds")
+    sink, held = ResultTableSink(f"{replay.scratch}/out"), {}
+
+    def begin():
+        q = start(gated_results(replay), sink, f"{replay.scratch}/checkpoint", rocksdb=True, state_partitions=2)
+        q.awaitTermination()
+        for p in q.recentProgress:
+            held[p["batchId"]] = sum(o["numRowsUpdated"] for o in p["stateOperators"] if o["operatorName"] == "symmetricHashJoin")
+        return q
+
+    run_replay(replay, begin)
+    want = QUERIES["user_click_show_tumbling"](spark, SF_SMALL)
+    assert _rows(sink.read(spark), want.columns) == _rows(want, want.columns)
+    windows = want.select("t").distinct().count()
+    assert want.count() > windows >= sum(held.values()) > 0
+
+
+def test_keys_reach_the_state_in_packs(spark):
+    """A pack holds a bucket's rows, however many, and keys and values come back as they were, nulls too."""
+    import pyarrow as pa
+
+    from tidemark.streaming.state import _packs, _rows_of_packs
+
+    u = [None, "a", "b", "a", None, "c"]
+    batches = [pa.RecordBatch.from_pydict({"u": u, "v": pa.array([2 ** 60 + i, 1, 2, None, 4, 5], pa.int64()),
+                                           "__bucket": pa.array([i % 3 for i in range(6)], pa.int32())}) for i in range(2)]
+    packs = list(_packs(iter(batches)))
+    assert sorted(b for p in packs for b in p.column(0).to_pylist()) == [0, 1, 2]
+    back = [r for p in packs for b in _rows_of_packs(iter([p.select([1])])) for r in b.to_pylist()]
+    want = [r for b in batches for r in b.select(["u", "v"]).to_pylist()]
+    assert sorted(back, key=repr) == sorted(want, key=repr)
+    many = pa.RecordBatch.from_pydict({"v": list(range(1000)), "__bucket": pa.array([i // 2 for i in range(1000)], pa.int32())})
+    packs = list(_packs(iter([many])))
+    assert [b for p in packs for b in p.column(0).to_pylist()] == list(range(500))
+    assert [r["v"] for p in packs for b in _rows_of_packs(iter([p.select([1])])) for r in b.to_pylist()] == list(range(1000))
+
+
+def test_a_slice_is_one_micro_batch(spark, mixed_dir):
+    """However many partitions the table is read in."""
+    from tidemark.plans.streaming import BATCHES, _batched
+
+    sizes = []
+
+    def build(replay):
+        q = (replay.stream.writeStream.foreachBatch(lambda b, n: sizes.append(b.count()))
+             .option("checkpointLocation", f"{replay.scratch}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return replay.stream
+
+    _batched("test_slices", build, True)(spark, mixed_dir)
+    assert len(sizes) == BATCHES and sum(sizes) == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()

@@ -5,6 +5,7 @@ operator chained after the window aggregate, so a result reaches its key's
 stored value without rereading a table: a micro-batch touches only the keys
 that have results in it, the state store keeps deltas and snapshots, and a
 replayed batch starts from the state before it (the checkpoint pins both).
+Keys reach the operator in buckets, so that what a call of it and a row cost is shared by many.
 The key's partition sees at most one result per window and key, whatever the
 skew of the raw rows, because the window aggregate comes first.
 
@@ -26,6 +27,9 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -51,32 +55,101 @@ def gated(agg: DataFrame, rows: DataFrame, spec: WindowSpec, ts: str = "ts") ->
 
     ``rows`` is the aggregate's input. Totals are one partial row per task and
     window; a window's rows and its total are closed by the same watermark,
-    so the join holds them for one micro-batch only.
+    so the join meets them in one micro-batch and holds only the totals in its state.
     """
     if spec.min_records <= 1:
         return agg
     totals = (stream_windows(rows, spec, ts).groupBy(WINDOW_COL).agg(F.count(F.lit(1)).alias("__total"))
               .where(F.col("__total") >= spec.min_records))
-    return agg.join(totals, WINDOW_COL).drop("__total")
+    # the totals first: only rows of the left side that are about to leave are held by the join, those of the right pass
+    return totals.join(agg, WINDOW_COL).select(*agg.columns)
+
+
+# Groups of keys that go to the stateful operator at once: fixed, as the state is kept by group.
+BUCKETS = 1 << 13
+_BUCKET, _PACK = "__bucket", "__pack"
+_PACK_BYTES = 32 << 20  # of Arrow data that a task sorts into packs at once
+
+
+def _pack(batch: pa.RecordBatch | pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(pack: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pack).read_all()
+
+
+def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a bucket as ``(bucket, pack)``: one pack for the rows of a bucket, or several of a large task."""
+    held: list[pa.RecordBatch] = []
+
+    def dealt() -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        order = pc.sort_indices(table[_BUCKET])
+        table, buckets = table.drop_columns([_BUCKET]).take(order), table[_BUCKET].take(order).to_numpy()
+        firsts = [0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist()] if len(buckets) else []
+        for at in range(0, len(firsts), 64):
+            some = firsts[at:at + 65]
+            ends = [*some[1:], len(buckets)] if len(some) <= 64 else some[1:]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([buckets[a] for a in some[:len(ends)]], pa.int32()),
+                 pa.array([_pack(table.slice(a, b - a).combine_chunks()) for a, b in zip(some, ends)], pa.binary())],
+                [_BUCKET, _PACK])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= _PACK_BYTES:
+            yield from dealt()
+            held = []
+    if held:
+        yield from dealt()
+
+
+def _rows_of_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for pack in batch.column(0):
+            yield from _unpack(pack.as_py()).to_batches(max_chunksize=10_000)
 
 
 class _Merge(StatefulProcessor):
-    """Rows of a key in order, each with the value stored before it; the value after the last is kept."""
+    """Rows of a key in order, each with the value stored before it; the value after the last is kept.
+
+    The operator's group is a bucket of keys, its state a map of their values: a key's own value is
+    read once in a batch and written if it changed.
+    """
 
-    def __init__(self, op: KeyedOperation, key: str, order: str, columns: list[str]):
-        self.op, self.key, self.order, self.columns = op, key, order, columns
+    def __init__(self, op: KeyedOperation, key: str, key_type: str, order: str, columns: list[str]):
+        self.op, self.key, self.key_type, self.order, self.columns = op, key, key_type, order, columns
         self.names = list(op.fields())
 
     def init(self, handle) -> None:
-        self.stored = handle.getValueState(STORED, ", ".join(f"{n} {t}" for n, t in self.op.fields().items()))
+        self.stored = handle.getMapState(STORED, f"`{self.key}` {self.key_type}",
+                                         ", ".join(f"{n} {t}" for n, t in self.op.fields().items()))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.stored.get()
-        state = dict(zip(self.names, held)) if held is not None else dict.fromkeys(self.names)
-        for r in sorted(rows, key=lambda r: r[self.order]):  # the windows that closed since the last batch
-            yield Row(**{c: r[c] for c in self.columns}, **{f"__b_{n}": state[n] for n in self.names})
-            state = self.op.merge(state, {n: r[f"__s_{n}"] for n in self.names}, ValueOps)
-        self.stored.update(tuple(state[n] for n in self.names))
+        # the windows that closed since the last batch
+        table = pa.concat_tables([_unpack(r[_PACK]) for r in rows]).combine_chunks()
+        keys, at = table[self.key].to_pylist(), table[self.order].to_pylist()
+        own = list(zip(*[table[f"__s_{n}"].to_pylist() for n in self.names]))
+        members: dict = {}
+        for i in sorted(range(len(keys)), key=at.__getitem__):
+            members.setdefault(keys[i], []).append(i)
+        before: list = [None] * len(keys)
+        for k, its in members.items():
+            held = self.stored.getValue((k,))
+            first = state = dict(zip(self.names, held)) if held is not None else dict.fromkeys(self.names)
+            for i in its:
+                before[i] = state
+                state = self.op.merge(state, dict(zip(self.names, own[i])), ValueOps)
+            if held is None or state != first:
+                self.stored.updateValue((k,), tuple(state[n] for n in self.names))
+        out = table.select(self.columns)
+        for n in self.names:
+            out = out.append_column(f"__b_{n}", pa.array([b[n] for b in before], table.schema.field(f"__s_{n}").type))
+        yield Row(**{_PACK: _pack(out)})
 
     def close(self) -> None:
         pass
@@ -87,13 +160,18 @@ def merge_on_state(results: DataFrame, op: KeyedOperation, key: str = "u", order
     """``(order, key, [store_key], *returned)`` of a stream of results, merged per key in the state store.
 
     A micro-batch's results of a key are merged in ``order``; results of later
-    batches come later, as windows close in the order of the watermark.
+    batches come later, as windows close in the order of the watermark. Rows go to the
+    Python workers and back as packs of Arrow data, one for a bucket of keys.
     """
     columns = results.columns
     lifted = results.select(*columns, *[c.cast(op.fields()[n]).alias(f"__s_{n}") for n, c in op.lift(order).items()])
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias(_BUCKET)
+    packs = lifted.select("*", bucket).repartition(_BUCKET).mapInArrow(_packs, f"{_BUCKET} int, {_PACK} binary")
+    out = packs.groupBy(_BUCKET).transformWithState(
+        _Merge(op, key, results.schema[key].dataType.simpleString(), order, columns), f"{_PACK} binary", "Append", "None")
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in results.schema.fields]
                        + [f"`__b_{n}` {t}" for n, t in op.fields().items()])
-    out = lifted.groupBy(key).transformWithState(_Merge(op, key, order, columns), schema, "Append", "None")
+    out = out.mapInArrow(_rows_of_packs, schema)
     before = F.struct(*[F.col(f"__b_{n}").alias(n) for n in op.fields()])
     out = op.project(out.withColumn("__before", before), key, order)
     return out if store_key is None else out.withColumn("store_key", store_key)
@@ -195,4 +273,6 @@ def read_state(spark: SparkSession, checkpoint: str, variable: str = STORED, ope
     """Stored values of a checkpoint's latest committed batch: the key's columns and the value's fields."""
     state = (spark.read.format("statestore").option("path", checkpoint).option("operatorId", operator)
              .option("stateVarName", variable).load())
-    return state.select("key.*", "value.*")
+    if "value" in state.columns:
+        return state.select("key.*", "value.*")
+    return state.select("key.*", "user_map_key.*", "user_map_value.*").drop(_BUCKET)
