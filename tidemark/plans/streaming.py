@@ -371,17 +371,19 @@ BATCHES = 6
 
 
 def _batched(name: str, build, in_order: bool):
-    """The table cut into ``BATCHES`` slices, a micro-batch per file: by time, oldest first, with a watermark
-    of one slice (its files come in any order), or spread over the whole time with one that covers it."""
+    """The table cut into ``BATCHES`` slices, a micro-batch per slice: by time, oldest first, with a watermark
+    of one slice (its files come in any order), or spread over the whole time with one that covers it. A slice
+    has a file per core, however many partitions the table is read in; its files are one trigger's."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
         scratch, ev = scratch_path(spark, name), events(spark, sf)
         lo, hi = ev.select(F.min(epoch_seconds(ev, "ts")), F.max(epoch_seconds(ev, "ts"))).first()
         lo, span = lo or 0, (hi or 0) - (lo or 0) + 1
         sec = epoch_seconds(ev, "ts")
         part = F.floor((sec - lo) * BATCHES / span) if in_order else F.pmod("event_id", F.lit(BATCHES))
+        files = state_partitions(spark)
         for k in range(BATCHES):
-            ev.where(part == k).write.mode("append").parquet(f"{scratch}/in/events.parquet")
-        replay = event_replay(spark, f"{scratch}/in", scratch, max_files_per_trigger=1,
+            ev.where(part == k).repartition(files).write.mode("append").parquet(f"{scratch}/in/events.parquet")
+        replay = event_replay(spark, f"{scratch}/in", scratch, max_files_per_trigger=files,
                               watermark=f"{span // BATCHES + 10 if in_order else span} seconds")
         out = build(replay)
         remove_folder(spark, f"{scratch}/in")
