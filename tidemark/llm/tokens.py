@@ -20,6 +20,7 @@ _MARKS = ".,!?;:$%&*#"
 # Fixed rule of byte-level vocabularies: printable Latin-1 bytes stand for themselves, the others for 256, 257, ...
 _ODD_BYTES = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 _BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(_ODD_BYTES)}
+_SPACE = chr(_BYTE_CHARACTERS[32])
 
 
 class _OddSpace(Exception):
@@ -32,16 +33,20 @@ def _is_run(piece: str) -> bool:
 
 
 class _Cache(dict):
-    """piece -> ids as little-endian uint32 bytes; emptied when it holds ``limit`` pieces."""
+    """piece -> ids as little-endian uint32 bytes; ``limit`` pieces at most, of which those used lately stay."""
 
     def __init__(self, encode, limit: int):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.older = encode, max(1, limit // 2), {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
+        if len(self) >= self.limit:  # the newer half becomes the older one, which goes
+            self.older = dict(self)
             self.clear()
-        ids = self[piece] = self.encode(piece)
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        self[piece] = ids
         return ids
 
 
@@ -75,7 +80,10 @@ class Encoder:
 
     def _run(self, run: str) -> bytes:
         """A run of letters (with a leading space, perhaps): one pre-token, straight to the BPE model."""
-        text = run.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        if run.isascii():  # letters stand for themselves
+            text = run.replace(" ", _SPACE)
+        else:
+            text = run.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
         return array("I", [token.id for token in self.model.tokenize(text)]).tobytes()
 
     def _word(self, piece: str) -> bytes:
