@@ -2,7 +2,9 @@
 per micro-batch, must give the batch twin's results; so must a query that
 stops and restarts from its checkpoint."""
 
+import os
 import tempfile
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,11 +36,12 @@ from tidemark.plans.streaming import (
     table_twin,
 )
 from tidemark.operators.metrics import to_click_show
-from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records
-from tidemark.operators.operations import Accumulate, FirstWrite, KeepMost
+from tidemark.app import start_click_show, start_completion
+from tidemark.sources.adapters import EVENTS_ACTION_CONFIG, action_records, raw_action_messages, raw_vv_messages
+from tidemark.operators.operations import Accumulate, FirstWrite, KeepMost, KeyedOperation
 from tidemark.streaming.sinks import KeyedTableSink, ResultTableSink, SegmentedTable
 from tidemark.streaming.sources import kafka_options
-from tidemark.streaming.windowed import LateRows, every_step, gate_click_show, start, windowed_click_show
+from tidemark.streaming.windowed import LateRows, await_complete, every_step, gate_click_show, start, windowed_click_show
 
 from conftest import SF_SMALL
 
@@ -393,3 +396,55 @@ def test_a_slice_is_one_micro_batch(spark, mixed_dir):
 
     _batched("test_slices", build, True)(spark, mixed_dir)
     assert len(sizes) == BATCHES and sum(sizes) == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def _own_events(spark, n=600, files=3):
+    """Events of a few users in no order of time, several of them in a second, some without a time or a user."""
+    d = tempfile.mkdtemp(prefix="tidemark-own-")
+    at = F.pmod(F.col("id") * 7919, F.lit(n // 3))
+    (spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 97 != 5, F.timestamp_seconds(F.lit(1_700_000_000) + at * 3)).alias("ts"),
+        F.when(F.col("id") % 89 != 7, F.col("id") % 11).alias("user_id"),
+        F.when(F.col("id") % 3 == 0, "click").otherwise("view").alias("event_type"),
+        (F.col("id") % 50 / 4).alias("value"),
+        F.format_string('{"k": %d}', F.col("id") % 5).alias("props"))
+     .repartition(files).write.parquet(f"{d}/events.parquet"))
+    return d
+
+
+@pytest.mark.parametrize("path", ["click_show", "completion"])
+def test_a_sink_runs_its_batch_once(spark, path):
+    """A window leaves the state once, however often the plans of a sink refer to the batch."""
+    replay = event_replay(spark, _own_events(spark), tempfile.mkdtemp(prefix="tidemark-once-"))
+    d, spec, cfg = replay.scratch, SPECS["reference"], EVENTS_ACTION_CONFIG
+    if path == "click_show":
+        q, sink = start_click_show(raw_action_messages(replay.stream), spec, cfg, f"{d}/out", f"{d}/state",
+                                   f"{d}/checkpoint", state_partitions=2)
+    else:
+        q, sink = start_completion(raw_vv_messages(replay.stream), spec, cfg, f"{d}/out", f"{d}/checkpoint",
+                                   state_partitions=2)
+    await_complete(q)
+    ops = [p["stateOperators"][0] for p in q.recentProgress]
+    came, left = (sum(o[n] for o in ops) for n in ("numRowsUpdated", "numRowsRemoved"))
+    assert came / 2 < left <= came and sink.read(spark).count() > 100
+    assert not os.path.exists(f"{d}/out/_staged")
+
+
+def test_first_write_batch_equals_scan(spark):
+    """The first write's short way through a batch gives what the blocked scan of any operation does."""
+    op = FirstWrite()
+    batch = spark.range(3000).select(
+        (F.col("id") * 37 % 3000 * 50).alias("t"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("u"), F.col("id") % 5)).alias("u"),
+        (F.col("id") % 4).alias("clicks"), F.when(F.col("id") % 3 != 0, F.col("id") % 6).alias("shows"))
+    state = batch.where("u = 'u1' and t > 1000").limit(1).select("u", F.col("t").alias("__o"), op.lifted("t").alias("__s"))
+    for stored in (None, state.localCheckpoint()):
+        out, delta = op.merge_batch(batch, stored, "u", "t")
+        with mock.patch.object(FirstWrite, "scan_batch", KeyedOperation.scan_batch):
+            want_out, want_delta = op.merge_batch(batch, stored, "u", "t")
+        assert _rows(out, want_out.columns) == _rows(want_out, want_out.columns)
+        assert _rows(delta, want_delta.columns) == _rows(want_delta, want_delta.columns)
+    tied = spark.createDataFrame([(1, "a", 1, 1), (1, "a", 1, 1), (2, "a", 1, 1)], "t long, u string, clicks long, shows long")
+    out, delta = op.merge_batch(tied, None, "u", "t")
+    assert sorted(r["rt_u_click"] for r in out.collect()) == [1, 2, 2] and delta.count() == 1

@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import WindowSpec
@@ -96,14 +96,19 @@ class KeyedOperation:
                 .select(key, F.element_at("__held", -1)["__o"].alias("__o"),
                         self.folded(F.col("__held.__s")).alias("__s")))
 
-    def merge_batch(self, batch: DataFrame, state: DataFrame | None, key: str, order: str):
-        """Returned rows of a batch, and ``(key, __o, __s)``: what it adds to the store."""
+    def scan_batch(self, batch: DataFrame, key: str, order: str) -> tuple[DataFrame, DataFrame]:
+        """A batch's results with ``__before``, the value stored before each by the batch alone, and its delta."""
         from tidemark.operators.keyed import keyed_scan
 
         scanned = keyed_scan(batch, self, key, order)
         delta = scanned.groupBy(key).agg(
             F.max(order).alias("__o"),
             F.max_by(self.merged(F.col("__before"), F.col("__s")), F.col(order)).alias("__s"))
+        return scanned, delta
+
+    def merge_batch(self, batch: DataFrame, state: DataFrame | None, key: str, order: str):
+        """Returned rows of a batch, and ``(key, __o, __s)``: what it adds to the store."""
+        scanned, delta = self.scan_batch(batch, key, order)
         if state is not None:
             stored = state.select(key, F.col("__s").alias("__stored"))
             scanned = join_back(scanned, stored, key, "left")
@@ -136,6 +141,16 @@ class FirstWrite(KeyedOperation):
     def merge(self, a, b, ops):
         return {n: ops.if_absent(a["at"], b[n], a[n]) for n in self.fields()}
 
+    def scan_batch(self, batch, key, order):
+        # a key's first result is what all its later ones find: no scan, a look at the first of a key's results, of
+        # which a batch has one per window
+        whole = Window.partitionBy(key)
+        earlier = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        scanned = batch.select("*", self.lifted(order).alias("__s")).withColumn("__before", F.first("__s").over(earlier))
+        delta = (scanned.withColumn("__o", F.max(order).over(whole)).where(F.col("__before").isNull())
+                 .select(key, "__o", "__s"))
+        return scanned, delta
+
     def returned(self, before):
         new = before("at").isNull()
         return {**{n: F.when(new, F.col(v)).otherwise(before(v) + F.col(v)) for v, n in zip(self.values, self.names)},

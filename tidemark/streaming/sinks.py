@@ -8,8 +8,12 @@ a segment goes only when one that covers it is committed, and no batch
 ever reads or replaces what it wrote itself.
 
 A micro-batch DataFrame is a leaf RDD: each action would run the micro-batch
-again (input read and stateful operator included), so a sink persists its
-transformed batch while it works and releases it at the end. Inside
+again (input read and stateful operator included), and so would each further
+reference to it in a plan, cached or not: Spark's cache does not know a partitioned leaf
+again under new column ids. So a sink writes its batch to files first, works on
+these and removes them at the end. Their size is known, so a plan broadcasts only
+what is small; the leaf's size is that of the batch's input, nothing when
+a batch only closes windows. Inside
 ``foreachBatch`` of a stateful query Spark turns adaptive execution off, so
 nothing here relies on it: a key's rows are window results, one per window.
 
@@ -37,10 +41,12 @@ from tidemark.functions.scalars import profile_key
 from tidemark.functions.wire import decode_message, encode_message
 from tidemark.operators.joins import join_back
 from tidemark.operators.operations import FirstWrite
+from tidemark.streaming.sources import remove_folder
 
 BATCH_COL = "batch_id"
 MERGE_AT = 10  # segments of about the same number of batches that are merged into one
 _COMMITTED = "_committed.json"
+_STAGED = "_staged"  # what a sink works on, in its table's folder
 
 
 def serialize_profile(df: DataFrame, key: str, fields, fmt: str = "struct",
@@ -79,6 +85,17 @@ def _persisted(df: DataFrame):
         df.unpersist()
 
 
+@contextmanager
+def _staged(df: DataFrame, path: str):
+    """The rows of a micro-batch from files in folder ``path``, so that it runs once."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)
+
+
 def _with_batch_col(df: DataFrame, batch_id: int = 0) -> DataFrame:
     return df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
 
@@ -177,7 +194,7 @@ class ResultTableSink:
         return SegmentedTable(self.path, merge_at=self.merge_at)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        with _persisted(batch) as b:
+        with _staged(batch, f"{self.table.path}/{_STAGED}") as b:
             rows = _with_batch_col(self.transform(b), batch_id)
             self.schema = rows.schema
             if b.isEmpty():  # nothing closed in this trigger: no jobs to run
@@ -236,7 +253,7 @@ class KeyedTableSink:
         return None if deltas is None else self._state(deltas)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        with _persisted(batch) as b:
+        with _staged(batch, f"{self.results.path}/{_STAGED}") as b:
             if b.isEmpty():  # nothing closed in this trigger: no jobs to run
                 if self.schema is None:
                     out, _ = self.operation.merge_batch(self.transform(b), None, self.key, self.order)
