@@ -448,3 +448,30 @@ def test_first_write_batch_equals_scan(spark):
     tied = spark.createDataFrame([(1, "a", 1, 1), (1, "a", 1, 1), (2, "a", 1, 1)], "t long, u string, clicks long, shows long")
     out, delta = op.merge_batch(tied, None, "u", "t")
     assert sorted(r["rt_u_click"] for r in out.collect()) == [1, 2, 2] and delta.count() == 1
+
+
+@pytest.mark.parametrize("name", ["messages_click_show", "messages_completion"])
+def test_messages_come_in_slices_of_time(spark, name, monkeypatch):
+    """A table larger than a slice comes oldest first, a micro-batch per slice; the results are the batch twin's."""
+    from tidemark.plans import streaming
+
+    folder, scratch = _own_events(spark), tempfile.mkdtemp(prefix="tidemark-slices-")
+    monkeypatch.setattr(streaming, "SLICE_ROWS", 100, raising=False)
+    monkeypatch.setattr(streaming, "state_partitions", lambda spark: 1)
+    monkeypatch.setattr(streaming, "scratch_path", lambda spark, name: scratch)
+    want = QUERIES[name](spark, folder)
+    got = streaming.STREAM_QUERIES[f"stream_{name}"][0](spark, folder)
+    assert _rows(got, want.columns) == _rows(want, want.columns) and got.count() > 100
+    assert SegmentedTable(f"{scratch}/out").read(spark).select("batch_id").distinct().count() >= 5
+    assert sorted(x for x in os.listdir(scratch) if x in ("in", "cut", "checkpoint")) == []
+
+
+def test_slices_are_a_number_of_files(spark):
+    """Whatever the rows of a slice, it has the files that one trigger takes."""
+    from tidemark.streaming.sources import write_slice
+
+    into = f"{tempfile.mkdtemp(prefix='tidemark-files-')}/t"
+    for k, n in enumerate((10, 1, 0, 3)):
+        write_slice(spark.range(n), into, 4, (k + 1) * 4)
+        assert sum(f.endswith(".parquet") for f in os.listdir(into)) == (k + 1) * 4
+    assert spark.read.parquet(into).count() == 14

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.app import start_click_show, start_click_show_on_state, start_completion
 from tidemark.config import USER_KEY_TEMPLATE, WindowSpec
@@ -53,6 +54,7 @@ from tidemark.streaming.sources import (
     remove_folder,
     table_stream,
     write_flush_marker,
+    write_slice,
 )
 from tidemark.streaming.state import gated, live_intervals_on_state, merge_on_state, read_state
 from tidemark.streaming.windowed import (
@@ -96,6 +98,32 @@ def event_replay(spark: SparkSession, sf_dir: str, scratch: str, max_files_per_t
                   lambda: write_flush_marker(ev, flush, "1000 days"), watermark)
 
 
+#: Rows of a replay's micro-batch, per core: the windows they open are written to the state at once.
+SLICE_ROWS = 50_000
+
+
+def sliced_replay(spark: SparkSession, sf_dir: str, scratch: str) -> Replay:
+    """``event_replay`` with a micro-batch per slice of time, oldest first, so that the open windows are those of two
+    slices however large the table is. Slices have about as many rows each and end between two seconds; a table of
+    one slice is read as it is."""
+    ev, files = events(spark, sf_dir), state_partitions(spark)
+    slices = -(-ev.count() // (SLICE_ROWS * files))
+    if slices <= 1:
+        return event_replay(spark, sf_dir, scratch)
+    sec = epoch_seconds(ev, "ts")
+    shares = [k / slices for k in range(1, slices)]
+    bounds = sorted(set(ev.select(F.percentile_approx(sec, shares)).first()[0] or []))
+    number = F.size(F.filter(F.lit(bounds), lambda b: b <= sec)) if bounds else F.lit(0)
+    cut, into = f"{scratch}/cut", f"{scratch}/in/events.parquet"
+    (ev.withColumn("__slice", number).repartition("__slice", F.pmod(F.xxhash64(*ev.columns), F.lit(files)))
+     .write.partitionBy("__slice").parquet(cut))
+    whole = spark.read.schema(StructType([*ev.schema.fields, StructField("__slice", IntegerType())])).parquet(cut)
+    for k in range(len(bounds) + 1):
+        write_slice(whole.where(F.col("__slice") == k).drop("__slice"), into, files, (k + 1) * files)
+    remove_folder(spark, cut)
+    return event_replay(spark, f"{scratch}/in", scratch, max_files_per_trigger=files)
+
+
 def state_partitions(spark: SparkSession) -> int:
     """State partitions of a replay: one per core of the cluster."""
     return max(1, spark.sparkContext.defaultParallelism)
@@ -360,9 +388,12 @@ def messages_completion_twin(replay: Replay) -> DataFrame:
     return sinks[0].read(msgs.sparkSession).select("t", "u", "tm", "duration", "rpt")
 
 
-def _twin(name: str, build):
+def _twin(name: str, build, replayed=event_replay):
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return build(event_replay(spark, sf, scratch_path(spark, name)))
+        scratch = scratch_path(spark, name)
+        out = build(replayed(spark, sf, scratch))
+        remove_folder(spark, f"{scratch}/in")
+        return out
     run.__name__ = f"q_{name}"
     return run
 
@@ -411,10 +442,12 @@ STREAM_QUERIES = {name: (_twin(name, build), twin) for name, build, twin in [
     ("stream_feed_click_show_4h_live", live_twin, "feed_click_show_4h_live"),
     ("stream_feed_profile_sliding", lambda r: feed_profile_panes_twin(r, 300), "feed_profile_sliding"),
     ("stream_user_click_show_every_step", processing_time_twin, "user_click_show_tumbling"),
-    ("stream_messages_click_show", messages_click_show_twin, "messages_click_show"),
     ("stream_messages_click_show_state", lambda r: messages_click_show_twin(r, True), "messages_click_show"),
-    ("stream_messages_completion", messages_completion_twin, "messages_completion"),
 ]}
+STREAM_QUERIES.update({name: (_twin(name, build, sliced_replay), twin) for name, build, twin in [
+    ("stream_messages_click_show", messages_click_show_twin, "messages_click_show"),
+    ("stream_messages_completion", messages_completion_twin, "messages_completion"),
+]})
 STREAM_QUERIES["stream_log_click_show"] = (log_twin, "messages_click_show_newer")
 STREAM_QUERIES.update({name: (_batched(name, build, in_order), twin) for name, build, in_order, twin in [
     ("stream_user_click_show_batches", click_show_twin, False, "user_click_show_tumbling"),

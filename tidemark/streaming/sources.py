@@ -83,6 +83,16 @@ def read_files_stream(spark: SparkSession, folder: str, file_glob: str, schema,
     return r.parquet(folder)
 
 
+def write_slice(rows: DataFrame, folder: str, files: int, total: int) -> None:
+    """Append ``rows`` to the files of ``folder``, ``files`` of them (``total`` with those before), also when
+    there are fewer rows than that: a file stream that takes ``files`` at a time then reads a slice at a time."""
+    spark = rows.sparkSession
+    rows.repartition(files).write.mode("append").option("maxRecordsPerFile", 0).parquet(folder)
+    fs, p = _file_system(spark, f"{folder}/*.parquet")
+    for _ in range(total - len(fs.globStatus(p))):
+        rows.limit(0).coalesce(1).write.mode("append").parquet(folder)
+
+
 def read_message_files(spark: SparkSession, folder: str,
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """Stand-in for a topic: parquet files of ``(key, value, ts)`` messages (the columns of ``read_kafka``)."""
