@@ -79,7 +79,7 @@ def start_click_show(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, o
     sink = KeyedTableSink(out, state, FirstWrite(), key="u", order="t",
                           key_template=USER_KEY_TEMPLATE, transform=gate_click_show(spec, "u"))
     q = start(click_show_stream(messages, spec, cfg, watermark, strict_strings), sink,
-              checkpoint, trigger, state_partitions=state_partitions)
+              checkpoint, trigger, state_partitions=state_partitions, lean=True)
     return q, sink
 
 
@@ -104,7 +104,7 @@ def start_completion(messages: DataFrame, spec: WindowSpec, cfg: ActionConfig, o
     """Completion pipeline into a result table."""
     sink = ResultTableSink(out, gate_completion(spec, "u", exact_scale))
     q = start(completion_stream(messages, spec, cfg, watermark, exact_scale, strict_strings), sink,
-              checkpoint, trigger, state_partitions=state_partitions)
+              checkpoint, trigger, state_partitions=state_partitions, lean=True)
     return q, sink
 
 
